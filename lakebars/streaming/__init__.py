@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The system this package re-expresses is strictly batch (a daily cadence
+with re-runnable dates); it has no streams, watermarks or stateful
+operators, so none are provided here.
+"""
