@@ -71,7 +71,7 @@ class Lakehouse:
             ("serving", MART, ("trade_date",)),
         ]
         for name, schema, parts in specs:
-            tables.create_table(spark, self.t(name), schema, os.path.join(base, name), parts)
+            tables.create_table(spark, self.t(name), schema, None, parts)
         self.created = True
         return self
 

@@ -231,7 +231,7 @@ def _mart_table(spark, name: str) -> tuple[str, str]:
 def _loaded_mart(spark, sf_dir, name: str) -> tuple[str, DataFrame]:
     root, db = _mart_table(spark, name)
     t = f"{db}.mart_daily"
-    tables.create_table(spark, t, MART, os.path.join(root, "mart_daily"), ("trade_date",))
+    tables.create_table(spark, t, MART, None, ("trade_date",))
     mart = _mart(spark, sf_dir)
     tables.overwrite_partitions(spark, t, mart.checkpoint(eager=True))
     return t, mart
@@ -253,8 +253,8 @@ def q_day_rebuild_empty(spark, sf_dir):
 def q_partition_replace(spark, sf_dir):
     root, db = _mart_table(spark, "partition_replace")
     serving, buffer = f"{db}.serving", f"{db}.serving_buffer"
-    tables.create_table(spark, serving, MART, os.path.join(root, "serving"), ("trade_date",))
-    tables.create_table(spark, buffer, MART, os.path.join(root, "buffer"), ("trade_date",))
+    tables.create_table(spark, serving, MART, None, ("trade_date",))
+    tables.create_table(spark, buffer, MART, None, ("trade_date",))
     # Serving starts with every day built against the old dimension.
     old = _mart(spark, sf_dir, B.dimension_v1(spark, sf_dir))
     tables.overwrite_partitions(spark, serving, old.checkpoint(eager=True))
@@ -275,8 +275,8 @@ def q_seed_reference(spark, sf_dir):
     root, db = _mart_table(spark, "seed_reference")
     nation = B.table(spark, sf_dir, "nation")
     t = f"{db}.nation_ref"
-    tables.create_table(spark, t, nation.schema, os.path.join(root, "nation_ref"))
-    tables.create_table(spark, t, nation.schema, os.path.join(root, "nation_ref"))  # no-op
+    tables.create_table(spark, t, nation.schema)
+    tables.create_table(spark, t, nation.schema)  # already there: no-op
     for _ in range(2):  # second load inserts nothing
         tables.insert_if_absent_into(spark, t, nation, ["n_nationkey"])
     return spark.table(t)

@@ -33,15 +33,17 @@ from lakebars.session import dynamic_overwrite, work_root
 OPEN_END_DATE = END_OF_TIME.date()
 
 
-def create_table(spark: SparkSession, name: str, schema: StructType, location: str,
+def create_table(spark: SparkSession, name: str, schema: StructType, location: str | None = None,
                  partition_by: tuple[str, ...] = ()) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` a Parquet table at ``location``.
+    """``CREATE TABLE IF NOT EXISTS`` a Parquet table.
 
-    Partition columns must be the last fields of ``schema`` (insert by position).
+    Without ``location`` the table is managed and lives in its database's
+    folder.  Partition columns must be the last fields of ``schema``
+    (inserts match columns by position).
     """
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet{parts} "
-              f"LOCATION '{location}'")
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet{parts}{loc}")
 
 
 def table_columns(spark: SparkSession, name: str) -> list[str]:
@@ -99,8 +101,13 @@ def replace_days(spark: SparkSession, table: str, rows: DataFrame, days,
 
 
 def truncate(spark: SparkSession, table: str) -> None:
-    """``TRUNCATE TABLE``."""
-    spark.sql(f"TRUNCATE TABLE {table}")
+    """``TRUNCATE TABLE``; external tables (refused by Spark) get a static
+    overwrite with no rows, which drops every partition."""
+    kind = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Type'").first()
+    if kind is not None and kind["data_type"].upper() == "EXTERNAL":
+        spark.createDataFrame([], spark.table(table).schema).write.insertInto(table, overwrite=True)
+    else:
+        spark.sql(f"TRUNCATE TABLE {table}")
 
 
 def replace_partition_from(spark: SparkSession, target: str, buffer: str, day,
