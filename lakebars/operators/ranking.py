@@ -4,8 +4,8 @@
 one task.  Here the rows are range-partitioned on (key, order), so a hot
 group is spread over many partitions; each partition numbers its rows
 locally and a small per-(partition, group) count table supplies the offset
-of every piece.  The tagged data is checkpointed into the shared folder so
-both consumers of the local numbers see the same materialised rows.
+of every piece.  The tagged rows are written once to the shared folder so
+both consumers of the local numbers read the same materialised values.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakebars.session import work_root
+from lakebars.session import materialize
 
 
 def _cols(items) -> list[Column]:
@@ -27,14 +27,11 @@ def rank_within(df: DataFrame, keys: list[str], order: list, rank_col: str = "rn
     ``size_col`` carries the group size; ``descending_col`` the position from
     the end (``size - rn + 1``), i.e. the row number of the descending order.
     """
-    spark = df.sparkSession
-    work_root(spark)
     sort_cols = _cols(keys) + _cols(order)
-    tagged = (df.repartitionByRange(*sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_piece", F.spark_partition_id())
-              .withColumn("_seq", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = materialize(df.repartitionByRange(*sort_cols)
+                         .sortWithinPartitions(*sort_cols)
+                         .withColumn("_piece", F.spark_partition_id())
+                         .withColumn("_seq", F.monotonically_increasing_id()), "ranked")
     pieces = tagged.groupBy("_piece", *keys).agg(
         F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

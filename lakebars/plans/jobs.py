@@ -2,7 +2,7 @@
 
 Everything lives under one root folder (on a cluster: a shared store):
 
-    bronze/candles/ticker=/load_date=   raw JSONL           (L1 writes, L2 reads)
+    bronze/candles/load_date=           raw JSONL           (L1 writes, L2 reads)
     bronze/issuers/load_date=           issuer snapshots    (L1 writes, L2 reads)
     tables/<db>/...                     staging, ODS, dimension, mart, buffer, serving
     export/mart/trade_date=             one Parquet folder per published day
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from lakebars.functions.params import as_date, as_datetime, parse_ticker_list
+from lakebars.functions.params import as_date, as_datetime, parse_ticker_list, previous_dates
 from lakebars.operators.asof import mart_frame
 from lakebars.operators.bars import daily_ohlcv
 from lakebars.operators.candles import on_own_load_date, typed_candles
@@ -85,16 +85,26 @@ def land_snapshot(lh: Lakehouse, snapshot: DataFrame, load_date) -> sinks.WriteR
                                lambda df: sinks.write_parquet(df, path), path)
 
 
+def tagged_record(ticker="ticker", record="record"):
+    """The API record text with the requesting ticker spliced in as its first
+    field; the record's own text (number tokens included) is kept verbatim."""
+    name = F.regexp_extract(F.to_json(F.array(F.col(ticker))), r"^\[(.*)\]$", 1)
+    rest = F.when(F.trim(F.col(record)) == "{}", F.lit("}")).otherwise(
+        F.concat(F.lit(","), F.expr(f"substring(ltrim({record}), 2)")))
+    return F.concat(F.lit('{"ticker":'), name, rest)
+
+
 def land_candle_records(lh: Lakehouse, records: DataFrame) -> sinks.WriteResult:
-    """(ticker, load_date, record JSON text) -> JSONL files per ticker and load date.
+    """(ticker, load_date, record JSON text) -> JSONL, one folder per load date.
 
-    Only the (ticker, load_date) folders present in ``records`` are replaced.
+    Only the load dates present in ``records`` are replaced (dynamic
+    overwrite through the writer option of a path write).
     """
-    out = records.select("record", "ticker", F.col("load_date").cast("string").alias("load_date"))
+    out = records.select(tagged_record().alias("line"), F.col("load_date").cast("string").alias("load_date"))
 
     def write(df: DataFrame) -> None:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ticker", "load_date").text(lh.bronze_candles))
+         .partitionBy("load_date").text(lh.bronze_candles))
 
     return sinks.skip_if_empty(out, write, lh.bronze_candles)
 
@@ -117,7 +127,8 @@ def bronze_ingest(spark: SparkSession, lh: Lakehouse, load_date, tickers, fetch,
 def silver_bars(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
                 lookback_days: int = 1) -> DataFrame:
     """S1 + S2 + P1/P2 + F1 + A4: the staged bars of one run, all tickers in one scan."""
-    raw = read_raw_candles(spark, lh.bronze_candles)
+    window = previous_dates(process_date, lookback_days)
+    raw = read_raw_candles(spark, lh.bronze_candles, window)
     names = parse_ticker_list(tickers)
     if names:
         raw = raw.join(F.broadcast(universe_frame(spark, names)), "ticker", "left_semi")
@@ -135,7 +146,7 @@ def silver(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
     """
     lh.ensure(spark)
     snapshot, snap_date = read_snapshot(spark, lh.bronze_issuers, process_date, lookback_days)
-    snapshot.checkpoint(eager=True).write.insertInto(lh.t("stg_issuers"), overwrite=True)
+    snapshot.write.insertInto(lh.t("stg_issuers"), overwrite=True)
     bars = silver_bars(spark, lh, process_date, tickers, lookback_days)
     tables.truncate(spark, lh.t("stg_bars"))
     status = sinks.skip_if_empty(bars.select(*[f.name for f in STAGED_TABLE.fields]),

@@ -233,7 +233,7 @@ def _loaded_mart(spark, sf_dir, name: str) -> tuple[str, DataFrame]:
     t = f"{db}.mart_daily"
     tables.create_table(spark, t, MART, None, ("trade_date",))
     mart = _mart(spark, sf_dir)
-    tables.overwrite_partitions(spark, t, mart.checkpoint(eager=True))
+    tables.overwrite_partitions(spark, t, mart)
     return t, mart
 
 
@@ -257,7 +257,7 @@ def q_partition_replace(spark, sf_dir):
     tables.create_table(spark, buffer, MART, None, ("trade_date",))
     # Serving starts with every day built against the old dimension.
     old = _mart(spark, sf_dir, B.dimension_v1(spark, sf_dir))
-    tables.overwrite_partitions(spark, serving, old.checkpoint(eager=True))
+    tables.overwrite_partitions(spark, serving, old)
     sinks.insert_by_position(old.where(F.col("trade_date") == date_lit(B.PROCESS_DATE)).select(
         *[f.name for f in MART.fields]), buffer)
     # Publish one day of the new mart: export -> truncate buffer -> load -> swap.
@@ -288,7 +288,7 @@ def q_jsonl_round_trip(spark, sf_dir):
     root = new_run_dir(spark, "jsonl")
     raw = B.raw_candles(B.table(spark, sf_dir, "events"))
     landed = raw.withColumn("load_date", F.to_date(F.col("begin").try_cast("timestamp_ntz")).cast("string"))
-    sinks.write_jsonl(landed, root, partition_by=["ticker", "load_date"])
+    sinks.write_jsonl(landed, root, partition_by=["load_date"])
     back = typed_candles(read_raw_candles(spark, root), keep=("ticker", "load_date"))
     return back.select(*CANDLE_OUT, "load_date")
 

@@ -28,7 +28,7 @@ from lakebars.functions.params import END_OF_TIME, as_date, as_datetime
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
 from lakebars.operators.scd2 import DIM_COLUMNS, scd2_frames
 from lakebars.schemas import ddl
-from lakebars.session import dynamic_overwrite, work_root
+from lakebars.session import dynamic_overwrite, materialize, work_root
 
 OPEN_END_DATE = END_OF_TIME.date()
 
@@ -90,7 +90,7 @@ def replace_days(spark: SparkSession, table: str, rows: DataFrame, days,
     """D4 over several days: one dynamic overwrite for the days with rows,
     a static clear for each requested day that ended up empty."""
     wanted = sorted({as_date(d) for d in days})
-    rows = rows.where(F.col(partition_col).isin(wanted)).checkpoint(eager=True)
+    rows = materialize(rows.where(F.col(partition_col).isin(wanted)), "days")
     present = {r[0] for r in rows.select(partition_col).distinct().collect()}
     if present:
         overwrite_partitions(spark, table, rows)
@@ -138,14 +138,14 @@ def upsert_into(spark: SparkSession, table: str, source: DataFrame, keys: list[s
     merged = upsert_frame(target, source.where(F.col(partition_col).isNotNull()), keys, value_cols,
                           run_ts, stamp_col=stamp_col, on_duplicate=on_duplicate,
                           latest_first=latest_first)
-    overwrite_partitions(spark, table, merged.checkpoint(eager=True))
+    overwrite_partitions(spark, table, materialize(merged, "upsert"))
     return dates
 
 
 def insert_if_absent_into(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
                           first_by: list[Column] | None = None) -> None:
     """D7 publisher: append the source rows whose key the table lacks."""
-    new = insert_if_absent_frame(spark.table(table), source, keys, first_by).checkpoint(eager=True)
+    new = materialize(insert_if_absent_frame(spark.table(table), source, keys, first_by), "absent")
     new.write.insertInto(table)
 
 
@@ -170,7 +170,7 @@ def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
                   .dropDuplicates(["ticker", "valid_from", "valid_to"]))
     out = (frames.current.withColumn(end_col, F.lit(OPEN_END_DATE))
            .unionByName(closed_day.withColumn(end_col, F.to_date("valid_to"))))
-    out = out.checkpoint(eager=True)
+    out = materialize(out, "scd2")
     stats = out.groupBy(end_col).count().collect()
     overwrite_partitions(spark, table, out)
     return {str(r[end_col]): r["count"] for r in stats}

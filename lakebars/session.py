@@ -72,6 +72,19 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(work_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def materialize(df, name: str = "side"):
+    """Write ``df`` once as a Parquet side table in the shared folder and read it back.
+
+    Cuts the lineage (a later overwrite may then replace the files ``df``
+    was read from) in a single pass; ``checkpoint()`` would compute the plan
+    twice.  The files survive the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = os.path.join(work_root(spark), "_side", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextlib.contextmanager
 def dynamic_overwrite(spark: SparkSession):
     """Switch partition overwrite to DYNAMIC for the enclosed writes only.

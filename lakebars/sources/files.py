@@ -1,12 +1,15 @@
 """File scans of the landing zone.
 
-Layout written by :mod:`lakebars.plans.sinks`:
+Layout written by :mod:`lakebars.plans.jobs`:
 
-    {root}/candles/ticker=<T>/load_date=<D>/part-*.json     raw candles, JSONL
-    {root}/issuers/load_date=<D>/part-*.parquet            reference snapshots
+    {root}/candles/load_date=<D>/part-*.json     raw candles of every ticker, JSONL
+    {root}/issuers/load_date=<D>/part-*.parquet  reference snapshots
 
-All tickers are read by one scan; ticker and load date are partition
-columns, so the date window prunes directories at planning time.
+One folder per load date keeps the file count independent of the number
+of tickers (one file per ticker and day would flood the store with small
+files).  Each line is the API record with the requesting ticker added.
+All tickers are read by one scan, and only the folders of the requested
+load dates are listed, so the cost does not grow with the history kept.
 """
 
 from __future__ import annotations
@@ -19,21 +22,40 @@ from lakebars.functions.params import previous_dates
 from lakebars.operators.quality import MissingSnapshotError
 from lakebars.schemas import ISSUER, RAW_CANDLE
 
-RAW_CANDLE_FILES = StructType(RAW_CANDLE.fields + [
-    StructField("ticker", StringType()), StructField("load_date", DateType())])
+RAW_CANDLE_FILES = StructType([StructField("ticker", StringType())] + RAW_CANDLE.fields
+                              + [StructField("load_date", DateType())])
 ISSUER_FILES = StructType(ISSUER.fields + [StructField("load_date", DateType())])
 
 
-def read_raw_candles(spark: SparkSession, root: str) -> DataFrame:
-    """Every landed candle file as text fields + (ticker, load_date).
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that exist (a metadata call per path on the driver)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            out.append(p)
+    return out
+
+
+def read_raw_candles(spark: SparkSession, root: str, load_dates=None) -> DataFrame:
+    """Landed candles as text fields + (ticker, load_date).
 
     The read schema declares every measure as string: number tokens keep
     their exact text and are cast later with ``try_cast``.  Unknown fields
-    in the files are ignored; an empty file is an empty table.
+    in the files are ignored; an empty file is an empty table.  With
+    ``load_dates`` only those folders are listed; a missing folder is simply
+    absent (the only error that means "no data").
     """
-    return (spark.read.schema(RAW_CANDLE_FILES)
-            .option("basePath", root).option("mode", "PERMISSIVE")
-            .json(root))
+    reader = (spark.read.schema(RAW_CANDLE_FILES)
+              .option("basePath", root).option("mode", "PERMISSIVE"))
+    if load_dates is None:
+        return reader.json(root)
+    paths = existing_paths(spark, [f"{root}/load_date={d}" for d in load_dates])
+    if not paths:
+        return spark.createDataFrame([], RAW_CANDLE_FILES)
+    return reader.json(paths)
 
 
 def latest_available(df: DataFrame, process_date, lookback_days: int = 1,
