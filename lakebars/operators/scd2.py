@@ -99,9 +99,58 @@ def scd2_frames(current: DataFrame, snapshot: DataFrame, run_ts, strict: bool =
                       closed=closed, opened=opened, kept=kept)
 
 
+def strict_merge(current: DataFrame, history_tickers: DataFrame | None, snapshot: DataFrame,
+                 run_ts) -> DataFrame:
+    """Strict merge in one pass: the current versions (plus a ticker-only
+    marker per ticker with closed history) are reduced to one row per
+    ticker, full-outer-joined with the snapshot, and every resulting version
+    of a ticker (closed, kept, opened) is emitted from its joined row.
+
+    Returns only the versions this run closes, keeps current or opens; the
+    untouched closed history is not read.  The keyed aggregate leaves the
+    dimension side hash-partitioned by ticker, so the join shuffles only the
+    snapshot; keys are unique on both sides.
+    """
+    run = ts_lit(run_ts)
+    assert_unique_keys(snapshot, ["ticker"], "issuer snapshot")
+    attrs = ["emitent_id", *ISSUER_ATTRIBUTES, "valid_from", "valid_to"]
+    dim_side = current.where(F.col("is_current")).select(
+        "ticker", F.struct(*attrs).alias("cur"), F.lit(False).alias("hist"))
+    if history_tickers is not None:
+        dim_side = dim_side.unionByName(history_tickers.select(
+            "ticker", F.lit(None).cast(dim_side.schema["cur"].dataType).alias("cur"), F.lit(True).alias("hist")))
+    cur = dim_side.groupBy("ticker").agg(F.first("cur", ignorenulls=True).alias("cur"),
+                                         F.max("hist").alias("has_history"))
+    cur = cur.withColumn("cur_hash", F.when(F.col("cur").isNotNull(), F.md5(F.concat_ws(
+        "||", *[F.col("cur")[a].cast("string") for a in ISSUER_ATTRIBUTES]))))
+    src = snapshot_hashes(snapshot.where(F.col("ticker").isNotNull())).select(
+        "ticker", F.struct(*ISSUER_ATTRIBUTES).alias("src"), F.col("row_hash").alias("src_hash"))
+    j = cur.join(src, "ticker", "full_outer")
+
+    in_cur, in_src = F.col("cur").isNotNull(), F.col("src").isNotNull()
+    changed = in_cur & in_src & (F.col("cur_hash") != F.col("src_hash"))
+
+    def version(prefix: str, valid_from, valid_to, current: bool, emitent_id=None):
+        return F.struct(
+            (emitent_id if emitent_id is not None else surrogate_id(F.col("ticker"), valid_from)).alias("emitent_id"),
+            F.col("ticker").alias("ticker"),
+            *[F.col(prefix)[a].alias(a) for a in ISSUER_ATTRIBUTES],
+            valid_from.alias("valid_from"), valid_to.alias("valid_to"), F.lit(current).alias("is_current"))
+
+    first_start = F.when(F.coalesce(F.col("has_history"), F.lit(False)), run).otherwise(ts_lit(START_OF_TIME))
+    closed = F.when(changed, version("cur", F.col("cur.valid_from"), run, False, F.col("cur.emitent_id")))
+    kept = F.when(in_cur & ~changed, version("cur", F.col("cur.valid_from"), F.col("cur.valid_to"), True,
+                                                 F.col("cur.emitent_id")))
+    opened_from = F.when(in_cur, run).otherwise(first_start)
+    opened = F.when(in_src & (~in_cur | changed), version("src", opened_from, ts_lit(END_OF_TIME), True))
+    rows = j.select(F.explode(F.filter(F.array(closed, kept, opened), lambda x: x.isNotNull())).alias("v"))
+    return rows.select("v.*").select(*DIM_COLUMNS)
+
+
 def scd2_merge(dimension: DataFrame, snapshot: DataFrame, run_ts, strict: bool = True) -> DataFrame:
     """The whole dimension after the merge: history + closed + kept + opened."""
     history = dimension.where(~F.col("is_current")).select(*DIM_COLUMNS)
-    frames = scd2_frames(dimension.where(F.col("is_current")), snapshot, run_ts, strict,
-                         history_tickers=history.select("ticker") if strict else None)
+    if strict:
+        return history.unionByName(strict_merge(dimension, history.select("ticker"), snapshot, run_ts))
+    frames = scd2_frames(dimension.where(F.col("is_current")), snapshot, run_ts, strict=False)
     return history.unionByName(frames.closed).unionByName(frames.current)

@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from lakebars.functions.params import END_OF_TIME, as_date, as_datetime
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
-from lakebars.operators.scd2 import DIM_COLUMNS, scd2_frames
+from lakebars.operators.scd2 import DIM_COLUMNS, scd2_frames, strict_merge
 from lakebars.schemas import ddl
 from lakebars.session import dynamic_overwrite, materialize, work_root
 
@@ -163,12 +163,17 @@ def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
     dim = spark.table(table)
     current = dim.where(F.col(end_col) == F.lit(OPEN_END_DATE)).where(F.col("is_current"))
     history = dim.where(F.col(end_col) != F.lit(OPEN_END_DATE)).select("ticker")
-    frames = scd2_frames(current.select(*DIM_COLUMNS), snapshot, run_ts, strict,
-                         history_tickers=history if strict else None)
+    if strict:
+        versions = strict_merge(current.select(*DIM_COLUMNS), history, snapshot, run_ts)
+        now_current = versions.where(F.col("is_current"))
+        now_closed = versions.where(~F.col("is_current"))
+    else:
+        frames = scd2_frames(current.select(*DIM_COLUMNS), snapshot, run_ts, strict=False)
+        now_current, now_closed = frames.current, frames.closed
     closed_day = (dim.where(F.col(end_col) == F.lit(run_day)).select(*DIM_COLUMNS)
-                  .unionByName(frames.closed)
+                  .unionByName(now_closed)
                   .dropDuplicates(["ticker", "valid_from", "valid_to"]))
-    out = (frames.current.withColumn(end_col, F.lit(OPEN_END_DATE))
+    out = (now_current.withColumn(end_col, F.lit(OPEN_END_DATE))
            .unionByName(closed_day.withColumn(end_col, F.to_date("valid_to"))))
     out = materialize(out, "scd2")
     stats = out.groupBy(end_col).count().collect()
