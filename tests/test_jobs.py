@@ -1,0 +1,127 @@
+"""Table maintenance and the daily jobs on temp lakehouses (job tier)."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakebars.operators.quality import MissingSnapshotError
+from lakebars.plans import jobs, sinks, tables
+from lakebars.schemas import MART
+from lakebars.session import new_run_dir
+from lakebars.sources.files import read_snapshot
+
+D1, D2 = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+
+
+def mart_rows(spark, rows):
+    return spark.createDataFrame(rows, MART)
+
+
+def row(ticker, day):
+    from decimal import Decimal
+    p = Decimal("1.000000")
+    return (ticker, "n", "s", True, p, p, p, p, 1, Decimal("0.00"), day)
+
+
+def test_replace_day_empty_and_others_untouched(spark, lakehouse):
+    t = lakehouse.t("mart_daily")
+    tables.overwrite_partitions(spark, t, mart_rows(spark, [row("A", D1), row("A", D2), row("B", D2)]))
+    tables.replace_day(spark, t, D2, mart_rows(spark, [row("C", D2)]))
+    got = sorted((r["ticker"], r["trade_date"]) for r in spark.table(t).collect())
+    assert got == [("A", D1), ("C", D2)]
+    tables.clear_day(spark, t, D2)
+    assert sorted((r["ticker"], r["trade_date"]) for r in spark.table(t).collect()) == [("A", D1)]
+    tables.replace_days(spark, t, mart_rows(spark, [row("Z", D1)]), [D1, D2])
+    assert sorted((r["ticker"], r["trade_date"]) for r in spark.table(t).collect()) == [("Z", D1)]
+
+
+def test_partition_swap_from_buffer(spark, lakehouse):
+    serving, buffer = lakehouse.t("serving"), lakehouse.t("serving_buffer")
+    tables.overwrite_partitions(spark, serving, mart_rows(spark, [row("A", D1), row("A", D2)]))
+    sinks.insert_by_position(mart_rows(spark, [row("X", D2), row("Y", D1)]), buffer)
+    tables.replace_partition_from(spark, serving, buffer, D2)
+    got = sorted((r["ticker"], r["trade_date"]) for r in spark.table(serving).collect())
+    assert got == [("A", D1), ("X", D2)]  # other buffer days are not moved
+    tables.truncate(spark, buffer)
+    assert spark.table(buffer).count() == 0
+
+
+def test_skip_if_empty(spark):
+    path = os.path.join(new_run_dir(spark, "skip"), "out")
+    empty = spark.range(5).where("id < 0")
+    res = sinks.skip_if_empty(empty, lambda df: sinks.write_parquet(df, path), path)
+    assert res.status == "SKIPPED" and res.rows == 0 and not os.path.exists(path)
+    res = sinks.skip_if_empty(spark.range(5), lambda df: sinks.write_parquet(df, path), path)
+    assert res.status == "WRITTEN" and res.rows == 5
+
+
+def test_missing_snapshot_raises(spark):
+    root = new_run_dir(spark, "snap")
+    sinks.write_parquet(spark.createDataFrame([("A", "n", "s", True)], "ticker string, company_name string, "
+                                              "sector string, dividend_policy_active boolean"),
+                        os.path.join(root, "load_date=2024-01-01"))
+    with pytest.raises(MissingSnapshotError):
+        read_snapshot(spark, root, D2, lookback_days=1)
+    _, chosen = read_snapshot(spark, root, D1, lookback_days=1)
+    assert chosen == dt.date(2024, 1, 1)
+
+
+def land(spark, lh, rows):
+    """rows: (ticker, load_date, begin, price, volume)"""
+    df = spark.createDataFrame(rows, "ticker string, load_date date, begin string, p string, v string")
+    rec = F.to_json(F.struct(F.col("begin"), F.col("p").alias("open"), F.col("p").alias("close"),
+                             F.col("p").alias("high"), F.col("p").alias("low"), F.col("v").alias("volume")))
+    jobs.land_candle_records(lh, df.select("ticker", "load_date", rec.alias("record")))
+
+
+def snapshot(spark, rows):
+    return spark.createDataFrame(rows, "ticker string, company_name string, sector string, "
+                                 "dividend_policy_active boolean")
+
+
+def test_daily_run_fallback_and_idempotence(spark, lakehouse):
+    lh = lakehouse
+    land(spark, lh, [("A", D2, "2024-01-03 10:00:00", "10", "5"),
+                     ("A", D2, "2024-01-03 11:00:00", "11", "5"),
+                     ("A", D1, "2024-01-02 10:00:00", "9", "1"),
+                     ("B", D1, "2024-01-02 10:00:00", "20", "2"),
+                     ("B", D1, "2024-01-03 00:00:00", "99", "9")])  # next-day candle in D1's file
+    jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "s", True), ("B", "b", "s", False)]), D2)
+    run_ts = dt.datetime(2024, 1, 4)
+    first = jobs.daily_run(spark, lh, D2, run_ts)
+    assert first["silver"]["bars"].rows == 2             # A from D2, B falls back to D1
+    assert sorted(map(str, first["gold"]["ods_dates"])) == ["2024-01-02", "2024-01-03"]
+    snap1 = sorted(tuple(r) for r in spark.table(lh.t("mart_daily")).collect())
+    served1 = sorted(tuple(r) for r in spark.table(lh.t("serving")).collect())
+    ods1 = sorted(tuple(r) for r in spark.table(lh.t("ods_bars")).drop("load_dt").collect())
+    dim1 = sorted(tuple(r) for r in spark.table(lh.t("dim_issuers")).collect())
+    b = [r for r in snap1 if r[0] == "B"][0]
+    assert float(b[4]) == 20.0 and b[8] == 2              # B's next-day candle was dropped
+    a = [r for r in snap1 if r[0] == "A"][0]
+    assert float(a[9]) == 10.0                            # (11 - 10) / 10 * 100
+    jobs.daily_run(spark, lh, D2, run_ts)                 # rerun: same results
+    assert sorted(tuple(r) for r in spark.table(lh.t("mart_daily")).collect()) == snap1
+    assert sorted(tuple(r) for r in spark.table(lh.t("serving")).collect()) == served1
+    assert sorted(tuple(r) for r in spark.table(lh.t("ods_bars")).drop("load_dt").collect()) == ods1
+    assert sorted(tuple(r) for r in spark.table(lh.t("dim_issuers")).collect()) == dim1
+
+
+def test_scd2_publish_two_runs(spark, lakehouse):
+    lh = lakehouse
+    t = lh.t("dim_issuers")
+    tables.scd2_publish(spark, t, snapshot(spark, [("A", "a", "s", True), ("B", "b", "s", True)]),
+                        dt.datetime(2024, 1, 2, 1))
+    second = snapshot(spark, [("A", "a", "t", True), ("B", "b", "s", True)])
+    tables.scd2_publish(spark, t, second, dt.datetime(2024, 1, 3, 1))
+    tables.scd2_publish(spark, t, second, dt.datetime(2024, 1, 3, 1))  # rerun
+    rows = sorted((r["ticker"], r["sector"], r["is_current"], str(r["version_end"]))
+                  for r in spark.table(t).collect())
+    assert rows == [("A", "s", False, "2024-01-03"), ("A", "t", True, "9999-12-31"),
+                    ("B", "s", True, "9999-12-31")]
+
+
+def test_empty_day_serving_skipped(spark, lakehouse):
+    res = jobs.serving(spark, lakehouse, dt.date(2030, 1, 1))
+    assert res.status == "SKIPPED"
