@@ -66,7 +66,7 @@ def _ods_bars(spark, sf_dir) -> DataFrame:
 # ------------------------------------------------------------ silver operators
 
 def q_candles_typed(spark, sf_dir):
-    return B.candles(spark, sf_dir).select(*CANDLE_OUT)
+    return B.candles_from_text(spark, sf_dir).select(*CANDLE_OUT)
 
 
 def q_day_filter(spark, sf_dir):
