@@ -79,3 +79,32 @@ def recombined_ohlcv(candles: DataFrame, keys: list[str] = BAR_KEYS) -> DataFram
 def union_frames(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL of many frames, matched by column name."""
     return reduce(DataFrame.unionByName, frames)
+
+
+def daily_ohlcv_latest_load(candles: DataFrame, load_col: str = "load_date") -> DataFrame:
+    """S2 + F1 + A4 fused: the bar of each ticker's newest load, in one scan.
+
+    ``candles`` are typed candles of every load in the window, tagged with
+    their load date.  Bars are aggregated per (ticker, load date) with the
+    own-day filter folded into the aggregates (``min_by``/``max_by`` skip rows
+    whose ordering is NULL), so the window is read once and only partial
+    aggregates are shuffled.  The newest load per ticker is then picked among
+    at most ``lookback + 1`` bars per ticker.  A load whose file holds no
+    candle of its own day still wins and yields no bar, as the per-ticker
+    fallback only looks at which files exist.
+    """
+    own = F.col("trade_date") == F.col(load_col)
+    ts = F.when(own, F.col("begin_ts"))
+    per_load = candles.groupBy("ticker", load_col).agg(
+        F.min_by("open", ts).alias("open_price"),
+        F.max_by("close", ts).alias("close_price"),
+        F.max(F.when(own, F.col("high"))).alias("high_price"),
+        F.min(F.when(own, F.col("low"))).alias("low_price"),
+        F.sum(F.when(own, F.col("volume"))).alias("volume"),
+        F.count_if(own).alias("_on_day"),
+    )
+    newest = Window.partitionBy("ticker")
+    picked = (per_load.withColumn("_newest", F.max(load_col).over(newest))
+              .where((F.col(load_col) == F.col("_newest")) & (F.col("_on_day") > 0)))
+    return picked.select(F.col(load_col).alias("trade_date"), "open_price", "close_price", "high_price",
+                         "low_price", "volume", "ticker")

@@ -20,12 +20,12 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from lakebars.functions.params import as_date, as_datetime, parse_ticker_list, previous_dates
 from lakebars.operators.asof import mart_frame
-from lakebars.operators.bars import daily_ohlcv
-from lakebars.operators.candles import on_own_load_date, typed_candles
+from lakebars.operators.bars import daily_ohlcv_latest_load
+from lakebars.operators.candles import typed_candles
 from lakebars.operators.quality import dq_gate
 from lakebars.plans import sinks, tables
 from lakebars.schemas import DIMENSION, ISSUER, MART, ODS_BAR, PRICE, STAGED_BAR
-from lakebars.sources.files import latest_available, read_parquet, read_raw_candles, read_snapshot
+from lakebars.sources.files import read_parquet, read_raw_candles, read_snapshot
 from lakebars.sources.paged import make_paged_source, read_paged
 from lakebars.sources.seed import universe_frame
 
@@ -126,15 +126,17 @@ def bronze_ingest(spark: SparkSession, lh: Lakehouse, load_date, tickers, fetch,
 
 def silver_bars(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
                 lookback_days: int = 1) -> DataFrame:
-    """S1 + S2 + P1/P2 + F1 + A4: the staged bars of one run, all tickers in one scan."""
+    """S1 + S2 + P1/P2 + F1 + A4: the staged bars of one run.
+
+    All tickers in one scan of the window's folders, one aggregation.
+    """
     window = previous_dates(process_date, lookback_days)
     raw = read_raw_candles(spark, lh.bronze_candles, window)
     names = parse_ticker_list(tickers)
     if names:
         raw = raw.join(F.broadcast(universe_frame(spark, names)), "ticker", "left_semi")
-    chosen = latest_available(raw, process_date, lookback_days)
-    candles = on_own_load_date(typed_candles(chosen, keep=("ticker", "load_date")))
-    return daily_ohlcv(candles)
+    raw = raw.where(F.col("load_date").isin(window))
+    return daily_ohlcv_latest_load(typed_candles(raw, keep=("ticker", "load_date")))
 
 
 def silver(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
@@ -148,9 +150,12 @@ def silver(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
     snapshot, snap_date = read_snapshot(spark, lh.bronze_issuers, process_date, lookback_days)
     snapshot.write.insertInto(lh.t("stg_issuers"), overwrite=True)
     bars = silver_bars(spark, lh, process_date, tickers, lookback_days)
-    tables.truncate(spark, lh.t("stg_bars"))
-    status = sinks.skip_if_empty(bars.select(*[f.name for f in STAGED_TABLE.fields]),
-                                 lambda df: df.write.insertInto(lh.t("stg_bars")), lh.t("stg_bars"))
+    # The staging table holds exactly this batch: an empty batch empties it
+    # (like the day clear that precedes every load) and reports SKIPPED.
+    counted, obs = sinks.observed(bars.select(*[f.name for f in STAGED_TABLE.fields]))
+    counted.write.insertInto(lh.t("stg_bars"), overwrite=True)
+    rows = int(obs.get["rows"])
+    status = sinks.WriteResult("WRITTEN" if rows else "SKIPPED", rows, lh.t("stg_bars"))
     return {"snapshot_date": snap_date, "bars": status}
 
 

@@ -92,3 +92,19 @@ def test_rank_within_hot_group(spark):
 
 def test_raw_schema_is_text():
     assert all(f.dataType.simpleString() == "string" for f in RAW_CANDLE.fields)
+
+
+def test_fused_latest_load_bars(spark):
+    from lakebars.operators.bars import daily_ohlcv_latest_load
+
+    d0, d1 = D, D - dt.timedelta(days=1)
+    rows = [("A", "2024-01-02 10:00:00", "5", "5", "5", "5", "1", d0),   # A: D and D-1 -> D
+            ("A", "2024-01-01 10:00:00", "4", "4", "4", "4", "1", d1),
+            ("B", "2024-01-01 10:00:00", "3", "3", "3", "3", "2", d1),   # B: only D-1 -> D-1
+            ("C", "2024-01-03 00:00:00", "9", "9", "9", "9", "9", d0),   # C: file of D holds only D+1
+            ("C", "2024-01-01 09:00:00", "1", "1", "1", "1", "1", d1)]
+    df = spark.createDataFrame(rows, RAW + ", load_date date")
+    out = {r["ticker"]: r for r in daily_ohlcv_latest_load(typed_candles(df, keep=("ticker", "load_date"))).collect()}
+    assert set(out) == {"A", "B"}                      # C's newest file exists but has no candle of its day
+    assert (out["A"]["trade_date"], out["A"]["open_price"]) == (d0, 5.0)
+    assert (out["B"]["trade_date"], out["B"]["volume"]) == (d1, 2)
