@@ -125,3 +125,23 @@ def test_scd2_publish_two_runs(spark, lakehouse):
 def test_empty_day_serving_skipped(spark, lakehouse):
     res = jobs.serving(spark, lakehouse, dt.date(2030, 1, 1))
     assert res.status == "SKIPPED"
+
+
+def test_bronze_ingest_then_silver(spark, lakehouse):
+    """L1 with an injected API: every (ticker, date) page chain lands as JSONL."""
+    def fetch(params):
+        start = params.get("start", 0)
+        rows = [] if start >= 4 else [
+            [10 + start + i, 11 + start + i, 12, 9, 100, 5, f"{params['date']} 10:0{start + i}:00"]
+            for i in range(2)]
+        return {"candles": {"metadata": {"open": {}, "close": {}, "high": {}, "low": {}, "value": {},
+                                         "volume": {}, "begin": {}}, "data": rows}}
+
+    snap = snapshot(spark, [("A", "a", "s", True), ("B", "b", "s", True)])
+    res = jobs.bronze_ingest(spark, lakehouse, D2, "A,B", fetch, snapshot=snap)
+    assert res["candles"].rows == 8 and res["issuers"].rows == 2
+    out = jobs.silver(spark, lakehouse, D2, "A")
+    bars = spark.table(lakehouse.t("stg_bars")).collect()
+    assert out["bars"].rows == 1 and len(bars) == 1
+    b = bars[0]
+    assert (b["ticker"], b["open_price"], b["close_price"], b["volume"]) == ("A", 10.0, 14.0, 5 * 4)
