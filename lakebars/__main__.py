@@ -29,8 +29,9 @@ def main(argv=None) -> None:
     p.add_argument("--lookback", type=int, default=1)
     p.add_argument("--run-ts", default=None)
     p.add_argument("--loose", action="store_true", help="SCD2 without key checks")
+    p.add_argument("--profile", default="cluster", choices=["cluster", "local"])
     a = p.parse_args(argv)
-    spark = build_session(app_name=f"lakebars-{a.step}")
+    spark = build_session(app_name=f"lakebars-{a.step}", profile=a.profile)
     lh = jobs.Lakehouse(a.root, db=a.db)
     run_ts = as_datetime(a.run_ts) if a.run_ts else jobs.default_run_ts(a.process_date)
     if a.step == "silver":

@@ -33,6 +33,8 @@ def prepare_source(source: DataFrame, keys: list[str], on_duplicate: str = "erro
             raise ValueError("on_duplicate='latest' needs an ordering")
         keyed = dedupe_latest(source.where(~_null_key(keys)), keys, latest_first)
         return keyed.unionByName(source.where(_null_key(keys)))
+    if on_duplicate == "checked":  # the caller has verified uniqueness already
+        return source
     if on_duplicate != "error":
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
     dups = key_duplicates(source.where(~_null_key(keys)), keys).limit(1).collect()

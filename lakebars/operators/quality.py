@@ -51,22 +51,44 @@ def dq_summary(bars: DataFrame, by: tuple[str, ...] = ("trade_date",),
             .withColumn("passed", F.col("violations") == 0))
 
 
-def dq_gate(bars: DataFrame, rules: dict[str, Column] | None = None) -> dict:
-    """Check ``bars`` (already restricted to the dates under test); raise on failure.
+def gate_metrics(rules: dict[str, Column] | None = None) -> list[Column]:
+    """The gate's aggregates: rows checked and one ``count_if`` per rule.
 
-    Only one row of counts reaches the driver.
+    Usable in ``agg`` or as an ``Observation`` of a write that already
+    passes over the rows, so the gate costs no extra job.
     """
     rules = _rules(rules)
-    row = bars.agg(F.count(F.lit(1)).alias("rows_checked"),
-                   *[F.count_if(pred).alias(name) for name, pred in rules.items()]).first()
-    result = row.asDict()
-    failed = {k: v for k, v in result.items() if k in rules and v}
+    return [F.count(F.lit(1)).alias("rows_checked"),
+            *[F.count_if(pred).alias(name) for name, pred in rules.items()]]
+
+
+def gate_verdict(counts: dict, rules: dict[str, Column] | None = None) -> dict:
+    """Raise :class:`DataQualityError` when any rule count is non-zero."""
+    names = _rules(rules).keys()
+    result = {k: int(v or 0) for k, v in counts.items() if k == "rows_checked" or k in names}
+    failed = {k: v for k, v in result.items() if k in names and v}
     result["passed"] = not failed
     if failed:
         raise DataQualityError(f"data-quality gate failed: {failed}")
     return result
 
 
+def combine_counts(*counts: dict) -> dict:
+    out: dict = {}
+    for c in counts:
+        for k, v in c.items():
+            out[k] = out.get(k, 0) + int(v or 0)
+    return out
+
+
+def dq_gate(bars: DataFrame, rules: dict[str, Column] | None = None) -> dict:
+    """Check ``bars`` (already restricted to the dates under test); raise on failure.
+
+    Only one row of counts reaches the driver.
+    """
+    return gate_verdict(bars.agg(*gate_metrics(rules)).first().asDict(), rules)
+
+
 def key_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Q2: keys that occur more than once, and NULL keys, with their counts.
 

@@ -22,7 +22,7 @@ from lakebars.functions.params import as_date, as_datetime, parse_ticker_list, p
 from lakebars.operators.asof import mart_frame
 from lakebars.operators.bars import daily_ohlcv_latest_load
 from lakebars.operators.candles import typed_candles
-from lakebars.operators.quality import dq_gate
+from lakebars.operators.quality import combine_counts, gate_metrics, gate_verdict
 from lakebars.plans import sinks, tables
 from lakebars.schemas import DIMENSION, ISSUER, MART, ODS_BAR, PRICE, STAGED_BAR
 from lakebars.sources.files import read_parquet, read_raw_candles, read_snapshot
@@ -169,11 +169,18 @@ def gold(spark: SparkSession, lh: Lakehouse, process_date, run_ts, strict: bool
     source = staged.select(
         "ticker", *[F.col(c).cast(PRICE).alias(c) for c in ("open_price", "close_price", "high_price", "low_price")],
         "volume", F.lit(None).cast("timestamp_ntz").alias("load_dt"), "trade_date")
-    dates = tables.upsert_into(spark, lh.t("ods_bars"), source, ["ticker", "trade_date"],
-                               ["open_price", "close_price", "high_price", "low_price", "volume"], run_ts)
+    # The gate runs after the upsert, over every day it touched (plus D): its
+    # counts are observed while the merged partitions are written, so only an
+    # untouched process date needs a query of its own.
+    dates, counts = tables.upsert_into(
+        spark, lh.t("ods_bars"), source, ["ticker", "trade_date"],
+        ["open_price", "close_price", "high_price", "low_price", "volume"], run_ts, observe=gate_metrics())
     days = sorted(set(dates) | {d})
     ods = spark.table(lh.t("ods_bars")).where(F.col("trade_date").isin(days))
-    gate = dq_gate(ods)
+    if d not in dates:
+        counts = combine_counts(counts, spark.table(lh.t("ods_bars")).where(F.col("trade_date") == F.lit(d))
+                                .agg(*gate_metrics()).first().asDict())
+    gate = gate_verdict(counts)
     dim_stats = tables.scd2_publish(spark, lh.t("dim_issuers"), spark.table(lh.t("stg_issuers")),
                                     run_ts, strict=strict)
     dim = spark.table(lh.t("dim_issuers")).drop("version_end")

@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from lakebars.functions.params import END_OF_TIME, as_date, as_datetime
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
+from lakebars.operators.quality import DataQualityError
 from lakebars.operators.scd2 import DIM_COLUMNS, scd2_frames, strict_merge
 from lakebars.schemas import ddl
 from lakebars.session import dynamic_overwrite, materialize, work_root
@@ -90,8 +91,9 @@ def replace_days(spark: SparkSession, table: str, rows: DataFrame, days,
     """D4 over several days: one dynamic overwrite for the days with rows,
     a static clear for each requested day that ended up empty."""
     wanted = sorted({as_date(d) for d in days})
-    rows = materialize(rows.where(F.col(partition_col).isin(wanted)), "days")
-    present = {r[0] for r in rows.select(partition_col).distinct().collect()}
+    rows, seen = materialize(rows.where(F.col(partition_col).isin(wanted)), "days",
+                             observe=[F.collect_set(partition_col).alias("days")])
+    present = set(seen["days"] or [])
     if present:
         overwrite_partitions(spark, table, rows)
     for d in wanted:
@@ -123,21 +125,38 @@ def replace_partition_from(spark: SparkSession, target: str, buffer: str, day,
 def upsert_into(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
                 value_cols: list[str], run_ts, partition_col: str = "trade_date",
                 stamp_col: str = "load_dt", on_duplicate: str = "error",
-                latest_first: list[Column] | None = None) -> list[dt.date]:
+                latest_first: list[Column] | None = None, observe: list[Column] | None = None):
     """D2 publisher: merge ``source`` into the partitions it touches.
 
     The touched dates (one row per date) are the only data that reaches the
     driver; they become a literal partition filter, so only those
-    partitions of the target are read and rewritten.
+    partitions of the target are read and rewritten.  ``observe``
+    aggregates are computed over the new content of those partitions while
+    it is written; with it the result is ``(dates, metrics)``.
     """
     work_root(spark)
-    dates = sorted(r[0] for r in source.select(partition_col).distinct().collect() if r[0] is not None)
+    source = source.where(F.col(partition_col).isNotNull())
+    if partition_col in keys and on_duplicate == "error":
+        # One aggregate answers both questions: which dates, and is any key repeated.
+        per_date = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                    .groupBy(partition_col).agg(F.max("_n").alias("_max")).collect())
+        repeated = [r[partition_col] for r in per_date if r["_max"] > 1]
+        if repeated:
+            raise DataQualityError(f"source repeats a key on {keys} (dates {repeated[:5]})")
+        dates, checked = sorted(r[partition_col] for r in per_date), True
+    else:
+        dates = sorted(r[0] for r in source.select(partition_col).distinct().collect())
+        checked = False
     if not dates:
-        return []
+        return ([], {}) if observe else []
     target = spark.table(table).where(F.col(partition_col).isin(dates))
-    merged = upsert_frame(target, source.where(F.col(partition_col).isNotNull()), keys, value_cols,
-                          run_ts, stamp_col=stamp_col, on_duplicate=on_duplicate,
+    merged = upsert_frame(target, source, keys, value_cols, run_ts, stamp_col=stamp_col,
+                          on_duplicate="checked" if checked else on_duplicate,
                           latest_first=latest_first)
+    if observe:
+        merged, metrics = materialize(merged, "upsert", observe=observe)
+        overwrite_partitions(spark, table, merged)
+        return dates, dict(metrics)
     overwrite_partitions(spark, table, materialize(merged, "upsert"))
     return dates
 
@@ -175,7 +194,8 @@ def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
                   .dropDuplicates(["ticker", "valid_from", "valid_to"]))
     out = (now_current.withColumn(end_col, F.lit(OPEN_END_DATE))
            .unionByName(closed_day.withColumn(end_col, F.to_date("valid_to"))))
-    out = materialize(out, "scd2")
-    stats = out.groupBy(end_col).count().collect()
+    out, counts = materialize(out, "scd2", observe=[
+        F.count_if(F.col(end_col) == F.lit(OPEN_END_DATE)).alias("current"),
+        F.count_if(F.col(end_col) == F.lit(run_day)).alias("closed_on_run_day")])
     overwrite_partitions(spark, table, out)
-    return {str(r[end_col]): r["count"] for r in stats}
+    return dict(counts)

@@ -26,10 +26,37 @@ SESSION_CONF = {
 }
 
 
+# Sizing for a large cluster (e.g. 1000 executors, ~100 TB of candles): many
+# initial shuffle partitions that AQE coalesces to ~128 MB each, splits of
+# skewed partitions above 256 MB / 5x the median, 128 MB input splits, and a
+# runtime broadcast only for sides measured below 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.files.openCostInBytes": "8m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "lakebars",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings every job assumes."""
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  profile: str = "local") -> SparkSession:
+    """Create (or reuse) a session with the settings every job assumes.
+
+    ``profile="cluster"`` adds :data:`CLUSTER_CONF`.
+    """
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    if profile == "cluster":
+        for key, value in CLUSTER_CONF.items():
+            builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in SESSION_CONF.items():
@@ -72,17 +99,26 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(work_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df, name: str = "side"):
+def materialize(df, name: str = "side", observe: list | None = None):
     """Write ``df`` once as a Parquet side table in the shared folder and read it back.
 
     Cuts the lineage (a later overwrite may then replace the files ``df``
     was read from) in a single pass; ``checkpoint()`` would compute the plan
-    twice.  The files survive the loss of any executor.
+    twice.  The files survive the loss of any executor.  ``observe`` takes
+    aggregate columns computed during that same write; with it the result is
+    ``(frame, metrics dict)``.
     """
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
     path = os.path.join(work_root(spark), "_side", f"{name}-{uuid.uuid4().hex[:12]}")
+    obs = None
+    if observe:
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, *observe)
     df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    return (out, obs.get) if observe else out
 
 
 @contextlib.contextmanager

@@ -120,3 +120,30 @@ def test_daily_return_rounding(spark):
                                 (Decimal("0"), Decimal("1"))], "o decimal(18,6), c decimal(18,6)")
     got = [r[0] for r in df.select(daily_return_pct("o", "c")).collect()]
     assert got == [Decimal("0.13"), Decimal("-0.13"), None]
+
+
+def test_scd2_loose_null_and_duplicate_tickers(spark):
+    start = dt.datetime(1900, 1, 1)
+    dim = scd2_merge(empty_dimension(spark), issuers(spark, [("A", "n", "s", True)]), dt.datetime(2024, 1, 1))
+    snap = spark.createDataFrame([("A", "n", "s", True), ("A", "n", "t", True), (None, "x", "y", True)],
+                                 "ticker string, company_name string, sector string, dividend_policy_active boolean")
+    once = dim_rows(scd2_merge(dim, snap, RUN, strict=False))
+    # A changed through one of its two rows: the old version closes once, both rows open
+    assert ("A", "s", start, RUN, False) in once
+    assert sum(1 for r in once if r[0] == "A" and r[4]) == 2
+    # a NULL ticker never matches: inserted from 1900 on every run
+    assert sum(1 for r in once if r[0] == "") == 1
+    twice = dim_rows(scd2_merge(scd2_merge(dim, snap, RUN, strict=False), snap, RUN, strict=False))
+    assert sum(1 for r in twice if r[0] == "") == 2
+    with pytest.raises(DataQualityError):
+        scd2_merge(dim, snap, RUN)  # strict rejects both problems
+
+
+def test_insert_if_absent_first_wins(spark):
+    from lakebars.operators.merge import insert_if_absent_frame
+
+    target = spark.createDataFrame([(1, "t")], "k bigint, v string")
+    source = spark.createDataFrame([(1, "s", 0), (2, "first", 0), (2, "second", 1), (None, "n", 0)],
+                                   "k bigint, v string, seq int")
+    new = insert_if_absent_frame(target, source, ["k"], first_by=[F.col("seq")]).collect()
+    assert [(r["k"], r["v"]) for r in new] == [(2, "first")]
