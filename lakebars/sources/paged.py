@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import sys
 from typing import Callable, Iterator
 
 from pyspark.sql import SparkSession
@@ -109,9 +110,18 @@ def make_paged_source(fetch: Callable[[dict], object], paginate: Callable | None
     return _Source
 
 
+def _ship_by_value() -> None:
+    """Pickle this module's classes and functions by value, so the Python
+    workers need neither this package installed nor the driver's path."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def read_paged(spark: SparkSession, source_cls: type, tickers: list[str], dates: list,
                params: dict | None = None):
     """Register ``source_cls`` and read all (ticker, date) page chains."""
+    _ship_by_value()
     spark.dataSource.register(source_cls)
     return (spark.read.format(source_cls.name())
             .option("tickers", ",".join(tickers))
