@@ -59,13 +59,18 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str], value_co
     source = prepare_source(source, keys, on_duplicate, latest_first)
     out_cols = target.columns
     stamp = ts_lit(run_ts)
+    # Non-key columns the source also carries but does not update: taken from
+    # the source only when the row is new (e.g. a partition column).
+    carried = [c for c in out_cols if c not in keys and c not in value_cols and c != stamp_col
+               and c in source.columns]
     t = target.where(~_null_key(keys)).select(
         *keys, *[F.col(c).alias(f"_t_{c}") for c in out_cols if c not in keys],
         F.lit(True).alias("_in_t"))
     s = source.where(~_null_key(keys)).select(
-        *keys, *[F.col(c).alias(f"_s_{c}") for c in value_cols], F.lit(True).alias("_in_s"))
+        *keys, *[F.col(c).alias(f"_s_{c}") for c in value_cols + carried], F.lit(True).alias("_in_s"))
     joined = t.join(s, keys, "full_outer")
     from_source = F.col("_in_s").isNotNull()
+    new_row = from_source & F.col("_in_t").isNull()
 
     def pick(c: str) -> Column:
         if c in keys:
@@ -74,7 +79,9 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str], value_co
             return F.when(from_source, stamp).otherwise(F.col(f"_t_{c}")).alias(c)
         if c in value_cols:
             return F.when(from_source, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
-        return F.col(f"_t_{c}").alias(c)  # target-only column (e.g. a partition column not in keys)
+        if c in carried:
+            return F.when(new_row, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
+        return F.col(f"_t_{c}").alias(c)  # column the source lacks
 
     merged = joined.select(*[pick(c) for c in out_cols])
     null_src = source.where(_null_key(keys)).select(

@@ -77,16 +77,18 @@ def read_snapshot(spark: SparkSession, root: str, process_date, lookback_days: i
                   schema: StructType = ISSUER_FILES) -> tuple[DataFrame, object]:
     """S3 + Q3: the newest snapshot among [D, ..., D-k]; raise when none exists.
 
-    Resolution is per snapshot (not per key): one small aggregate over the
-    partition values picks the date, then that partition alone is read.
+    Resolution is per snapshot (not per key); a missing folder is the only
+    reason to fall back.
     """
-    df = spark.read.schema(schema).option("basePath", root).parquet(root)
     window = previous_dates(process_date, lookback_days)
-    row = df.where(F.col("load_date").isin(window)).agg(F.max("load_date").alias("d")).first()
-    if row is None or row["d"] is None:
-        raise MissingSnapshotError(f"no snapshot under {root} for any of {[str(d) for d in window]}")
-    chosen = row["d"]
-    return df.where(F.col("load_date") == F.lit(chosen)).drop("load_date"), chosen
+    # Only the window's folders are probed (newest first); the first that
+    # exists wins, so the listing does not grow with the history kept.
+    for d in window:
+        paths = existing_paths(spark, [f"{root}/load_date={d}"])
+        if paths:
+            df = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+            return df.drop("load_date"), d
+    raise MissingSnapshotError(f"no snapshot under {root} for any of {[str(d) for d in window]}")
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -147,3 +147,12 @@ def test_insert_if_absent_first_wins(spark):
                                    "k bigint, v string, seq int")
     new = insert_if_absent_frame(target, source, ["k"], first_by=[F.col("seq")]).collect()
     assert [(r["k"], r["v"]) for r in new] == [(2, "first")]
+
+
+def test_upsert_carries_source_only_columns_on_insert(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    target = spark.createDataFrame([(1, "old", t0, D)], "k bigint, v string, load_dt timestamp_ntz, d date")
+    source = spark.createDataFrame([(1, "new", dt.date(2030, 1, 1)), (2, "ins", D)], "k bigint, v string, d date")
+    out = {r["k"]: r for r in upsert_frame(target, source, ["k"], ["v"], RUN).collect()}
+    assert (out[1]["v"], out[1]["d"]) == ("new", D)   # matched: only value columns change
+    assert (out[2]["v"], out[2]["d"]) == ("ins", D)   # inserted: every column from the source

@@ -145,3 +145,12 @@ def test_bronze_ingest_then_silver(spark, lakehouse):
     assert out["bars"].rows == 1 and len(bars) == 1
     b = bars[0]
     assert (b["ticker"], b["open_price"], b["close_price"], b["volume"]) == ("A", 10.0, 14.0, 5 * 4)
+
+
+def test_tagged_record_splice(spark):
+    df = spark.createDataFrame([("Ä\"x", '{"a":1.50,"b":"é"}'), ("B", "{}")], "ticker string, record string")
+    lines = [r[0] for r in df.select(jobs.tagged_record().alias("l")).collect()]
+    import json
+    assert json.loads(lines[0]) == {"ticker": 'Ä"x', "a": 1.5, "b": "é"}
+    assert '"a":1.50' in lines[0]            # the record's own number text is kept
+    assert json.loads(lines[1]) == {"ticker": "B"}
