@@ -154,3 +154,27 @@ def test_tagged_record_splice(spark):
     assert json.loads(lines[0]) == {"ticker": 'Ä"x', "a": 1.5, "b": "é"}
     assert '"a":1.50' in lines[0]            # the record's own number text is kept
     assert json.loads(lines[1]) == {"ticker": "B"}
+
+
+def test_empty_landed_file_is_empty_table(spark):
+    from lakebars.sources.files import read_raw_candles
+
+    root = new_run_dir(spark, "empty-bronze")
+    folder = os.path.join(root, "load_date=2024-01-03")
+    os.makedirs(folder)
+    open(os.path.join(folder, "part-0.json"), "w").close()
+    df = read_raw_candles(spark, root, [D2, D1])
+    assert df.count() == 0 and "volume" in df.columns
+
+
+def test_cli_daily(spark, lakehouse, capsys):
+    import json
+
+    from lakebars.__main__ import main
+
+    land(spark, lakehouse, [("A", D2, "2024-01-03 10:00:00", "10", "5")])
+    jobs.land_snapshot(lakehouse, snapshot(spark, [("A", "a", "s", True)]), D2)
+    main(["daily", str(D2), "A", "--root", lakehouse.root, "--db", lakehouse.db, "--profile", "local"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert "WRITTEN" in out["serving"] and out["gold"]["gate"]["passed"]
+    assert spark.table(lakehouse.t("serving")).count() == 1
