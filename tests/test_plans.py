@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 
 from lakebars.operators.scd2 import strict_merge
 from lakebars.plans import bindings as B

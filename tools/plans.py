@@ -5,7 +5,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import re
 import sys
