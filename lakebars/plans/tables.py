@@ -137,8 +137,11 @@ def upsert_into(spark: SparkSession, table: str, source: DataFrame, keys: list[s
     work_root(spark)
     source = source.where(F.col(partition_col).isNotNull())
     if partition_col in keys and on_duplicate == "error":
-        # One aggregate answers both questions: which dates, and is any key repeated.
+        # One aggregate answers both questions: which dates, and is any key
+        # repeated.  NULL keys never conflict, so they count as unique.
+        any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
         per_date = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                    .withColumn("_n", F.when(any_null, F.lit(1)).otherwise(F.col("_n")))
                     .groupBy(partition_col).agg(F.max("_n").alias("_max")).collect())
         repeated = [r[partition_col] for r in per_date if r["_max"] > 1]
         if repeated:

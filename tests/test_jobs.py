@@ -178,3 +178,23 @@ def test_cli_daily(spark, lakehouse, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert "WRITTEN" in out["serving"] and out["gold"]["gate"]["passed"]
     assert spark.table(lakehouse.t("serving")).count() == 1
+
+
+def test_upsert_into_null_keys_and_duplicates(spark, lakehouse):
+    from decimal import Decimal
+
+    from lakebars.operators.quality import DataQualityError
+
+    t = lakehouse.t("ods_bars")
+    p = Decimal("1.000000")
+    schema = ("ticker string, open_price decimal(18,6), close_price decimal(18,6), high_price decimal(18,6), "
+              "low_price decimal(18,6), volume bigint, load_dt timestamp_ntz, trade_date date")
+    src = spark.createDataFrame([(None, p, p, p, p, 1, None, D1), (None, p, p, p, p, 2, None, D1),
+                                 ("A", p, p, p, p, 3, None, D1)], schema)
+    cols = ["open_price", "close_price", "high_price", "low_price", "volume"]
+    run = dt.datetime(2024, 1, 5)
+    assert tables.upsert_into(spark, t, src, ["ticker", "trade_date"], cols, run) == [D1]
+    assert spark.table(t).count() == 3          # NULL tickers never conflict: both inserted
+    dup = src.where("ticker = 'A'").unionByName(src.where("ticker = 'A'"))
+    with pytest.raises(DataQualityError):
+        tables.upsert_into(spark, t, dup, ["ticker", "trade_date"], cols, run)
