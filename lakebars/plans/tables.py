@@ -20,7 +20,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -87,15 +87,23 @@ def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> No
 
 
 def replace_days(spark: SparkSession, table: str, rows: DataFrame, days,
-                 partition_col: str = "trade_date") -> list[dt.date]:
+                 partition_col: str = "trade_date", reads_target: bool = False) -> list[dt.date]:
     """D4 over several days: one dynamic overwrite for the days with rows,
-    a static clear for each requested day that ended up empty."""
+    then a static clear for each requested day that ended up empty.
+
+    The days actually written are observed during the write.  Only when
+    ``rows`` reads ``table`` itself (``reads_target``) is the new content
+    first written to a side table, to cut the lineage.
+    """
     wanted = sorted({as_date(d) for d in days})
-    rows, seen = materialize(rows.where(F.col(partition_col).isin(wanted)), "days",
-                             observe=[F.collect_set(partition_col).alias("days")])
-    present = set(seen["days"] or [])
-    if present:
-        overwrite_partitions(spark, table, rows)
+    rows = rows.where(F.col(partition_col).isin(wanted)).select(*table_columns(spark, table))
+    if reads_target:
+        rows = materialize(rows, "days")
+    obs = Observation(f"days-{uuid.uuid4().hex[:8]}")
+    rows = rows.observe(obs, F.collect_set(partition_col).alias("days"))
+    with dynamic_overwrite(spark):
+        rows.write.insertInto(table, overwrite=True)
+    present = set(obs.get["days"] or [])
     for d in wanted:
         if d not in present:
             clear_day(spark, table, d, partition_col)
