@@ -99,20 +99,29 @@ def scd2_frames(current: DataFrame, snapshot: DataFrame, run_ts, strict: bool =
                       closed=closed, opened=opened, kept=kept)
 
 
+SOURCE_ROWS = "_source_rows"
+
+
 def strict_merge(current: DataFrame, history_tickers: DataFrame | None, snapshot: DataFrame,
-                 run_ts) -> DataFrame:
+                 run_ts, defer_key_check: bool = False) -> DataFrame:
     """Strict merge in one pass: the current versions (plus a ticker-only
     marker per ticker with closed history) are reduced to one row per
     ticker, full-outer-joined with the snapshot, and every resulting version
     of a ticker (closed, kept, opened) is emitted from its joined row.
 
     Returns only the versions this run closes, keeps current or opens; the
-    untouched closed history is not read.  The keyed aggregate leaves the
-    dimension side hash-partitioned by ticker, so the join shuffles only the
-    snapshot; keys are unique on both sides.
+    untouched closed history is not read.  Both sides are reduced to one row
+    per ticker by a keyed aggregate, so the join needs no further shuffle.
+
+    The snapshot's keys must be unique and not NULL.  By default that is
+    checked before the merge (one small job).  With ``defer_key_check`` the
+    output carries :data:`SOURCE_ROWS` (snapshot rows behind each version,
+    NULL tickers included) for the caller to verify while writing, so the
+    check costs no pass of its own.
     """
     run = ts_lit(run_ts)
-    assert_unique_keys(snapshot, ["ticker"], "issuer snapshot")
+    if not defer_key_check:
+        assert_unique_keys(snapshot, ["ticker"], "issuer snapshot")
     attrs = ["emitent_id", *ISSUER_ATTRIBUTES, "valid_from", "valid_to"]
     dim_side = current.where(F.col("is_current")).select(
         "ticker", F.struct(*attrs).alias("cur"), F.lit(False).alias("hist"))
@@ -123,8 +132,11 @@ def strict_merge(current: DataFrame, history_tickers: DataFrame | None, snapshot
                                          F.max("hist").alias("has_history"))
     cur = cur.withColumn("cur_hash", F.when(F.col("cur").isNotNull(), F.md5(F.concat_ws(
         "||", *[F.col("cur")[a].cast("string") for a in ISSUER_ATTRIBUTES]))))
-    src = snapshot_hashes(snapshot.where(F.col("ticker").isNotNull())).select(
-        "ticker", F.struct(*ISSUER_ATTRIBUTES).alias("src"), F.col("row_hash").alias("src_hash"))
+    src = snapshot_hashes(snapshot).groupBy("ticker").agg(
+        F.first(F.struct(*ISSUER_ATTRIBUTES)).alias("src"), F.first("row_hash").alias("src_hash"),
+        F.count(F.lit(1)).alias(SOURCE_ROWS))
+    if not defer_key_check:
+        src = src.where(F.col("ticker").isNotNull())
     j = cur.join(src, "ticker", "full_outer")
 
     in_cur, in_src = F.col("cur").isNotNull(), F.col("src").isNotNull()
@@ -143,8 +155,10 @@ def strict_merge(current: DataFrame, history_tickers: DataFrame | None, snapshot
                                                  F.col("cur.emitent_id")))
     opened_from = F.when(in_cur, run).otherwise(first_start)
     opened = F.when(in_src & (~in_cur | changed), version("src", opened_from, ts_lit(END_OF_TIME), True))
-    rows = j.select(F.explode(F.filter(F.array(closed, kept, opened), lambda x: x.isNotNull())).alias("v"))
-    return rows.select("v.*").select(*DIM_COLUMNS)
+    rows = j.select(F.explode(F.filter(F.array(closed, kept, opened), lambda x: x.isNotNull())).alias("v"),
+                    F.coalesce(F.col(SOURCE_ROWS), F.lit(0)).alias(SOURCE_ROWS))
+    out = rows.select("v.*", SOURCE_ROWS)
+    return out.select(*DIM_COLUMNS, SOURCE_ROWS) if defer_key_check else out.select(*DIM_COLUMNS)
 
 
 def scd2_merge(dimension: DataFrame, snapshot: DataFrame, run_ts, strict: bool = True) -> DataFrame:

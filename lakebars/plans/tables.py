@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from lakebars.functions.params import END_OF_TIME, as_date, as_datetime
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
 from lakebars.operators.quality import DataQualityError
-from lakebars.operators.scd2 import DIM_COLUMNS, scd2_frames, strict_merge
+from lakebars.operators.scd2 import DIM_COLUMNS, SOURCE_ROWS, scd2_frames, strict_merge
 from lakebars.schemas import ddl
 from lakebars.session import dynamic_overwrite, materialize, work_root
 
@@ -194,19 +194,28 @@ def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
     current = dim.where(F.col(end_col) == F.lit(OPEN_END_DATE)).where(F.col("is_current"))
     history = dim.where(F.col(end_col) != F.lit(OPEN_END_DATE)).select("ticker")
     if strict:
-        versions = strict_merge(current.select(*DIM_COLUMNS), history, snapshot, run_ts)
+        # Key check deferred to the side-table write below: no pass of its own.
+        versions = strict_merge(current.select(*DIM_COLUMNS), history, snapshot, run_ts,
+                                defer_key_check=True)
         now_current = versions.where(F.col("is_current"))
-        now_closed = versions.where(~F.col("is_current"))
+        now_closed = versions.where(~F.col("is_current")).drop(SOURCE_ROWS)
     else:
         frames = scd2_frames(current.select(*DIM_COLUMNS), snapshot, run_ts, strict=False)
-        now_current, now_closed = frames.current, frames.closed
+        now_current = frames.current.withColumn(SOURCE_ROWS, F.lit(1))
+        now_closed = frames.closed
     closed_day = (dim.where(F.col(end_col) == F.lit(run_day)).select(*DIM_COLUMNS)
                   .unionByName(now_closed)
                   .dropDuplicates(["ticker", "valid_from", "valid_to"]))
     out = (now_current.withColumn(end_col, F.lit(OPEN_END_DATE))
-           .unionByName(closed_day.withColumn(end_col, F.to_date("valid_to"))))
+           .unionByName(closed_day.withColumn(end_col, F.to_date("valid_to"))
+                        .withColumn(SOURCE_ROWS, F.lit(1))))
     out, counts = materialize(out, "scd2", observe=[
         F.count_if(F.col(end_col) == F.lit(OPEN_END_DATE)).alias("current"),
-        F.count_if(F.col(end_col) == F.lit(run_day)).alias("closed_on_run_day")])
-    overwrite_partitions(spark, table, out)
-    return dict(counts)
+        F.count_if(F.col(end_col) == F.lit(run_day)).alias("closed_on_run_day"),
+        F.max(SOURCE_ROWS).alias("max_source_rows"),
+        F.count_if(F.col("ticker").isNull()).alias("null_tickers")])
+    counts = dict(counts)
+    if strict and ((counts["max_source_rows"] or 0) > 1 or counts["null_tickers"]):
+        raise DataQualityError(f"issuer snapshot: duplicate or NULL tickers ({counts}); nothing published")
+    overwrite_partitions(spark, table, out.drop(SOURCE_ROWS))
+    return {k: counts[k] for k in ("current", "closed_on_run_day")}

@@ -198,3 +198,15 @@ def test_upsert_into_null_keys_and_duplicates(spark, lakehouse):
     dup = src.where("ticker = 'A'").unionByName(src.where("ticker = 'A'"))
     with pytest.raises(DataQualityError):
         tables.upsert_into(spark, t, dup, ["ticker", "trade_date"], cols, run)
+
+
+def test_scd2_publish_rejects_bad_snapshot_before_writing(spark, lakehouse):
+    from lakebars.operators.quality import DataQualityError
+
+    t = lakehouse.t("dim_issuers")
+    tables.scd2_publish(spark, t, snapshot(spark, [("A", "a", "s", True)]), dt.datetime(2024, 1, 2, 1))
+    before = sorted(tuple(r) for r in spark.table(t).collect())
+    for bad in ([("A", "a", "x", True), ("A", "a", "y", True)], [(None, "a", "x", True)]):
+        with pytest.raises(DataQualityError):
+            tables.scd2_publish(spark, t, snapshot(spark, bad), dt.datetime(2024, 1, 3, 1))
+        assert sorted(tuple(r) for r in spark.table(t).collect()) == before
