@@ -185,8 +185,10 @@ def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
 
     Current versions live in the 9999-12-31 partition; versions closed by a
     run land in the partition of that run's date.  A run rewrites only those
-    two partitions; closed rows already in the run-date partition are kept
-    (deduplicated on ticker + valid_from), so a rerun changes nothing.
+    two partitions, from one side table, closed versions first; closed rows
+    already in the run-date partition are kept (deduplicated on ticker and
+    validity), so a rerun, also after a crash between the two writes,
+    changes nothing.
     """
     work_root(spark)
     run_day = as_datetime(run_ts).date()
@@ -217,5 +219,11 @@ def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
     counts = dict(counts)
     if strict and ((counts["max_source_rows"] or 0) > 1 or counts["null_tickers"]):
         raise DataQualityError(f"issuer snapshot: duplicate or NULL tickers ({counts}); nothing published")
-    overwrite_partitions(spark, table, out.drop(SOURCE_ROWS))
+    out = out.drop(SOURCE_ROWS)
+    # Commit order makes a crash between the two writes harmless: closed
+    # versions first (a rerun recomputes and deduplicates them), then the
+    # current set that no longer holds them.
+    if counts["closed_on_run_day"]:
+        replace_day(spark, table, run_day, out, partition_col=end_col)
+    replace_day(spark, table, OPEN_END_DATE, out, partition_col=end_col)
     return {k: counts[k] for k in ("current", "closed_on_run_day")}

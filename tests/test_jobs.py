@@ -210,3 +210,27 @@ def test_scd2_publish_rejects_bad_snapshot_before_writing(spark, lakehouse):
         with pytest.raises(DataQualityError):
             tables.scd2_publish(spark, t, snapshot(spark, bad), dt.datetime(2024, 1, 3, 1))
         assert sorted(tuple(r) for r in spark.table(t).collect()) == before
+
+
+def test_scd2_publish_survives_crash_between_writes(spark, lakehouse, monkeypatch):
+    t = lakehouse.t("dim_issuers")
+    first = snapshot(spark, [("A", "a", "s", True), ("B", "b", "s", True)])
+    second = snapshot(spark, [("A", "a", "t", True), ("B", "b", "s", False)])
+    tables.scd2_publish(spark, t, first, dt.datetime(2024, 1, 2, 1))
+    real, calls = tables.replace_day, []
+
+    def crash_on_second_write(*args, **kwargs):
+        calls.append(args[2])
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(tables, "replace_day", crash_on_second_write)
+    with pytest.raises(RuntimeError):
+        tables.scd2_publish(spark, t, second, dt.datetime(2024, 1, 3, 1))
+    monkeypatch.setattr(tables, "replace_day", real)
+    tables.scd2_publish(spark, t, second, dt.datetime(2024, 1, 3, 1))  # the rerun
+    rows = sorted((r["ticker"], r["sector"], r["dividend_policy_active"], r["is_current"], str(r["version_end"]))
+                  for r in spark.table(t).collect())
+    assert rows == [("A", "s", True, False, "2024-01-03"), ("A", "t", True, True, "9999-12-31"),
+                    ("B", "s", False, True, "9999-12-31"), ("B", "s", True, False, "2024-01-03")]
