@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebars.functions.hashing import row_hash
-from lakebars.functions.params import date_lit
+from lakebars.functions.params import date_lit, ts_lit
 from lakebars.operators.asof import asof_join, mart_frame
 from lakebars.operators.bars import (daily_hlv, daily_ohlcv, dedupe_latest, recombined_ohlcv,
                                      union_frames)
@@ -160,7 +160,7 @@ def q_key_duplicates(spark, sf_dir):
 
 def q_upsert_orders(spark, sf_dir):
     orders = B.table(spark, sf_dir, "orders")
-    target = orders.where(F.col("o_orderkey") % 3 < 2).withColumn("load_dt", F.lit(B.BASE_LOAD_TS))
+    target = orders.where(F.col("o_orderkey") % 3 < 2).withColumn("load_dt", ts_lit(B.BASE_LOAD_TS))
     source = (orders.where(F.col("o_orderkey") % 3 > 0)
               .withColumn("o_totalprice", F.col("o_totalprice") * F.lit(1.1)))
     return upsert_frame(target, source, ["o_orderkey"], ORDER_VALUES, B.RUN_TS)
@@ -170,7 +170,7 @@ def q_upsert_keeps_latest(spark, sf_dir):
     li = B.table(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
     target = (dedupe_latest(li.where(F.col("l_linestatus") == "F"), keys, _latest_first())
-              .withColumn("load_dt", F.lit(B.BASE_LOAD_TS)))
+              .withColumn("load_dt", ts_lit(B.BASE_LOAD_TS)))
     source = li.where(F.col("l_linestatus") == "O")
     return upsert_frame(target, source, keys, LINEITEM_VALUES, B.RUN_TS,
                         on_duplicate="latest", latest_first=_latest_first())
