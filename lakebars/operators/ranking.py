@@ -1,60 +1,80 @@
 """Row numbers inside groups that may be arbitrarily large.
 
 ``row_number() OVER (PARTITION BY key ORDER BY ts)`` sends a whole group to
-one task.  Here the rows are range-partitioned on (key, order), so a hot
-group is spread over many partitions; each partition numbers its rows
-locally and a small per-(partition, group) count table supplies the offset
-of every piece.  The tagged rows are written once to the shared folder so
-both consumers of the local numbers read the same materialised values.
+one task.  Here every row gets a *piece*: the number of approximate
+quantiles of the order column at or below its value.  The quantiles follow
+the mass of the data, so a key holding a third of all rows spreads over
+about a third of the pieces.  Rows are numbered inside (key, piece) by an
+ordinary window, and a small table of per-(key, piece) counts supplies the
+offset of each piece within its key.
+
+Pieces are a pure function of the row, so every consumer recomputes the
+same numbers: nothing is materialised, and a lost task recomputes exactly
+what it had.  Only the quantile boundaries (``pieces - 1`` numbers) reach
+the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from lakebars.session import materialize
+DEFAULT_PIECES = 64
 
 
-def _cols(items) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in items]
+def _numeric_order(df: DataFrame, column: str):
+    """A number that orders like ``column``; zone-free for local timestamps
+    (a time-zone conversion is not monotonic across DST changes)."""
+    c = F.col(column)
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, TimestampNTZType):
+        seconds = F.expr(f"date_part('SECOND', `{column}`)").cast("double")
+        return (F.unix_date(F.to_date(c)).cast("double") * 86400.0
+                + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + seconds)
+    if isinstance(dtype, DateType):
+        return F.unix_date(c)
+    return c
 
 
-def rank_within(df: DataFrame, keys: list[str], order: list, rank_col: str = "rn",
-                size_col: str | None = "group_rows", descending_col: str | None = None) -> DataFrame:
-    """Add the 1-based position of every row in its group by ``order`` ascending.
+def rank_within(df: DataFrame, keys: list[str], order: list[str], rank_col: str = "rn",
+                size_col: str | None = "group_rows", descending_col: str | None = None,
+                pieces: int = DEFAULT_PIECES) -> DataFrame:
+    """Add the 1-based position of every row in its group by ``order`` (one
+    column, ascending, NULLs first).  ``size_col`` carries the group size;
+    ``descending_col`` the position from the end (``size - rn + 1``)."""
+    if len(order) != 1:
+        raise NotImplementedError("rank_within orders by a single column")
+    (o,) = order
+    with_num = df.withColumn("_ord", _numeric_order(df, o).cast("double"))
+    probs = [i / pieces for i in range(1, pieces)]
+    bounds = sorted({b for b in with_num.approxQuantile("_ord", probs, 1.0 / (pieces * 4)) if b is not None})
+    bound_arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    piece = F.when(F.col("_ord").isNull(), F.lit(-1)).otherwise(
+        F.size(F.filter(bound_arr, lambda b: b <= F.col("_ord"))))
+    pieced = with_num.withColumn("_piece", piece)
 
-    ``size_col`` carries the group size; ``descending_col`` the position from
-    the end (``size - rn + 1``), i.e. the row number of the descending order.
-    """
-    sort_cols = _cols(keys) + _cols(order)
-    tagged = materialize(df.repartitionByRange(*sort_cols)
-                         .sortWithinPartitions(*sort_cols)
-                         .withColumn("_piece", F.spark_partition_id())
-                         .withColumn("_seq", F.monotonically_increasing_id()), "ranked")
-    pieces = tagged.groupBy("_piece", *keys).agg(
-        F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    counts = pieced.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     if size_col or descending_col:
-        pieces = pieces.withColumn("_size", F.sum("_n").over(Window.partitionBy(*keys)))
-    # Rename the piece keys: both sides come from one checkpoint, and shared
-    # attribute ids would turn the join condition into a tautology.
-    pieces = pieces.select(
-        F.col("_piece").alias("_p_piece"), *[F.col(k).alias(f"_p_{k}") for k in keys],
-        *[c for c in pieces.columns if c not in keys and c != "_piece"])
-    # Null keys must meet their own piece: null-safe equality.
+        counts = counts.withColumn("_size", F.sum("_n").over(Window.partitionBy(*keys)))
+    counts = counts.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col("_piece").alias("_p_piece"),
+                           "_before", *(["_size"] if size_col or descending_col else []))
+
+    local = pieced.withColumn(
+        "_local", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(F.col(o).asc_nulls_first())))
     cond = [F.col("_piece") == F.col("_p_piece")] + [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
-    joined = tagged.join(pieces, cond, "inner")
-    pos = F.col("_seq") - F.col("_first")
-    out = joined.select(
+    joined = local.join(counts, cond, "inner")
+    rn = (F.col("_before") + F.col("_local")).cast("bigint")
+    return joined.select(
         *[F.col(c) for c in df.columns],
-        (F.col("_before") + pos + 1).cast("bigint").alias(rank_col),
+        rn.alias(rank_col),
         *([F.col("_size").cast("bigint").alias(size_col)] if size_col else []),
-        *([(F.col("_size") - F.col("_before") - pos).cast("bigint").alias(descending_col)]
-          if descending_col else []),
+        *([(F.col("_size") - rn + 1).cast("bigint").alias(descending_col)] if descending_col else []),
     )
-    return out
 
 
 def candle_rank(candles: DataFrame) -> DataFrame:

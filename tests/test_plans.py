@@ -44,3 +44,9 @@ def test_strict_scd2_single_join(spark):
     p = plan(versions)
     assert p.count("FullOuter") == 1
     assert "LeftSemi" not in p and "LeftAnti" not in p
+
+
+def test_candle_rank_splits_groups_into_pieces(spark):
+    p = plan(R.q_candle_rank(spark, SF))
+    assert "_piece" in p and "Window [row_number()" in p
+    assert "WriteFiles" not in p  # nothing materialised

@@ -107,3 +107,12 @@ def test_fused_latest_load_bars(spark):
     assert set(out) == {"A", "B"}                      # C's newest file exists but has no candle of its day
     assert (out["A"]["trade_date"], out["A"]["open_price"]) == (d0, 5.0)
     assert (out["B"]["trade_date"], out["B"]["volume"]) == (d1, 2)
+
+
+def test_rank_within_local_timestamps(spark):
+    base = dt.datetime(2024, 3, 31, 1, 59, 59, 999999)   # around a DST change in many zones
+    rows = [("k", base + dt.timedelta(microseconds=i * 7919)) for i in range(500)] + [("k", None)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz").repartition(5)
+    out = sorted((r["t"] is not None, r["t"] or dt.datetime.min, r["rn"])
+                 for r in rank_within(df, ["k"], ["t"], pieces=16).collect())
+    assert [r[2] for r in out] == list(range(1, 502))     # NULL first, then strictly by time
