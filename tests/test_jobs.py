@@ -234,3 +234,15 @@ def test_scd2_publish_survives_crash_between_writes(spark, lakehouse, monkeypatc
                   for r in spark.table(t).collect())
     assert rows == [("A", "s", True, False, "2024-01-03"), ("A", "t", True, True, "9999-12-31"),
                     ("B", "s", False, True, "9999-12-31"), ("B", "s", True, False, "2024-01-03")]
+
+
+def test_gold_after_empty_batch_clears_the_day(spark, lakehouse):
+    lh = lakehouse
+    jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "s", True)]), D2)
+    tables.overwrite_partitions(spark, lh.t("mart_daily"), mart_rows(spark, [row("OLD", D2), row("OLD", D1)]))
+    out = jobs.silver(spark, lh, D2)              # no candles landed at all
+    assert out["bars"].status == "SKIPPED" and spark.table(lh.t("stg_bars")).count() == 0
+    g = jobs.gold(spark, lh, D2, dt.datetime(2024, 1, 4))
+    assert g["ods_dates"] == [] and g["gate"]["passed"] and g["mart_days"] == []
+    days = sorted(r["trade_date"] for r in spark.table(lh.t("mart_daily")).collect())
+    assert days == [D1]                           # D rebuilt empty, other days untouched
