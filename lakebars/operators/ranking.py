@@ -39,6 +39,20 @@ def _numeric_order(df: DataFrame, column: str):
     return c
 
 
+def assign_pieces(df: DataFrame, column: str, pieces: int = DEFAULT_PIECES) -> DataFrame:
+    """Add ``_piece`` (-1 for NULL, else 0..pieces-1), monotone in ``column``.
+
+    One distributed ``approxQuantile`` pass finds the boundaries.
+    """
+    with_num = df.withColumn("_ord", _numeric_order(df, column).cast("double"))
+    probs = [i / pieces for i in range(1, pieces)]
+    bounds = sorted({b for b in with_num.approxQuantile("_ord", probs, 1.0 / (pieces * 4)) if b is not None})
+    bound_arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    piece = F.when(F.col("_ord").isNull(), F.lit(-1)).otherwise(
+        F.size(F.filter(bound_arr, lambda b: b <= F.col("_ord"))))
+    return with_num.withColumn("_piece", piece)
+
+
 def rank_within(df: DataFrame, keys: list[str], order: list[str], rank_col: str = "rn",
                 size_col: str | None = "group_rows", descending_col: str | None = None,
                 pieces: int = DEFAULT_PIECES) -> DataFrame:
@@ -48,13 +62,7 @@ def rank_within(df: DataFrame, keys: list[str], order: list[str], rank_col: str
     if len(order) != 1:
         raise NotImplementedError("rank_within orders by a single column")
     (o,) = order
-    with_num = df.withColumn("_ord", _numeric_order(df, o).cast("double"))
-    probs = [i / pieces for i in range(1, pieces)]
-    bounds = sorted({b for b in with_num.approxQuantile("_ord", probs, 1.0 / (pieces * 4)) if b is not None})
-    bound_arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    piece = F.when(F.col("_ord").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(bound_arr, lambda b: b <= F.col("_ord"))))
-    pieced = with_num.withColumn("_piece", piece)
+    pieced = assign_pieces(df, o, pieces)
 
     counts = pieced.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

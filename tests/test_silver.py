@@ -116,3 +116,16 @@ def test_rank_within_local_timestamps(spark):
     out = sorted((r["t"] is not None, r["t"] or dt.datetime.min, r["rn"])
                  for r in rank_within(df, ["k"], ["t"], pieces=16).collect())
     assert [r[2] for r in out] == list(range(1, 502))     # NULL first, then strictly by time
+
+
+def test_hot_key_spreads_over_pieces(spark):
+    from lakebars.operators.ranking import assign_pieces
+
+    # "HOT" holds a third of all rows; the other keys share the rest
+    rows = [("HOT", i) for i in range(0, 30000, 3)] + [(f"k{i % 50}", i) for i in range(20000)]
+    df = spark.createDataFrame(rows, "k string, t long")
+    per_key = {r["k"]: r["n"] for r in assign_pieces(df, "t", 64).groupBy("k")
+               .agg(F.countDistinct("_piece").alias("n")).collect()}
+    assert per_key["HOT"] >= 32        # the hot key is cut into many window partitions
+    biggest = max(r["count"] for r in assign_pieces(df, "t", 64).groupBy("k", "_piece").count().collect())
+    assert biggest <= 10000 / 8        # no (key, piece) holds more than a fraction of the hot key
