@@ -1,10 +1,11 @@
 """Raw API pages: decode (S6, X17) and encode (the inverse, used to land test pages).
 
 A page is ``{"candles": {"metadata": {name: {...}, ...}, "data": [[v, ...], ...]}}``.
-Column names are the keys of ``metadata`` in document order; each inner
-array is one record.  Pairing names with values follows Python's
-``dict(zip(names, row))``: the shorter side wins and a repeated name takes
-its last value.  Missing ``candles``/``data``/``metadata`` mean no records.
+Column names are the keys of ``metadata`` in document order; a key repeated
+in the text counts once, at its first position, as when the page is parsed
+into a JSON object.  Each inner array is one record; pairing names with
+values follows ``dict(zip(names, row))``: the shorter side wins.  Missing
+``candles``/``data``/``metadata`` mean no records.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ PAGE_COLUMNS = ("open", "close", "high", "low", "value", "volume", "begin", "end
 
 
 def page_names(page: Column) -> Column:
-    """Metadata keys in document order; [] when absent."""
-    keys = F.json_object_keys(F.get_json_object(page, "$.candles.metadata"))
+    """Distinct metadata keys in order of first appearance; [] when absent."""
+    keys = F.array_distinct(F.json_object_keys(F.get_json_object(page, "$.candles.metadata")))
     return F.coalesce(keys, F.array().cast("array<string>"))
 
 
