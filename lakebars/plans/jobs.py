@@ -32,6 +32,7 @@ from lakebars.sources.seed import universe_frame
 STAGED_TABLE = StructType([f for f in STAGED_BAR.fields if f.name != "trade_date"]
                           + [StructField("trade_date", DateType())])
 DIM_TABLE = StructType(DIMENSION.fields + [StructField("version_end", DateType())])
+EXPORT_SCHEMA = StructType([f for f in MART.fields if f.name != "trade_date"])
 
 
 @dataclass
@@ -203,7 +204,7 @@ def serving(spark: SparkSession, lh: Lakehouse, process_date) -> sinks.WriteResu
     if result.status == "SKIPPED":
         return result
     tables.truncate(spark, lh.t("serving_buffer"))
-    exported = read_parquet(spark, path).withColumn("trade_date", F.lit(d))
+    exported = read_parquet(spark, path, EXPORT_SCHEMA).withColumn("trade_date", F.lit(d))
     sinks.insert_by_position(exported.select(*[f.name for f in MART.fields]), lh.t("serving_buffer"))
     tables.replace_partition_from(spark, lh.t("serving"), lh.t("serving_buffer"), d)
     return result
