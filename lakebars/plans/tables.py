@@ -113,8 +113,7 @@ def replace_days(spark: SparkSession, table: str, rows: DataFrame, days,
 def truncate(spark: SparkSession, table: str) -> None:
     """``TRUNCATE TABLE``; external tables (refused by Spark) get a static
     overwrite with no rows, which drops every partition."""
-    kind = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Type'").first()
-    if kind is not None and kind["data_type"].upper() == "EXTERNAL":
+    if (spark.catalog.getTable(table).tableType or "").upper() == "EXTERNAL":
         spark.createDataFrame([], spark.table(table).schema).write.insertInto(table, overwrite=True)
     else:
         spark.sql(f"TRUNCATE TABLE {table}")

@@ -246,3 +246,12 @@ def test_gold_after_empty_batch_clears_the_day(spark, lakehouse):
     assert g["ods_dates"] == [] and g["gate"]["passed"] and g["mart_days"] == []
     days = sorted(r["trade_date"] for r in spark.table(lh.t("mart_daily")).collect())
     assert days == [D1]                           # D rebuilt empty, other days untouched
+
+
+def test_truncate_external_table(spark, lakehouse):
+    t = f"{lakehouse.db}.ext_mart"
+    tables.create_table(spark, t, MART, os.path.join(lakehouse.root, "ext_mart"), ("trade_date",))
+    sinks.insert_by_position(mart_rows(spark, [row("A", D1), row("B", D2)]), t)
+    assert spark.catalog.getTable(t).tableType.upper() == "EXTERNAL"
+    tables.truncate(spark, t)
+    assert spark.table(t).count() == 0
