@@ -221,7 +221,8 @@ def q_mart_daily(spark, sf_dir):
 
 # ------------------------------------------------------------ table maintenance
 
-def _mart_table(spark, name: str) -> tuple[str, str]:
+def _scratch_db(spark, name: str) -> tuple[str, str]:
+    """A fresh database in its own folder under the shared work root."""
     root = new_run_dir(spark, name)
     db = "lb_" + os.path.basename(root).replace("-", "_")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
@@ -229,7 +230,7 @@ def _mart_table(spark, name: str) -> tuple[str, str]:
 
 
 def _loaded_mart(spark, sf_dir, name: str) -> tuple[str, DataFrame]:
-    root, db = _mart_table(spark, name)
+    root, db = _scratch_db(spark, name)
     t = f"{db}.mart_daily"
     tables.create_table(spark, t, MART, None, ("trade_date",))
     mart = _mart(spark, sf_dir)
@@ -251,7 +252,7 @@ def q_day_rebuild_empty(spark, sf_dir):
 
 
 def q_partition_replace(spark, sf_dir):
-    root, db = _mart_table(spark, "partition_replace")
+    root, db = _scratch_db(spark, "partition_replace")
     serving, buffer = f"{db}.serving", f"{db}.serving_buffer"
     tables.create_table(spark, serving, MART, None, ("trade_date",))
     tables.create_table(spark, buffer, MART, None, ("trade_date",))
@@ -272,7 +273,7 @@ def q_partition_replace(spark, sf_dir):
 
 
 def q_seed_reference(spark, sf_dir):
-    root, db = _mart_table(spark, "seed_reference")
+    root, db = _scratch_db(spark, "seed_reference")
     nation = B.table(spark, sf_dir, "nation")
     t = f"{db}.nation_ref"
     tables.create_table(spark, t, nation.schema)
