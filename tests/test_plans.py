@@ -50,3 +50,32 @@ def test_candle_rank_splits_groups_into_pieces(spark):
     p = plan(R.q_candle_rank(spark, SF))
     assert "_piece" in p and "Window [row_number()" in p
     assert "WriteFiles" not in p  # nothing materialised
+
+
+def test_asof_join_is_equi_join_with_range_residual(spark):
+    p = plan(R.q_scd2_asof_join(spark, SF))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert ("SortMergeJoin [ticker" in p or "BroadcastHashJoin [ticker" in p
+            or "ShuffledHashJoin [ticker" in p)
+    assert "_from_date" in p and "_to_date" in p
+
+
+def test_silver_reads_window_only(spark, lakehouse):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from lakebars.plans import jobs
+
+    days = [dt.date(2024, 1, d) for d in range(1, 8)]
+    df = spark.createDataFrame([("A", d, f"{d} 10:00:00") for d in days], "ticker string, load_date date, begin string")
+    rec = F.to_json(F.struct(F.col("begin"), F.lit("1").alias("open"), F.lit("1").alias("close"),
+                             F.lit("1").alias("high"), F.lit("1").alias("low"), F.lit("1").alias("volume")))
+    jobs.land_candle_records(lakehouse, df.select("ticker", "load_date", rec.alias("record")))
+    p = plan(jobs.silver_bars(spark, lakehouse, dt.date(2024, 1, 5)))
+    assert "InMemoryFileIndex(2 paths)" in p             # only the window's folders are listed
+    assert "PartitionFilters: [load_date" in p
+    assert p.count("Exchange hashpartitioning") <= 2 and "partial_min_by" in p
+    from lakebars.sources.files import read_raw_candles
+    files = read_raw_candles(spark, lakehouse.bronze_candles, [dt.date(2024, 1, 5), dt.date(2024, 1, 4)]).inputFiles()
+    assert files and all("load_date=2024-01-05" in f or "load_date=2024-01-04" in f for f in files)
