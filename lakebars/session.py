@@ -76,21 +76,36 @@ def apply_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
+    """The shared folder for side tables and intermediate outputs.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is only read here.  When it is unset (tests, local runs) a
-    fresh temporary folder is created and registered once per session.
+    reach; it is only read here (a checkpoint folder set on the context
+    counts too).  When neither exists (tests, local runs) a temporary folder
+    is created once per application and registered with
+    ``setCheckpointDir``; the core conf itself cannot be changed at run time.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - not readable on some session types
+            root = None
+    if not root:
+        root = _LOCAL_ROOTS.get(sc.applicationId)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        ckpt = sc._jsc.sc().getCheckpointDir()
+        root = ckpt.get() if ckpt.isDefined() else None
     if not root:
-        root = tempfile.mkdtemp(prefix="lakebars-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "checkpoints"))
+        app = sc.applicationId
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="lakebars-")
+            sc.setCheckpointDir(os.path.join(_LOCAL_ROOTS[app], "checkpoints"))
+        root = _LOCAL_ROOTS[app]
     return root
 
 
