@@ -30,6 +30,7 @@ def main(argv=None) -> None:
     p.add_argument("--run-ts", default=None)
     p.add_argument("--loose", action="store_true", help="SCD2 without key checks")
     p.add_argument("--profile", default="cluster", choices=["cluster", "local"])
+    p.add_argument("--gate-scope", default="touched", choices=["touched", "process_date"])
     a = p.parse_args(argv)
     spark = build_session(app_name=f"lakebars-{a.step}", profile=a.profile)
     lh = jobs.Lakehouse(a.root, db=a.db)
@@ -37,12 +38,12 @@ def main(argv=None) -> None:
     if a.step == "silver":
         out = jobs.silver(spark, lh, a.process_date, a.tickers or None, a.lookback)
     elif a.step == "gold":
-        out = jobs.gold(spark, lh, a.process_date, run_ts, strict=not a.loose)
+        out = jobs.gold(spark, lh, a.process_date, run_ts, strict=not a.loose, gate_scope=a.gate_scope)
     elif a.step == "serving":
         out = jobs.serving(spark, lh, a.process_date)
     else:
         out = jobs.daily_run(spark, lh, a.process_date, run_ts, a.tickers or None, a.lookback,
-                             strict=not a.loose)
+                             strict=not a.loose, gate_scope=a.gate_scope)
     print(json.dumps(out, default=str))
 
 

@@ -51,15 +51,17 @@ def dq_summary(bars: DataFrame, by: tuple[str, ...] = ("trade_date",),
             .withColumn("passed", F.col("violations") == 0))
 
 
-def gate_metrics(rules: dict[str, Column] | None = None) -> list[Column]:
-    """The gate's aggregates: rows checked and one ``count_if`` per rule.
+def gate_metrics(rules: dict[str, Column] | None = None, where: Column | None = None) -> list[Column]:
+    """The gate's aggregates: rows checked and one ``count_if`` per rule,
+    over the rows that satisfy ``where`` (all rows when None).
 
     Usable in ``agg`` or as an ``Observation`` of a write that already
     passes over the rows, so the gate costs no extra job.
     """
     rules = _rules(rules)
-    return [F.count(F.lit(1)).alias("rows_checked"),
-            *[F.count_if(pred).alias(name) for name, pred in rules.items()]]
+    scope = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    return [F.count_if(scope).alias("rows_checked"),
+            *[F.count_if(scope & pred).alias(name) for name, pred in rules.items()]]
 
 
 def gate_verdict(counts: dict, rules: dict[str, Column] | None = None) -> dict:

@@ -162,8 +162,16 @@ def silver(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
 
 # ---------------------------------------------------------------- L3 gold
 
-def gold(spark: SparkSession, lh: Lakehouse, process_date, run_ts, strict: bool = True) -> dict:
-    """L3: upsert ODS (D2) -> quality gate (Q1) -> SCD2 dimension (D3) -> mart days."""
+def gold(spark: SparkSession, lh: Lakehouse, process_date, run_ts, strict: bool = True,
+         gate_scope: str = "touched") -> dict:
+    """L3: upsert ODS (D2) -> quality gate (Q1) -> SCD2 dimension (D3) -> mart days.
+
+    ``gate_scope="touched"`` checks every ODS day the run wrote (the process
+    date and any fallback day); ``"process_date"`` checks the process date
+    only, as the original flow does.
+    """
+    if gate_scope not in ("touched", "process_date"):
+        raise ValueError(f"unknown gate_scope={gate_scope!r}")
     lh.ensure(spark)
     d = as_date(process_date)
     staged = spark.table(lh.t("stg_bars"))
@@ -173,9 +181,11 @@ def gold(spark: SparkSession, lh: Lakehouse, process_date, run_ts, strict: bool
     # The gate runs after the upsert, over every day it touched (plus D): its
     # counts are observed while the merged partitions are written, so only an
     # untouched process date needs a query of its own.
+    scope = None if gate_scope == "touched" else F.col("trade_date") == F.lit(d)
     dates, counts = tables.upsert_into(
         spark, lh.t("ods_bars"), source, ["ticker", "trade_date"],
-        ["open_price", "close_price", "high_price", "low_price", "volume"], run_ts, observe=gate_metrics())
+        ["open_price", "close_price", "high_price", "low_price", "volume"], run_ts,
+        observe=gate_metrics(where=scope))
     days = sorted(set(dates) | {d})
     ods = spark.table(lh.t("ods_bars")).where(F.col("trade_date").isin(days))
     if d not in dates:
@@ -211,10 +221,10 @@ def serving(spark: SparkSession, lh: Lakehouse, process_date) -> sinks.WriteResu
 
 
 def daily_run(spark: SparkSession, lh: Lakehouse, process_date, run_ts, tickers=None,
-              lookback_days: int = 1, strict: bool = True) -> dict:
+              lookback_days: int = 1, strict: bool = True, gate_scope: str = "touched") -> dict:
     """L2 -> L3 -> L4 for one process date."""
     out = {"silver": silver(spark, lh, process_date, tickers, lookback_days)}
-    out["gold"] = gold(spark, lh, process_date, run_ts, strict)
+    out["gold"] = gold(spark, lh, process_date, run_ts, strict, gate_scope)
     out["serving"] = serving(spark, lh, process_date)
     return out
 

@@ -255,3 +255,17 @@ def test_truncate_external_table(spark, lakehouse):
     assert spark.catalog.getTable(t).tableType.upper() == "EXTERNAL"
     tables.truncate(spark, t)
     assert spark.table(t).count() == 0
+
+
+def test_gate_scope(spark, lakehouse):
+    from lakebars.operators.quality import DataQualityError
+
+    lh = lakehouse
+    # B falls back to D1, and its D1 bar breaks a rule (close 0); A's D2 bar is fine
+    land(spark, lh, [("A", D2, "2024-01-03 10:00:00", "10", "5"), ("B", D1, "2024-01-02 10:00:00", "0", "1")])
+    jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "s", True), ("B", "b", "s", True)]), D2)
+    jobs.silver(spark, lh, D2)
+    with pytest.raises(DataQualityError):
+        jobs.gold(spark, lh, D2, dt.datetime(2024, 1, 4))                    # checks D1 and D2
+    g = jobs.gold(spark, lh, D2, dt.datetime(2024, 1, 4), gate_scope="process_date")  # D2 only
+    assert g["gate"]["passed"] and g["gate"]["rows_checked"] == 1
