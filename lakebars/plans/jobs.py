@@ -27,6 +27,7 @@ from lakebars.plans import sinks, tables
 from lakebars.schemas import DIMENSION, ISSUER, MART, ODS_BAR, PRICE, STAGED_BAR
 from lakebars.sources.files import read_parquet, read_raw_candles, read_snapshot
 from lakebars.sources.paged import make_paged_source, read_paged
+from lakebars.session import materialize
 from lakebars.sources.seed import universe_frame
 
 STAGED_TABLE = StructType([f for f in STAGED_BAR.fields if f.name != "trade_date"]
@@ -118,7 +119,9 @@ def bronze_ingest(spark: SparkSession, lh: Lakehouse, load_date, tickers, fetch,
         result["issuers"] = land_snapshot(lh, snapshot, load_date)
     kwargs = {} if paginate is None else {"paginate": paginate}
     source = make_paged_source(fetch, **kwargs)
-    records = read_paged(spark, source, parse_ticker_list(tickers), [as_date(load_date)])
+    # Fetch every page chain exactly once: the emptiness check and the write
+    # below both read this side table, not the API.
+    records = materialize(read_paged(spark, source, parse_ticker_list(tickers), [as_date(load_date)]), "pages")
     result["candles"] = land_candle_records(lh, records)
     return result
 

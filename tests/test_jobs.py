@@ -269,3 +269,23 @@ def test_gate_scope(spark, lakehouse):
         jobs.gold(spark, lh, D2, dt.datetime(2024, 1, 4))                    # checks D1 and D2
     g = jobs.gold(spark, lh, D2, dt.datetime(2024, 1, 4), gate_scope="process_date")  # D2 only
     assert g["gate"]["passed"] and g["gate"]["rows_checked"] == 1
+
+
+def test_bronze_ingest_fetches_each_page_once(spark, lakehouse):
+    import uuid
+
+    log_dir = new_run_dir(spark, "fetch-log")
+    os.makedirs(log_dir)
+
+    def fetch(params):
+        start = params.get("start", 0)
+        with open(os.path.join(log_dir, f"{params['ticker']}-{start}-{uuid.uuid4().hex}"), "w"):
+            pass
+        rows = [] if start >= 2 else [[1, 1, 1, 1, 1, 1, f"{params['date']} 10:0{start + i}:00"] for i in range(2)]
+        return {"candles": {"metadata": {k: {} for k in ("open", "close", "high", "low", "value", "volume", "begin")},
+                            "data": rows}}
+
+    res = jobs.bronze_ingest(spark, lakehouse, D2, "A,B", fetch)
+    assert res["candles"].rows == 4
+    calls = os.listdir(log_dir)
+    assert len(calls) == 4, calls          # per ticker: start 0 (2 rows), start 2 (empty) - once each
