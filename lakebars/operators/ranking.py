@@ -5,8 +5,9 @@ one task.  Here every row gets a *piece*: the number of approximate
 quantiles of the order column at or below its value.  The quantiles follow
 the mass of the data, so a key holding a third of all rows spreads over
 about a third of the pieces.  Rows are numbered inside (key, piece) by an
-ordinary window, and a small table of per-(key, piece) counts supplies the
-offset of each piece within its key.
+ordinary window; the largest number in each (key, piece) is its size, and
+a small table of those sizes supplies the offset of each piece within its
+key.
 
 Pieces are a pure function of the row, so every consumer recomputes the
 same numbers: nothing is materialised, and a lost task recomputes exactly
@@ -64,16 +65,18 @@ def rank_within(df: DataFrame, keys: list[str], order: list[str], rank_col: str
     (o,) = order
     pieced = assign_pieces(df, o, pieces)
 
-    counts = pieced.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    # Number rows inside (key, piece); the same shuffle also yields each
+    # piece's size (its largest local number), so the input is scanned once
+    # more only for the quantiles.
+    local = pieced.withColumn(
+        "_local", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(F.col(o).asc_nulls_first())))
+    counts = local.groupBy(*keys, "_piece").agg(F.max("_local").alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     if size_col or descending_col:
         counts = counts.withColumn("_size", F.sum("_n").over(Window.partitionBy(*keys)))
     counts = counts.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col("_piece").alias("_p_piece"),
                            "_before", *(["_size"] if size_col or descending_col else []))
-
-    local = pieced.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(F.col(o).asc_nulls_first())))
     cond = [F.col("_piece") == F.col("_p_piece")] + [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
     joined = local.join(counts, cond, "inner")
     rn = (F.col("_before") + F.col("_local")).cast("bigint")
