@@ -18,6 +18,7 @@ NOTES = {
     "upsert_orders": "D2: a single full outer join on the key.",
     "scd2_merge": "D3 (strict): per merge one keyed aggregate + one full outer join; no semi/anti joins.",
     "mart_daily": "J5 + X15: bars aggregate, as-of join (AQE picks the build side from measured sizes).",
+    "candle_rank": "W1/W2: quantile pieces; one exchange, reused for the piece sizes; offsets from a small table.",
     "silver_bars": "L2: one JSON scan of the window's folders, one aggregate per (ticker, load date), newest load per ticker.",
 }
 
