@@ -289,3 +289,21 @@ def test_bronze_ingest_fetches_each_page_once(spark, lakehouse):
     assert res["candles"].rows == 4
     calls = os.listdir(log_dir)
     assert len(calls) == 4, calls          # per ticker: start 0 (2 rows), start 2 (empty) - once each
+
+
+def test_two_day_sequence_asof_switch(spark, lakehouse):
+    lh = lakehouse
+    land(spark, lh, [("A", D1, "2024-01-02 10:00:00", "10", "1"), ("A", D1, "2024-01-02 11:00:00", "11", "1"),
+                     ("A", D2, "2024-01-03 10:00:00", "20", "2"), ("A", D2, "2024-01-03 11:00:00", "19", "2")])
+    jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "old", True)]), D1)
+    jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "new", False)]), D2)
+    jobs.daily_run(spark, lh, D1, dt.datetime(2024, 1, 2, 6))   # versions start at the run time
+    jobs.daily_run(spark, lh, D2, dt.datetime(2024, 1, 3, 6))
+    mart = {r["trade_date"]: r for r in spark.table(lh.t("mart_daily")).collect()}
+    assert (mart[D1]["sector"], mart[D1]["is_dividend_payer"]) == ("old", True)
+    assert (mart[D2]["sector"], mart[D2]["is_dividend_payer"]) == ("new", False)   # the version opened on D2
+    assert float(mart[D2]["daily_return_pct"]) == -5.0                             # (19 - 20) / 20 * 100
+    dim = sorted((r["sector"], r["is_current"], r["valid_to"]) for r in spark.table(lh.t("dim_issuers")).collect())
+    assert dim == [("new", True, dt.datetime(9999, 12, 31, 23, 59, 59)), ("old", False, dt.datetime(2024, 1, 3, 6))]
+    served = {r["trade_date"] for r in spark.table(lh.t("serving")).collect()}
+    assert served == {D1, D2}
