@@ -91,3 +91,34 @@ def test_scd2_strict_matches_model(spark, snaps):
     got = sorted(((r["ticker"], r["sector"], r["dividend_policy_active"], r["valid_from"], r["valid_to"],
                    r["is_current"]) for r in dim.select(*DIM_COLUMNS).collect()), key=_order)
     assert got == scd2_model(runs)
+
+
+from lakebars.operators.bars import daily_ohlcv_latest_load  # noqa: E402
+from lakebars.operators.candles import typed_candles  # noqa: E402
+
+D = dt.date(2024, 1, 2)
+raw_candle = st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from([0, 1]),      # load D-1 / D
+                       st.sampled_from([0, 1]), st.integers(0, 1439),                  # own day / next day
+                       st.integers(1, 99), st.integers(0, 9))
+
+
+@SETTINGS
+@given(st.lists(raw_candle, max_size=25, unique_by=lambda c: (c[0], c[1], c[2], c[3])))
+def test_fused_silver_matches_model(spark, rows):
+    data = []
+    for t, load_back, next_day, minute, price, vol in rows:
+        load = D - dt.timedelta(days=1 - load_back)
+        begin = dt.datetime.combine(load, dt.time()) + dt.timedelta(days=next_day, minutes=minute)
+        data.append((t, str(begin), str(price), str(price), str(price), str(price), str(vol), load))
+    df = spark.createDataFrame(data, "ticker string, begin string, open string, close string, high string, "
+                                     "low string, volume string, load_date date")
+    got = {r["ticker"]: (r["trade_date"], r["open_price"], r["close_price"], r["volume"])
+           for r in daily_ohlcv_latest_load(typed_candles(df, keep=("ticker", "load_date"))).collect()}
+    model = {}
+    for t in {d[0] for d in data}:
+        newest = max(d[7] for d in data if d[0] == t)
+        own = sorted((d for d in data if d[0] == t and d[7] == newest and d[1][:10] == str(newest)),
+                     key=lambda d: d[1])
+        if own:
+            model[t] = (newest, float(own[0][2]), float(own[-1][3]), sum(int(d[6]) for d in own))
+    assert got == model
