@@ -307,3 +307,13 @@ def test_two_day_sequence_asof_switch(spark, lakehouse):
     assert dim == [("new", True, dt.datetime(9999, 12, 31, 23, 59, 59)), ("old", False, dt.datetime(2024, 1, 3, 6))]
     served = {r["trade_date"] for r in spark.table(lh.t("serving")).collect()}
     assert served == {D1, D2}
+
+
+def test_scd2_publish_loose_mode(spark, lakehouse):
+    t = lakehouse.t("dim_issuers")
+    tables.scd2_publish(spark, t, snapshot(spark, [("A", "a", "s", True)]), dt.datetime(2024, 1, 2, 1), strict=False)
+    loose = snapshot(spark, [("A", "a", "s", True), ("A", "a", "t", True), (None, "n", "x", True)])
+    tables.scd2_publish(spark, t, loose, dt.datetime(2024, 1, 3, 1), strict=False)
+    rows = sorted((r["ticker"] or "", r["sector"], r["is_current"]) for r in spark.table(t).collect())
+    # A closed once and both of its rows opened; the NULL ticker inserted as new
+    assert rows == [("", "x", True), ("A", "s", False), ("A", "s", True), ("A", "t", True)]
