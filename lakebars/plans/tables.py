@@ -2,9 +2,9 @@
 
 Parquet tables have no MERGE and Spark refuses to overwrite a table the
 same query reads; the publishers therefore compute the new content of the
-affected partitions, cut its lineage with ``checkpoint()`` (files in the
-shared folder named by ``spark.checkpoint.dir``) and overwrite exactly
-those partitions.
+affected partitions, write it once to a side table in the shared folder
+named by ``spark.checkpoint.dir`` (:func:`lakebars.session.materialize`,
+which cuts the lineage) and overwrite exactly those partitions from it.
 
 Which overwrite when:
 * one day that may end up empty (D1, D4, D6) -> static
