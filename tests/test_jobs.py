@@ -317,3 +317,17 @@ def test_scd2_publish_loose_mode(spark, lakehouse):
     rows = sorted((r["ticker"] or "", r["sector"], r["is_current"]) for r in spark.table(t).collect())
     # A closed once and both of its rows opened; the NULL ticker inserted as new
     assert rows == [("", "x", True), ("A", "s", False), ("A", "s", True), ("A", "t", True)]
+
+
+def test_seed_rows_and_create_if_missing(spark, lakehouse):
+    from lakebars.schemas import ISSUER
+    from lakebars.sources.seed import seed_rows
+
+    t = f"{lakehouse.db}.issuers_seed"
+    tables.create_table(spark, t, ISSUER)
+    tables.create_table(spark, t, ISSUER)          # IF NOT EXISTS: no error, no change
+    seed = seed_rows(spark, [("A", "Alpha", "s1", True), ("B", "Beta", "s2", False)])
+    for _ in range(2):                              # ON CONFLICT DO NOTHING: the second load adds nothing
+        tables.insert_if_absent_into(spark, t, seed, ["ticker"])
+    assert sorted(r["ticker"] for r in spark.table(t).collect()) == ["A", "B"]
+    assert spark.table(t).schema == ISSUER or [f.name for f in spark.table(t).schema] == [f.name for f in ISSUER]
