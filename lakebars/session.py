@@ -26,6 +26,13 @@ SESSION_CONF = {
 }
 
 
+# Static settings: only effective when the session is built here (they
+# cannot change on a running session).  A daily run compiles many distinct
+# plans; a larger generated-code cache avoids recompiling them on every run.
+STATIC_CONF = {
+    "spark.sql.codegen.cache.maxEntries": "2000",
+}
+
 # Sizing for a large cluster (e.g. 1000 executors, ~100 TB of candles): many
 # initial shuffle partitions that AQE coalesces to ~128 MB each, splits of
 # skewed partitions above 256 MB / 5x the median, 128 MB input splits, and a
@@ -59,7 +66,7 @@ def build_session(master: str | None = None, app_name: str = "lakebars",
             builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
-    for key, value in SESSION_CONF.items():
+    for key, value in {**STATIC_CONF, **SESSION_CONF}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
