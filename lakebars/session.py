@@ -41,6 +41,8 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    # size-first coalescing: fewer, fuller tasks on a shared cluster
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
