@@ -65,3 +65,16 @@ def fresh(name: str, taken: list[str]) -> str:
     while name.lower() in {t.lower() for t in taken}:
         name = "_" + name
     return name
+
+
+def worker_state(key, make):
+    """What ``make()`` returned for ``key`` in this Python worker, which serves many tasks.
+
+    Only the newest key of each kind ``key[1]`` is held.
+    """
+    import pyspark
+
+    held = pyspark.__dict__.setdefault("_lakebars_worker_state", {})
+    if held.get(key[1], (None,))[0] != key:
+        held[key[1]] = (key, make())
+    return held[key[1]][1]

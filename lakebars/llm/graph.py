@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from lakebars.llm.common import materialize
 
-SIGNATURE = [F.count(F.lit(1)).alias("n"),
-             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")]
+
+def _signature() -> list:
+    """Observed while a round is written: the number of edges and a sum over them."""
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")]
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,9 +43,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     first = (edges.where(F.col(a) != F.col(b))
              .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    current, seen = materialize(first, "edges", SIGNATURE)
+    current, seen = materialize(first, "edges", _signature())
     while seen["n"]:
-        after, now = materialize(_small_star(_large_star(current)), "edges", SIGNATURE)
+        after, now = materialize(_small_star(_large_star(current)), "edges", _signature())
         if (now["n"], now["h"]) == (seen["n"], seen["h"]):
             break
         current, seen = after, now

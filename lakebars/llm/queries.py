@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakebars.llm import decontam, line_dedup, simhash, substring_dedup
+from lakebars.llm import (decontam, embed_dups, lang_id, line_dedup, lm_score, mixing, quality, simhash,
+                          substring_dedup, token_counts)
 from lakebars.llm.common import prepare, table
 
 
@@ -13,6 +14,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dups.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     left = line_dedup.dedup_lines(docs)
@@ -20,6 +25,26 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "source", "classifier", "host_prior", "path_prior", "posterior", "kept")
+
+
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, docs, keep=["doc_id", "source"])
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -28,11 +53,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed.cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_line_dedup, op8_decontamination, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_embedding_dedup, op3_line_dedup, op4_token_counts, op5_quality, op6_lm_scores, op7_mixing,
+    op8_decontamination, op9_language_id, op10_substring_dedup)}
 SQL: dict[str, str] = {}
 
 

@@ -2,8 +2,8 @@
 
 Level 0 is half of the shortest repeat that counts.  Of every window of
 ``min_words`` words one window of half its length is taken, the one with the
-smallest hash; equal windows have equal ones at equal places, so a window
-can only be repeated if its chosen half is.  Halves found in two documents
+smallest hash; equal windows have equal ones, so a window can only be
+repeated if its chosen half is.  Halves found in two documents
 are extended to twice their length, repeats among these again to twice
 that, and so on until no candidate survives (or ``max_words`` is reached).
 
@@ -84,10 +84,13 @@ def window_hashes(words: np.ndarray, length: int, which: int = 0) -> np.ndarray:
         return have ^ (have >> np.uint64(29))
 
 
-def chosen_halves(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Places of the smallest (first on ties) of every ``width`` consecutive hashes, ascending."""
-    view = np.lib.stride_tricks.sliding_window_view(hashes, width)
-    return np.unique(np.arange(len(view)) + view.argmin(axis=1))
+def least_of(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every ``width`` consecutive hashes, by doubling."""
+    size, step, out = len(hashes) - width + 1, 1, hashes
+    while 2 * step <= width:
+        out = np.minimum(out[:-step], out[step:])
+        step *= 2
+    return np.minimum(out[:size], out[width - step:width - step + size])
 
 
 def _sequence(words: list[bytes]) -> list[int]:
@@ -111,7 +114,7 @@ def _scan(docs: DataFrame, min_words: int) -> DataFrame:
                 words, halves = split_words(text), np.zeros(0, np.uint64)
                 if len(words) >= min_words:
                     h = window_hashes(word_hashes(words, known), half)
-                    halves = np.unique(h[chosen_halves(h, width)])
+                    halves = np.unique(least_of(h, width))
                 rows.append((len(words), *_sequence(words), halves.view(np.int64)))
             n, s1, s2, halves = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -134,9 +137,7 @@ def _distinct(words: np.ndarray, length: int, places: np.ndarray) -> tuple[np.nd
 
 def _with_chosen(h: np.ndarray, wanted: list[int], width: int) -> np.ndarray:
     """Places of the windows whose chosen half is among ``wanted``."""
-    view = np.lib.stride_tricks.sliding_window_view(h, width)
-    picked = h[np.arange(len(view)) + view.argmin(axis=1)]
-    return np.flatnonzero(np.isin(picked, np.array(wanted, np.int64).view(np.uint64)))
+    return np.flatnonzero(np.isin(least_of(h, width), np.array(wanted, np.int64).view(np.uint64)))
 
 
 def _first_level(joined: DataFrame, min_words: int) -> DataFrame:
