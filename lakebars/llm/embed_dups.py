@@ -21,14 +21,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from lakebars.llm.common import materialize, prepare, shuffle_width
 from lakebars.llm.graph import connected_components
 
 COSINE = 0.9
-ROTATIONS = 6
+ROTATIONS = 5
 CODEWORDS = 128          # of each half
-CAP = 3.25               # threshold in standard deviations of a random inner product (1 / sqrt(dimension))
+CAP = 3.2                # threshold in standard deviations of a random inner product (1 / sqrt(dimension))
 BUCKET_NODES = 2048      # vectors of a filter in one group
 BLOCK = 512              # rows of a group compared at a time
 SEED = 5
@@ -85,31 +86,28 @@ def usable(vector) -> bool:
 
 
 def _filter_rows(nodes: DataFrame, params: dict) -> DataFrame:
-    """One row per node and filter: dimension, filter, node, size, unit vector, all the node's filters."""
+    """One row per node: dimension and all its filters (no vector)."""
     def run(batches):
         codes: dict = {}
         for batch in batches:
-            found = [(i, v) for i, v in enumerate(_vectors(batch.column(2))) if usable(v)]
+            found = [(i, v) for i, v in enumerate(_vectors(batch.column(1))) if usable(v)]
             for dim in sorted({len(v) for _, v in found}):
                 at = np.array([i for i, v in found if len(v) == dim])
-                x = np.array([v for _, v in found if len(v) == dim])
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                x = unit_rows(np.array([v for _, v in found if len(v) == dim]))
                 row, number = decode(x, **params, codes=codes)
                 ends = np.cumsum(np.bincount(row, minlength=len(x)))
-                own = [number[lo:hi].astype("<i4").tobytes() for lo, hi in zip(np.r_[0, ends[:-1]], ends)]
-                raw = [v.astype("<f8").tobytes() for v in x]
-                for lo in range(0, len(row), 4096):
-                    r = row[lo:lo + 4096]
-                    take = pa.array(at[r])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(r), dim), pa.int32()), pa.array(number[lo:lo + 4096], pa.int64()),
-                         batch.column(0).take(take), batch.column(1).take(take),
-                         pa.array([raw[i] for i in r], pa.binary()), pa.array([own[i] for i in r], pa.binary())],
-                        ["dim", "filter", "node", "size", "unit", "own"])
+                own = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(number, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), dim), pa.int32()), batch.column(0).take(pa.array(at)), own],
+                    ["dim", "node", "filters"])
 
-    return nodes.select("node", "size", "embedding").mapInArrow(
-        run, "dim int, filter long, node long, size long, unit binary, own binary")
+    return nodes.select("node", "embedding").mapInArrow(run, "dim int, node long, filters array<long>")
+
+
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows of length one, in double precision; scaled first, so that no square overflows."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def first_shared(own: list[np.ndarray], i: np.ndarray, j: np.ndarray, number: int) -> np.ndarray:
@@ -174,8 +172,8 @@ def _compare_groups(cosine: float):
         nodes = np.array([r[5] for r in rows], np.int64)
         if len(nodes) < 2:
             return [], [], []
-        units = np.frombuffer(b"".join(r[7] for r in rows), "<f8").reshape(len(rows), -1)
-        own = [np.frombuffer(r[8], "<i4") for r in rows]
+        units = unit_rows(np.array([r[7] for r in rows], np.float64))
+        own = [np.array(r[8], np.int64) for r in rows]
         counts, label = compare(nodes, np.array([r[6] for r in rows], np.int64), units, own,
                                 np.array([r[4] for r in rows]), rows[0][2] != rows[0][3], rows[0][1], cosine)
         linked = np.flatnonzero(counts)
@@ -224,27 +222,36 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """
     spark = vectors.sparkSession
     prepare(spark)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias(
-        "embedding"))
+    kind = vectors.schema[vector_col].dataType
+    kept = kind if kind == ArrayType(FloatType()) else ArrayType(DoubleType())   # single precision travels as it is
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kept).alias("embedding"))
     whole = (F.col("id").isNotNull() & F.col("embedding").isNotNull()
              & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
              & F.exists("embedding", lambda x: x != 0))
     # -0.0 and 0.0 are one value, as in a comparison
-    rows = rows.withColumn("embedding", F.when(whole, F.transform("embedding", lambda x: x + F.lit(0.0))))
+    zero = F.lit(0.0).cast(kept.elementType)
+    rows = rows.withColumn("embedding", F.when(whole, F.transform("embedding", lambda x: F.when(x == 0, zero).otherwise(x))))
     nodes = materialize(rows.where(F.col("embedding").isNotNull()).groupBy("embedding").agg(
         F.min("id").alias("node"), F.count(F.lit(1)).alias("size")), "vectors")
     members = materialize(
         rows.where(F.col("embedding").isNotNull()).join(nodes, "embedding").select("id", "node", "size"), "members")
 
-    filters = _filter_rows(nodes, params)
-    sizes = filters.groupBy("dim", "filter").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    shared = filters.join(sizes, ["dim", "filter"])
+    # which filters are shared is settled without vectors; these are added in one shuffle to the groups
+    decoded = materialize(_filter_rows(nodes, params), "filters")
+    each = decoded.select("dim", "node", F.explode("filters").alias("filter"))
+    sizes = each.groupBy("dim", "filter").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    shared = each.join(sizes, ["dim", "filter"])
     shared = shared.withColumn("c", F.ceil(F.col("n") / BUCKET_NODES).cast("long"))
     shared = shared.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("c")))
     shared = shared.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)).alias("other"))
+    places = shared.groupBy("dim", "node").agg(
+        F.collect_list(F.struct("filter", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                                (F.col("mine") > F.col("other")).cast("int").alias("side"))).alias("places"),
+        F.array_sort(F.collect_set("filter")).alias("own"))
     keys = ["dim", "filter", "i", "j"]
-    groups = shared.select("dim", "filter", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                           (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "size", "unit", "own")
+    groups = places.join(nodes, "node").select("dim", "node", "size", "embedding", "own", F.explode("places").alias("p"))
+    groups = groups.select("dim", "p.filter", "p.i", "p.j", "p.side", "node", "size", "embedding",
+                           F.transform("own", lambda x: x.cast("int")).alias("own"))
     dealt = groups.repartition(shuffle_width(spark), *keys).sortWithinPartitions(*keys)
     found = materialize(dealt.mapInArrow(_compare_groups(cosine), "a long, b long, n long"), "links")
 
