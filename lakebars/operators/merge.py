@@ -8,39 +8,52 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakebars.functions.params import ts_lit
 from lakebars.operators.bars import dedupe_latest
-from lakebars.operators.quality import DataQualityError, key_duplicates
 
 
 def _null_key(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def _spread(df: DataFrame, keys: list[str]) -> Column:
+    """A second join key: 0, or a hash of the whole row where a key is NULL.
+
+    NULL keys match nothing, and with it they are spread over the tasks
+    instead of piling up in one.
+    """
+    return F.when(_null_key(keys), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
+
+
 def prepare_source(source: DataFrame, keys: list[str], on_duplicate: str = "error",
                    latest_first: list[Column] | None = None) -> DataFrame:
-    """Make the non-NULL keys of ``source`` unique.
+    """The source with unique non-NULL keys, ``_spread`` and ``_in_s``; nothing runs yet.
 
-    ``error``: raise on a repeated key (a second write of one row in a single
-    statement is an error in SQL upserts).  ``latest``: keep the first row by
-    ``latest_first`` (newest first).  NULL keys are never conflicts; they pass.
+    ``error``: the query fails when it meets a repeated key (a second write
+    of one row in a single statement is an error in SQL upserts).
+    ``latest``: keep the first row by ``latest_first`` (newest first).
+    ``checked``: the caller has verified uniqueness.  NULL keys are never
+    conflicts; they pass.
     """
     if on_duplicate == "latest":
         if not latest_first:
             raise ValueError("on_duplicate='latest' needs an ordering")
         keyed = dedupe_latest(source.where(~_null_key(keys)), keys, latest_first)
-        return keyed.unionByName(source.where(_null_key(keys)))
-    if on_duplicate == "checked":  # the caller has verified uniqueness already
-        return source
-    if on_duplicate != "error":
+        source = keyed.unionByName(source.where(_null_key(keys)))
+    elif on_duplicate not in ("checked", "error"):
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
-    dups = key_duplicates(source.where(~_null_key(keys)), keys).limit(1).collect()
-    if dups:
-        raise DataQualityError(f"source has a repeated key {dups[0].asDict()} on {keys}")
-    return source
+    source = source.withColumn("_spread", _spread(source, keys))
+    if on_duplicate != "error":
+        return source.withColumn("_in_s", F.lit(True))
+    # numbered in the order the join needs anyway: no exchange or sort of its own
+    place = F.row_number().over(Window.partitionBy(*keys, "_spread").orderBy("_spread"))
+    repeated = (F.col("_place") > 1) & ~_null_key(keys)
+    refused = F.raise_error(F.lit(f"source has a repeated key on {keys}")).cast("boolean")
+    return (source.withColumn("_place", place)
+            .withColumn("_in_s", F.when(repeated, refused).otherwise(F.lit(True))).drop("_place"))
 
 
 def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str], value_cols: list[str],
@@ -53,8 +66,8 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str], value_co
     * only in target: kept as is;
     * NULL keys never match: target rows kept, source rows inserted.
 
-    One full outer join on the key; rows with NULL keys bypass the join so they
-    cannot pile up in one shuffle partition.  Output columns follow ``target``.
+    One scan of each side and one full outer join.  Output columns follow
+    ``target``.
     """
     source = prepare_source(source, keys, on_duplicate, latest_first)
     out_cols = target.columns
@@ -63,12 +76,10 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str], value_co
     # the source only when the row is new (e.g. a partition column).
     carried = [c for c in out_cols if c not in keys and c not in value_cols and c != stamp_col
                and c in source.columns]
-    t = target.where(~_null_key(keys)).select(
-        *keys, *[F.col(c).alias(f"_t_{c}") for c in out_cols if c not in keys],
-        F.lit(True).alias("_in_t"))
-    s = source.where(~_null_key(keys)).select(
-        *keys, *[F.col(c).alias(f"_s_{c}") for c in value_cols + carried], F.lit(True).alias("_in_s"))
-    joined = t.join(s, keys, "full_outer")
+    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in out_cols if c not in keys],
+                      _spread(target, keys).alias("_spread"), F.lit(True).alias("_in_t"))
+    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in value_cols + carried], "_spread", "_in_s")
+    joined = t.join(s, [*keys, "_spread"], "full_outer")
     from_source = F.col("_in_s").isNotNull()
     new_row = from_source & F.col("_in_t").isNull()
 
@@ -83,12 +94,7 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str], value_co
             return F.when(new_row, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
         return F.col(f"_t_{c}").alias(c)  # column the source lacks
 
-    merged = joined.select(*[pick(c) for c in out_cols])
-    null_src = source.where(_null_key(keys)).select(
-        *[(stamp.alias(c) if c == stamp_col else
-           (F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)))
-          for c in out_cols])
-    return merged.unionByName(target.where(_null_key(keys))).unionByName(null_src)
+    return joined.select(*[pick(c) for c in out_cols])
 
 
 def insert_if_absent_frame(target: DataFrame, source: DataFrame, keys: list[str],

@@ -64,9 +64,13 @@ def gate_metrics(rules: dict[str, Column] | None = None, where: Column | None =
             *[F.count_if(scope & pred).alias(name) for name, pred in rules.items()]]
 
 
+#: Staged prices that the price type cannot hold; they arrive as NULL and would pass the other rules.
+LOST_PRICES = "price_out_of_range"
+
+
 def gate_verdict(counts: dict, rules: dict[str, Column] | None = None) -> dict:
-    """Raise :class:`DataQualityError` when any rule count is non-zero."""
-    names = _rules(rules).keys()
+    """Raise :class:`DataQualityError` when any rule count, or that of lost prices, is non-zero."""
+    names = {*_rules(rules), LOST_PRICES}
     result = {k: int(v or 0) for k, v in counts.items() if k == "rows_checked" or k in names}
     failed = {k: v for k, v in result.items() if k in names and v}
     result["passed"] = not failed

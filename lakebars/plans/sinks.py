@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lakebars.session import delete_folder, hadoop_path
+
 JDBC_BATCH_SIZE = 50_000
 
 
@@ -24,13 +28,27 @@ def observed(df: DataFrame, name: str = "written") -> tuple[DataFrame, Observati
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def skip_if_empty(df: DataFrame, write: Callable[[DataFrame], None], target: str) -> WriteResult:
-    """K6 + O2: write nothing when ``df`` has no row (one ``limit 1`` job)."""
-    if df.isEmpty():
-        return WriteResult("SKIPPED", 0, target)
+def skip_if_empty(df: DataFrame, path: str, write: Callable[[DataFrame, str], None] | None = None) -> WriteResult:
+    """K6 + O2: the folder at ``path`` becomes ``df``, or stays as it is when ``df`` has no row.
+
+    ``df`` is computed once: it is written beside the folder while its rows
+    are counted, and takes the folder's place only if there are any.
+    ``write(df, folder)`` is a Parquet write by default.
+    """
+    spark = df.sparkSession
+    parent, name = os.path.split(path.rstrip("/"))
+    beside = os.path.join(parent, f"_{name}-{uuid.uuid4().hex[:12]}")   # hidden from scans of the parent
     counted, obs = observed(df)
-    write(counted)
-    return WriteResult("WRITTEN", int(obs.get["rows"]), target)
+    (write or write_parquet)(counted, beside)
+    rows = int(obs.get["rows"])
+    if not rows:
+        delete_folder(spark, beside)
+        return WriteResult("SKIPPED", 0, path)
+    fs, target = hadoop_path(spark, path)
+    fs.delete(target, True)
+    if not fs.rename(hadoop_path(spark, beside)[1], target):
+        raise OSError(f"cannot move {beside} to {path}")
+    return WriteResult("WRITTEN", rows, path)
 
 
 def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None,

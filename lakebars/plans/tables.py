@@ -4,15 +4,16 @@ Parquet tables have no MERGE and Spark refuses to overwrite a table the
 same query reads; the publishers therefore compute the new content of the
 affected partitions, write it once to a side table in the shared folder
 named by ``spark.checkpoint.dir`` (:func:`lakebars.session.materialize`,
-which cuts the lineage) and overwrite exactly those partitions from it.
+which cuts the lineage), overwrite exactly those partitions from it, and
+delete the side table.
 
 Which overwrite when:
 * one day that may end up empty (D1, D4, D6) -> static
   ``INSERT OVERWRITE ... PARTITION (trade_date = D)``; it empties the day and
   leaves the others alone in either mode;
-* a set of days that cannot end up empty (D2) -> one dynamic overwrite, with
-  the mode switched by session conf (the writer option is ignored by
-  ``insertInto``).
+* a set of days that cannot end up empty (D2) -> one dynamic overwrite, in a
+  session of its own (the writer option is ignored by ``insertInto``, and
+  the caller's session keeps its mode).
 """
 
 from __future__ import annotations
@@ -20,16 +21,16 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakebars.functions.params import END_OF_TIME, as_date, as_datetime
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
 from lakebars.operators.quality import DataQualityError
-from lakebars.operators.scd2 import DIM_COLUMNS, SOURCE_ROWS, scd2_frames, strict_merge
+from lakebars.operators.scd2 import DIM_COLUMNS, SOURCE_ROWS, TOUCHED, scd2_frames, strict_merge
 from lakebars.schemas import ddl
-from lakebars.session import dynamic_overwrite, materialize, work_root
+from lakebars.session import discard, dynamic_session, materialize, work_root
 
 OPEN_END_DATE = END_OF_TIME.date()
 
@@ -80,30 +81,36 @@ def clear_day(spark: SparkSession, table: str, day, partition_col: str = "trade_
 
 
 def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Replace the partitions present in ``rows``; all others stay."""
-    ordered = rows.select(*table_columns(spark, table))
-    with dynamic_overwrite(spark):
-        ordered.write.insertInto(table, overwrite=True)
+    """Replace the partitions present in ``rows``; all others stay.
+
+    The rows go through a side table, which the overwriting session reads.
+    """
+    side = materialize(rows.select(*table_columns(spark, table)), "partitions")
+    _overwrite_from(spark, table, side)
+    discard(side)
+
+
+def _overwrite_from(spark: SparkSession, table: str, side: DataFrame) -> None:
+    other = dynamic_session(spark)
+    other.read.schema(side.schema).parquet(side.side_path).select(
+        *table_columns(spark, table)).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
 
 
 def replace_days(spark: SparkSession, table: str, rows: DataFrame, days,
-                 partition_col: str = "trade_date", reads_target: bool = False) -> list[dt.date]:
+                 partition_col: str = "trade_date") -> list[dt.date]:
     """D4 over several days: one dynamic overwrite for the days with rows,
     then a static clear for each requested day that ended up empty.
 
-    The days actually written are observed during the write.  Only when
-    ``rows`` reads ``table`` itself (``reads_target``) is the new content
-    first written to a side table, to cut the lineage.
+    Returns the days with rows, which are observed while they are written.
     """
     wanted = sorted({as_date(d) for d in days})
     rows = rows.where(F.col(partition_col).isin(wanted)).select(*table_columns(spark, table))
-    if reads_target:
-        rows = materialize(rows, "days")
-    obs = Observation(f"days-{uuid.uuid4().hex[:8]}")
-    rows = rows.observe(obs, F.collect_set(partition_col).alias("days"))
-    with dynamic_overwrite(spark):
-        rows.write.insertInto(table, overwrite=True)
-    present = set(obs.get["days"] or [])
+    side, found = materialize(rows, "days", observe=[F.collect_set(partition_col).alias("days")])
+    present = set(found["days"] or [])
+    if present:
+        _overwrite_from(spark, table, side)
+    discard(side)
     for d in wanted:
         if d not in present:
             clear_day(spark, table, d, partition_col)
@@ -163,12 +170,10 @@ def upsert_into(spark: SparkSession, table: str, source: DataFrame, keys: list[s
     merged = upsert_frame(target, source, keys, value_cols, run_ts, stamp_col=stamp_col,
                           on_duplicate="checked" if checked else on_duplicate,
                           latest_first=latest_first)
-    if observe:
-        merged, metrics = materialize(merged, "upsert", observe=observe)
-        overwrite_partitions(spark, table, merged)
-        return dates, dict(metrics)
-    overwrite_partitions(spark, table, materialize(merged, "upsert"))
-    return dates
+    side, metrics = materialize(merged, "upsert", observe=observe or [F.count(F.lit(1)).alias("rows")])
+    _overwrite_from(spark, table, side)
+    discard(side)
+    return (dates, dict(metrics)) if observe else dates
 
 
 def insert_if_absent_into(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
@@ -176,53 +181,80 @@ def insert_if_absent_into(spark: SparkSession, table: str, source: DataFrame, ke
     """D7 publisher: append the source rows whose key the table lacks."""
     new = materialize(insert_if_absent_frame(spark.table(table), source, keys, first_by), "absent")
     new.write.insertInto(table)
+    discard(new)
+
+
+NEW_TICKERS_BROADCAST = 100_000   # tickers of one snapshot that may be broadcast to the history
+
+
+def _with_earlier_versions(spark: SparkSession, history: DataFrame, snapshot: DataFrame,
+                           versions: DataFrame) -> DataFrame | None:
+    """The snapshot's tickers that have no version in ``versions`` but some in ``history``.
+
+    On most runs there is no such candidate, and the history is not read.
+    """
+    unknown = materialize(snapshot.select("ticker").where(F.col("ticker").isNotNull()).distinct().join(
+        versions.select("ticker"), "ticker", "left_anti"), "unknown")
+    n = unknown.count()
+    if n == 0:
+        discard(unknown)
+        return None
+    side = F.broadcast(unknown) if n <= NEW_TICKERS_BROADCAST else unknown
+    found = materialize(history.select("ticker").join(side, "ticker", "left_semi").distinct(), "earlier")
+    discard(unknown)
+    return found
 
 
 def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
                  strict: bool = True, end_col: str = "version_end") -> dict:
     """D3 publisher for a dimension partitioned by the date its versions end.
 
-    Current versions live in the 9999-12-31 partition; versions closed by a
-    run land in the partition of that run's date.  A run rewrites only those
-    two partitions, from one side table, closed versions first; closed rows
-    already in the run-date partition are kept (deduplicated on ticker and
-    validity), so a rerun, also after a crash between the two writes,
+    Current versions live in the 9999-12-31 partition; a version that ends
+    lands in the partition of that date.  A run reads the partitions from its
+    own date on (normally its own and the current one), merges them in one
+    pass and rewrites those in which a version changed, from one side table.
+    An older run that comes late thus finds the versions of its own time.
+
+    The partition of the run's date, which receives the versions that the
+    run ends, is written first and the current one last: after a crash
+    in between, a rerun finds the ended versions already there (an
+    identical version is kept once) and completes the rest.  A plain rerun
     changes nothing.
     """
     work_root(spark)
     run_day = as_datetime(run_ts).date()
     dim = spark.table(table)
-    current = dim.where(F.col(end_col) == F.lit(OPEN_END_DATE)).where(F.col("is_current"))
-    history = dim.where(F.col(end_col) != F.lit(OPEN_END_DATE)).select("ticker")
+    held = dim.where(F.col(end_col) >= F.lit(run_day))
+    earlier = None
     if strict:
         # Key check deferred to the side-table write below: no pass of its own.
-        versions = strict_merge(current.select(*DIM_COLUMNS), history, snapshot, run_ts,
-                                defer_key_check=True)
-        now_current = versions.where(F.col("is_current"))
-        now_closed = versions.where(~F.col("is_current")).drop(SOURCE_ROWS)
+        earlier = _with_earlier_versions(spark, dim.where(F.col(end_col) < F.lit(run_day)), snapshot, held)
+        merged = strict_merge(held.select(*DIM_COLUMNS), snapshot, run_ts, earlier, defer_key_check=True)
     else:
-        frames = scd2_frames(current.select(*DIM_COLUMNS), snapshot, run_ts, strict=False)
-        now_current = frames.current.withColumn(SOURCE_ROWS, F.lit(1))
-        now_closed = frames.closed
-    closed_day = (dim.where(F.col(end_col) == F.lit(run_day)).select(*DIM_COLUMNS)
-                  .unionByName(now_closed)
-                  .dropDuplicates(["ticker", "valid_from", "valid_to"]))
-    out = (now_current.withColumn(end_col, F.lit(OPEN_END_DATE))
-           .unionByName(closed_day.withColumn(end_col, F.to_date("valid_to"))
-                        .withColumn(SOURCE_ROWS, F.lit(1))))
-    out, counts = materialize(out, "scd2", observe=[
+        current = held.where(F.col("is_current")).select(*DIM_COLUMNS)
+        frames = scd2_frames(current, snapshot, run_ts, strict=False)
+        closed = (frames.closed.withColumn(TOUCHED, F.lit(True))
+                  .unionByName(held.where(~F.col("is_current")).select(*DIM_COLUMNS, F.lit(False).alias(TOUCHED)))
+                  .groupBy(*DIM_COLUMNS).agg(F.max(TOUCHED).alias(TOUCHED)))   # once, also after a crash
+        merged = (closed.unionByName(frames.opened.withColumn(TOUCHED, F.lit(True)))
+                  .unionByName(frames.kept.withColumn(TOUCHED, F.lit(False))).withColumn(SOURCE_ROWS, F.lit(1)))
+    merged = merged.withColumn(end_col, F.to_date("valid_to"))
+    side, seen = materialize(merged, "scd2", observe=[
         F.count_if(F.col(end_col) == F.lit(OPEN_END_DATE)).alias("current"),
         F.count_if(F.col(end_col) == F.lit(run_day)).alias("closed_on_run_day"),
+        F.collect_set(F.when(F.col(TOUCHED), F.col(end_col))).alias("ends"),
         F.max(SOURCE_ROWS).alias("max_source_rows"),
         F.count_if(F.col("ticker").isNull()).alias("null_tickers")])
-    counts = dict(counts)
-    if strict and ((counts["max_source_rows"] or 0) > 1 or counts["null_tickers"]):
-        raise DataQualityError(f"issuer snapshot: duplicate or NULL tickers ({counts}); nothing published")
-    out = out.drop(SOURCE_ROWS)
-    # Commit order makes a crash between the two writes harmless: closed
-    # versions first (a rerun recomputes and deduplicates them), then the
-    # current set that no longer holds them.
-    if counts["closed_on_run_day"]:
-        replace_day(spark, table, run_day, out, partition_col=end_col)
-    replace_day(spark, table, OPEN_END_DATE, out, partition_col=end_col)
-    return {k: counts[k] for k in ("current", "closed_on_run_day")}
+    seen = dict(seen)
+    if strict and ((seen["max_source_rows"] or 0) > 1 or seen["null_tickers"]):
+        raise DataQualityError(f"issuer snapshot: duplicate or NULL tickers ({seen}); nothing published")
+    rows = side.drop(SOURCE_ROWS, TOUCHED)
+    ends = sorted(set(seen["ends"] or []), key=lambda d: (d != run_day, d))
+    for end in ends:
+        replace_day(spark, table, end, rows, partition_col=end_col)
+    for frame in (side, earlier):
+        if frame is not None:
+            discard(frame)
+    late = [e for e in ends if e not in (run_day, OPEN_END_DATE)]
+    return {"current": seen["current"], "closed_on_run_day": seen["closed_on_run_day"],
+            "changed_until": max(late) if late else None}

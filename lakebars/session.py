@@ -1,13 +1,12 @@
 """Session construction and the shared work folder.
 
 Every job relies on a few settings being explicit rather than defaulted:
-UTC session time, ANSI mode, STATIC partition overwrite (the dynamic mode is
-switched on only inside :func:`dynamic_overwrite`), AQE with skew handling.
+UTC session time, ANSI mode, STATIC partition overwrite (the dynamic mode
+only in :func:`dynamic_session`), AQE with skew handling.
 """
 
 from __future__ import annotations
 
-import contextlib
 import os
 import tempfile
 import uuid
@@ -88,14 +87,19 @@ def apply_conf(spark: SparkSession) -> None:
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session names no folder that all its executors reach."""
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for side tables and intermediate outputs.
 
-    On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is only read here (a checkpoint folder set on the context
-    counts too).  When neither exists (tests, local runs) a temporary folder
-    is created once per application and registered with
-    ``setCheckpointDir``; the core conf itself cannot be changed at run time.
+    ``spark.checkpoint.dir`` names a folder every executor can reach; it is
+    only read here (a checkpoint folder set on the context counts too).  When
+    neither exists, a session on one machine (master ``local`` or
+    ``local[...]``: tests, development) gets a temporary folder, once per
+    application; any other raises, because rows written to each executor's
+    own disk would be missing from what is read back.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -110,6 +114,8 @@ def work_root(spark: SparkSession) -> str:
         ckpt = sc._jsc.sc().getCheckpointDir()
         root = ckpt.get() if ckpt.isDefined() else None
     if not root:
+        if not is_one_machine(sc.master):
+            raise NoSharedFolder(f"master {sc.master}: set spark.checkpoint.dir to a folder shared by all executors")
         app = sc.applicationId
         if app not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="lakebars-")
@@ -118,6 +124,10 @@ def work_root(spark: SparkSession) -> str:
     return root
 
 
+def is_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the shared work folder for one run."""
     return os.path.join(work_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
@@ -142,20 +152,55 @@ def materialize(df, name: str = "side", observe: list | None = None):
         df = df.observe(obs, *observe)
     df.write.mode("error").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out.side_path = path
     return (out, obs.get) if observe else out
 
 
-@contextlib.contextmanager
-def dynamic_overwrite(spark: SparkSession):
-    """Switch partition overwrite to DYNAMIC for the enclosed writes only.
+def discard(frame) -> None:
+    """Delete the side table that :func:`materialize` returned, once nothing reads it any more."""
+    delete_folder(frame.sparkSession, frame.side_path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` of a folder on any store Spark knows."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def scratch_database(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A database in a run folder of its own: ``(folder, database)``; see :func:`drop_scratch`."""
+    root = new_run_dir(spark, name)
+    db = "lb_" + os.path.basename(root).replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append((db, root))
+    return root, db
+
+
+_SCRATCH: dict[str, list[tuple[str, str]]] = {}
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Drop all scratch databases of this application with their folders; returns how many."""
+    found = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for db, root in found:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+        delete_folder(spark, root)
+    return len(found)
+
+
+def dynamic_session(spark: SparkSession) -> SparkSession:
+    """A session on the same context and catalog in which overwrites replace only the partitions written.
 
-    The writer option is ignored by ``insertInto`` (every other partition
-    would be lost), so the session conf is the one reliable switch.
+    The writer option is ignored by ``insertInto``, and the mode of the
+    caller's session is left alone: other jobs in it may rely on it.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "DYNAMIC")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    other = spark.newSession()
+    apply_conf(other)
+    other.conf.set("spark.sql.sources.partitionOverwriteMode", "DYNAMIC")
+    return other
