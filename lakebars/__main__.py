@@ -1,10 +1,16 @@
 """Command line for the daily jobs.
 
+    python -m lakebars bronze  <process_date> <tickers> --root R --fetch module:callable [--params JSON]
+                               [--issuers parquet path]
     python -m lakebars silver  <process_date> [tickers] --root R [--lookback 1]
     python -m lakebars gold    <process_date> --root R [--run-ts TS]
     python -m lakebars serving <process_date> --root R
     python -m lakebars daily   <process_date> [tickers] --root R [--run-ts TS]
 
+``--fetch`` names a callable that takes the request parameters and returns a
+page; it is tried again after failures that may pass.  ``--params`` is a
+JSON object of request parameters for all tickers.
+
 ``tickers`` is a comma list ("A,B,C"); empty means every landed ticker.
 The shared work folder is taken from ``spark.checkpoint.dir``.
 """
@@ -12,16 +18,18 @@ The shared work folder is taken from ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 
 from lakebars.functions.params import as_datetime
 from lakebars.plans import jobs
 from lakebars.session import build_session
+from lakebars.sources.paged import with_retry
 
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="lakebars")
-    p.add_argument("step", choices=["silver", "gold", "serving", "daily"])
+    p.add_argument("step", choices=["bronze", "silver", "gold", "serving", "daily"])
     p.add_argument("process_date")
     p.add_argument("tickers", nargs="?", default="")
     p.add_argument("--root", required=True)
@@ -31,11 +39,22 @@ def main(argv=None) -> None:
     p.add_argument("--loose", action="store_true", help="SCD2 without key checks")
     p.add_argument("--profile", default="cluster", choices=["cluster", "local"])
     p.add_argument("--gate-scope", default="touched", choices=["touched", "process_date"])
+    p.add_argument("--fetch", help="module:callable of the API client (bronze)")
+    p.add_argument("--params", default="{}", help="request parameters as a JSON object (bronze)")
+    p.add_argument("--issuers", help="Parquet path of the issuer snapshot (bronze)")
     a = p.parse_args(argv)
+    if a.step == "bronze" and not a.fetch:
+        p.error("bronze needs --fetch module:callable")
     spark = build_session(app_name=f"lakebars-{a.step}", profile=a.profile)
     lh = jobs.Lakehouse(a.root, db=a.db)
     run_ts = as_datetime(a.run_ts) if a.run_ts else jobs.default_run_ts(a.process_date)
-    if a.step == "silver":
+    if a.step == "bronze":
+        module, _, name = a.fetch.partition(":")
+        fetch = with_retry(getattr(importlib.import_module(module), name))
+        snapshot = spark.read.parquet(a.issuers) if a.issuers else None
+        out = jobs.bronze_ingest(spark, lh, a.process_date, a.tickers, fetch, snapshot=snapshot,
+                                 common=json.loads(a.params))
+    elif a.step == "silver":
         out = jobs.silver(spark, lh, a.process_date, a.tickers or None, a.lookback)
     elif a.step == "gold":
         out = jobs.gold(spark, lh, a.process_date, run_ts, strict=not a.loose, gate_scope=a.gate_scope)
@@ -44,6 +63,8 @@ def main(argv=None) -> None:
     else:
         out = jobs.daily_run(spark, lh, a.process_date, run_ts, a.tickers or None, a.lookback,
                              strict=not a.loose, gate_scope=a.gate_scope)
+    if "served" in out:
+        out["served"] = {str(day): result for day, result in out["served"].items()}
     print(json.dumps(out, default=str))
 
 

@@ -18,7 +18,9 @@ def to_timestamp_ntz(c) -> Column:
 
 
 def to_double(c) -> Column:
-    return _col(c).try_cast("double")
+    """Text -> double; ``NaN`` and the infinities are no measurements and become NULL."""
+    x = _col(c).try_cast("double")
+    return F.when(F.abs(x) < float("inf"), x)
 
 
 def to_long(c) -> Column:

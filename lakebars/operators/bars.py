@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakebars.operators.ranking import rank_within
-
 BAR_KEYS = ["ticker", "trade_date"]
 
 
@@ -52,27 +50,27 @@ def dedupe_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def first_last_by_rank(ranked: DataFrame, keys: list[str] = BAR_KEYS) -> DataFrame:
-    """A2: conditional aggregates ``max(when(rn = 1, x))`` over ranked candles."""
-    return ranked.groupBy(*keys).agg(
-        F.max(F.when(F.col("rn_open") == 1, F.col("open"))).alias("open_price"),
-        F.max(F.when(F.col("rn_close") == 1, F.col("close"))).alias("close_price"),
-    )
+def value_where(predicate: Column, value: Column | str) -> Column:
+    """A2: conditional aggregate; the largest ``value`` among the rows that satisfy ``predicate``."""
+    return F.max(F.when(predicate, F.col(value) if isinstance(value, str) else value))
+
+
+def first_and_last(candles: DataFrame, keys: list[str] = BAR_KEYS) -> DataFrame:
+    """Open of the first and close of the last candle by begin_ts, one hash aggregate."""
+    return candles.where(F.col("trade_date").isNotNull()).groupBy(*keys).agg(
+        F.min_by("open", "begin_ts").alias("open_price"),
+        F.max_by("close", "begin_ts").alias("close_price"))
 
 
 def recombined_ohlcv(candles: DataFrame, keys: list[str] = BAR_KEYS) -> DataFrame:
-    """J1 parity form of A4: open/close from ranked candles joined with A1 on the key.
+    """A1 joined with the open/close aggregate on the (null-safe) key.
 
-    Kept for parity with the row-number formulation; the jobs use
-    :func:`daily_ohlcv`, which needs one aggregation and no join.
+    The jobs use :func:`daily_ohlcv`, which needs one aggregation and no join.
     """
-    base = candles.where(F.col("trade_date").isNotNull())
-    ranked = rank_within(base, keys, ["begin_ts"], rank_col="rn_open", size_col=None,
-                         descending_col="rn_close")
-    oc = first_last_by_rank(ranked, keys)
-    hlv = daily_hlv(base, keys)
+    ends = first_and_last(candles, keys).withColumnsRenamed({k: f"_end_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_end_{k}")) for k in keys])
     others = [k for k in keys if k != "trade_date"]
-    return oc.join(hlv, keys, "inner").select(
+    return daily_hlv(candles, keys).join(ends, same).select(
         "trade_date", "open_price", "close_price", "high_price", "low_price", "volume", *others)
 
 
@@ -81,6 +79,17 @@ def union_frames(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def distinct_candles(candles: DataFrame, load_col: str = "load_date") -> DataFrame:
+    """A5 before A4: one candle for each begin of a ticker's load.
+
+    A load that repeats a candle counts it once; when the repeats differ, the
+    largest by volume, then by prices, is taken, so open and close do not
+    depend on the order of tasks.
+    """
+    order = [F.col(c).desc_nulls_last() for c in ("volume", "close", "open", "high", "low")]
+    return dedupe_latest(candles, ["ticker", load_col, "begin_ts"], order)
+
+
 def daily_ohlcv_latest_load(candles: DataFrame, load_col: str = "load_date") -> DataFrame:
     """S2 + F1 + A4 fused: the bar of each ticker's newest load, in one scan.
 

@@ -30,8 +30,3 @@ def on_day(df: DataFrame, process_date, column: str = "trade_date") -> DataFrame
     """Rows of one trade date.  On a typed timestamp source Catalyst rewrites
     ``to_date(ts) = D`` into a range that reaches the Parquet scan."""
     return df.where(F.col(column) == date_lit(process_date))
-
-
-def on_own_load_date(df: DataFrame, load_col: str = "load_date") -> DataFrame:
-    """Keep the candles of the file's own date; a file of D may carry D+1."""
-    return df.where(F.col("trade_date") == F.col(load_col))

@@ -50,6 +50,19 @@ def decode_pages(pages: DataFrame, page_col: str = "page", fields=CANDLE_FIELDS,
     return rows.select(*keep, "record_pos", *[field(n).alias(n) for n in fields])
 
 
+def page_records(pages: DataFrame, page_col: str = "page", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every record of every page as a JSON object of all its fields: (keep..., record_pos, record).
+
+    Values are JSON strings with the page's own text; a missing value is null.
+    """
+    named = pages.select(*keep, page_names(F.col(page_col)).alias("_names"),
+                         page_rows(F.col(page_col)).alias("_rows"))
+    rows = named.select(*keep, "_names", F.posexplode("_rows").alias("record_pos", "_row"))
+    width = F.least(F.size("_names"), F.size("_row"))
+    fields = F.map_from_arrays(F.slice("_names", 1, width), F.slice("_row", 1, width))
+    return rows.select(*keep, "record_pos", F.to_json(fields).alias("record"))
+
+
 def next_page_start(pages: DataFrame, page_col: str = "page", start_col: str = "start",
                     keep: tuple[str, ...] = ()) -> DataFrame:
     """Offset of the following request: current start (0 if absent) + raw row count.

@@ -11,6 +11,7 @@ Everything lives under one root folder (on a cluster: a shared store):
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 from dataclasses import dataclass, field
 
@@ -20,14 +21,14 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from lakebars.functions.params import as_date, as_datetime, parse_ticker_list, previous_dates
 from lakebars.operators.asof import mart_frame
-from lakebars.operators.bars import daily_ohlcv_latest_load
+from lakebars.operators.bars import daily_ohlcv_latest_load, distinct_candles
 from lakebars.operators.candles import typed_candles
-from lakebars.operators.quality import combine_counts, gate_metrics, gate_verdict
+from lakebars.operators.pages import page_records
+from lakebars.operators.quality import LOST_PRICES, combine_counts, gate_metrics, gate_verdict
 from lakebars.plans import sinks, tables
 from lakebars.schemas import DIMENSION, ISSUER, MART, ODS_BAR, PRICE, STAGED_BAR
 from lakebars.sources.files import read_parquet, read_raw_candles, read_snapshot
-from lakebars.sources.paged import make_paged_source, read_paged
-from lakebars.session import materialize
+from lakebars.sources.paged import read_pages
 from lakebars.sources.seed import universe_frame
 
 STAGED_TABLE = StructType([f for f in STAGED_BAR.fields if f.name != "trade_date"]
@@ -83,8 +84,7 @@ class Lakehouse:
 def land_snapshot(lh: Lakehouse, snapshot: DataFrame, load_date) -> sinks.WriteResult:
     """Reference snapshot -> Parquet under load_date=D (skipped when empty)."""
     path = os.path.join(lh.bronze_issuers, f"load_date={as_date(load_date)}")
-    return sinks.skip_if_empty(snapshot.select(*[f.name for f in ISSUER.fields]),
-                               lambda df: sinks.write_parquet(df, path), path)
+    return sinks.skip_if_empty(snapshot.select(*[f.name for f in ISSUER.fields]), path)
 
 
 def tagged_record(ticker="ticker", record="record"):
@@ -100,29 +100,41 @@ def land_candle_records(lh: Lakehouse, records: DataFrame) -> sinks.WriteResult:
     """(ticker, load_date, record JSON text) -> JSONL, one folder per load date.
 
     Only the load dates present in ``records`` are replaced (dynamic
-    overwrite through the writer option of a path write).
+    overwrite through the writer option of a path write), so no records
+    replace nothing and the records are computed once.
     """
     out = records.select(tagged_record().alias("line"), F.col("load_date").cast("string").alias("load_date"))
+    counted, obs = sinks.observed(out)
+    (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load_date").text(lh.bronze_candles))
+    rows = int(obs.get["rows"])
+    return sinks.WriteResult("WRITTEN" if rows else "SKIPPED", rows, lh.bronze_candles)
+
 
-    def write(df: DataFrame) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_date").text(lh.bronze_candles))
+def ingest_requests(spark: SparkSession, requests: DataFrame, lh: Lakehouse, fetch, advance=None,
+                    **options) -> sinks.WriteResult:
+    """Every request's page chain -> JSONL, in one job that fetches each page once."""
+    pages = read_pages(requests, fetch, advance, **options)
+    return land_candle_records(lh, page_records(pages, keep=("ticker", "load_date")))
 
-    return sinks.skip_if_empty(out, write, lh.bronze_candles)
 
+def bronze_ingest(spark: SparkSession, lh: Lakehouse, load_date, tickers, fetch, advance=None,
+                  snapshot: DataFrame | None = None, params: dict[str, dict] | None = None,
+                  common: dict | None = None) -> dict:
+    """L1: snapshot -> Parquet, then every ticker's page chain -> JSONL.
 
-def bronze_ingest(spark: SparkSession, lh: Lakehouse, load_date, tickers, fetch,
-                  paginate=None, snapshot: DataFrame | None = None) -> dict:
-    """L1: snapshot -> Parquet, then every ticker's page chain -> JSONL, in one job."""
+    ``common`` are request parameters for all tickers, ``params`` for single
+    ones; a day's request covers that day (``from`` and ``till``) unless
+    they say otherwise.  Wrap ``fetch`` in ``paged.with_retry`` for a real API.
+    """
     result = {}
     if snapshot is not None:
         result["issuers"] = land_snapshot(lh, snapshot, load_date)
-    kwargs = {} if paginate is None else {"paginate": paginate}
-    source = make_paged_source(fetch, **kwargs)
-    # Fetch every page chain exactly once: the emptiness check and the write
-    # below both read this side table, not the API.
-    records = materialize(read_paged(spark, source, parse_ticker_list(tickers), [as_date(load_date)]), "pages")
-    result["candles"] = land_candle_records(lh, records)
+    day = as_date(load_date)
+    rows = [(t, day, json.dumps({"from": str(day), "till": str(day), **(common or {}), **(params or {}).get(t, {})}))
+            for t in parse_ticker_list(tickers)]
+    requests = spark.createDataFrame(rows, "ticker string, load_date date, params string")
+    result["candles"] = ingest_requests(spark, requests, lh, fetch, advance)
     return result
 
 
@@ -130,17 +142,18 @@ def bronze_ingest(spark: SparkSession, lh: Lakehouse, load_date, tickers, fetch,
 
 def silver_bars(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
                 lookback_days: int = 1) -> DataFrame:
-    """S1 + S2 + P1/P2 + F1 + A4: the staged bars of one run.
+    """S1 + S2 + P1/P2 + A5 + F1 + A4: the staged bars of one run.
 
-    All tickers in one scan of the window's folders, one aggregation.
+    All tickers in one scan of the window's folders; repeated candles of a
+    load count once.
     """
     window = previous_dates(process_date, lookback_days)
     raw = read_raw_candles(spark, lh.bronze_candles, window)
     names = parse_ticker_list(tickers)
     if names:
-        raw = raw.join(F.broadcast(universe_frame(spark, names)), "ticker", "left_semi")
+        raw = raw.join(universe_frame(spark, names), "ticker", "left_semi")
     raw = raw.where(F.col("load_date").isin(window))
-    return daily_ohlcv_latest_load(typed_candles(raw, keep=("ticker", "load_date")))
+    return daily_ohlcv_latest_load(distinct_candles(typed_candles(raw, keep=("ticker", "load_date"))))
 
 
 def silver(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
@@ -178,43 +191,58 @@ def gold(spark: SparkSession, lh: Lakehouse, process_date, run_ts, strict: bool
     lh.ensure(spark)
     d = as_date(process_date)
     staged = spark.table(lh.t("stg_bars"))
-    source = staged.select(
-        "ticker", *[F.col(c).cast(PRICE).alias(c) for c in ("open_price", "close_price", "high_price", "low_price")],
-        "volume", F.lit(None).cast("timestamp_ntz").alias("load_dt"), "trade_date")
+    priced = {c: F.col(c).try_cast(PRICE) for c in ("open_price", "close_price", "high_price", "low_price")}
+    source = staged.select("ticker", *[x.alias(c) for c, x in priced.items()], "volume",
+                           F.lit(None).cast("timestamp_ntz").alias("load_dt"), "trade_date")
     # The gate runs after the upsert, over every day it touched (plus D): its
     # counts are observed while the merged partitions are written, so only an
     # untouched process date needs a query of its own.
     scope = None if gate_scope == "touched" else F.col("trade_date") == F.lit(d)
+    lost = [F.col(c).isNotNull() & x.isNull() for c, x in priced.items()]
+    lost = staged.where(scope if scope is not None else F.lit(True)).agg(
+        F.count_if(lost[0] | lost[1] | lost[2] | lost[3]).alias(LOST_PRICES)).first().asDict()
     dates, counts = tables.upsert_into(
         spark, lh.t("ods_bars"), source, ["ticker", "trade_date"],
         ["open_price", "close_price", "high_price", "low_price", "volume"], run_ts,
         observe=gate_metrics(where=scope))
-    days = sorted(set(dates) | {d})
-    ods = spark.table(lh.t("ods_bars")).where(F.col("trade_date").isin(days))
+    ods = spark.table(lh.t("ods_bars"))
     if d not in dates:
-        counts = combine_counts(counts, spark.table(lh.t("ods_bars")).where(F.col("trade_date") == F.lit(d))
+        counts = combine_counts(counts, ods.where(F.col("trade_date") == F.lit(d))
                                 .agg(*gate_metrics()).first().asDict())
-    gate = gate_verdict(counts)
+    gate = gate_verdict(combine_counts(counts, lost))
     dim_stats = tables.scd2_publish(spark, lh.t("dim_issuers"), spark.table(lh.t("stg_issuers")),
                                     run_ts, strict=strict)
-    dim = spark.table(lh.t("dim_issuers")).drop("version_end")
-    built = tables.replace_days(spark, lh.t("mart_daily"), mart_frame(ods, dim), days)
-    return {"ods_dates": dates, "gate": gate, "dimension": dim_stats, "mart_days": built}
+    days = set(dates) | {d}
+    if dim_stats["changed_until"]:
+        # a late run changed versions of days after its own: their marts follow
+        changed = ods.where((F.col("trade_date") >= F.to_date(F.lit(as_datetime(run_ts))))
+                            & (F.col("trade_date") < F.lit(dim_stats["changed_until"])))
+        days |= {r[0] for r in changed.select("trade_date").distinct().collect()}  # calendar days
+    days = sorted(days)
+    # only versions that end after the first day can cover one of the days
+    dim = spark.table(lh.t("dim_issuers")).where(F.col("version_end") > F.lit(days[0])).drop("version_end")
+    built = tables.replace_days(spark, lh.t("mart_daily"), mart_frame(
+        ods.where(F.col("trade_date").isin(days)), dim), days)
+    return {"ods_dates": dates, "gate": gate, "dimension": dim_stats, "mart_days": built, "rebuilt": days}
 
 
 # ---------------------------------------------------------------- L4 serving
 
-def serving(spark: SparkSession, lh: Lakehouse, process_date) -> sinks.WriteResult:
+def serving(spark: SparkSession, lh: Lakehouse, process_date, clear_empty: bool = False) -> sinks.WriteResult:
     """L4: mart day -> Parquet export -> buffer -> swap of the serving day.
 
-    An empty day is skipped: buffer and serving partition stay as they are.
+    An empty day is skipped: buffer and serving partition stay as they are,
+    unless ``clear_empty`` says that the day was rebuilt and has no rows any
+    more; then the serving day is emptied too.
     """
     lh.ensure(spark)
     d = as_date(process_date)
     path = lh.export_path(d)
     day_rows = spark.table(lh.t("mart_daily")).where(F.col("trade_date") == F.lit(d)).drop("trade_date")
-    result = sinks.skip_if_empty(day_rows, lambda df: sinks.write_parquet(df, path), path)
+    result = sinks.skip_if_empty(day_rows, path)
     if result.status == "SKIPPED":
+        if clear_empty:
+            tables.clear_day(spark, lh.t("serving"), d)
         return result
     tables.truncate(spark, lh.t("serving_buffer"))
     exported = read_parquet(spark, path, EXPORT_SCHEMA).withColumn("trade_date", F.lit(d))
@@ -225,10 +253,16 @@ def serving(spark: SparkSession, lh: Lakehouse, process_date) -> sinks.WriteResu
 
 def daily_run(spark: SparkSession, lh: Lakehouse, process_date, run_ts, tickers=None,
               lookback_days: int = 1, strict: bool = True, gate_scope: str = "touched") -> dict:
-    """L2 -> L3 -> L4 for one process date."""
+    """L2 -> L3 -> L4 for one process date; every day that gold rebuilt is served.
+
+    ``serving`` is the process date's result, ``served`` that of every day.
+    """
     out = {"silver": silver(spark, lh, process_date, tickers, lookback_days)}
     out["gold"] = gold(spark, lh, process_date, run_ts, strict, gate_scope)
-    out["serving"] = serving(spark, lh, process_date)
+    touched = set(out["gold"]["ods_dates"])
+    out["served"] = {day: serving(spark, lh, day, clear_empty=day in touched or day != as_date(process_date))
+                     for day in out["gold"]["rebuilt"]}
+    out["serving"] = out["served"][as_date(process_date)]
     return out
 
 

@@ -17,18 +17,6 @@ RAW_CANDLE = StructType([
     StructField("volume", StringType()),
 ])
 
-# Typed minute candle (silver input after the cast projection).
-CANDLE = StructType([
-    StructField("ticker", StringType()),
-    StructField("begin_ts", TimestampNTZType()),
-    StructField("open", DoubleType()),
-    StructField("close", DoubleType()),
-    StructField("high", DoubleType()),
-    StructField("low", DoubleType()),
-    StructField("volume", LongType()),
-    StructField("trade_date", DateType()),
-])
-
 # Raw API page: {"candles": {"metadata": {...}, "data": [[...], ...]}}
 PAGE = StructType([
     StructField("candles", StructType([
@@ -89,9 +77,7 @@ MART = StructType([
     StructField("trade_date", DateType()),
 ])
 
-ISSUER_COLUMNS = [f.name for f in ISSUER.fields]
 ISSUER_ATTRIBUTES = ["company_name", "sector", "dividend_policy_active"]
-BAR_MEASURES = ["open_price", "close_price", "high_price", "low_price", "volume"]
 
 
 def ddl(schema: StructType) -> str:

@@ -1,4 +1,4 @@
-"""File scans of the landing zone.
+"""File scans of the landing zone (S1-S3, S7; S8 is ``spark.table``).
 
 Layout written by :mod:`lakebars.plans.jobs`:
 
@@ -95,12 +95,3 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     """A Parquet object/folder read as a table."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
-
-
-def read_table(spark: SparkSession, name: str, columns: list[str] | None = None,
-               where=None) -> DataFrame:
-    """A catalog table scan; projection and predicate reach the scan."""
-    df = spark.table(name)
-    if where is not None:
-        df = df.where(where)
-    return df.select(*columns) if columns else df

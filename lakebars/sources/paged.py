@@ -1,154 +1,150 @@
-"""Paged REST source (S5) with a user pagination callable.
+"""Paged REST source (S5) with a user pagination rule.
 
-A Python Data Source with one input partition per (ticker, load date): each
-task walks its own page chain, so tickers and dates are fetched in parallel
-and a failed task is simply retried by Spark.  ``fetch(params) -> page`` and
-``paginate(page, params) -> (records, next_params)`` are injected; every
-record leaves the source as one JSON text row.
+A request is one row (ticker, load date, parameters); its page chain is
+walked by one task, requests run in parallel, and a failed task is retried
+by Spark.  The source returns the pages as they came, one row each: what
+they hold is decoded by :mod:`lakebars.operators.pages`.
+
+``fetch(params)`` returns a page (text, or a parsed object), and
+``advance(page, params)`` says how many records it has and which request
+follows; both are injected.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import json
+import random
 import sys
+import time
 from typing import Callable, Iterator
 
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
-RECORD_SCHEMA = "ticker string, load_date date, request_start bigint, record_pos int, record string"
+PAGE_SCHEMA = "ticker string, load_date date, request_start bigint, page string"
+#: HTTP statuses after which a request is tried again.
+RETRY_STATUSES = frozenset({429, 500, 502, 503, 504})
 
 
-def exchange_pagination(data, params: dict):
-    """E1 for the exchange's candle pages: array-of-arrays -> dict records.
+class PageError(RuntimeError):
+    """A page that does not have the expected form, or a chain that does not advance."""
 
-    Names are the metadata keys in order; ``zip`` cuts to the shorter side
-    and a repeated name keeps its last value.  The next request starts at the
-    current start + raw row count; an empty page ends paging.  Malformed
-    pages (missing keys, wrong types) end paging quietly.
-    """
-    try:
-        block = data.get("candles", {})
-        rows = block.get("data", [])
-        names = list(block.get("metadata", {}).keys())
-        records = [dict(zip(names, row)) for row in rows]
-        if not records:
-            return [], None
-        return records, {**params, "start": params.get("start", 0) + len(rows)}
-    except (KeyError, TypeError):
-        return [], None
-
-
-def walk_pages(fetch: Callable[[dict], object], paginate: Callable | None, params: dict,
-               max_requests: int = 1_000_000) -> Iterator[tuple[int, list]]:
-    """Yield (request start, records) until an empty page or no next params.
-
-    Without a pagination callable a list response is the records, anything
-    else one record, and there is no next page.
-    """
-    current = dict(params)
-    for _ in range(max_requests):
-        data = fetch(current)
-        if paginate is None:
-            records, nxt = (list(data) if isinstance(data, list) else [data]), None
-        else:
-            records, nxt = paginate(data, current)
-        if not records:
-            return
-        yield int(current.get("start", 0) or 0), records
-        if not nxt:
-            return
-        current = nxt
-    raise RuntimeError("paging did not end")
 
+class FetchError(RuntimeError):
+    """What a ``fetch`` raises for an HTTP error; ``retry_after`` in seconds if the server named it."""
 
-class _Partition(InputPartition):
-    def __init__(self, ticker: str, load_date: str):
-        super().__init__((ticker, load_date))
-        self.ticker = ticker
-        self.load_date = load_date
+    def __init__(self, message: str, status: int | None = None, retry_after: float | None = None):
+        super().__init__(message)
+        self.status, self.retry_after = status, retry_after
 
 
-def make_paged_source(fetch: Callable[[dict], object], paginate: Callable | None = exchange_pagination,
-                      name: str = "paged_api") -> type:
-    """Build a DataSource class bound to ``fetch``/``paginate`` (pickled to the workers).
+def with_retry(fetch: Callable[[dict], object], retries: int = 5, least_wait: float = 1.0, most_wait: float = 30.0,
+               statuses=RETRY_STATUSES, sleep: Callable[[float], None] = time.sleep,
+               jitter: Callable[[], float] = random.random) -> Callable[[dict], object]:
+    """``fetch`` tried again after failures that may pass: lost connections, timeouts, ``statuses``.
 
-    Options: ``tickers`` (comma list), ``dates`` (comma list of ISO dates),
-    optional ``params`` (JSON object merged into every first request).
+    Waits double from ``least_wait`` to ``most_wait``, each shortened by up
+    to a half at random so that tasks do not come back together; a server's
+    ``Retry-After`` is waited for in full.
     """
+    def run(params: dict):
+        for attempt in range(retries + 1):
+            try:
+                return fetch(params)
+            except (FetchError, OSError) as error:   # OSError: connections and timeouts
+                status = getattr(error, "status", None)
+                passing = not isinstance(error, FetchError) or status in statuses
+                if not passing or attempt == retries:
+                    raise
+                named = getattr(error, "retry_after", None)
+                wait = min(most_wait, least_wait * 2 ** attempt) * (1 - jitter() / 2)
+            sleep(named if named is not None else wait)
+
+    return run
+
+
+def exchange_rows(page: str) -> int:
+    """Records of an exchange page: the length of ``candles.data``, which may be missing."""
+    try:
+        body = json.loads(page)
+    except ValueError as error:
+        raise PageError(f"page is no JSON: {page[:80]!r}") from error
+    block = body.get("candles", {}) if isinstance(body, dict) else None
+    rows = block.get("data", []) if isinstance(block, dict) else None
+    if not isinstance(rows, list) or not all(isinstance(r, list) for r in rows):
+        raise PageError(f"page without a list of records: {page[:80]!r}")
+    return len(rows)
 
-    class _Reader(DataSourceReader):
-        def __init__(self, options):
-            self.options = options
-
-        def partitions(self):
-            tickers = [t.strip() for t in self.options.get("tickers", "").split(",") if t.strip()]
-            dates = [d.strip() for d in self.options.get("dates", "").split(",") if d.strip()]
-            return [_Partition(t, d) for t in tickers for d in dates]
-
-        def read(self, partition):
-            base = json.loads(self.options.get("params", "{}"))
-            params = {**base, "ticker": partition.ticker, "date": partition.load_date}
-            load_date = dt.date.fromisoformat(partition.load_date)
-            for start, records in walk_pages(fetch, paginate, params):
-                for pos, record in enumerate(records):
-                    yield (partition.ticker, load_date, start, pos,
-                           json.dumps(record, ensure_ascii=False))
-
-    class _Source(DataSource):
-        @classmethod
-        def name(cls):
-            return name
 
-        def schema(self):
-            return RECORD_SCHEMA
+def advance_by_rows(count: Callable[[str], int] = exchange_rows):
+    """E1 for offset paging: the next request starts after the records received; an empty page ends the chain."""
+    def advance(page: str, params: dict) -> tuple[int, dict | None]:
+        n = count(page)
+        return n, {**params, "start": int(params.get("start") or 0) + n} if n else None
 
-        def reader(self, schema):
-            return _Reader(self.options)
+    return advance
 
-    return _Source
 
+def single_page(page: str, params: dict) -> tuple[int, dict | None]:
+    """No pagination: whatever came is the only page; an empty list or no body has no records."""
+    body = json.loads(page)
+    return (len(body) if isinstance(body, list) else int(body is not None)), None
 
-def _ship_by_value() -> None:
-    """Pickle this module's classes and functions by value, so the Python
-    workers need neither this package installed nor the driver's path."""
-    from pyspark import cloudpickle
 
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+def page_chain(fetch: Callable[[dict], object], advance, params: dict,
+               on_bad_page: str = "raise") -> Iterator[tuple[int, str]]:
+    """``(request start, page text)`` of every page with records, until a page has none or no request follows.
 
-
-def read_paged(spark: SparkSession, source_cls: type, tickers: list[str], dates: list,
-               params: dict | None = None):
-    """Register ``source_cls`` and read all (ticker, date) page chains."""
-    _ship_by_value()
-    spark.dataSource.register(source_cls)
-    return (spark.read.format(source_cls.name())
-            .option("tickers", ",".join(tickers))
-            .option("dates", ",".join(str(d) for d in dates))
-            .option("params", json.dumps(params or {}))
-            .load())
+    A malformed page raises, so that Spark retries the task instead of
+    losing the rest of the chain; ``on_bad_page="stop"`` ends the chain there.
+    A request that repeats the one before raises: the chain would not end.
+    """
+    if on_bad_page not in ("raise", "stop"):
+        raise ValueError(f"unknown on_bad_page={on_bad_page!r}")
+    request = dict(params)
+    while True:
+        body = fetch(request)
+        page = body if isinstance(body, str) else json.dumps(body, ensure_ascii=False)
+        try:
+            records, following = advance(page, request)
+        except PageError:
+            if on_bad_page == "stop":
+                return
+            raise
+        if records:
+            yield int(request.get("start") or 0), page
+        if not records or following is None:
+            return
+        if following == request:
+            raise PageError(f"paging does not advance after {request}")
+        request = following
 
 
-def file_page_fetch(pages_root: str) -> Callable[[dict], object]:
-    """A fetch that serves pages landed under ``ticker=/trade_date=/start=`` folders.
+def read_pages(requests: DataFrame, fetch: Callable[[dict], object], advance=None, parallelism: int | None = None,
+               on_bad_page: str = "raise") -> DataFrame:
+    """All pages of ``requests(ticker, load_date[, params])``; ``params`` is a JSON object for that request.
 
-    Stands in for the HTTP API in tests and in the registered query; opens
-    files through pyarrow's filesystem layer so any shared store works.
+    Every request carries its own parameters, with ``ticker`` and ``date``
+    added.  ``parallelism`` is the number of tasks that fetch at a time at
+    most (the cores of the session by default).
     """
-    def fetch(params: dict):
-        from pyarrow import fs as pafs
-
-        folder = (f"{pages_root}/ticker={params['ticker']}/trade_date={params['date']}"
-                  f"/start={int(params.get('start', 0) or 0)}")
-        filesystem, path = pafs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder)
-        info = filesystem.get_file_info(pafs.FileSelector(path, allow_not_found=True))
-        for item in info:
-            if item.type == pafs.FileType.File and not item.base_name.startswith(("_", ".")):
-                with filesystem.open_input_stream(item.path) as stream:
-                    text = stream.read().decode("utf-8").strip()
-                if text:
-                    return json.loads(text)
-        return {"candles": {"metadata": {}, "data": []}}
-
-    return fetch
+    from pyspark import cloudpickle
+
+    # Ship this module by value: workers need neither the package nor the driver's path.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    rule = advance or advance_by_rows()
+    width = parallelism or requests.sparkSession.sparkContext.defaultParallelism
+    if "params" not in requests.columns:
+        requests = requests.selectExpr("*", "CAST(NULL AS STRING) AS params")
+    dealt = requests.selectExpr("ticker", "CAST(load_date AS DATE) AS load_date", "params").repartition(width)
+
+    def run(batches):
+        for batch in batches:
+            for ticker, day, own in zip(*(c.to_pylist() for c in batch.columns)):
+                params = {**json.loads(own or "{}"), "ticker": ticker, "date": str(day)}
+                for start, page in page_chain(fetch, rule, params, on_bad_page):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([ticker], pa.string()), pa.array([day], pa.date32()), pa.array([start], pa.int64()),
+                         pa.array([page], pa.string())], ["ticker", "load_date", "request_start", "page"])
+
+    return dealt.mapInArrow(run, PAGE_SCHEMA)
