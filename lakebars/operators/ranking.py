@@ -1,27 +1,27 @@
 """Row numbers inside groups that may be arbitrarily large.
 
 ``row_number() OVER (PARTITION BY key ORDER BY ts)`` sends a whole group to
-one task.  Here every row gets a *piece*: the number of approximate
-quantiles of the order column at or below its value.  The quantiles follow
-the mass of the data, so a key holding a third of all rows spreads over
-about a third of the pieces.  Rows are numbered inside (key, piece) by an
-ordinary window; the largest number in each (key, piece) is its size, and
-a small table of those sizes supplies the offset of each piece within its
-key.
+one task.  Here every row gets a *piece*: the stretch of ``width`` units of
+the order column it falls in.  A group has as many pieces as stretches it
+spans, so a busy group is cut however many other groups there are, and no
+pass over the data is needed to find the cuts.  Rows are numbered inside
+(key, piece) by an ordinary window; the largest number in each (key, piece)
+is its size, and a small table of those sizes supplies the offset of each
+piece within its key.
 
 Pieces are a pure function of the row, so every consumer recomputes the
 same numbers: nothing is materialised, and a lost task recomputes exactly
-what it had.  Only the quantile boundaries (``pieces - 1`` numbers) reach
-the driver.
+what it had.  Nothing reaches the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-DEFAULT_PIECES = 64
+# Width of a piece: 15 minutes of a timestamp, one day of a date, one unit of a number.
+TIME_WIDTH = 900.0
 
 
 def _numeric_order(df: DataFrame, column: str):
@@ -40,44 +40,45 @@ def _numeric_order(df: DataFrame, column: str):
     return c
 
 
-def assign_pieces(df: DataFrame, column: str, pieces: int = DEFAULT_PIECES) -> DataFrame:
-    """Add ``_piece`` (-1 for NULL, else 0..pieces-1), monotone in ``column``.
+def assign_pieces(df: DataFrame, column: str, width: float | None = None) -> DataFrame:
+    """Add ``_piece`` (NULL where the order value is), monotone in ``column``.
 
-    One distributed ``approxQuantile`` pass finds the boundaries.
+    Columns that are neither times nor numbers have one piece.
     """
-    with_num = df.withColumn("_ord", _numeric_order(df, column).cast("double"))
-    probs = [i / pieces for i in range(1, pieces)]
-    bounds = sorted({b for b in with_num.approxQuantile("_ord", probs, 1.0 / (pieces * 4)) if b is not None})
-    bound_arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    piece = F.when(F.col("_ord").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(bound_arr, lambda b: b <= F.col("_ord"))))
-    return with_num.withColumn("_piece", piece)
+    dtype = df.schema[column].dataType
+    if not isinstance(dtype, (TimestampType, TimestampNTZType, DateType, NumericType)):
+        return df.withColumn("_piece", F.lit(0).cast("bigint"))
+    timed = isinstance(dtype, (TimestampType, TimestampNTZType))
+    unit = (width if width is not None else TIME_WIDTH if timed else 1.0) * (1e6 if isinstance(dtype, TimestampType) else 1.0)
+    value = _numeric_order(df, column).cast("double") / F.lit(float(unit))
+    # NaN and the infinities are at the ends; greatest and least would take NULL for the other value
+    bounded = F.when(F.isnan(value) | (value > 9e18), F.lit(9e18)).when(value < -9e18, F.lit(-9e18)).otherwise(value)
+    return df.withColumn("_piece", F.floor(bounded).cast("bigint"))
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list[str], rank_col: str = "rn",
                 size_col: str | None = "group_rows", descending_col: str | None = None,
-                pieces: int = DEFAULT_PIECES) -> DataFrame:
+                width: float | None = None) -> DataFrame:
     """Add the 1-based position of every row in its group by ``order`` (one
     column, ascending, NULLs first).  ``size_col`` carries the group size;
     ``descending_col`` the position from the end (``size - rn + 1``)."""
     if len(order) != 1:
         raise NotImplementedError("rank_within orders by a single column")
     (o,) = order
-    pieced = assign_pieces(df, o, pieces)
+    pieced = assign_pieces(df, o, width)
 
     # Number rows inside (key, piece); the same shuffle also yields each
-    # piece's size (its largest local number), so the input is scanned once
-    # more only for the quantiles.
+    # piece's size (its largest local number).
     local = pieced.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(F.col(o).asc_nulls_first())))
     counts = local.groupBy(*keys, "_piece").agg(F.max("_local").alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(F.col("_piece").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     if size_col or descending_col:
         counts = counts.withColumn("_size", F.sum("_n").over(Window.partitionBy(*keys)))
     counts = counts.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col("_piece").alias("_p_piece"),
                            "_before", *(["_size"] if size_col or descending_col else []))
-    cond = [F.col("_piece") == F.col("_p_piece")] + [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
+    cond = [F.col("_piece").eqNullSafe(F.col("_p_piece"))] + [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
     joined = local.join(counts, cond, "inner")
     rn = (F.col("_before") + F.col("_local")).cast("bigint")
     return joined.select(

@@ -22,6 +22,7 @@ from lakebars.operators.scd2 import empty_dimension, scd2_merge
 PROCESS_DATE = dt.date(2024, 1, 15)
 EARLY_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)    # load of snapshot v1
 RUN_TS = dt.datetime(2024, 1, 15, 0, 0, 0)         # merge of snapshot v2
+LATE_RUN_TS = dt.datetime(2024, 1, 8, 0, 0, 0)      # snapshot v2 for an earlier date, come late
 BASE_LOAD_TS = dt.datetime(2024, 1, 1, 0, 0, 0)    # load_dt of rows already in a target
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 PAGE_SIZE = 100
@@ -43,7 +44,7 @@ def raw_candles(events: DataFrame, by: str = "type") -> DataFrame:
     )
 
 
-def candles(spark: SparkSession, sf_dir: str, by: str = "type") -> DataFrame:
+def candles(spark: SparkSession, sf_dir: str, by: str = "type", keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed candles straight from the typed columns: filters on ``ts`` reach
     the Parquet scan and only the four used columns are read."""
     e = table(spark, sf_dir, "events")
@@ -52,7 +53,7 @@ def candles(spark: SparkSession, sf_dir: str, by: str = "type") -> DataFrame:
         ticker.alias("ticker"), F.col("ts").alias("begin_ts"),
         *[F.col("value").alias(c) for c in ("open", "close", "high", "low")],
         to_long(F.get_json_object("props", "$.k")).alias("volume"),
-        F.to_date("ts").alias("trade_date"),
+        F.to_date("ts").alias("trade_date"), *keep,
     )
 
 
@@ -89,3 +90,18 @@ def dimension_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dimension_v2(spark: SparkSession, sf_dir: str, run_ts=RUN_TS) -> DataFrame:
     return scd2_merge(dimension_v1(spark, sf_dir), snapshot_v2(spark, sf_dir), run_ts)
+
+
+EMPTY_PAGE = '{"candles":{"metadata":{},"data":[]}}'
+
+
+def page_requests(pages: DataFrame) -> DataFrame:
+    """One request for each (ticker, day) of encoded pages, carrying the pages that its server will answer with."""
+    own = F.map_from_entries(F.collect_list(F.struct(F.col("start").cast("string"), F.col("page"))))
+    return pages.groupBy("ticker", F.col("trade_date").alias("load_date")).agg(
+        F.to_json(F.struct(own.alias("pages"))).alias("params"))
+
+
+def serve_page(params: dict) -> str:
+    """Stands in for the HTTP API: the request's page at its offset, an empty one after the last."""
+    return params["pages"].get(str(params.get("start") or 0), EMPTY_PAGE)

@@ -2,14 +2,15 @@
 
 Written from the semantics, not from the Spark code: first/last through
 ``arg_min_null``/``arg_max_null``, dedup through ``QUALIFY``, upserts through
-``FULL OUTER JOIN``, the SCD2 merge as CTEs, the daily return through exact
-integer arithmetic on cents (half away from zero).
+``FULL OUTER JOIN``, the SCD2 merge as one branch for each outcome over the
+lined-up tickers, the daily return through exact integer arithmetic on cents (half away from zero).
 """
 
 from __future__ import annotations
 
 D = "DATE '2024-01-15'"
 D_PREV = "DATE '2024-01-14'"
+LATE_TS = "TIMESTAMP '2024-01-08 00:00:00'"
 RUN_TS = "TIMESTAMP '2024-01-15 00:00:00'"
 BASE_TS = "TIMESTAMP '2024-01-01 00:00:00'"
 START = "TIMESTAMP '1900-01-01 00:00:00'"
@@ -46,26 +47,37 @@ def issuers(version: int) -> str:
 HASH = "md5(concat_ws('||', company_name, sector, CAST(dividend_policy_active AS VARCHAR)))"
 
 
+def v1_dimension() -> str:
+    """v1 loaded into an empty dimension."""
+    return (f"SELECT ticker, company_name, sector, dividend_policy_active, {START} AS valid_from, "
+            f"{OPEN_END} AS valid_to, TRUE AS is_current FROM ({issuers(1)}) v1")
+
+
+def merged_dimension(run_ts: str = RUN_TS) -> str:
+    """v2 merged at ``run_ts``: tickers of both sides lined up once, then one branch for each outcome."""
+    same = (f"md5(concat_ws('||', p.old.company_name, p.old.sector, CAST(p.old.flag AS VARCHAR))) = "
+            f"md5(concat_ws('||', p.new.company_name, p.new.sector, CAST(p.new.flag AS VARCHAR)))")
+    packed = "{{'company_name': {t}.company_name, 'sector': {t}.sector, 'flag': {t}.dividend_policy_active}}"
+    pairs = (f"SELECT COALESCE(a.ticker, b.ticker) AS ticker, a.ticker IS NOT NULL AS was, b.ticker IS NOT NULL AS given, "
+             f"{packed.format(t='a')} AS old, {packed.format(t='b')} AS new "
+             f"FROM ({issuers(1)}) a FULL OUTER JOIN ({issuers(2)}) b ON a.ticker = b.ticker")
+    lined = f"SELECT p.*, was AND given AND NOT ({same}) AS changed FROM ({pairs}) p"
+
+    def branch(side: str, lo: str, hi: str, current: str, when: str) -> str:
+        return (f"SELECT ticker, {side}.company_name AS company_name, {side}.sector AS sector, "
+                f"{side}.flag AS dividend_policy_active, {lo} AS valid_from, {hi} AS valid_to, "
+                f"{current} AS is_current FROM ({lined}) l WHERE {when}")
+
+    return " UNION ALL ".join([
+        branch("old", START, run_ts, "FALSE", "changed"),                 # closed
+        branch("old", START, OPEN_END, "TRUE", "was AND NOT changed"),    # kept
+        branch("new", run_ts, OPEN_END, "TRUE", "changed"),               # opened after a closed one
+        branch("new", START, OPEN_END, "TRUE", "given AND NOT was"),      # opened for a new ticker
+    ])
+
+
 def scd2_ctes(run_ts: str = RUN_TS) -> str:
-    """dim1 = v1 loaded into an empty dimension; dim2 = v2 merged at run_ts."""
-    return f"""
-dim1 AS (SELECT ticker, company_name, sector, dividend_policy_active, {START} AS valid_from,
-                {OPEN_END} AS valid_to, TRUE AS is_current FROM ({issuers(1)}) v1),
-src AS (SELECT *, {HASH} AS row_hash FROM ({issuers(2)}) v2),
-cur AS (SELECT *, {HASH} AS row_hash FROM dim1 WHERE is_current),
-changed AS (SELECT DISTINCT s.ticker FROM src s JOIN cur c ON s.ticker = c.ticker
-            WHERE s.row_hash <> c.row_hash),
-dim2 AS (
-  SELECT ticker, company_name, sector, dividend_policy_active, valid_from,
-         CASE WHEN is_current AND ticker IN (SELECT ticker FROM changed) THEN {run_ts} ELSE valid_to END AS valid_to,
-         CASE WHEN is_current AND ticker IN (SELECT ticker FROM changed) THEN FALSE ELSE is_current END AS is_current
-  FROM dim1
-  UNION ALL
-  SELECT s.ticker, s.company_name, s.sector, s.dividend_policy_active,
-         CASE WHEN c.ticker IS NULL THEN {START} ELSE {run_ts} END AS valid_from,
-         {OPEN_END} AS valid_to, TRUE AS is_current
-  FROM src s LEFT JOIN cur c ON s.ticker = c.ticker
-  WHERE c.ticker IS NULL OR s.ticker IN (SELECT ticker FROM changed))"""
+    return f"dim1 AS ({v1_dimension()}), dim2 AS ({merged_dimension(run_ts)})"
 
 
 def mart(dim: str = "dim2") -> str:
@@ -82,11 +94,6 @@ JOIN {dim} d ON b.ticker = d.ticker AND b.trade_date >= CAST(d.valid_from AS DAT
             AND b.trade_date < CAST(d.valid_to AS DATE)"""
 
 
-def dim_v1_only() -> str:
-    return (f"dim1 AS (SELECT ticker, company_name, sector, dividend_policy_active, {START} AS valid_from, "
-            f"{OPEN_END} AS valid_to, TRUE AS is_current FROM ({issuers(1)}) v1)")
-
-
 LINEITEM_ORDER = ("l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, "
                   "l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC")
 LINEITEM_VALUES = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -142,14 +149,9 @@ def oracle_sql() -> dict[str, str]:
         "daily_ohlcv": bars("type"),
         "daily_ohlcv_by_user": bars("user"),
         "recombined_ohlcv": (
-            f"WITH r AS (SELECT *, row_number() OVER (PARTITION BY ticker, trade_date ORDER BY begin_ts) AS rn_o, "
-            f"row_number() OVER (PARTITION BY ticker, trade_date ORDER BY begin_ts DESC) AS rn_c FROM ({c_type}) c), "
-            f"oc AS (SELECT ticker, trade_date, max(CASE WHEN rn_o = 1 THEN open END) AS open_price, "
-            f"max(CASE WHEN rn_c = 1 THEN close END) AS close_price FROM r GROUP BY ticker, trade_date), "
-            f"hlv AS (SELECT ticker, trade_date, max(high) AS high_price, min(low) AS low_price, "
-            f"CAST(sum(volume) AS BIGINT) AS volume FROM ({c_type}) c GROUP BY ticker, trade_date) "
-            f"SELECT oc.trade_date, open_price, close_price, high_price, low_price, volume, oc.ticker "
-            f"FROM oc JOIN hlv ON oc.ticker = hlv.ticker AND oc.trade_date = hlv.trade_date"),
+            f"SELECT trade_date, (list(open ORDER BY begin_ts))[1] AS open_price, "
+            f"(list(close ORDER BY begin_ts DESC))[1] AS close_price, max(high) AS high_price, min(low) AS low_price, "
+            f"CAST(sum(volume) AS BIGINT) AS volume, ticker FROM ({c_type}) c GROUP BY ticker, trade_date"),
         "dedupe_latest": (f"SELECT * FROM lineitem QUALIFY row_number() OVER "
                           f"(PARTITION BY {li_keys} ORDER BY {LINEITEM_ORDER}) = 1"),
         "latest_available_load": (
@@ -163,9 +165,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT ticker, trade_date, page * 100 AS start, count(*) AS records, "
             f"page * 100 + count(*) AS next_start FROM r GROUP BY ticker, trade_date, page"),
         "universe_filter": f"SELECT * FROM ({c_type}) c WHERE ticker IN ('click', 'purchase', 'view')",
-        "union_frames": " UNION ALL ".join(
-            [f"SELECT * FROM ({c_type}) c WHERE ticker = '{t}'" for t in ("click", "error", "purchase", "signup", "view")]
-            + [f"SELECT * FROM ({c_type}) c WHERE ticker NOT IN ('click', 'error', 'purchase', 'signup', 'view') OR ticker IS NULL"]),
+        "union_frames": f"SELECT * FROM ({c_type}) a UNION ALL SELECT * FROM ({c_user}) b",
+        "silver_deduped": bars("user"),
         "dq_violations": (f"SELECT * FROM (SELECT *, concat_ws(',', {rules_case}) AS failed_rules "
                           f"FROM ({anomalies()}) a) v WHERE failed_rules <> ''"),
         "dq_gate": (f"SELECT trade_date, count(*) AS rows_checked, {rule_counts}, "
@@ -190,17 +191,19 @@ def oracle_sql() -> dict[str, str]:
             f"{_pick(LINEITEM_VALUES, flag='s.l_orderkey')}, "
             f"CASE WHEN s.l_orderkey IS NOT NULL THEN {RUN_TS} ELSE t.load_dt END AS load_dt "
             f"FROM t FULL OUTER JOIN s ON t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber"),
-        "insert_if_absent": (
-            "WITH t AS (SELECT * FROM customer WHERE c_nationkey < 10), "
-            "s AS (SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE')) "
-            "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS "
-            "(SELECT 1 FROM t WHERE t.c_custkey = s.c_custkey)"),
+        "insert_if_absent": "SELECT * FROM customer",
         "row_hash": (f"SELECT ticker, {HASH} AS row_hash FROM (SELECT CAST(c_custkey AS VARCHAR) AS ticker, "
                      f"c_name AS company_name, c_mktsegment AS sector, c_acctbal > 0 AS dividend_policy_active "
                      f"FROM customer) c"),
-        "scd2_changed": f"WITH {scd2_ctes()} SELECT ticker FROM changed",
-        "scd2_new": (f"WITH {scd2_ctes()} SELECT s.ticker, s.company_name, s.sector, s.dividend_policy_active "
-                     f"FROM src s WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.ticker = s.ticker)"),
+        "scd2_changed": f"WITH {scd2_ctes()} SELECT ticker FROM dim2 WHERE NOT is_current",
+        "scd2_new": (f"SELECT b.* FROM ({issuers(2)}) b LEFT JOIN ({issuers(1)}) a ON a.ticker = b.ticker "
+                     f"WHERE a.ticker IS NULL"),
+        "scd2_rerun_older_date": (
+            f"WITH {scd2_ctes()}, {scd2_ctes(LATE_TS).replace('dim1', 'early1').replace('dim2', 'early2')} "
+            f"SELECT * FROM dim2 WHERE is_current UNION ALL "
+            f"SELECT * FROM early2 WHERE NOT is_current UNION ALL "
+            f"SELECT ticker, company_name, sector, dividend_policy_active, {LATE_TS} AS valid_from, "
+            f"{RUN_TS} AS valid_to, FALSE AS is_current FROM early2 WHERE is_current AND valid_from = {LATE_TS}"),
         "scd2_merge": f"WITH {scd2_ctes()} SELECT * FROM dim2",
         "scd2_asof_join": (
             f"WITH {scd2_ctes()} SELECT b.ticker, b.trade_date, d.company_name, d.sector, "
@@ -217,12 +220,20 @@ def oracle_sql() -> dict[str, str]:
         "jsonl_round_trip": f"SELECT *, trade_date AS load_date FROM ({c_type}) c",
         "parquet_round_trip": issuers(1),
         "paged_source": c_type,
+        "bronze_daily": f"SELECT *, trade_date AS load_date FROM ({c_type}) c",
         "skip_if_empty": (
             f"SELECT DATE '2023-12-31' AS process_date, "
             f"CASE WHEN count(*) = 0 THEN 'SKIPPED' ELSE 'WRITTEN' END AS status, count(*) AS row_count "
             f"FROM events WHERE CAST(ts AS DATE) = DATE '2023-12-31' UNION ALL "
             f"SELECT {D} AS process_date, CASE WHEN count(*) = 0 THEN 'SKIPPED' ELSE 'WRITTEN' END AS status, "
             f"count(*) AS row_count FROM events WHERE CAST(ts AS DATE) = {D}"),
-        "daily_run_end_to_end": (f"WITH {scd2_ctes(next_day_ts)} SELECT {mart_cols} FROM ({mart()}) m "
-                                 f"WHERE trade_date = {D}"),
+        "daily_run_end_to_end": (
+            f"WITH {scd2_ctes(next_day_ts)}, own AS (SELECT ticker, CAST(ticker AS BIGINT) % 5 = 0 AS late, "
+            f"bool_or(trade_date = {D_PREV}) AS prev, bool_or(trade_date = {D}) AS day "
+            f"FROM ({bars('user')}) b GROUP BY ticker), "
+            f"m1 AS ({mart('dim1')}), m2 AS ({mart('dim2')}) "
+            f"SELECT {mart_cols.replace('ticker,', 'm1.ticker,', 1)} FROM m1 JOIN own ON own.ticker = m1.ticker "
+            f"WHERE trade_date = DATE '2024-01-13' AND (late OR NOT prev) UNION ALL "
+            f"SELECT {mart_cols.replace('ticker,', 'm2.ticker,', 1)} FROM m2 JOIN own ON own.ticker = m2.ticker "
+            f"WHERE trade_date = {D_PREV} AND NOT (late AND day) OR trade_date IN ({D}, DATE '2024-01-16')"),
     }

@@ -18,20 +18,20 @@ from pyspark.sql import functions as F
 from lakebars.functions.hashing import row_hash
 from lakebars.functions.params import date_lit, ts_lit
 from lakebars.operators.asof import asof_join, mart_frame
-from lakebars.operators.bars import (daily_hlv, daily_ohlcv, dedupe_latest, recombined_ohlcv,
-                                     union_frames)
+from lakebars.operators.bars import (daily_hlv, daily_ohlcv, daily_ohlcv_latest_load, dedupe_latest,
+                                     distinct_candles, recombined_ohlcv, union_frames)
 from lakebars.operators.candles import on_day, typed_candles
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
 from lakebars.operators.pages import decode_pages, encode_pages, next_page_start
 from lakebars.operators.quality import dq_summary, dq_violations, key_duplicates
 from lakebars.operators.ranking import candle_rank
-from lakebars.operators.scd2 import scd2_frames
+from lakebars.operators.scd2 import scd2_frames, scd2_merge
 from lakebars.plans import bindings as B
 from lakebars.plans import jobs, sinks, tables
-from lakebars.schemas import ISSUER_ATTRIBUTES, MART, PRICE, RAW_CANDLE
-from lakebars.session import apply_conf, new_run_dir
+from lakebars.schemas import ISSUER_ATTRIBUTES, MART, PRICE
+from lakebars.session import apply_conf, new_run_dir, scratch_database
 from lakebars.sources.files import latest_available, read_parquet, read_raw_candles, read_snapshot
-from lakebars.sources.paged import file_page_fetch, make_paged_source, read_paged
+from lakebars.sources.paged import read_pages
 from lakebars.sources.seed import universe_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,14 +118,22 @@ def q_next_page_offset(spark, sf_dir):
 
 def q_universe_filter(spark, sf_dir):
     universe = universe_frame(spark, "click,purchase,view")
-    return B.candles(spark, sf_dir).join(F.broadcast(universe), "ticker", "left_semi").select(*CANDLE_OUT)
+    return B.candles(spark, sf_dir).join(universe, "ticker", "left_semi").select(*CANDLE_OUT)
 
 
 def q_union_frames(spark, sf_dir):
-    c = B.candles(spark, sf_dir).select(*CANDLE_OUT)
-    frames = [c.where(F.col("ticker") == t) for t in B.EVENT_TYPES]
-    rest = c.where(~F.col("ticker").isin(*B.EVENT_TYPES) | F.col("ticker").isNull())
-    return union_frames(frames + [rest])
+    """Two frames of different tickers: busy ones (by event type) and small ones (by user)."""
+    return union_frames([B.candles(spark, sf_dir, by).select(*CANDLE_OUT) for by in ("type", "user")])
+
+
+def q_silver_deduped(spark, sf_dir):
+    """Daily bars of loads that repeat every third candle: repeats count once."""
+    c = B.candles(spark, sf_dir, "user", keep=("event_id",)).withColumn("load_date", F.col("trade_date"))
+    repeated = c.unionByName(c.where(F.col("event_id") % 3 == 0))
+    # every day is a load of its own: the day takes the part of the ticker's newest load
+    by_day = repeated.withColumn("ticker", F.concat_ws("|", "ticker", "trade_date"))
+    bars = daily_ohlcv_latest_load(distinct_candles(by_day))
+    return bars.withColumn("ticker", F.substring_index("ticker", "|", 1))
 
 
 # ------------------------------------------------------------ quality
@@ -177,9 +185,10 @@ def q_upsert_keeps_latest(spark, sf_dir):
 
 
 def q_insert_if_absent(spark, sf_dir):
+    """The whole table, every row twice, into a target that holds a part of it."""
     cust = B.table(spark, sf_dir, "customer")
     target = cust.where(F.col("c_nationkey") < 10)
-    source = cust.where(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"))
+    source = cust.unionByName(cust)
     return target.unionByName(insert_if_absent_frame(target, source, ["c_custkey"]))
 
 
@@ -205,6 +214,13 @@ def q_scd2_merge(spark, sf_dir):
     return B.dimension_v2(spark, sf_dir).drop("emitent_id")
 
 
+def q_scd2_rerun_older_date(spark, sf_dir):
+    """v1, v2, then v1's date again and v2's snapshot for a date between them, which comes late."""
+    dim = B.dimension_v2(spark, sf_dir)
+    again = scd2_merge(dim, B.snapshot_v1(spark, sf_dir), B.EARLY_RUN_TS)
+    return scd2_merge(again, B.snapshot_v2(spark, sf_dir), B.LATE_RUN_TS).drop("emitent_id")
+
+
 def q_scd2_asof_join(spark, sf_dir):
     joined = asof_join(_bars_by_user(spark, sf_dir), B.dimension_v2(spark, sf_dir))
     return joined.select("ticker", "trade_date", *ISSUER_ATTRIBUTES, "valid_from", "valid_to")
@@ -221,16 +237,8 @@ def q_mart_daily(spark, sf_dir):
 
 # ------------------------------------------------------------ table maintenance
 
-def _scratch_db(spark, name: str) -> tuple[str, str]:
-    """A fresh database in its own folder under the shared work root."""
-    root = new_run_dir(spark, name)
-    db = "lb_" + os.path.basename(root).replace("-", "_")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
-    return root, db
-
-
 def _loaded_mart(spark, sf_dir, name: str) -> tuple[str, DataFrame]:
-    root, db = _scratch_db(spark, name)
+    root, db = scratch_database(spark, name)
     t = f"{db}.mart_daily"
     tables.create_table(spark, t, MART, None, ("trade_date",))
     mart = _mart(spark, sf_dir)
@@ -252,7 +260,7 @@ def q_day_rebuild_empty(spark, sf_dir):
 
 
 def q_partition_replace(spark, sf_dir):
-    root, db = _scratch_db(spark, "partition_replace")
+    root, db = scratch_database(spark, "partition_replace")
     serving, buffer = f"{db}.serving", f"{db}.serving_buffer"
     tables.create_table(spark, serving, MART, None, ("trade_date",))
     tables.create_table(spark, buffer, MART, None, ("trade_date",))
@@ -273,7 +281,7 @@ def q_partition_replace(spark, sf_dir):
 
 
 def q_seed_reference(spark, sf_dir):
-    root, db = _scratch_db(spark, "seed_reference")
+    root, db = scratch_database(spark, "seed_reference")
     nation = B.table(spark, sf_dir, "nation")
     t = f"{db}.nation_ref"
     tables.create_table(spark, t, nation.schema)
@@ -305,17 +313,19 @@ def q_parquet_round_trip(spark, sf_dir):
 
 
 def q_paged_source(spark, sf_dir):
-    root = new_run_dir(spark, "pages")
-    pages = _pages(spark, sf_dir)
-    (pages.select("page", "ticker", F.col("trade_date").cast("string").alias("trade_date"), "start")
-     .write.mode("overwrite").partitionBy("ticker", "trade_date", "start").text(root))
-    events = B.table(spark, sf_dir, "events")
-    span = events.agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
-    days = [span["lo"] + dt.timedelta(days=i) for i in range((span["hi"] - span["lo"]).days + 1)]
-    tickers = sorted(r[0] for r in events.select("event_type").distinct().collect())
-    records = read_paged(spark, make_paged_source(file_page_fetch(root)), tickers, days)
-    raw = records.select("ticker", F.from_json("record", RAW_CANDLE).alias("r")).select("ticker", "r.*")
-    return typed_candles(raw).select(*CANDLE_OUT)
+    """Every page chain of the events fetched page by page, then decoded."""
+    requests = B.page_requests(_pages(spark, sf_dir))
+    rows = decode_pages(read_pages(requests, B.serve_page), keep=("ticker",))
+    return typed_candles(rows).select(*CANDLE_OUT)
+
+
+def q_bronze_daily(spark, sf_dir):
+    """L1 over all events: every page chain landed as JSONL and read back."""
+    root, db = scratch_database(spark, "bronze")
+    lh = jobs.Lakehouse(root, db=db)
+    jobs.ingest_requests(spark, B.page_requests(_pages(spark, sf_dir)), lh, B.serve_page)
+    landed = typed_candles(read_raw_candles(spark, lh.bronze_candles), keep=("ticker", "load_date"))
+    return landed.select(*CANDLE_OUT, "load_date")
 
 
 def q_skip_if_empty(spark, sf_dir):
@@ -324,26 +334,34 @@ def q_skip_if_empty(spark, sf_dir):
     rows = []
     for day in (dt.date(2023, 12, 31), B.PROCESS_DATE):
         path = os.path.join(root, str(day))
-        res = sinks.skip_if_empty(on_day(c, day), lambda df, p=path: sinks.write_parquet(df, p), path)
+        res = sinks.skip_if_empty(on_day(c, day), path)
         rows.append((day, res.status, res.rows))
     return spark.createDataFrame(rows, "process_date date, status string, row_count bigint")
 
 
 def q_daily_run_end_to_end(spark, sf_dir):
-    """L1 landing of every candle and two snapshots, then L2-L4 for D-1 and D."""
-    root = new_run_dir(spark, "lakehouse")
-    lh = jobs.Lakehouse(root, db="lb_" + os.path.basename(root).replace("-", "_")).ensure(spark)
-    prev = B.PROCESS_DATE - dt.timedelta(days=1)
+    """L1 landing of every candle, then L2-L4 for D-1, D and D+1; returns the whole serving table.
+
+    The D-1 candles of every fifth ticker arrive only after the run of D-1:
+    that run takes their D-2 load, and the run of D promotes their D-1 bars
+    (and serves that day again) if they have no load of D.  The second
+    snapshot comes with D and is valid from D+1 on.
+    """
+    root, db = scratch_database(spark, "lakehouse")
+    lh = jobs.Lakehouse(root, db=db).ensure(spark)
+    prev, following = B.PROCESS_DATE - dt.timedelta(days=1), B.PROCESS_DATE + dt.timedelta(days=1)
     raw = B.raw_candles(B.table(spark, sf_dir, "events"), by="user")
     landed = raw.withColumn("load_date", F.to_date(F.col("begin").try_cast("timestamp_ntz")))
     records = landed.select("ticker", "load_date", F.to_json(F.struct("begin", "open", "close", "high", "low", "volume")).alias("record"))
-    jobs.land_candle_records(lh, records)
+    late = (F.col("load_date") == date_lit(prev)) & (F.col("ticker").cast("bigint") % 5 == 0)
+    jobs.land_candle_records(lh, records.where(~late))
     jobs.land_snapshot(lh, B.snapshot_v1(spark, sf_dir), prev)
+    jobs.daily_run(spark, lh, prev, jobs.default_run_ts(prev))
+    jobs.land_candle_records(lh, records.where(F.col("load_date") == date_lit(prev)))
     jobs.land_snapshot(lh, B.snapshot_v2(spark, sf_dir), B.PROCESS_DATE)
-    for day in (prev, B.PROCESS_DATE):
+    for day in (B.PROCESS_DATE, following):
         jobs.daily_run(spark, lh, day, jobs.default_run_ts(day))
-    served = spark.table(lh.t("serving")).where(F.col("trade_date") == date_lit(B.PROCESS_DATE))
-    return _as_double(served)
+    return _as_double(spark.table(lh.t("serving")))
 
 
 QUERIES: dict[str, Query] = {
@@ -360,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "next_page_offset": q_next_page_offset,
     "universe_filter": q_universe_filter,
     "union_frames": q_union_frames,
+    "silver_deduped": q_silver_deduped,
     "dq_violations": q_dq_violations,
     "dq_gate": q_dq_gate,
     "key_duplicates": q_key_duplicates,
@@ -370,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "scd2_changed": q_scd2_changed,
     "scd2_new": q_scd2_new,
     "scd2_merge": q_scd2_merge,
+    "scd2_rerun_older_date": q_scd2_rerun_older_date,
     "scd2_asof_join": q_scd2_asof_join,
     "mart_daily": q_mart_daily,
     "day_rebuild": q_day_rebuild,
@@ -379,6 +399,7 @@ QUERIES: dict[str, Query] = {
     "jsonl_round_trip": q_jsonl_round_trip,
     "parquet_round_trip": q_parquet_round_trip,
     "paged_source": q_paged_source,
+    "bronze_daily": q_bronze_daily,
     "skip_if_empty": q_skip_if_empty,
     "daily_run_end_to_end": q_daily_run_end_to_end,
 }

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakebars.functions.returns import daily_return_pct
@@ -43,12 +44,14 @@ def test_upsert_cases(spark):
     out = sorted((r["k"] if r["k"] is not None else -1, r["v"], r["load_dt"])
                  for r in upsert_frame(target, source, ["k"], ["v"], RUN).collect())
     assert out == [(-1, "snull", RUN), (-1, "tnull", t0), (1, "new", RUN), (2, "keep", t0), (3, "ins", RUN)]
+    twice = source.where("k is null").unionByName(source)      # NULL keys never conflict, not even repeated rows
+    assert upsert_frame(target, twice, ["k"], ["v"], RUN).where("k is null").count() == 3
 
 
 def test_upsert_duplicate_source_key(spark):
     target = spark.createDataFrame([], TARGET)
     source = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "k bigint, v string, seq int")
-    with pytest.raises(DataQualityError):
+    with pytest.raises(PySparkException, match="repeated key"):
         upsert_frame(target, source, ["k"], ["v"], RUN).collect()
     out = upsert_frame(target, source, ["k"], ["v"], RUN, on_duplicate="latest",
                        latest_first=[F.col("seq").desc()]).collect()
@@ -95,8 +98,8 @@ def test_scd2_history_only_restarts_at_run(spark):
 
 def test_scd2_strict_rejects_duplicates(spark):
     snap = issuers(spark, [("A", "n", "s", True), ("A", "n", "t", True)])
-    with pytest.raises(DataQualityError):
-        scd2_merge(empty_dimension(spark), snap, RUN)
+    with pytest.raises(PySparkException, match="duplicate or NULL tickers"):
+        scd2_merge(empty_dimension(spark), snap, RUN).collect()
     loose = dim_rows(scd2_merge(empty_dimension(spark), snap, RUN, strict=False))
     assert len(loose) == 2  # both inserted as current, like the original SQL
 
@@ -135,8 +138,9 @@ def test_scd2_loose_null_and_duplicate_tickers(spark):
     assert sum(1 for r in once if r[0] == "") == 1
     twice = dim_rows(scd2_merge(scd2_merge(dim, snap, RUN, strict=False), snap, RUN, strict=False))
     assert sum(1 for r in twice if r[0] == "") == 2
-    with pytest.raises(DataQualityError):
-        scd2_merge(dim, snap, RUN)  # strict rejects both problems
+    for bad in (snap.where("ticker is null"), snap.where("ticker = 'A'")):
+        with pytest.raises(PySparkException, match="duplicate or NULL tickers"):
+            scd2_merge(dim, bad, RUN).collect()  # strict rejects both problems
 
 
 def test_insert_if_absent_first_wins(spark):

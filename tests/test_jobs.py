@@ -51,9 +51,9 @@ def test_partition_swap_from_buffer(spark, lakehouse):
 def test_skip_if_empty(spark):
     path = os.path.join(new_run_dir(spark, "skip"), "out")
     empty = spark.range(5).where("id < 0")
-    res = sinks.skip_if_empty(empty, lambda df: sinks.write_parquet(df, path), path)
+    res = sinks.skip_if_empty(empty, path)
     assert res.status == "SKIPPED" and res.rows == 0 and not os.path.exists(path)
-    res = sinks.skip_if_empty(spark.range(5), lambda df: sinks.write_parquet(df, path), path)
+    res = sinks.skip_if_empty(spark.range(5), path)
     assert res.status == "WRITTEN" and res.rows == 5
 
 
@@ -108,6 +108,78 @@ def test_daily_run_fallback_and_idempotence(spark, lakehouse):
     assert sorted(tuple(r) for r in spark.table(lh.t("dim_issuers")).collect()) == dim1
 
 
+def test_older_dates_rerun_in_any_order(spark, lakehouse):
+    """Dates 15, 16 (attribute changed), then both again, then a late third one between: one mart row each."""
+    lh, days = lakehouse, [dt.date(2024, 1, d) for d in (15, 16, 17)]
+    land(spark, lh, [("A", d, f"{d} 10:00:00", "10", "1") for d in days])
+    for d, sector in zip(days, ("old", "new", "new")):
+        jobs.land_snapshot(lh, snapshot(spark, [("A", "a", sector, True)]), d)
+    for d in (days[0], days[1], days[0], days[1], days[2], days[0]):
+        jobs.daily_run(spark, lh, d, jobs.default_run_ts(d))
+    versions = sorted((r["valid_from"], r["valid_to"], r["sector"]) for r in spark.table(lh.t("dim_issuers")).collect())
+    cut = dt.datetime(2024, 1, 17)
+    assert versions == [(dt.datetime(1900, 1, 1), cut, "old"), (cut, dt.datetime(9999, 12, 31, 23, 59, 59), "new")]
+    mart = sorted((r["trade_date"], r["sector"]) for r in spark.table(lh.t("mart_daily")).collect())
+    assert mart == [(days[0], "old"), (days[1], "old"), (days[2], "new")]
+    assert sorted(map(tuple, spark.table(lh.t("serving")).collect())) == sorted(map(tuple, spark.table(
+        lh.t("mart_daily")).collect()))
+    # a corrected snapshot of an older date changes the days from then to the next version, marts included
+    jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "fixed", True)]), days[0])
+    out = jobs.daily_run(spark, lh, days[0], jobs.default_run_ts(days[0]))
+    assert out["gold"]["rebuilt"] == days[:2]
+    served = sorted((r["trade_date"], r["sector"]) for r in spark.table(lh.t("serving")).collect())
+    assert served == [(days[0], "old"), (days[1], "fixed"), (days[2], "new")]
+
+
+def test_late_fallback_rows_are_served(spark, lakehouse):
+    lh = lakehouse
+    land(spark, lh, [("A", D1, "2024-01-02 10:00:00", "10", "1")])
+    jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "s", True), ("B", "b", "s", True)]), D1)
+    jobs.daily_run(spark, lh, D1, jobs.default_run_ts(D1))
+    land(spark, lh, [("A", D1, "2024-01-02 10:00:00", "10", "1"), ("B", D1, "2024-01-02 10:00:00", "7", "1"),
+                     ("A", D2, "2024-01-03 10:00:00", "11", "1")])
+    out = jobs.daily_run(spark, lh, D2, jobs.default_run_ts(D2))
+    assert sorted(out["served"]) == [D1, D2]
+    served = sorted((r["trade_date"], r["ticker"]) for r in spark.table(lh.t("serving")).collect())
+    assert served == [(D1, "A"), (D1, "B"), (D2, "A")]
+
+
+def test_bad_and_repeated_candles(spark, lakehouse):
+    from lakebars.operators.quality import DataQualityError
+
+    lh = lakehouse
+    day = "2024-01-03"
+    land(spark, lh, [("A", D2, f"{day} 10:00:00", "10", "5"), ("A", D2, f"{day} 10:00:00", "10", "5"),
+                     ("A", D2, f"{day} 10:01:00", "NaN", "1"), ("A", D2, f"{day} 10:02:00", "Infinity", "1"),
+                     ("A", D2, f"{day} 10:03:00", "12", "2")])
+    jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "s", True), ("B", "b", "s", True)]), D2)
+    jobs.daily_run(spark, lh, D2, jobs.default_run_ts(D2))
+    (bar,) = spark.table(lh.t("mart_daily")).collect()
+    assert [float(bar[c]) for c in ("open_price", "close_price", "high_price", "low_price")] == [10, 12, 12, 10]
+    assert bar["volume"] == 9                                  # the repeated candle counts once
+    land(spark, lh, [("A", D2, f"{day} 10:00:00", "10", "5"), ("B", D2, f"{day} 10:00:00", "1e300", "5")])
+    jobs.silver(spark, lh, D2)
+    with pytest.raises(DataQualityError, match="price_out_of_range"):
+        jobs.gold(spark, lh, D2, jobs.default_run_ts(D2))
+    assert spark.table(lh.t("ods_bars")).where("ticker = 'B' and open_price is null").count() == 1
+
+
+def test_candle_pieces_of_a_hot_ticker(spark):
+    """Four years of days, one ticker with a third of all candles: each of its days is cut in many pieces."""
+    from lakebars.operators.ranking import assign_pieces, candle_rank
+
+    rows = spark.range(4 * 365 * 24).selectExpr(
+        "IF(id % 3 = 0, 'HOT', concat('T', id % 50)) AS ticker",
+        "timestamp_ntz'2020-01-01' + make_dt_interval(0, CAST(id AS INT), 0, 0) AS begin_ts")
+    rows = rows.selectExpr("*", "to_date(begin_ts) AS trade_date")
+    pieces = (assign_pieces(rows, "begin_ts").where("ticker = 'HOT'").groupBy("trade_date")
+              .agg(F.countDistinct("_piece").alias("n"), F.count("*").alias("rows")))
+    assert pieces.where("n < rows").count() == 0
+    ranked = candle_rank(rows).where("ticker = 'HOT'").groupBy("trade_date").agg(
+        F.max("rn_open").alias("n"), F.countDistinct("rn_open").alias("d"), F.count("*").alias("rows"))
+    assert ranked.where("n <> rows or d <> rows").count() == 0
+
+
 def test_scd2_publish_two_runs(spark, lakehouse):
     lh = lakehouse
     t = lh.t("dim_issuers")
@@ -130,6 +202,8 @@ def test_empty_day_serving_skipped(spark, lakehouse):
 def test_bronze_ingest_then_silver(spark, lakehouse):
     """L1 with an injected API: every (ticker, date) page chain lands as JSONL."""
     def fetch(params):
+        assert params["from"] == params["till"] == params["date"] and params["interval"] == (
+            24 if params["ticker"] == "B" else 1)
         start = params.get("start", 0)
         rows = [] if start >= 4 else [
             [10 + start + i, 11 + start + i, 12, 9, 100, 5, f"{params['date']} 10:0{start + i}:00"]
@@ -138,7 +212,8 @@ def test_bronze_ingest_then_silver(spark, lakehouse):
                                          "volume": {}, "begin": {}}, "data": rows}}
 
     snap = snapshot(spark, [("A", "a", "s", True), ("B", "b", "s", True)])
-    res = jobs.bronze_ingest(spark, lakehouse, D2, "A,B", fetch, snapshot=snap)
+    res = jobs.bronze_ingest(spark, lakehouse, D2, "A,B", fetch, snapshot=snap, common={"interval": 1},
+                             params={"B": {"interval": 24}})
     assert res["candles"].rows == 8 and res["issuers"].rows == 2
     out = jobs.silver(spark, lakehouse, D2, "A")
     bars = spark.table(lakehouse.t("stg_bars")).collect()
@@ -331,3 +406,21 @@ def test_seed_rows_and_create_if_missing(spark, lakehouse):
         tables.insert_if_absent_into(spark, t, seed, ["ticker"])
     assert sorted(r["ticker"] for r in spark.table(t).collect()) == ["A", "B"]
     assert spark.table(t).schema == ISSUER or [f.name for f in spark.table(t).schema] == [f.name for f in ISSUER]
+
+
+def test_cli_bronze(spark, lakehouse, capsys, monkeypatch, tmp_path):
+    import json
+
+    from lakebars.__main__ import main
+
+    (tmp_path / "exchange_stub.py").write_text(
+        "def fetch(params):\n"
+        "    rows = [] if params.get('start') else [[1, 2, 3, 1, 9, 5, params['date'] + ' 10:00:00']]\n"
+        "    names = ('open', 'close', 'high', 'low', 'value', 'volume', 'begin')\n"
+        "    return {'candles': {'metadata': dict.fromkeys(names, {}), 'data': rows}}\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(tmp_path / "exchange_stub.py"))
+    main(["bronze", str(D2), "A,B", "--root", lakehouse.root, "--db", lakehouse.db, "--profile", "local",
+          "--fetch", "exchange_stub:fetch"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert "rows=2" in out["candles"]

@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from lakebars.operators.pages import decode_pages, next_page_start
-from lakebars.sources.paged import exchange_pagination, make_paged_source, read_paged, walk_pages
+from lakebars.operators.pages import decode_pages, next_page_start, page_records
+from lakebars.sources.paged import (FetchError, PageError, advance_by_rows, exchange_rows, page_chain, read_pages,
+                                    single_page, with_retry)
 
 
 def pages_df(spark, docs):
@@ -48,7 +50,7 @@ def _fake_api(sizes):
     return fetch
 
 
-def test_walk_pages_stops_on_empty_page():
+def test_page_chain_stops_on_empty_page():
     calls = []
     fetch = _fake_api([3, 3, 0])
 
@@ -56,28 +58,81 @@ def test_walk_pages_stops_on_empty_page():
         calls.append(params.get("start", 0))
         return fetch(params)
 
-    got = list(walk_pages(spy, exchange_pagination, {"ticker": "A"}))
-    assert sum(len(r) for _, r in got) == 6
+    got = list(page_chain(spy, advance_by_rows(), {"ticker": "A"}))
+    assert [start for start, _ in got] == [0, 3] and sum(exchange_rows(page) for _, page in got) == 6
     assert calls == [0, 3, 6]
 
 
-def test_walk_pages_without_callable():
-    got = list(walk_pages(lambda p: {"x": 1}, None, {}))
-    assert got == [(0, [{"x": 1}])]
+def test_long_chain_has_no_limit():
+    def fetch(params):
+        start = params.get("start", 0)
+        return json.dumps({"candles": {"data": [[start]] if start < 3000 else []}})
+
+    assert sum(1 for _ in page_chain(fetch, advance_by_rows(), {})) == 3000
+
+
+def test_single_page():
+    assert list(page_chain(lambda p: {"x": 1}, single_page, {})) == [(0, '{"x": 1}')]
+    assert list(page_chain(lambda p: [], single_page, {})) == []
+
+
+@pytest.mark.parametrize("page", ['{"candles":{"data":5}}', '{"candles":[]}', "[1]", "<html>", '{"candles":{"data":[1]}}'])
+def test_malformed_page_raises(page):
+    pages = ['{"candles":{"data":[[1]]}}', page]
+    fetch = lambda params: pages[min(1, params.get("start", 0))]
+    with pytest.raises(PageError):
+        list(page_chain(fetch, advance_by_rows(), {}))
+    assert len(list(page_chain(fetch, advance_by_rows(), {}, on_bad_page="stop"))) == 1
 
 
-def test_pagination_malformed():
-    assert exchange_pagination({"candles": {"data": 5}}, {}) == ([], None)
-    assert exchange_pagination({}, {}) == ([], None)
+def test_chain_that_does_not_advance_raises():
+    stuck = lambda page, params: (1, dict(params))
+    with pytest.raises(PageError):
+        list(page_chain(lambda p: "{}", stuck, {"start": 0}))
 
 
-def test_paged_source_reads_in_parallel(spark):
-    src = make_paged_source(_fake_api([3, 3, 0]), name="fake_api")
-    df = read_paged(spark, src, ["A", "B"], ["2024-01-02"])
-    rows = df.collect()
-    assert len(rows) == 12
-    rec = json.loads(sorted(rows, key=lambda r: (r["ticker"], r["request_start"], r["record_pos"]))[0]["record"])
-    assert rec == {"open": 0, "begin": "t0"}
+def test_retry_waits_and_gives_up():
+    def failing(*errors):
+        left = list(errors)
+
+        def fetch(params):
+            if left:
+                raise left.pop(0)
+            return "page"
+        return fetch
+
+    waits = []
+    run = lambda *e, **k: with_retry(failing(*e), sleep=waits.append, jitter=lambda: 0.0, **k)({})
+    assert run(FetchError("busy", 503), ConnectionResetError(), TimeoutError()) == "page"
+    assert waits == [1.0, 2.0, 4.0]
+    waits.clear()
+    assert run(FetchError("slow down", 429, retry_after=17.5)) == "page" and waits == [17.5]
+    waits.clear()
+    with pytest.raises(FetchError):
+        run(FetchError("not found", 404))
+    assert waits == []
+    with pytest.raises(FetchError):
+        run(*[FetchError("busy", 500)] * 9, retries=7)
+    assert waits == [1.0, 2.0, 4.0, 8.0, 16.0, 30.0, 30.0]
+    waits.clear()
+    with_retry(failing(TimeoutError()), sleep=waits.append, jitter=lambda: 1.0)({})
+    assert waits == [0.5]                       # jitter takes up to a half
+
+
+def test_requests_are_read_in_parallel_with_own_parameters(spark):
+    def fetch(params):
+        rows = [[params["interval"], params["date"], params["ticker"]]] * params["n"]
+        return {"candles": {"metadata": {"open": {}, "begin": {}, "close": {}},
+                            "data": rows[params.get("start", 0):params.get("start", 0) + 2]}}
+
+    requests = spark.createDataFrame([("A", "2024-01-02", '{"interval": 1, "n": 5}'),
+                                      ("B", "2024-01-03", '{"interval": 24, "n": 2}')],
+                                     "ticker string, load_date string, params string")
+    pages = read_pages(requests, fetch)
+    assert sorted((r["ticker"], r["request_start"]) for r in pages.collect()) == [("A", 0), ("A", 2), ("A", 4), ("B", 0)]
+    records = page_records(pages, keep=("ticker", "load_date")).collect()
+    assert len(records) == 7
+    assert {r["record"] for r in records if r["ticker"] == "B"} == {'{"open":"24","begin":"2024-01-03","close":"B"}'}
 
 
 from hypothesis import given, settings  # noqa: E402
@@ -89,10 +144,12 @@ value = st.one_of(st.integers(-5, 500), st.sampled_from(["2024-01-02 10:00:00",
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.sampled_from(["open", "close", "begin", "extra"]), max_size=5),
        st.lists(st.lists(value, max_size=6), max_size=4))
-def test_spark_decode_agrees_with_python_pagination(spark, names, data):
+def test_spark_decode_agrees_with_parsed_pages(spark, names, data):
     meta = "{" + ",".join(f'"{n}":{{}}' for n in names) + "}"
     page = '{"candles":{"metadata":' + meta + ',"data":' + json.dumps(data) + "}}"
-    records, _ = exchange_pagination(json.loads(page), {})
+    parsed = json.loads(page)["candles"]
+    records = [dict(zip(parsed["metadata"], row)) for row in parsed["data"]]
+    assert exchange_rows(page) == len(records)
     expected = [tuple(None if r.get(f) is None else str(r[f]) for f in ("open", "close", "begin"))
                 for r in records]
     out = decode_pages(pages_df(spark, [page]), fields=("open", "close", "begin"), keep=("pid",))

@@ -1,12 +1,8 @@
 """Physical-plan properties the design relies on (read from the planned query)."""
 
-import datetime as dt
+import pytest
 
-
-from lakebars.operators.scd2 import strict_merge
-from lakebars.plans import bindings as B
 from lakebars.plans import registry as R
-from lakebars.session import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,17 +29,29 @@ def test_dedupe_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_upsert_single_full_outer_join(spark):
+def test_upsert_one_join_and_one_scan_of_each_side(spark):
     p = plan(R.q_upsert_orders(spark, SF))
-    assert p.count("FullOuter") == 1
+    assert p.count("FullOuter") == 1 and p.count("FileScan parquet") == 2
+    assert p.count("Exchange hashpartitioning") == 2       # the key check needs none of its own
 
 
-def test_strict_scd2_single_join(spark):
-    dim = materialize(B.dimension_v1(spark, SF), "dim_v1")  # plan of this merge only
-    versions = strict_merge(dim.where("is_current"), None, B.snapshot_v2(spark, SF), dt.datetime(2024, 1, 15))
-    p = plan(versions)
-    assert p.count("FullOuter") == 1
+def test_scd2_one_join_for_each_merge(spark):
+    p = plan(R.q_scd2_merge(spark, SF))                    # two merges, as registered
+    assert p.count("FullOuter") == 2 and p.count("FileScan parquet") == 2
     assert "LeftSemi" not in p and "LeftAnti" not in p
+    assert plan(R.q_mart_daily(spark, SF)).count("FullOuter") == 2
+
+
+@pytest.mark.parametrize("name", ["upsert_orders", "scd2_merge", "scd2_changed", "mart_daily", "candle_rank"])
+def test_building_a_frame_runs_nothing(spark, name):
+    spark.sparkContext.setJobGroup(f"build-{name}", "")
+    R.queries()[name](spark, SF)
+    ran = spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+    spark.sparkContext.setJobGroup("default", "")
+    assert len(ran) <= FOOTERS[name]                       # jobs that read Parquet footers for a schema
+
+
+FOOTERS = {"upsert_orders": 1, "scd2_merge": 2, "scd2_changed": 2, "mart_daily": 3, "candle_rank": 1}
 
 
 def test_candle_rank_splits_groups_into_pieces(spark):
@@ -75,7 +83,15 @@ def test_silver_reads_window_only(spark, lakehouse):
     p = plan(jobs.silver_bars(spark, lakehouse, dt.date(2024, 1, 5)))
     assert "InMemoryFileIndex(2 paths)" in p             # only the window's folders are listed
     assert "PartitionFilters: [load_date" in p
-    assert p.count("Exchange hashpartitioning") <= 2 and "partial_min_by" in p
+    assert p.count("Exchange hashpartitioning") <= 3 and "partial_min_by" in p
+    assert "WindowGroupLimit" in p                       # repeated candles go before the shuffle
     from lakebars.sources.files import read_raw_candles
     files = read_raw_candles(spark, lakehouse.bronze_candles, [dt.date(2024, 1, 5), dt.date(2024, 1, 4)]).inputFiles()
     assert files and all("load_date=2024-01-05" in f or "load_date=2024-01-04" in f for f in files)
+
+
+def test_gold_reads_only_versions_that_can_cover(spark, lakehouse):
+    from pyspark.sql import functions as F
+
+    dim = spark.table(lakehouse.t("dim_issuers")).where(F.col("version_end") > F.lit("2024-01-02").cast("date"))
+    assert "PartitionFilters: [isnotnull(version_end" in plan(dim)

@@ -93,6 +93,45 @@ def test_scd2_strict_matches_model(spark, snaps):
     assert got == scd2_model(runs)
 
 
+def timeline_model(loads):
+    """What each ticker's attributes are over time after loads in any order, repeats included."""
+    start, end = dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31, 23, 59, 59)
+    h = lambda a: "||".join(x for x in ("n", a[0], None if a[1] is None else str(a[1]).lower()) if x is not None)
+    lines = {}
+    for run_ts, snap in loads:
+        for ticker, attrs in snap.items():
+            line = lines.setdefault(ticker, [])
+            cover = next((v for v in line if v[0] <= run_ts < v[1]), None)
+            if cover is None:
+                line.append([start, end, attrs])
+            elif h(cover[2]) != h(attrs):
+                line.remove(cover)
+                if cover[0] < run_ts:
+                    line.append([cover[0], run_ts, cover[2]])
+                line.append([run_ts, cover[1], attrs])
+    return {(t, *v[2], v[0], v[1]) for t, line in lines.items() for v in line}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.dictionaries(st.sampled_from(["A", "B", "C"]), issuer, max_size=3)),
+                min_size=2, max_size=5))
+def test_scd2_in_any_order_of_dates(spark, loads):
+    runs = [(RUN + dt.timedelta(days=day), snap) for day, snap in loads]
+    dim = empty_dimension(spark)
+    for run_ts, snap in runs:
+        sdf = spark.createDataFrame([(t, "n", s, f) for t, (s, f) in snap.items()],
+                                    "ticker string, company_name string, sector string, dividend_policy_active boolean")
+        dim = spark.createDataFrame(scd2_merge(dim, sdf, run_ts).collect(), dim.schema)
+    rows = dim.collect()
+    assert {(r["ticker"], r["sector"], r["dividend_policy_active"], r["valid_from"], r["valid_to"])
+            for r in rows} == timeline_model(runs) and len(rows) == len(timeline_model(runs))
+    for ticker in {r["ticker"] for r in rows}:
+        line = sorted((r["valid_from"], r["valid_to"], r["is_current"]) for r in rows if r["ticker"] == ticker)
+        assert all(lo < hi for lo, hi, _ in line)                               # none inverted or empty
+        assert all(a[1] == b[0] for a, b in zip(line, line[1:]))                # no overlap, no gap
+        assert [c for _, _, c in line] == [False] * (len(line) - 1) + [True]
+
+
 from lakebars.operators.bars import daily_ohlcv_latest_load  # noqa: E402
 from lakebars.operators.candles import typed_candles  # noqa: E402
 

@@ -4,8 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lakebars.operators.bars import daily_ohlcv, dedupe_latest
-from lakebars.operators.candles import on_day, on_own_load_date, typed_candles
+from lakebars.operators.bars import daily_ohlcv_latest_load, daily_ohlcv, dedupe_latest
+from lakebars.operators.candles import on_day, typed_candles
 from lakebars.operators.ranking import rank_within
 from lakebars.schemas import RAW_CANDLE
 from lakebars.sources.files import latest_available
@@ -36,8 +36,8 @@ def test_next_day_candle_dropped(spark):
     rows = [("A", "2024-01-02 23:59:00", "1", "1", "1", "1", "1"),
             ("A", "2024-01-03 00:00:00", "2", "2", "2", "2", "2")]
     df = typed_candles(raw(spark, rows)).withColumn("load_date", F.lit(D))
-    out = on_own_load_date(df).collect()
-    assert [r["trade_date"] for r in out] == [D]
+    (bar,) = daily_ohlcv_latest_load(df).collect()
+    assert (bar["trade_date"], bar["close_price"], bar["volume"]) == (D, 1.0, 1)
 
 
 def test_ohlcv_semantics(spark):
@@ -114,18 +114,18 @@ def test_rank_within_local_timestamps(spark):
     rows = [("k", base + dt.timedelta(microseconds=i * 7919)) for i in range(500)] + [("k", None)]
     df = spark.createDataFrame(rows, "k string, t timestamp_ntz").repartition(5)
     out = sorted((r["t"] is not None, r["t"] or dt.datetime.min, r["rn"])
-                 for r in rank_within(df, ["k"], ["t"], pieces=16).collect())
+                 for r in rank_within(df, ["k"], ["t"], width=0.5).collect())
     assert [r[2] for r in out] == list(range(1, 502))     # NULL first, then strictly by time
 
 
 def test_hot_key_spreads_over_pieces(spark):
     from lakebars.operators.ranking import assign_pieces
 
-    # "HOT" holds a third of all rows; the other keys share the rest
-    rows = [("HOT", i) for i in range(0, 30000, 3)] + [(f"k{i % 50}", i) for i in range(20000)]
-    df = spark.createDataFrame(rows, "k string, t long")
-    per_key = {r["k"]: r["n"] for r in assign_pieces(df, "t", 64).groupBy("k")
-               .agg(F.countDistinct("_piece").alias("n")).collect()}
-    assert per_key["HOT"] >= 32        # the hot key is cut into many window partitions
-    biggest = max(r["count"] for r in assign_pieces(df, "t", 64).groupBy("k", "_piece").count().collect())
-    assert biggest <= 10000 / 8        # no (key, piece) holds more than a fraction of the hot key
+    df = spark.range(30000).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 997)) AS k", "id AS t")
+    sizes = assign_pieces(df, "t", 100).where("k = 'hot'").groupBy("_piece").count().collect()
+    assert len(sizes) == 300 and max(r["count"] for r in sizes) <= 34      # pieces grow with the group
+    nulls = spark.createDataFrame([("a", None), ("a", 2.5), ("a", float("inf")), ("a", None)], "k string, t double")
+    ranks = sorted(r["rn"] for r in rank_within(nulls, ["k"], ["t"]).collect())
+    assert ranks == [1, 2, 3, 4]
+    words = spark.createDataFrame([("a", "y"), ("a", "x")], "k string, t string")
+    assert {r["t"]: r["rn"] for r in rank_within(words, ["k"], ["t"]).collect()} == {"x": 1, "y": 2}
