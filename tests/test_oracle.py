@@ -9,13 +9,15 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import digest, duck  # noqa: E402
+from lakebars.plans import oracle, registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(E.oracle_sql())
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle.oracle_sql()) == set(registry.queries())
+    assert set(NAMES) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
