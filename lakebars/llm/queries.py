@@ -1,11 +1,11 @@
-"""The registered queries of this subpackage, and the DuckDB SQL of those that SQL can express."""
+"""The registered queries of this subpackage; their SQL is in :mod:`lakebars.llm.oracle`."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakebars.llm import (decontam, embed_dups, lang_id, line_dedup, lm_score, mixing, quality, simhash,
+from lakebars.llm import (decontam, embed_dups, lang_id, line_dedup, lm_score, mixing, oracle, quality, simhash,
                           substring_dedup, token_counts)
 from lakebars.llm.common import prepare, table
 
@@ -37,7 +37,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+    scores = lm_score.score_documents(table(spark, sf_dir, "documents"))
+    rounded = {c: F.round(c, 6) for c in ("log_score", "mean_log_score")}   # sums depend on the order in the last digits
+    return scores.withColumns(rounded)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +66,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_embedding_dedup, op3_line_dedup, op4_token_counts, op5_quality, op6_lm_scores, op7_mixing,
     op8_decontamination, op9_language_id, op10_substring_dedup)}
-SQL: dict[str, str] = {}
 
 
 def queries() -> dict:
@@ -78,4 +79,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return dict(oracle.SQL)
