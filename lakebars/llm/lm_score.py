@@ -26,6 +26,7 @@ from lakebars.llm.common import LOWER_TABLE, materialize, prepare, shuffle_width
 ORDER = 2
 BACKOFF = 0.4
 CACHE = 1 << 18
+GROUPS_EACH = 2          # groups of documents for each shuffle partition
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -122,11 +123,12 @@ def _ask(order: int, ranges: int):
 
 ASK = ["n", "range", "grp", "size", "words", "grams", "counts"]
 ASK_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+ANSWER_SCHEMA = "n int, range int, grp int, size long, words long, counts binary"
 ASK_SCHEMA = "n int, range int, grp int, size long, words long, grams binary, counts binary"
 
 
 def _answer(key, frame):
-    """One order's hash range: corpus counts for every stretch, in the order asked; the total goes along."""
+    """One order's hash range: corpus counts for every stretch, in the order asked; its own words go along."""
     sizes = frame.column("size").to_pylist()
     hashes = [unpack(g.as_py(), n) for g, n in zip(frame.column("grams"), sizes)]
     counts = [_unpack_counts(c.as_py(), n) for c, n in zip(frame.column("counts"), sizes)]
@@ -136,8 +138,8 @@ def _answer(key, frame):
     ends = np.cumsum(sizes)
     answers = [_pack_counts(total[which[hi - n:hi]]) for n, hi in zip(sizes, ends)]
     return pa.Table.from_arrays(
-        [frame.column("n"), frame.column("range"), frame.column("grp"), frame.column("size"),
-         pa.array(answers, pa.binary())], names=["n", "range", "grp", "size", "counts"])
+        [*(frame.column(c) for c in ("n", "range", "grp", "size", "words")), pa.array(answers, pa.binary())],
+        names=["n", "range", "grp", "size", "words", "counts"])
 
 
 def backoff_scores(corpus: list[np.ndarray], own: list[np.ndarray], totals: np.ndarray, vocabulary_floor: float,
@@ -208,15 +210,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     prepare(spark)
     width = shuffle_width(spark)
+    groups = GROUPS_EACH * width
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    group = F.pmod(F.xxhash64("id", "text"), F.lit(width)).cast("int")
+    group = F.pmod(F.xxhash64("id", "text"), F.lit(groups)).cast("int")
     dealt = rows.select(group.alias("grp"), "id", "text").repartition(width, "grp")
     asked = dealt.groupBy("grp").applyInArrow(_ask(order, width), ASK_SCHEMA)
-    asked, seen = materialize(asked, "lm-grams", [
-        F.sum(F.when(F.col("n") == 1, F.col("words"))).alias("words")])
-    words = int(seen["words"] or 0)
-    answers = asked.drop("words").groupBy("n", "range").applyInArrow(
-        _answer, "n int, range int, grp int, size long, counts binary")
+    answers = materialize(asked.groupBy("n", "range").applyInArrow(_answer, ANSWER_SCHEMA), "lm-answers")
+    words = int(answers.where("n = 1").agg(F.sum("words")).first()[0] or 0)
     answers = answers.withColumn("words", F.lit(words).cast("long"))
     kind = docs.schema[id_col].dataType.simpleString()
     out = dealt.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(
