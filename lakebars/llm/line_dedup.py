@@ -110,11 +110,25 @@ class LineIndex:
 
 
 def _without(lines: Column, dropped: Column) -> Column:
-    """``lines`` without the ascending zero-based positions ``dropped``: the stretches between them."""
-    ends = F.concat(F.array(F.lit(-1)), dropped, F.array(F.size(lines)))
-    return F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size(dropped)),
-        lambda i: F.slice(lines, ends[i] + 2, ends[i + 1] - ends[i] - 1)))
+    """``lines`` without the ascending zero-based positions ``dropped``: the stretches between them.
+
+    Both are bound once (a lambda would compute them for every stretch), so
+    the work is proportional to the lines.
+    """
+    def stretches(s: Column) -> Column:
+        def stretch(i: Column) -> Column:
+            lo = F.coalesce(F.get(s["dropped"], i - 1), F.lit(-1)) + 1
+            return F.slice(s["lines"], lo + 1, F.coalesce(F.get(s["dropped"], i), F.size(s["lines"])) - lo)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(s["dropped"])), stretch))
+
+    bound = F.array(F.struct(lines.alias("lines"), dropped.alias("dropped")))
+    return F.get(F.transform(bound, stretches), F.lit(0))
+
+
+def count_lines(text: Column) -> Column:
+    """Newlines and one."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
@@ -157,5 +171,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(_without(split, F.col(gone)), "\n"))
     return joined.select(
         *[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.when(F.col(text_col).isNull(), 1).otherwise(F.size(split)).cast("long").alias(n_lines),
+        F.coalesce(count_lines(F.col(text_col).cast("string")), F.lit(1)).cast("long").alias(n_lines),
         F.coalesce(F.when(F.col(gone).isNotNull(), F.size(F.col(gone))), F.lit(0)).cast("long").alias(n_dropped))
