@@ -15,11 +15,11 @@ NOTES = {
     "daily_ohlcv_by_user": "A4: one partial hash aggregate before the only exchange; pruned 4-column read.",
     "day_filter": "F1: `to_date(ts) = D` arrives at Parquet as a pushed range on `ts`.",
     "dedupe_latest": "A5: partial `WindowGroupLimit` before the exchange forwards one row per key per task.",
-    "upsert_orders": "D2: a single full outer join on the key.",
-    "scd2_merge": "D3 (strict): per merge one keyed aggregate + one full outer join; no semi/anti joins.",
+    "upsert_orders": "D2: one scan of each side, a single full outer join on the key; the key check uses the sort of the join.",
+    "scd2_merge": "D3 (strict): per merge one aggregate of each side + one full outer join; no semi or anti joins.",
     "mart_daily": "J5 + X15: bars aggregate, as-of join (AQE picks the build side from measured sizes).",
-    "candle_rank": "W1/W2: quantile pieces; one exchange, reused for the piece sizes; offsets from a small table.",
-    "silver_bars": "L2: one JSON scan of the window's folders, one aggregate per (ticker, load date), newest load per ticker.",
+    "candle_rank": "W1/W2: time pieces inside the group; one exchange, reused for the piece sizes; offsets from a small table.",
+    "silver_bars": "L2: one JSON scan of the window's folders, repeated candles dropped before the shuffle, one aggregate per (ticker, load date), newest load per ticker.",
 }
 
 
