@@ -66,18 +66,16 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes
         order = rng.permutation(len(rows))
         for lo in range(0, len(order), BATCH):
             part, rate = order[lo:lo + BATCH], RATE * (1 - step / steps)
-            at = np.concatenate([rows[i][0] for i in part])
-            share = np.concatenate([rows[i][1] for i in part])
-            of = np.repeat(np.arange(len(part)), [len(rows[i][0]) for i in part])
-            hidden = np.zeros((len(part), DIM))
-            np.add.at(hidden, of, embed[at] * share[:, None])
-            hidden *= SCALE
+            x = np.zeros((len(part), BUCKETS))
+            for row, i in enumerate(part):
+                x[row, rows[i][0]] = rows[i][1]
+            hidden = x @ embed * SCALE
             error = _softmax(hidden @ weights)
             error[np.arange(len(part)), labels[part]] -= 1
             error /= len(part)
             back = error @ weights.T * SCALE
             weights -= rate * hidden.T @ error
-            np.subtract.at(embed, at, rate * back[of] * share[:, None])
+            embed -= rate * x.T @ back
             step += 1
     return embed, weights
 
