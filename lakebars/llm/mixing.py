@@ -169,8 +169,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     facts = facts.toDF(*[fresh(c, docs.columns) for c in facts.columns])
     m_id, m_ka, m_kb, m_n, m_domain, m_p, m_rate = facts.columns
     key = text_key(F.col(text_col).cast("string"))
-    joined = docs.join(facts.hint("shuffle_hash"),
-                       docs[id_col].eqNullSafe(F.col(m_id)) & (key["a"] == F.col(m_ka)) & (key["b"] == F.col(m_kb)),
-                       "left")
+    keys = [fresh(c, [*docs.columns, *facts.columns]) for c in ("_d_id", "_d_ka", "_d_kb")]
+    d_id, d_ka, d_kb = keys
+    # only what is returned is shuffled: the text's identity stands for it
+    rows = docs.select(*keep, F.col(id_col).alias(d_id), key["a"].alias(d_ka), key["b"].alias(d_kb))
+    joined = rows.join(facts.hint("shuffle_hash"), F.col(d_id).eqNullSafe(F.col(m_id)) & (
+        F.col(d_ka) == F.col(m_ka)) & (F.col(d_kb) == F.col(m_kb)), "left")
     return joined.select(*keep, F.col(m_n).alias(names["n_words"]), F.col(m_domain).alias(names["domain"]),
                          F.col(m_p).alias(names["posteriors"]), F.col(m_rate).alias(names["rate"]))
