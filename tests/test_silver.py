@@ -129,3 +129,16 @@ def test_hot_key_spreads_over_pieces(spark):
     assert ranks == [1, 2, 3, 4]
     words = spark.createDataFrame([("a", "y"), ("a", "x")], "k string, t string")
     assert {r["t"]: r["rn"] for r in rank_within(words, ["k"], ["t"]).collect()} == {"x": 1, "y": 2}
+
+
+def test_value_where_and_recombined(spark):
+    """A2 over a caller's predicate; J1 equals the single aggregate, NULL tickers included."""
+    from lakebars.operators.bars import recombined_ohlcv, value_where
+
+    rows = [("A", "2024-01-02 10:00:00", "7", "5", "8", "1", "10"), ("A", "2024-01-02 10:01:00", "6", "6", "9", "2", "20"),
+            (None, "2024-01-02 11:00:00", "3", "4", "5", "2", "1"), (None, "2024-01-02 11:05:00", "4", "3", "5", "2", "1")]
+    candles = typed_candles(raw(spark, rows))
+    first = candles.groupBy("ticker").agg(value_where(F.minute("begin_ts") == 0, "open").alias("x"))
+    assert {r["ticker"]: r["x"] for r in first.collect()} == {"A": 7.0, None: 3.0}
+    key = lambda r: (r["ticker"] or "", r["trade_date"])
+    assert sorted(recombined_ohlcv(candles).collect(), key=key) == sorted(daily_ohlcv(candles).collect(), key=key)
