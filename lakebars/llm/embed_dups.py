@@ -112,11 +112,11 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 def first_shared(own: list[np.ndarray], i: np.ndarray, j: np.ndarray, number: int) -> np.ndarray:
     """Whether ``number`` is the smallest filter that the vectors of each pair share."""
-    width = max(map(len, own))
-    lists = np.full((len(own), width), -1, np.int64)
+    own = [x[x < number] for x in own]
+    width = max(1, max(map(len, own)))
+    lower = np.full((len(own), width), -1, np.int64)
     for k, x in enumerate(own):
-        lists[k, :len(x)] = x
-    lower = np.where((lists >= 0) & (lists < number), lists, -1)
+        lower[k, :len(x)] = x
     out = np.ones(len(i), bool)
     step = max(1, 4_000_000 // (width * width))
     for lo in range(0, len(i), step):
@@ -140,19 +140,14 @@ def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 def compare(nodes: np.ndarray, sizes: np.ndarray, units: np.ndarray, own: list[np.ndarray], side: np.ndarray,
             crossing: bool, number: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links of one group: by row the copies it links to that are first found here, and component labels.
+    """Links of one group, its rows by ascending node: for each row the copies it links to that are first found
+    here, and the first row of its component.
 
     ``crossing``: only pairs of a row of side 0 and one of side 1 count.
     """
-    order = np.argsort(nodes, kind="stable")
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
-    units, sizes, side = units[order], sizes[order], side[order]
-    own = [own[k] for k in order]
     counts, label = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
     for lo in range(0, len(nodes), BLOCK):
-        close = units[lo:lo + BLOCK] @ units[lo:].T >= cosine
-        i, j = np.nonzero(close)
+        i, j = np.nonzero(units[lo:lo + BLOCK] @ units[lo:].T >= cosine)
         i, j = i + lo, j + lo
         pick = i < j
         if crossing:
@@ -163,47 +158,79 @@ def compare(nodes: np.ndarray, sizes: np.ndarray, units: np.ndarray, own: list[n
             new = first_shared(own, i, j, number)
             np.add.at(counts, i[new], sizes[j[new]])
             np.add.at(counts, j[new], sizes[i[new]])
-    return counts[back], order[label][back]
+    return counts, label
+
+
+class _Rows:
+    """Rows of a batch as arrays: group keys, side, node, size, and the flat vectors and filter lists with offsets."""
+
+    def __init__(self, batch=None, parts: list["_Rows"] | None = None):
+        if batch is not None:
+            self.keys = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:7]])
+            (self.values, self.at), (self.own, self.own_at) = (self._lists(c) for c in batch.columns[7:9])
+        else:
+            self.keys = np.concatenate([p.keys for p in parts])
+            self.values, self.at = self._joined([(p.values, p.at) for p in parts])
+            self.own, self.own_at = self._joined([(p.own, p.own_at) for p in parts])
+
+    @staticmethod
+    def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+        offsets = column.offsets.to_numpy()
+        return column.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+    @staticmethod
+    def _joined(parts) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum([0, *(len(v) for v, _ in parts)])
+        return (np.concatenate([v for v, _ in parts]),
+                np.concatenate([[0], *(at[1:] + end for (_, at), end in zip(parts, ends))]))
+
+    def part(self, lo: int, hi: int) -> "_Rows":
+        out = object.__new__(_Rows)
+        out.keys = self.keys[lo:hi]
+        out.values, out.at = self.values[self.at[lo]:self.at[hi]], self.at[lo:hi + 1] - self.at[lo]
+        out.own, out.own_at = self.own[self.own_at[lo]:self.own_at[hi]], self.own_at[lo:hi + 1] - self.own_at[lo]
+        return out
 
 
 def _compare_groups(cosine: float):
-    """Task function over rows sorted by group: emits (a, b, n): counts as (node, NULL, n), edges as (a, b, 0)."""
-    def group(rows):
-        nodes = np.array([r[5] for r in rows], np.int64)
-        if len(nodes) < 2:
+    """Task function over rows sorted by group and node: emits (a, b, n): counts as (node, NULL, n), edges as (a, b, 0)."""
+    def group(rows: _Rows):
+        if len(rows.keys) < 2:
             return [], [], []
-        units = unit_rows(np.array([r[7] for r in rows], np.float64))
-        own = [np.array(r[8], np.int64) for r in rows]
-        counts, label = compare(nodes, np.array([r[6] for r in rows], np.int64), units, own,
-                                np.array([r[4] for r in rows]), rows[0][2] != rows[0][3], rows[0][1], cosine)
+        _, number, i, j, _, _, _ = rows.keys[0].tolist()
+        nodes = rows.keys[:, 5]
+        units = unit_rows(rows.values.astype(np.float64).reshape(len(nodes), -1))
+        own = np.split(rows.own, rows.own_at[1:-1])
+        counts, label = compare(nodes, rows.keys[:, 6], units, own, rows.keys[:, 4], i != j, number, cosine)
         linked = np.flatnonzero(counts)
         moved = np.flatnonzero(label != np.arange(len(nodes)))
         return (np.r_[nodes[linked], nodes[moved]].tolist(),
                 [None] * len(linked) + nodes[label[moved]].tolist(), counts[linked].tolist() + [0] * len(moved))
 
     def run(batches):
-        held, a, b, n = [], [], [], []
+        held, a, b, n = [], [], [], []   # held: the parts of the group that the last batch ended in
 
         def close():
-            for out, more in zip((a, b, n), group(held)):
-                out.extend(more)
-
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], ["a", "b", "n"])
-            for x in (a, b, n):
-                x.clear()
-            return out
+            if held:
+                for out, more in zip((a, b, n), group(_Rows(parts=held) if len(held) > 1 else held[0])):
+                    out.extend(more)
+                held.clear()
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and row[:4] != held[0][:4]:
+            if not batch.num_rows:
+                continue
+            rows = _Rows(batch)
+            keys = rows.keys[:, :4]
+            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)]).tolist()
+            for lo, hi in zip(starts, [*starts[1:], len(keys)]):
+                if held and (held[0].keys[0, :4] != keys[lo]).any():
                     close()
-                    held = []
-                held.append(row)
+                held.append(rows.part(lo, hi))
             if len(a) > 10_000:
-                yield flush()
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], ["a", "b", "n"])
+                a, b, n = [], [], []
         close()
-        yield flush()
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], ["a", "b", "n"])
 
     return run
 
@@ -252,7 +279,7 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     groups = places.join(nodes, "node").select("dim", "node", "size", "embedding", "own", F.explode("places").alias("p"))
     groups = groups.select("dim", "p.filter", "p.i", "p.j", "p.side", "node", "size", "embedding",
                            F.transform("own", lambda x: x.cast("int")).alias("own"))
-    dealt = groups.repartition(shuffle_width(spark), *keys).sortWithinPartitions(*keys)
+    dealt = groups.repartition(shuffle_width(spark), *keys).sortWithinPartitions(*keys, "node")
     found = materialize(dealt.mapInArrow(_compare_groups(cosine), "a long, b long, n long"), "links")
 
     counts = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
