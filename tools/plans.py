@@ -63,6 +63,7 @@ def main():
         df = silver_bars_frame(spark, sf_dir) if name == "silver_bars" else qs[name](spark, sf_dir)
         parts.append(f"\n## {name}\n\n{note}\n\n```\n{final_plan(df).strip()}\n```\n")
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md")
+    os.makedirs(os.path.dirname(out), exist_ok=True)
     with open(out, "w") as fh:
         fh.write("".join(parts))
     print(out, sum(len(p) for p in parts))
