@@ -4,7 +4,8 @@ Two logistic classifiers give each document evidence: that its quality is
 low, and that it is toxic.  They see statistics of the whole text and the
 strongest evidence of any word (by itself and by its beginnings), so a long
 text does not hide a few bad words.  They are fitted on a bounded sample of
-the labelled documents: one half teaches the words, the other the weights.
+the labelled documents; the weights of each half are fitted on the word
+evidence that the other half taught.
 
 The share of bad documents differs by site.  Each host's share is the mean
 of its documents' posteriors, shrunk toward the global share; each path's is
@@ -253,14 +254,12 @@ def _bounded_logit(p: Column) -> Column:
 def _strength(sites: DataFrame, share: Column, parent: Column) -> float:
     """Documents that a parent's share is worth: the beta-binomial precision by moments."""
     n, gap = F.col("n"), share - parent
-    spread, noise, weight = sites.agg(
-        F.sum(n * gap * gap), F.sum(parent * (1 - parent)), F.sum(n)).first() or (None,) * 3
+    spread, noise, typical, weight = sites.agg(
+        F.sum(n * gap * gap), F.sum(parent * (1 - parent)), F.sum(n * parent * (1 - parent)), F.sum(n)).first()
     if not weight or not noise:
         return 1e6
-    rows_noise = float(noise)
-    between = (float(spread) - rows_noise) / float(weight)  # variance beyond that of sampling
-    typical = float(sites.agg(F.sum(n * parent * (1 - parent)) / F.sum(n)).first()[0])
-    return float(np.clip(typical / between - 1 if between > 0 else 1e6, 1.0, 1e6))
+    between = (float(spread) - float(noise)) / float(weight)   # variance beyond that of sampling
+    return float(np.clip(float(typical) / float(weight) / between - 1 if between > 0 else 1e6, 1.0, 1e6))
 
 
 def site_posteriors(scored: DataFrame, source_col: str, bad: str) -> tuple[DataFrame, float]:
