@@ -29,6 +29,7 @@ SHARE = 20               # contaminated: SHARE * hit words >= words
 BLOCK_BYTES = 16 << 20   # UTF-8 bytes of test items broadcast at a time
 SHARD_WORDS = 1 << 20    # words of a shard; a longer document is a shard of its own
 QUERIES = 1 << 15        # test suffixes searched at a time
+PAIRS = 1 << 20          # pairs of a place in a document and one in an item extended at a time
 
 FOUND = {"n_words": "long", "hits": "array<struct<start:long,end:long>>", "items": "array<string>",
          "matches": "array<struct<item_id:string,item_start:long,doc_start:long,n_words:long>>"}
@@ -46,8 +47,9 @@ def test_block(items: list[tuple[str | None, str]], window: int) -> dict:
     """Numbered words of some test items, their distinct windows, and where each window is.
 
     ``words`` holds all items, a zero after each; ``starts`` and ``widths``
-    one suffix for each distinct window; ``place_*`` one row for each window
-    and item that has it (its first place there), by window.
+    one suffix for each distinct window; ``place_*`` one row for each place of
+    a window in an item, by window and the word before it (zero: none), which
+    ``place_key`` holds as one number.
     """
     vocabulary, names, flat, seen = {}, [], [], {}
     for item_id, text in items:
@@ -55,15 +57,15 @@ def test_block(items: list[tuple[str | None, str]], window: int) -> dict:
         base, width = len(flat), min(window, len(ids))
         flat += ids + [0]
         names.append(item_id)
-        own = set()
         for i in range(len(ids) - width + 1 if ids else 0):
-            gram = tuple(ids[i:i + width])
-            if gram not in own:
-                own.add(gram)
-                seen.setdefault(gram, []).append((len(names) - 1, i, base + i))
+            seen.setdefault(tuple(ids[i:i + width]), []).append((len(names) - 1, i, base + i))
     places = [(k, *p) for k, own in enumerate(seen.values()) for p in own]
     columns = np.array(places, np.int64).reshape(-1, 4).T
-    return {"vocabulary": vocabulary, "names": names, "words": np.array(flat + [0] * (window + 1), np.int32),
+    words = np.array(flat + [0] * (window + 1), np.int32)
+    key = columns[0] * (len(vocabulary) + 1) + np.where(columns[2] > 0, words[columns[3] - 1], 0)
+    order = np.argsort(key, kind="stable")
+    columns, key = columns[:, order], key[order]
+    return {"vocabulary": vocabulary, "names": names, "words": words, "place_key": key,
             "starts": np.array([p[0][2] for p in seen.values()], np.int64),
             "widths": np.array([len(g) for g in seen], np.int64),
             "place_first": np.searchsorted(columns[0], np.arange(len(seen) + 1)),
@@ -143,7 +145,7 @@ def search_shard(docs: list[np.ndarray], block: dict, window: int) -> dict[int,
     small = np.concatenate([text[where], np.zeros(window + 1, np.int32)])
     suffixes = suffix_array(small, np.searchsorted(where, starts), window)
 
-    marks, found = np.zeros(len(text) + 1, np.int64), []
+    marks, best = np.zeros(len(text) + 1, np.int64), [np.zeros(0, np.int64)] * 5
     for lo in range(0, len(block["starts"]), QUERIES):
         q = slice(lo, lo + QUERIES)
         begin, end = _range_of(small, suffixes, block["words"], block["starts"][q], block["widths"][q], window)
@@ -151,15 +153,11 @@ def search_shard(docs: list[np.ndarray], block: dict, window: int) -> dict[int,
         at, rows = where[suffixes[member]], rows + lo
         np.add.at(marks, at, 1)
         np.add.at(marks, at + block["widths"][rows], -1)
-        pair, place = _spread(block["place_first"][rows],
-                              block["place_first"][rows + 1] - block["place_first"][rows])
-        found.append(_longest(text, at[pair], firsts, block, place))
-    doc, item, n, offset, at = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((offset, at, -n, item, doc))
-    doc, item, n, offset, at = (x[order] for x in (doc, item, n, offset, at))
-    best = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])][:len(doc)])
+        for pair, place in _new_pairs(text, at, rows, block):
+            best = _best(best, _extended(text, at[pair], firsts, block, place))
+    doc, item, n, offset, at = best
     covered, out = np.cumsum(marks[:-1]) > 0, {}
-    for k in best.tolist():
+    for k in range(len(doc)):
         d = int(doc[k])
         if d not in out:
             own = covered[firsts[d]:firsts[d] + sizes[d]]
@@ -173,16 +171,32 @@ def search_shard(docs: list[np.ndarray], block: dict, window: int) -> dict[int,
     return out
 
 
-def _longest(text, at, firsts, block, place):
-    """Document, item, length and places of the matches that cannot be extended to the left, at full length.
+def _new_pairs(text, at, rows, block):
+    """Pairs of an occurrence and a place of its window that cannot be extended to the left, in slices.
 
-    A window that an item repeats is matched with its first place there.  The
-    first match of a document with an item is always among them.
+    These are all places but those with the same word before them.  Every
+    longest match begins at such a pair.
     """
+    size = len(block["vocabulary"]) + 1
+    first, last = block["place_first"][rows], block["place_first"][rows + 1]
+    key = rows * size + text[at - 1]  # the last word of text is a zero
+    same, after = (np.searchsorted(block["place_key"], key, side=side) for side in ("left", "right"))
+    none = text[at - 1] == 0
+    same, after = np.where(none, last, same), np.where(none, last, after)
+    ends = np.cumsum(same - first + last - after)
+    lo = 0
+    while lo < len(at):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
+        q = slice(lo, hi)
+        left, right = _spread(first[q], (same - first)[q]), _spread(after[q], (last - after)[q])
+        yield (np.concatenate(x) + shift for x, shift in zip(zip(left, right), (lo, 0)))
+        lo = hi
+
+
+def _extended(text, at, firsts, block, place):
+    """Document, item, length and places of the matches that begin at these pairs, at full length."""
     words, start = block["words"], block["place_at"][place]
-    before = np.where(block["place_offset"][place] > 0, words[start - 1], 0)
-    new = (before == 0) | (text[at - 1] != before)  # the last word of text is a zero
-    at, place, start = at[new], place[new], start[new]
     length, live = np.zeros(len(at), np.int64), np.arange(len(at))
     while len(live):
         have, want = text[at[live] + length[live]], words[start[live] + length[live]]
@@ -192,6 +206,15 @@ def _longest(text, at, firsts, block, place):
             block["place_offset"][place], at)
 
 
+def _best(*found):
+    """By document and item the longest match, of equal ones the first in the document, then in the item."""
+    doc, item, n, offset, at = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((offset, at, -n, item, doc))
+    doc, item, n, offset, at = (x[order] for x in (doc, item, n, offset, at))
+    best = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])][:len(doc)])
+    return [x[best] for x in (doc, item, n, offset, at)]
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int):
     """Test items with words, in blocks of ``limit`` bytes; one item may exceed it alone."""
     rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).where(

@@ -383,6 +383,34 @@ def test_contamination_longest_matches(spark):
     assert [tuple(h) for h in got[1]["hits"]] == [(2, 37)] and not got[2]["matches"]
 
 
+@pytest.mark.parametrize("pairs", [1 << 20, 3])
+def test_contamination_repeated_windows(spark, monkeypatch, pairs):
+    """An item that repeats a window: the longest match may begin at any of its places."""
+    monkeypatch.setattr(decontam, "PAIRS", pairs)
+    head, a, b = ([f"{x}{k}" for k in range(n)] for x, n in (("t", 13), ("a", 40), ("b", 200)))
+    items = {"1": [*head, *a, *head, *b], "2": ["same"] * 40, "3": [*a[:3], *head, *a, *b[:20], *head, *a[:30]]}
+    docs = {1: ["x", "y", *head, *b, "z"], 2: ["same"] * 30, 3: ["x", *["same"] * 60],
+            4: [*head, *a, "x", *a[1:], *head, *b[:9]], 5: [*a, *b, *head, *a], 6: ["z", *head, "z", *head]}
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id string, text string")
+    got = decontam.contamination(rows, bench, keep=["doc_id"]).collect()
+
+    def longest(doc, item):
+        best = (0, 0, 0)
+        for at in range(len(doc)):
+            for start in range(len(item)):
+                n = 0
+                while at + n < len(doc) and start + n < len(item) and doc[at + n] == item[start + n]:
+                    n += 1
+                best = max(best, (n, -at, -start))
+        return best
+
+    for r in got:
+        want = {i: longest(docs[r["doc_id"]], w) for i, w in items.items()}
+        assert {tuple(m) for m in r["matches"]} == {(i, -s, -at, n) for i, (n, at, s) in want.items() if n >= 13}
+    assert ("1", 53, 2, 213) in {tuple(m) for r in got for m in r["matches"]}
+
+
 def test_contamination_without_items(spark):
     docs = frame(spark, hostile())
     bench = spark.createDataFrame([], "item_id long, text string")
