@@ -26,7 +26,8 @@ from lakebars.llm.common import LOWER_TABLE, materialize, prepare, shuffle_width
 ORDER = 2
 BACKOFF = 0.4
 CACHE = 1 << 18
-GROUPS_EACH = 2          # groups of documents for each shuffle partition
+GROUPS_EACH = 2          # groups of documents for each shuffle partition at least
+GROUP_BYTES = 16 << 20   # UTF-8 bytes of text of a group, in expectation at most
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -194,6 +195,14 @@ def _score(order: int, backoff: float):
     return run
 
 
+def groups_and_ranges(rows: DataFrame, text_col: str = "text") -> tuple[int, int]:
+    """Groups of documents and hash ranges, by bytes of text; at least as many as the shuffle partitions give."""
+    size = rows.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    width = shuffle_width(rows.sparkSession)
+    groups = max(GROUPS_EACH * width, -(-size // GROUP_BYTES))
+    return groups, max(width, groups // GROUPS_EACH)
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
                     backoff: float = BACKOFF) -> DataFrame:
     """One row per input row: the id, ``n_words``, ``n_seen``, ``log_score``, ``mean_log_score``.
@@ -209,12 +218,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     prepare(spark)
-    width = shuffle_width(spark)
-    groups = GROUPS_EACH * width
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    groups, ranges = groups_and_ranges(rows)
     group = F.pmod(F.xxhash64("id", "text"), F.lit(groups)).cast("int")
-    dealt = rows.select(group.alias("grp"), "id", "text").repartition(width, "grp")
-    asked = dealt.groupBy("grp").applyInArrow(_ask(order, width), ASK_SCHEMA)
+    dealt = rows.select(group.alias("grp"), "id", "text").repartition(ranges, "grp")
+    asked = dealt.groupBy("grp").applyInArrow(_ask(order, ranges), ASK_SCHEMA)
     answers = materialize(asked.groupBy("n", "range").applyInArrow(_answer, ANSWER_SCHEMA), "lm-answers")
     words = int(answers.where("n = 1").agg(F.sum("words")).first()[0] or 0)
     answers = answers.withColumn("words", F.lit(words).cast("long"))

@@ -79,6 +79,28 @@ def line_dedup(rows: list[tuple]) -> list[tuple]:
     return out
 
 
+def lm_scores_of_order(rows: list[tuple], order: int, backoff: float = 0.4) -> list[tuple]:
+    words = [spaced(low(t or "")) for _, t in rows]
+    grams = lambda w: Counter(tuple(w[i:i + n]) for n in range(1, order + 1) for i in range(len(w) - n + 1))
+    every = sum(map(grams, words), Counter())
+    total, out = sum(map(len, words)), []
+    for (i, _), w in zip(rows, words):
+        own, score, seen = grams(w), 0.0, 0
+        others = lambda g: every[g] - own[g]
+
+        def chance(g):
+            if len(g) == 1:
+                return (others(g) or 0.5) / max(1, total - len(w))
+            return others(g) / others(g[:-1]) if others(g) > 0 else backoff * chance(g[1:])
+
+        for k in range(len(w)):
+            g = tuple(w[max(0, k + 1 - order):k + 1])
+            score += math.log(chance(g))
+            seen += len(g) == order and others(g) > 0
+        out.append((i, len(w), seen, score))
+    return out
+
+
 def contamination(rows: list[tuple], items: list[tuple]) -> list[tuple]:
     word = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     windows = defaultdict(set)

@@ -301,6 +301,26 @@ def test_lm_scores(spark, corpus):
     assert np.allclose([r[3] for r in got], [r[3] for r in want], atol=1e-4)
 
 
+@pytest.mark.parametrize("order, group_bytes", [(2, 200), (3, 1 << 24), (4, 200)])
+def test_lm_orders(spark, monkeypatch, order, group_bytes):
+    """Longer contexts, and more groups than shuffle partitions where the text is large."""
+    monkeypatch.setattr(lm_score, "GROUP_BYTES", group_bytes)
+    rows = hostile()
+    docs = frame(spark, rows)
+    size = sum(len((t or "").encode()) for _, t in rows)
+    groups, ranges = lm_score.groups_and_ranges(docs)
+    assert groups == max(8, -(-size // group_bytes)) and ranges == max(4, groups // 2)
+    if group_bytes < size:   # so many groups only for a part of the rows
+        rows = rows[::3]
+        docs = frame(spark, rows)
+    got = lm_score.score_documents(docs, order=order).select("doc_id", "n_words", "n_seen", "log_score").collect()
+    want = brute.lm_scores_of_order(rows, order)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2], round(r[3], 6))
+    got, want = sorted(map(tuple, got), key=key), sorted(want, key=key)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], atol=1e-4)
+
+
 def test_lm_packing():
     rng = np.random.default_rng(0)
     numbers = np.sort(rng.integers(0, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
