@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakebars.llm.common import LOWER_TABLE, fresh, materialize, prepare, shuffle_width
+from lakebars.llm.common import LOWER_TABLE, fresh, materialize, prepare, shuffle_width, text_key
 from lakebars.llm.graph import connected_components
 
 BITS = 64
@@ -53,16 +53,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``(id, fp)`` for every row, repeats included."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+                 shingle: int = SHINGLE, seed: int = SEED, keep_text_key: bool = False) -> DataFrame:
+    """``(id, fp)`` for every row, repeats included; with ``keep_text_key`` also the text's identity."""
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"),
+                         *([text_key(text).alias("text_key")] if keep_text_key else []))
+    names = ["id", "fp", *source.columns[2:]]
 
     def run(batches):
         for batch in batches:
             fps = [fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], names)
 
-    return source.mapInArrow(run, "id long, fp long")
+    return source.mapInArrow(run, "id long, fp long" + ", text_key struct<a:long,b:long>" * keep_text_key)
 
 
 def _block_masks(max_distance: int) -> list[int]:
@@ -145,7 +149,7 @@ def close_edges(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                   max_distance: int = MAX_DISTANCE, seed: int = SEED) -> DataFrame:
+                   max_distance: int = MAX_DISTANCE, seed: int = SEED, keep_text_key: bool = False) -> DataFrame:
     """One row per input row: ``id_col``, ``fingerprint`` (16 hex digits), ``component_id``.
 
     ``component_id`` is the smallest id that chains of links reach, the row's
@@ -153,26 +157,34 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fingerprint's other rows, or NULL when there are none; they never carry a
     link themselves.  Repeated rows are returned as often as they come.  NULL
     and empty texts have fingerprint zero.  No rows give no rows.
+    ``keep_text_key`` adds the text's identity, ``text_key``.
     """
     prepare(docs.sparkSession)
-    rows = materialize(fingerprints(docs, id_col, text_col, shingle, seed), "simhash")
+    rows = materialize(fingerprints(docs, id_col, text_col, shingle, seed, keep_text_key), "simhash")
     nodes = rows.where(F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("node"))
     nodes = materialize(nodes, "simhash-nodes")
     roots = connected_components(close_edges(nodes, max_distance))
     known = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     out = rows.join(known, "fp", "left")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                      "component_id")
+                      "component_id", *(["text_key"] if keep_text_key else []))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """The documents of ``docs`` (all columns) that come first in their component.
 
-    One row stays for each kept id, also when an id is repeated.  Documents
-    without an id cannot be told apart and stay.
+    A row is judged by its own fingerprint.  One row stays for each kept id:
+    of several that come first, the one with the smallest hash of its text
+    (then of its columns).  Documents without an id cannot be told apart and
+    stay.
     """
-    first = fresh("keep_id", docs.columns)
-    groups = simhash_groups(docs, id_col, text_col, **params)
-    kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(first)).distinct()
-    alone = docs.join(kept, docs[id_col] == kept[first], "left_semi").dropDuplicates([id_col])
+    key_id, a, b, rank = (fresh(c, docs.columns) for c in ("keep_id", "keep_a", "keep_b", "keep_rank"))
+    key = text_key(F.col(text_col).cast("string"))
+    groups = simhash_groups(docs, id_col, text_col, keep_text_key=True, **params)
+    kept = groups.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias(key_id)).agg(
+        F.min("text_key").alias("k")).select(key_id, F.col("k.a").alias(a), F.col("k.b").alias(b))
+    rows = docs.join(kept, (docs[id_col] == kept[key_id]) & (key["a"] == kept[a]) & (key["b"] == kept[b]), "left_semi")
+    plain = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
+    alone = rows.groupBy(F.col(id_col).alias(key_id)).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias(rank)).select(f"{rank}.*")
     return alone.unionByName(docs.where(F.col(id_col).isNull()))

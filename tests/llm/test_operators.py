@@ -129,6 +129,20 @@ def test_near_copies_keep_one_row_each(spark):
     assert left.where("doc_id is null").count() == sum(i is None for i, _ in rows)
 
 
+def test_near_copies_repeated_ids(spark):
+    """A row of a repeated id is judged by its own text, and which of several stays is defined."""
+    rng = random.Random(8)
+    a, b, c, d = (prose(rng, 60, vocabulary(400, 9)) for _ in range(4))
+    rows = [(3, a), *[(5, a)] * 4, (5, b), (7, c), (7, d)]
+    kept = set()
+    for part in (rows, rows[::-1]):
+        docs = spark.createDataFrame(part, "doc_id long, text string").repartition(3)
+        left = sorted(map(tuple, simhash.drop_near_copies(docs).collect()))
+        assert left[:2] == [(3, a), (5, b)] and len(left) == 3 and left[2] in rows
+        kept.add(left[2])
+    assert len(kept) == 1
+
+
 # ---------------------------------------------------------------- 2 embeddings
 
 def vectors():
