@@ -38,6 +38,7 @@ THRESHOLD = 0.5          # documents with a posterior of being bad at or over it
 BROADCAST_SITES = 100_000
 SLICE = 1 << 20          # bytes of a text taken at a time
 CLASSES = ("low", "toxic")
+COUNTED = (*[f"n_{c}" for c in CLASSES], *CLASSES)
 
 _SPACE = re.compile(rb"[ \t-\r]")
 _SYMBOLS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in ".,;:'\"-()?")
@@ -119,34 +120,35 @@ def log_odds(model: dict, x: np.ndarray) -> np.ndarray:
 
 
 def _count_words(sample: DataFrame) -> DataFrame:
-    """By word feature and half of the sample: documents that have it, all and of each class."""
+    """By word feature and half of the sample: documents that have it, for each class all with its label and bad ones."""
     def run(batches):
         for batch in batches:
             counts: dict[tuple, Counter] = {}
             for half, low, toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
                 own = word_features(set(
                     (text or "").encode("utf-8", "surrogatepass").translate(WORD_TABLE).split()))
-                for name, has in (("n", True), ("low", low), ("toxic", toxic)):
+                for name, has in (("n_low", low is not None), ("n_toxic", toxic is not None), ("low", low),
+                                  ("toxic", toxic)):
                     if has:
                         counts.setdefault((half, name), Counter()).update(own)
             for half in sorted({h for h, _ in counts}):
-                mine = [counts.get((half, name), Counter()) for name in ("n", "low", "toxic")]
-                names = list(mine[0])
+                mine = [counts.get((half, name), Counter()) for name in COUNTED]
+                names = list(mine[0].keys() | mine[1].keys())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names, pa.binary()), pa.array(np.full(len(names), half), pa.int64()),
-                     *(pa.array([c[f] for f in names], pa.int64()) for c in mine)], ["f", "half", "n", "low", "toxic"])
+                     *(pa.array([c[f] for f in names], pa.int64()) for c in mine)], ["f", "half", *COUNTED])
 
-    return sample.mapInArrow(run, "f binary, half long, n long, low long, toxic long").groupBy("f", "half").agg(
-        *[F.sum(c).alias(c) for c in ("n", *CLASSES)])
+    return sample.mapInArrow(run, "f binary, half long, " + ", ".join(f"{c} long" for c in COUNTED)).groupBy(
+        "f", "half").agg(*[F.sum(c).alias(c) for c in COUNTED])
 
 
 def _word_evidence(counts: DataFrame, sizes: dict[str, int]) -> dict[str, dict]:
     """By class: the log odds of the word features that are telling enough, at most ``LEARNED``."""
-    both = counts.groupBy("f").agg(*[F.sum(c).alias(c) for c in ("n", *CLASSES)])
+    both = counts.groupBy("f").agg(*[F.sum(c).alias(c) for c in COUNTED])
     features = {}
     for c in CLASSES:
         inside = F.log((F.col(c) + 0.5) / (sizes[c] + 1.0))
-        outside = F.log((F.col("n") - F.col(c) + 0.5) / (sizes["n"] - sizes[c] + 1.0))
+        outside = F.log((F.col(f"n_{c}") - F.col(c) + 0.5) / (sizes[f"n_{c}"] - sizes[c] + 1.0))
         best = (both.where(F.col(c) >= LEAST_DOCS).withColumn("e", inside - outside)
                 .where(F.col("e") >= LEAST_LOGODDS).orderBy(F.desc(F.col("e") * F.sqrt(c)), "f").limit(LEARNED))
         features[c] = {bytes(r["f"]): r["e"] for r in best.select("f", "e").collect()}
@@ -159,10 +161,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     The weights are fitted on word evidence that the other half of the
     sample taught, the evidence that the model keeps is that of both halves.
-    Labels with NULLs are skipped; an id labelled several times counts as bad
-    if any of its labels does.  Without labels the model has no evidence.
+    Each classifier learns from the rows that have its label, whatever the
+    other is; an id labelled several times counts as bad if any of its labels
+    does.  Without labels the model has no evidence.
     """
-    clean = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
+    clean = labels.where(F.col(id_col).isNotNull() & (F.col("quality").isNotNull() | F.col("toxic").isNotNull()))
     clean = clean.groupBy(id_col).agg((F.min("quality") == 0).alias("low"), (F.max("toxic") == 1).alias("toxic"))
     total = clean.count()
     place = F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(1 << 30)) / float(1 << 30)
@@ -172,8 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = materialize(docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(
         F.broadcast(chosen), id_col).select("half", "low", "toxic", "text"), "quality-sample")
     sizes = {r["half"]: r for r in rows.groupBy("half").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CLASSES]).collect()}
-    count = lambda halves: {c: sum(sizes[h][c] for h in halves if h in sizes) for c in ("n", *CLASSES)}
+        *[F.count(c).alias(f"n_{c}") for c in CLASSES], *[F.count_if(c).alias(c) for c in CLASSES]).collect()}
+    count = lambda halves: {c: sum(sizes[h][c] for h in halves if h in sizes) for c in COUNTED}
     counts = materialize(_count_words(rows), "quality-words")
     parts = []
     for half in (0, 1):
@@ -185,9 +188,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     order = np.lexsort(x.T)   # the fit does not depend on how the tasks were dealt out
     model = {"features": _word_evidence(counts, count([0, 1])), "models": {}}
     for c in CLASSES:
-        y = np.array(got.column(c).to_pylist(), np.float64)
-        if len(y) and 0 < y.sum() < len(y):
-            model["models"][c] = fit_logistic(x[order], y[order])
+        y = np.array(got.column(c).to_pylist(), np.float64)   # NULL is NaN
+        own = order[~np.isnan(y[order])]
+        if len(own) and 0 < y[own].sum() < len(own):
+            model["models"][c] = fit_logistic(x[own], y[own])
     return model
 
 

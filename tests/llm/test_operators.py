@@ -282,6 +282,19 @@ def test_quality_hostile(spark):
     assert quality.keep_good(frame(spark, []), labels).count() == 0
 
 
+def test_quality_learns_from_half_labels(spark):
+    """A label whose other half is NULL teaches its own classifier."""
+    docs, labels = judged()
+    halves = [(k, q, None) for k, q, _ in labels] + [(k, None, t) for k, _, t in labels]
+    schema = "doc_id long, quality int, toxic int"
+    docs = frame(spark, docs)
+    whole = quality.fit(docs, spark.createDataFrame(labels, schema))
+    apart = [(k, q if k % 2 else None, t if k % 10 in (2, 5) else None) for k, q, t in labels]
+    assert set(quality.fit(docs, spark.createDataFrame(apart, schema))["models"]) == {"low", "toxic"}
+    split = quality.fit(docs, spark.createDataFrame(halves, schema))
+    assert split["features"] == whole["features"] and set(split["models"]) == {"low", "toxic"}
+
+
 def test_quality_sites_shrink(spark):
     """A host of one document follows the global share; a large one its own; paths follow their hosts."""
     scored = ([("a.org/x", 0.9)] * 400 + [("a.org/y", 0.9)] * 2 + [("b.org", 0.1)] * 400 + [("c.org", 0.9)]
