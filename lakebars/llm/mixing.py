@@ -6,14 +6,18 @@ counts n times its posterior toward the domains' totals.  Nonnegative rates
 (expected copies of each document) are then fitted by projected gradient
 least squares: every step adds up the domains' totals over all documents,
 compares them with the targets, moves each rate against the gradient and
-cuts it off at zero.  Only the totals, one number for each domain, reach the
-driver.  Everything here is DataFrame functions.
+cuts it off at zero.  The steps are scaled by what the earlier ones showed of
+the domains' overlap (quasi-Newton), so that soft memberships get to the
+targets too.  Only the totals, one number for each domain, reach the driver.
+Everything here is DataFrame functions.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +29,9 @@ DOMAINS = 256            # domains of a labelled table at most; more is an error
 SMOOTH = 0.5
 EVIDENCE_WORDS = 20.0    # a text's evidence counts as that of so many words at most
 TEMPERATURE = 0.5        # default targets: expected shares to this power
-STEPS = 40
+STEPS = 300             # sums over all documents at most; a fit that needs more is reported
+RIDGE = 1e-8             # weight of the rates' distance from one beside that of the totals from the targets
 TOLERANCE = 1e-6         # largest distance of a domain's share from its target
-CHAIN = 10               # gradient steps carried in one expression before rates are written
 
 
 def word_rows(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
@@ -100,29 +104,72 @@ def fit_rates(members: DataFrame, k: int, weights: list[float] | None, steps: in
     """``members`` with ``rate``, and what the fit reached.
 
     Least squares over the domains' totals, each relative to the total it
-    has at rate one; the step for a document is its gradient per word, for
-    which a step length of one cannot overshoot.  All documents start at one.
+    has at rate one.  A rate is one less the document's posteriors times the
+    domains' pulls, cut off at zero.  The first step moves the pulls by the
+    gradient, for which a step length of one cannot overshoot; later ones
+    follow a quasi-Newton (BFGS) direction, the length found by the sign and
+    size of the slope.  Ends when all totals are within ``tolerance`` of all
+    words, or at the least squares solution if the targets cannot be reached;
+    ``gap`` is the largest distance left, as a share of all words.
     """
-    def totals(frame: DataFrame, rate: Column) -> list[float]:
-        row = frame.agg(*[F.sum(rate * F.col("n") * F.col("rows") * F.col(f"p{i}")) for i in range(k)]).first()
-        return [float(x or 0.0) for x in row]
-
-    have = totals(members, F.lit(1.0))
-    words = sum(have)
+    def totals(pulls) -> np.ndarray:
+        row = members.agg(*[F.sum(rate_of(pulls) * F.col("n") * F.col("rows") * F.col(f"p{i}")) for i in range(k)]).first()
+        return np.array([float(x or 0.0) for x in row])
+
+    def rate_of(pulls) -> Column:
+        if not np.any(pulls):
+            return F.lit(1.0)
+        return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.lit(float(x)) * F.col(f"p{i}") for i, x in enumerate(pulls)),
+                                                       F.lit(0.0)))
+
+    at, used = np.zeros(k), 0
+    have = totals(at)
+    words = float(have.sum())
     if weights is None:
         raised = [(t / words) ** TEMPERATURE if words and t > 0 else 0.0 for t in have]
         weights = [r / sum(raised) if sum(raised) else 0.0 for r in raised]
-    goal = [w * words for w in weights]
-    frame, rate, now, used = members.withColumn("rate", F.lit(1.0)), F.col("rate"), have, 0
-    while words and used < steps and max(abs(t - g) for t, g in zip(now, goal)) > tolerance * words:
-        pull = [(t - g) / h if h > 0 else 0.0 for t, g, h in zip(now, goal, have)]
-        gradient = sum((F.lit(p) * F.col(f"p{i}") for i, p in enumerate(pull)), F.lit(0.0))
-        rate, used = F.greatest(F.lit(0.0), rate - gradient), used + 1
-        if used % CHAIN == 0:
-            frame = materialize(frame.withColumn("rate", rate), "mixing-rates")
-            rate = F.col("rate")
-        now = totals(frame, rate)
-    return frame.withColumn("rate", rate), {"steps": used, "targets": goal, "totals": now, "before": have}
+    goal = np.array(weights) * words
+    scale = np.where(have > 0, 1 / np.where(have > 0, have, 1.0), 0.0)
+    gap = lambda t: float(np.abs(t - goal).max() / words) if words else 0.0
+    error = lambda t: float((scale * (t - goal) ** 2).sum())
+    slope_at = lambda pulls, t: (scale > 0) * (goal - t + RIDGE * have * pulls)
+    best, now, inverse = (at, have), have, np.diag(scale)
+    slope = slope_at(at, now)
+    while gap(best[1]) > tolerance and used < steps and np.abs(slope).max() > tolerance / 100 * words:
+        way = -inverse @ slope
+        down = slope @ way
+        if not down < 0:   # rounding spoilt the scaling
+            inverse = np.diag(scale)
+            way = -inverse @ slope
+            down = slope @ way
+        low, high, length = (0.0, down), None, 1.0
+        while used < steps:
+            there = at + length * way
+            now, used = totals(there), used + 1
+            if error(now) < error(best[1]):
+                best = (there, now)
+            new = slope_at(there, now)
+            rise = new @ way
+            if gap(now) <= tolerance or abs(rise) <= 0.5 * abs(down):
+                break
+            if rise < 0:
+                low = (length, rise)
+            else:
+                high = (length, rise)
+            if high is None:
+                length *= min(10.0, max(1.5, down / (down - rise))) if rise > down else 10.0
+            else:
+                part = low[1] / (low[1] - high[1])
+                length = low[0] + min(0.9, max(0.1, part)) * (high[0] - low[0])
+        step, change = there - at, new - slope
+        at, slope = there, new
+        if step @ change > 1e-14 * np.linalg.norm(step) * np.linalg.norm(change):
+            rho = 1 / (step @ change)
+            left = np.eye(k) - rho * np.outer(step, change)
+            inverse = left @ inverse @ left.T + rho * np.outer(step, step)
+    at, now = best
+    return members.withColumn("rate", rate_of(at)), {
+        "steps": used, "targets": goal.tolist(), "totals": now.tolist(), "before": have.tolist(), "gap": gap(now)}
 
 
 ADDED = {"n_words": "n_words", "domain": "domain", "posteriors": "posteriors", "rate": "rate"}
@@ -159,7 +206,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     if targets is not None:
         asked = [max(0.0, float(targets.get(d, 0.0))) for d in domains]
         weights = [w / sum(asked) for w in asked] if sum(asked) else None
-    rated, _ = fit_rates(members, len(domains), weights)
+    rated, fit = fit_rates(members, len(domains), weights)
+    if fit["gap"] > TOLERANCE:
+        warnings.warn(f"mixing: the domains' totals stay {fit['gap']:.2g} of all words off their targets after "
+                      f"{fit['steps']} steps", RuntimeWarning, stacklevel=2)
     posteriors = F.array(*[F.col(f"p{i}") for i in range(len(domains))])
     likeliest = F.element_at(F.array(*[F.lit(d) for d in domains]),
                              F.array_position(posteriors, F.array_max(posteriors)).cast("int"))

@@ -378,6 +378,29 @@ def test_mixing_reaches_targets(spark):
     assert np.mean([r["domain"] == truth[r["doc_id"]] for r in out]) > 0.97
 
 
+@pytest.mark.parametrize("spread", [0.1, 0.6, 0.9])
+def test_mixing_soft_memberships(spark, spread):
+    """Overlapping domains reach their targets to the promised tolerance too."""
+    rng = np.random.default_rng(4)
+    domain = rng.choice(4, 400, p=[.6, .15, .15, .1])
+    p = (1 - spread) * np.eye(4)[domain] + spread / 4
+    rows = [(k, int(n), 1, *map(float, x)) for k, (n, x) in enumerate(zip(rng.integers(0, 300, 400), p))]
+    members = spark.createDataFrame(rows, "id long, n long, rows long, p0 double, p1 double, p2 double, p3 double")
+    share = (p * np.array([r[1] for r in rows])[:, None]).sum(axis=0)
+    for weights in (None, [0.25] * 4, (0.5 * share[::-1] / share.sum() + 0.125).tolist() if spread < 0.5 else None):
+        rated, fit = mixing.fit_rates(members, 4, weights)
+        got = np.array([[r["rate"] * r["n"] * r[f"p{i}"] for i in range(4)] for r in rated.collect()])
+        assert rated.where("rate < 0").count() == 0
+        assert np.abs(got.sum(axis=0) - fit["targets"]).max() <= 2e-6 * share.sum() and fit["gap"] <= mixing.TOLERANCE
+
+
+def test_mixing_reports_what_cannot_be_reached(spark):
+    rows = [(k, 10, 1, 0.5, 0.5) for k in range(20)]
+    members = spark.createDataFrame(rows, "id long, n long, rows long, p0 double, p1 double")
+    rated, fit = mixing.fit_rates(members, 2, [0.9, 0.1])
+    assert abs(fit["gap"] - 0.4) < 1e-6 and rated.where("abs(rate - 1) > 1e-4").count() == 0
+
+
 def test_mixing_hostile(spark):
     rows = hostile()
     docs = frame(spark, rows)
