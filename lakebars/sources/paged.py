@@ -64,13 +64,13 @@ def with_retry(fetch: Callable[[dict], object], retries: int = 5, least_wait: fl
 
 
 def exchange_rows(page: str) -> int:
-    """Records of an exchange page: the length of ``candles.data``, which may be missing."""
+    """Records of an exchange page: the length of ``candles.data``; only an empty list ends a chain."""
     try:
         body = json.loads(page)
     except ValueError as error:
         raise PageError(f"page is no JSON: {page[:80]!r}") from error
-    block = body.get("candles", {}) if isinstance(body, dict) else None
-    rows = block.get("data", []) if isinstance(block, dict) else None
+    block = body.get("candles") if isinstance(body, dict) else None
+    rows = block.get("data") if isinstance(block, dict) else None
     if not isinstance(rows, list) or not all(isinstance(r, list) for r in rows):
         raise PageError(f"page without a list of records: {page[:80]!r}")
     return len(rows)

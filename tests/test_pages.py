@@ -155,3 +155,11 @@ def test_spark_decode_agrees_with_parsed_pages(spark, names, data):
     out = decode_pages(pages_df(spark, [page]), fields=("open", "close", "begin"), keep=("pid",))
     got = [tuple(r[f] for f in ("open", "close", "begin")) for r in out.orderBy("record_pos").collect()]
     assert got == expected
+
+
+@pytest.mark.parametrize("body", ['{"error": "try later"}', '{"candles": {"metadata": {}}}', "{}"])
+def test_missing_records_do_not_end_a_chain(body):
+    """An error body sent as success in mid-chain raises; the pages after it are not lost."""
+    pages = {0: '{"candles":{"data":[[1]]}}', 1: body}
+    with pytest.raises(PageError):
+        list(page_chain(lambda params: pages[params.get("start", 0)], advance_by_rows(), {}))
