@@ -60,6 +60,30 @@ def text_key(col: Column) -> Column:
     return F.struct(F.xxhash64(col, missing).alias("a"), F.xxhash64(F.lit(7), missing, col).alias("b"))
 
 
+def draw(rows: DataFrame, of: str, keys: list[str], sample: int, seed: int) -> DataFrame:
+    """At most ``sample`` rows of each value of ``of``, distinct by ``keys``: those with the smallest hashes of them.
+
+    The driver gets hashes only, little more than ``sample`` for each value.
+    """
+    place = fresh("place", rows.columns)
+    placed = rows.withColumn(place, F.xxhash64(F.lit(seed), *keys))
+    about = placed.groupBy(of).agg(F.approx_count_distinct(place, 0.02).alias("n")).collect()
+    enough = 1.1 * (sample + 6 * sample ** 0.5)
+    first = {r[of]: min((1 << 63) - 1, int(enough / max(1, r["n"]) * (1 << 64)) - (1 << 63)) for r in about}
+
+    def below(limits: dict) -> DataFrame:
+        by_value = F.create_map(*[x for value, most in limits.items() for x in (F.lit(value), F.lit(most).cast("long"))])
+        return placed.where(F.col(place) <= by_value[F.col(of)])
+
+    if not first:
+        return rows.limit(0)
+    heads: dict = {}
+    for value, at in below(first).select(of, place).distinct().collect():
+        heads.setdefault(value, []).append(at)
+    last = {value: sorted(at)[:sample][-1] for value, at in heads.items()}
+    return below(last).dropDuplicates([of, place]).drop(place)
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """A column name that clashes with none of ``taken``."""
     while name.lower() in {t.lower() for t in taken}:

@@ -15,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakebars.llm.common import prepare
+from lakebars.llm.common import draw, prepare
 
 BUCKETS = 1 << 13
 ORDERS = (2, 3, 4)
 DIM = 16
-SAMPLE = 1500            # labelled texts of each language at most, in expectation
+SAMPLE = 1500            # labelled rows of each language at most
 EPOCHS = 12
 RATE = 4.0
 BATCH = 32
@@ -100,21 +100,22 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return temperature, float(scores.max(axis=1)[order][enough[-1]])
 
 
-def fit(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE, seed: int = 7) -> dict:
-    """A model from at most about ``sample`` texts of each language, chosen by a hash of the text.
+def fit(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE, seed: int = 7,
+        id_col: str | None = None) -> dict:
+    """A model from at most ``sample`` rows of each language, chosen by a hash of the id and the text.
+
+    Rows that have both in common count once (without ``id_col``, copies of a text do).
 
     Features are made by the tasks; the driver gets the chosen rows'
     hashed features only (at most BUCKETS of each).
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    langs = sorted(counts)
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
+        *([F.col(id_col).alias("id")] if id_col else []))
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not langs:
         return {"langs": [], "matrix": np.zeros((BUCKETS, 0)), "temperature": 1.0, "least": 0.0}
-    place = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, sample / n)))])
-    chosen = rows.where(place < share[F.col("lang")])
+    chosen = draw(rows, "lang", rows.columns[1:], sample, seed)
 
     def run(batches):
         for batch in batches:
@@ -195,5 +196,5 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     prepare(docs.sparkSession)
     rows = docs.select(id_col, held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"),
                        F.col(lang_col).alias("lang"))
-    model = fit(rows.where(~F.col("held_out")), "text", "lang", **params)
+    model = fit(rows.where(~F.col("held_out")), "text", "lang", **{"id_col": id_col, **params})
     return predict(rows.drop("lang"), model, "text", [id_col, "held_out"])

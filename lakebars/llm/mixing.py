@@ -21,10 +21,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakebars.llm.common import ASCII_SPACE, fresh, lower_ascii, materialize, prepare, text_key
+from lakebars.llm.common import ASCII_SPACE, draw, fresh, lower_ascii, materialize, prepare, text_key
 
 BUCKETS = 1 << 13        # hashed words of the classifier
-SAMPLE = 8000            # labelled documents fitted on at most, in expectation
+SAMPLE = 8000            # labelled documents fitted on at most
 DOMAINS = 256            # domains of a labelled table at most; more is an error
 SMOOTH = 0.5
 EVIDENCE_WORDS = 20.0    # a text's evidence counts as that of so many words at most
@@ -42,14 +42,17 @@ def word_rows(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
 
 def fit_classifier(labelled: DataFrame, text_col: str, domain_col: str, sample: int = SAMPLE,
-                   seed: int = 3) -> tuple[list[str], list[float], DataFrame | None]:
+                   seed: int = 3, id_col: str | None = None) -> tuple[list[str], list[float], DataFrame | None]:
     """Domains, their log shares, and ``(bucket, scores)``: each domain's log chance of a word.
 
-    Fitted on about ``sample`` labelled rows chosen by a hash of the text.
+    Fitted on at most ``sample`` labelled rows chosen by a hash of the id and
+    the text; rows that have both in common count once (without ``id_col``,
+    copies of a text do).
     The table has ``BUCKETS`` rows, whatever the input.
     """
     rows = labelled.where(F.col(domain_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(domain_col).cast("string").alias("domain"), F.col(text_col).cast("string").alias("text"))
+        F.col(domain_col).cast("string").alias("domain"), F.col(text_col).cast("string").alias("text"),
+        *([F.col(id_col).alias("id")] if id_col else []))
     counts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(
         F.count(F.lit(1)).alias("n")).limit(DOMAINS + 1).collect()}
     if len(counts) > DOMAINS:
@@ -57,8 +60,7 @@ def fit_classifier(labelled: DataFrame, text_col: str, domain_col: str, sample:
     domains, total = sorted(counts), sum(counts.values())
     if not domains:
         return [], [], None
-    place = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.where(place < min(1.0, sample / total))
+    chosen = draw(rows.withColumn("all", F.lit(1)), "all", rows.columns, sample, seed)
     seen = word_rows(chosen, "text", ["domain"]).groupBy("bucket", "domain").agg(F.count(F.lit(1)).alias("n"))
     wide = seen.groupBy("bucket").agg(*[F.sum(F.when(F.col("domain") == d, F.col("n"))).alias(f"d{i}")
                                         for i, d in enumerate(domains)])
@@ -193,7 +195,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     prepare(spark)
     keep = docs.columns if keep is None else keep
     names = {**{k: fresh(v, keep) for k, v in ADDED.items()}, **(names or {})}
-    domains, priors, scores = fit_classifier(labelled, text_col, domain_col, sample)
+    domains, priors, scores = fit_classifier(labelled, text_col, domain_col, sample,
+                                             id_col=id_col if id_col in labelled.columns else None)
     if not domains:
         size = F.size(F.filter(F.split(F.translate(F.coalesce(F.col(text_col), F.lit("")), ASCII_SPACE,
                                                    " " * len(ASCII_SPACE)), " "), lambda w: w != ""))

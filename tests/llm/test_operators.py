@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakebars.llm import (decontam, embed_dups, graph, lang_id, line_dedup, lm_score, mixing, quality, simhash,
+from lakebars.llm import (common, decontam, embed_dups, graph, lang_id, line_dedup, lm_score, mixing, quality, simhash,
                           substring_dedup, token_counts)
 from tests.llm import brute
 
@@ -512,6 +512,24 @@ def test_language_id_does_not_see_held_out(spark):
     assert {r["lang_pred"] for r in out.collect()} <= {"a", "b"}
 
 
+def test_sample_of_copies_is_bounded(spark, monkeypatch):
+    """Copies of a text are drawn one by one, and never more than the sample."""
+    rows = [(k, "one text that many rows have" if k % 3 == 0 else f"text {k}", "ab"[k % 2]) for k in range(3000)]
+    rows += [(-1, "a row that comes often", "a")] * 900 + [(None, "no id", "b")] * 900
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    chosen = common.draw(docs, "lang", ["doc_id", "text"], 300, 7).collect()
+    for lang in "ab":
+        own = [r for r in chosen if r["lang"] == lang]
+        copies = sum(r["doc_id"] is not None and r["doc_id"] >= 0 and r["doc_id"] % 3 == 0 for r in own)
+        assert len(own) == 300 == len({(r["doc_id"], r["text"]) for r in own}) and 60 < copies < 140
+    got = []
+    train = lang_id.train
+    monkeypatch.setattr(lang_id, "train", lambda rows, *a: got.append(len(rows)) or train(rows, *a))
+    lang_id.fit(docs, "text", "lang", sample=50, id_col="doc_id")
+    assert 0 < got[0] <= 100
+    assert common.draw(docs.limit(0), "lang", ["doc_id"], 5, 7).count() == 0
+
+
 def test_language_id_hostile(spark):
     rows = hostile()
     assert lang_id.identify(frame(spark, rows)).count() == len(rows)
