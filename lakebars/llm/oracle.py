@@ -117,10 +117,34 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN copy ON d.doc_id = cop
 LEFT JOIN top ON d.doc_id = top.doc_id"""
 
 
+def clusters(k: int = 40, rounds: int = 5) -> str:
+    """Lloyd's rounds unrolled; integers are carried as doubles, in which every sum here is exact."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT v.n, v.vec_id, v.e, c.k, c.e AS centroid,
+  list_inner_product(v.e, v.e) - 2 * list_inner_product(v.e, c.e) + list_inner_product(c.e, c.e) AS d
+  FROM v CROSS JOIN c{r} c QUALIFY row_number() OVER (PARTITION BY v.n ORDER BY d, c.k) = 1)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN
+  (SELECT k, list(x ORDER BY p) AS e FROM (SELECT k, p, floor(CAST(sum(CAST(x AS BIGINT)) AS DOUBLE) / count(*)) AS x FROM
+    (SELECT k, unnest(e) AS x, generate_subscripts(e, 1) AS p FROM a{r}) u GROUP BY k, p) s GROUP BY k) m ON m.k = c.k)""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, sha256('2:' || CAST(vec_id AS VARCHAR)) AS h,
+  [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS k, e FROM v QUALIFY k < {k}),
+{", ".join(steps)}
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(CAST(d AS BIGINT)) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(CAST(d AS BIGINT)) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string([CAST(x AS BIGINT) FOR x IN centroid], ',')) AS centroid_sha256 FROM a{rounds}"""
+
+
 SQL = {
     "op2_embedding_dedup": EMBEDDINGS,
     "op3_line_dedup": LINES,
     "op6_lm_scores": LM,
     "op8_decontamination": CONTAMINATION,
     "op10_substring_dedup": substrings(),
+    "op11_centroids": clusters(),
 }
