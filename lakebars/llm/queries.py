@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakebars.llm import (centroids, decontam, embed_dups, lang_id, line_dedup, lm_score, mixing, oracle, quality, simhash,
+from lakebars.llm import (centroids, conversations, decontam, embed_dups, lang_id, line_dedup, lm_score, mixing, oracle, quality, simhash,
                           substring_dedup, token_counts)
 from lakebars.llm.common import prepare, table
 
@@ -68,9 +68,15 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("centroid_sha256", centroids.centroid_digest(F.col("centroid"))).drop("centroid")
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(damaged, lost_col="lost")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_embedding_dedup, op3_line_dedup, op4_token_counts, op5_quality, op6_lm_scores, op7_mixing,
-    op8_decontamination, op9_language_id, op10_substring_dedup, op11_centroids)}
+    op8_decontamination, op9_language_id, op10_substring_dedup, op11_centroids,
+    op12_conversations)}
 
 
 def queries() -> dict:
