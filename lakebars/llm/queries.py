@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakebars.llm import (centroids, conversations, decontam, embed_dups, lang_id, line_dedup, lm_score, mixing, oracle, quality, simhash,
-                          substring_dedup, token_counts)
+from lakebars.llm import (centroids, conversations, decontam, embed_dups, lang_id, line_dedup, lm_score, mixing, oracle, private_data,
+                          quality, simhash, substring_dedup, token_counts)
 from lakebars.llm.common import prepare, table
 
 
@@ -73,10 +73,18 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(damaged, lost_col="lost")
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data.private_spans(table(spark, sf_dir, "documents"))
+    counts = {f"n_{kind}": private_data.counted(F.col("base"), k) for k, kind in enumerate(private_data.KINDS)}
+    return found.select("doc_id", *[c.alias(n) for n, c in counts.items()],
+                        F.sha2(private_data.spelled(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        private_data.spelled(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_embedding_dedup, op3_line_dedup, op4_token_counts, op5_quality, op6_lm_scores, op7_mixing,
     op8_decontamination, op9_language_id, op10_substring_dedup, op11_centroids,
-    op12_conversations)}
+    op12_conversations, op13_pii)}
 
 
 def queries() -> dict:
