@@ -14,6 +14,14 @@ class DataQualityError(RuntimeError):
     """Raised when a gate fails; downstream steps must not run."""
 
 
+class GateStopped(DataQualityError):
+    """The quality gate found violations; ``counts`` says how many of each rule."""
+
+    def __init__(self, counts: dict):
+        super().__init__(f"data-quality gate failed: {counts}")
+        self.counts = counts
+
+
 class MissingSnapshotError(RuntimeError):
     """Q3: no reference snapshot for the process date or its fallback dates."""
 
@@ -69,13 +77,13 @@ LOST_PRICES = "price_out_of_range"
 
 
 def gate_verdict(counts: dict, rules: dict[str, Column] | None = None) -> dict:
-    """Raise :class:`DataQualityError` when any rule count, or that of lost prices, is non-zero."""
+    """Raise :class:`GateStopped` when any rule count, or that of lost prices, is non-zero."""
     names = {*_rules(rules), LOST_PRICES}
     result = {k: int(v or 0) for k, v in counts.items() if k == "rows_checked" or k in names}
     failed = {k: v for k, v in result.items() if k in names and v}
     result["passed"] = not failed
     if failed:
-        raise DataQualityError(f"data-quality gate failed: {failed}")
+        raise GateStopped(failed)
     return result
 
 

@@ -32,6 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def span(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """First and last day of the events (their row groups' statistics would do; one column is read)."""
+    first, last = table(spark, sf_dir, "events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    return (first, last) if first else (PROCESS_DATE, PROCESS_DATE)
+
+
 def raw_candles(events: DataFrame, by: str = "type") -> DataFrame:
     """events -> raw text candles (ticker, begin, open, close, high, low, volume)."""
     ticker = F.col("event_type") if by == "type" else F.col("user_id").cast("string")

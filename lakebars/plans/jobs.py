@@ -4,8 +4,10 @@ Everything lives under one root folder (on a cluster: a shared store):
 
     bronze/candles/load_date=           raw JSONL           (L1 writes, L2 reads)
     bronze/issuers/load_date=           issuer snapshots    (L1 writes, L2 reads)
-    tables/<db>/...                     staging, ODS, dimension, mart, buffer, serving
+    tables/<db>/...                     staging, ODS, dimension, mart, buffer
     export/mart/trade_date=             one Parquet folder per published day
+    publication/                        the served days by version, their manifests, the pointer (view ``serving``)
+    ledger/process_date=                the state of every run
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import json
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
@@ -24,9 +26,14 @@ from lakebars.operators.asof import mart_frame
 from lakebars.operators.bars import daily_ohlcv_latest_load, distinct_candles
 from lakebars.operators.candles import typed_candles
 from lakebars.operators.pages import page_records
-from lakebars.operators.quality import LOST_PRICES, combine_counts, gate_metrics, gate_verdict
+from lakebars.operators.quality import (BAR_RULES, LOST_PRICES, GateStopped, combine_counts, dq_summary, gate_metrics,
+                                        gate_verdict)
+from lakebars.plans import ledger as runs
 from lakebars.plans import sinks, tables
+from lakebars.plans.ledger import Entry, RunLedger
+from lakebars.plans.publication import Publication
 from lakebars.schemas import DIMENSION, ISSUER, MART, ODS_BAR, PRICE, STAGED_BAR
+from lakebars.session import discard, materialize
 from lakebars.sources.files import read_parquet, read_raw_candles, read_snapshot
 from lakebars.sources.paged import read_pages
 from lakebars.sources.seed import universe_frame
@@ -34,7 +41,6 @@ from lakebars.sources.seed import universe_frame
 STAGED_TABLE = StructType([f for f in STAGED_BAR.fields if f.name != "trade_date"]
                           + [StructField("trade_date", DateType())])
 DIM_TABLE = StructType(DIMENSION.fields + [StructField("version_end", DateType())])
-EXPORT_SCHEMA = StructType([f for f in MART.fields if f.name != "trade_date"])
 
 
 @dataclass
@@ -52,12 +58,24 @@ class Lakehouse:
     def bronze_issuers(self) -> str:
         return os.path.join(self.root, "bronze", "issuers")
 
+    @property
+    def export_root(self) -> str:
+        return os.path.join(self.root, "export", "mart")
+
     def export_path(self, day) -> str:
-        return os.path.join(self.root, "export", "mart", f"trade_date={as_date(day)}")
+        return os.path.join(self.export_root, f"trade_date={as_date(day)}")
 
     def t(self, name: str) -> str:
         return f"{self.db}.{name}"
 
+    def ledger(self, spark: SparkSession) -> RunLedger:
+        return RunLedger(spark, os.path.join(self.root, "ledger"))
+
+    def publication(self, spark: SparkSession) -> Publication:
+        """The served days; the view ``serving`` shows those in force."""
+        return Publication(spark, os.path.join(self.root, "publication"), MART, view=self.t("serving"),
+                           versions=self.t("serving_versions"))
+
     def ensure(self, spark: SparkSession) -> "Lakehouse":
         """D8 for every table; idempotent."""
         if self.created:
@@ -71,10 +89,10 @@ class Lakehouse:
             ("dim_issuers", DIM_TABLE, ("version_end",)),
             ("mart_daily", MART, ("trade_date",)),
             ("serving_buffer", MART, ("trade_date",)),
-            ("serving", MART, ("trade_date",)),
         ]
         for name, schema, parts in specs:
             tables.create_table(spark, self.t(name), schema, None, parts)
+        self.publication(spark).ensure()
         self.created = True
         return self
 
@@ -169,27 +187,46 @@ def silver(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
     bars = silver_bars(spark, lh, process_date, tickers, lookback_days)
     # The staging table holds exactly this batch: an empty batch empties it
     # (like the day clear that precedes every load) and reports SKIPPED.
-    counted, obs = sinks.observed(bars.select(*[f.name for f in STAGED_TABLE.fields]))
-    counted.write.insertInto(lh.t("stg_bars"), overwrite=True)
+    obs = Observation("staged")
+    rows_of = bars.select(*[f.name for f in STAGED_TABLE.fields]).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.collect_set("trade_date").alias("days"))
+    rows_of.write.insertInto(lh.t("stg_bars"), overwrite=True)
     rows = int(obs.get["rows"])
     status = sinks.WriteResult("WRITTEN" if rows else "SKIPPED", rows, lh.t("stg_bars"))
-    return {"snapshot_date": snap_date, "bars": status}
+    return {"snapshot_date": snap_date, "bars": status, "days": sorted(obs.get["days"] or [])}
 
 
 # ---------------------------------------------------------------- L3 gold
 
+def _found_by_day(ods: DataFrame, staged: DataFrame, lost, days) -> dict:
+    """``{day: (violations, rules)}`` of the days that the gate looked at; asked only when it stops a run."""
+    found: dict = {}
+    for r in dq_summary(ods.where(F.col("trade_date").isin(days))).collect():
+        found[r["trade_date"]] = {name: r[name] for name in BAR_RULES}
+    for r in staged.where(F.col("trade_date").isin(days)).groupBy("trade_date").agg(lost).collect():
+        found.setdefault(r["trade_date"], {})[LOST_PRICES] = r[LOST_PRICES]
+    return {day: (sum(n.values()), ",".join(name for name, k in n.items() if k)) for day, n in found.items()}
+
+
 def gold(spark: SparkSession, lh: Lakehouse, process_date, run_ts, strict: bool = True,
-         gate_scope: str = "touched") -> dict:
+         gate_scope: str = "touched", ledger: RunLedger | None = None) -> dict:
     """L3: upsert ODS (D2) -> quality gate (Q1) -> SCD2 dimension (D3) -> mart days.
 
     ``gate_scope="touched"`` checks every ODS day the run wrote (the process
     date and any fallback day); ``"process_date"`` checks the process date
-    only, as the original flow does.
+    only, as the original flow does.  A gate that fails raises
+    :class:`GateStopped`: the upsert stays, dimension and mart are untouched.
+
+    The mart days of the run are rebuilt whole.  A run whose snapshot changes
+    attributes of days that later runs have built already changes the mart
+    rows of those tickers and days, and no others.  ``ledger`` is told of
+    every step; days that an interrupted attempt left in it are rebuilt too.
     """
     if gate_scope not in ("touched", "process_date"):
         raise ValueError(f"unknown gate_scope={gate_scope!r}")
     lh.ensure(spark)
     d = as_date(process_date)
+    pending = ledger.pending(d) if ledger else []
     staged = spark.table(lh.t("stg_bars"))
     priced = {c: F.col(c).try_cast(PRICE) for c in ("open_price", "close_price", "high_price", "low_price")}
     source = staged.select("ticker", *[x.alias(c) for c, x in priced.items()], "volume",
@@ -199,70 +236,157 @@ def gold(spark: SparkSession, lh: Lakehouse, process_date, run_ts, strict: bool
     # untouched process date needs a query of its own.
     scope = None if gate_scope == "touched" else F.col("trade_date") == F.lit(d)
     lost = [F.col(c).isNotNull() & x.isNull() for c, x in priced.items()]
-    lost = staged.where(scope if scope is not None else F.lit(True)).agg(
-        F.count_if(lost[0] | lost[1] | lost[2] | lost[3]).alias(LOST_PRICES)).first().asDict()
+    lost = F.count_if(lost[0] | lost[1] | lost[2] | lost[3]).alias(LOST_PRICES)
+    lost_counts = staged.where(scope if scope is not None else F.lit(True)).agg(lost).first().asDict()
+    staged_rows: dict = {}
     dates, counts = tables.upsert_into(
         spark, lh.t("ods_bars"), source, ["ticker", "trade_date"],
         ["open_price", "close_price", "high_price", "low_price", "volume"], run_ts,
-        observe=gate_metrics(where=scope))
+        observe=gate_metrics(where=scope), rows_by_date=staged_rows)
+    own = sorted(set(dates) | {d})
+
+    def note(state: str, days, found: dict | None = None, left=()) -> None:
+        if ledger:
+            entries = [Entry(x, state, staged_rows.get(x, 0), *(found or {}).get(x, (0, ""))) for x in days]
+            ledger.record(d, run_ts, entries + [Entry(x, runs.MERGING) for x in left if x not in days])
+
     ods = spark.table(lh.t("ods_bars"))
     if d not in dates:
         counts = combine_counts(counts, ods.where(F.col("trade_date") == F.lit(d))
                                 .agg(*gate_metrics()).first().asDict())
-    gate = gate_verdict(combine_counts(counts, lost))
+    try:
+        gate = gate_verdict(combine_counts(counts, lost_counts))
+    except GateStopped:
+        if ledger:
+            note(runs.STOPPED, own, _found_by_day(ods, staged, lost, own if scope is None else [d]), pending)
+        raise
+    note(runs.UPSERTED, own, left=pending)
+    whole = sorted({*own, *pending})
+    repair: dict = {"days": [], "pairs": None}
+
+    def before_swap(_, changes: DataFrame) -> None:
+        # facts of later days whose attributes change; there are none unless later runs came first
+        later = ods.where((F.col("trade_date") >= F.to_date(F.lit(as_datetime(run_ts)))) & ~F.col("trade_date").isin(whole))
+        if later.inputFiles():                 # from the listing of partitions, no job
+            hit = later.join(changes, "ticker").where((F.col("trade_date") >= F.col("from_date"))
+                                                      & (F.col("trade_date") < F.col("to_date")))
+            repair["pairs"], seen = materialize(hit.select(*ods.columns).dropDuplicates(["ticker", "trade_date"]), "repair",
+                                                observe=[F.collect_set("trade_date").alias("days")])
+            repair["days"] = sorted(seen["days"] or [])
+        note(runs.MERGING, sorted({*whole, *repair["days"]}))
+
     dim_stats = tables.scd2_publish(spark, lh.t("dim_issuers"), spark.table(lh.t("stg_issuers")),
-                                    run_ts, strict=strict)
-    days = set(dates) | {d}
-    if dim_stats["changed_until"]:
-        # a late run changed versions of days after its own: their marts follow
-        changed = ods.where((F.col("trade_date") >= F.to_date(F.lit(as_datetime(run_ts))))
-                            & (F.col("trade_date") < F.lit(dim_stats["changed_until"])))
-        days |= {r[0] for r in changed.select("trade_date").distinct().collect()}  # calendar days
-    days = sorted(days)
+                                    run_ts, strict=strict, before_swap=before_swap)
+    days = sorted({*whole, *repair["days"]})
     # only versions that end after the first day can cover one of the days
     dim = spark.table(lh.t("dim_issuers")).where(F.col("version_end") > F.lit(days[0])).drop("version_end")
+    between = (days[0], days[-1])
     built = tables.replace_days(spark, lh.t("mart_daily"), mart_frame(
-        ods.where(F.col("trade_date").isin(days)), dim), days)
-    return {"ods_dates": dates, "gate": gate, "dimension": dim_stats, "mart_days": built, "rebuilt": days}
+        ods.where(F.col("trade_date").isin(whole)), dim, between), whole)
+    if repair["pairs"] is not None:
+        if repair["days"]:
+            built = sorted({*built, *tables.merge_into_days(
+                spark, lh.t("mart_daily"), repair["pairs"], mart_frame(repair["pairs"], dim, between), repair["days"])})
+        discard(repair["pairs"])
+    note(runs.BUILT, days)
+    return {"ods_dates": dates, "gate": gate, "dimension": dim_stats, "mart_days": built, "rebuilt": days,
+            "repaired": repair["days"], "staged_rows": staged_rows}
 
 
 # ---------------------------------------------------------------- L4 serving
 
-def serving(spark: SparkSession, lh: Lakehouse, process_date, clear_empty: bool = False) -> sinks.WriteResult:
-    """L4: mart day -> Parquet export -> buffer -> swap of the serving day.
+FEW_DAYS = 32     # days whose rows are counted while they are exported; more are counted by a job of their own
 
-    An empty day is skipped: buffer and serving partition stay as they are,
-    unless ``clear_empty`` says that the day was rebuilt and has no rows any
-    more; then the serving day is emptied too.
+
+def serve_days(spark: SparkSession, lh: Lakehouse, days, clear=()) -> dict:
+    """L4 for any number of days: mart -> Parquet export -> buffer -> one swap; ``{day: WriteResult}``.
+
+    The number of Spark jobs does not depend on the number of days, and
+    readers of ``serving`` see all of the days change or none.  A day without
+    mart rows is skipped: its served rows stay, unless it is one of
+    ``clear`` (days that were rebuilt); then it is withdrawn in the same swap.
     """
     lh.ensure(spark)
-    d = as_date(process_date)
-    path = lh.export_path(d)
-    day_rows = spark.table(lh.t("mart_daily")).where(F.col("trade_date") == F.lit(d)).drop("trade_date")
-    result = sinks.skip_if_empty(day_rows, path)
-    if result.status == "SKIPPED":
-        if clear_empty:
-            tables.clear_day(spark, lh.t("serving"), d)
-        return result
+    days, clear = sorted({as_date(d) for d in days}), {as_date(d) for d in clear}
+    seen = Observation("exported")
+    few = days if len(days) <= FEW_DAYS else []
+    rows = spark.table(lh.t("mart_daily")).where(F.col("trade_date").isin(days)).observe(
+        seen, F.collect_set("trade_date").alias("days"), *[F.count_if(F.col("trade_date") == F.lit(d)).alias(str(d)) for d in few])
+    sinks.write_parquet(rows, lh.export_root, partition_by=["trade_date"], dynamic=True)
+    present = sorted(seen.get["days"] or [])
+    counts = {d: seen.get[str(d)] for d in few if d in present}
     tables.truncate(spark, lh.t("serving_buffer"))
-    exported = read_parquet(spark, path, EXPORT_SCHEMA).withColumn("trade_date", F.lit(d))
-    sinks.insert_by_position(exported.select(*[f.name for f in MART.fields]), lh.t("serving_buffer"))
-    tables.replace_partition_from(spark, lh.t("serving"), lh.t("serving_buffer"), d)
-    return result
+    if present:
+        exported = read_parquet(spark, lh.export_root, MART).where(F.col("trade_date").isin(present))
+        if not few:
+            counts = {r["trade_date"]: r["count"] for r in exported.groupBy("trade_date").count().collect()}
+        sinks.insert_by_position(exported.select(*[f.name for f in MART.fields]), lh.t("serving_buffer"))
+    withdrawn = [d for d in days if d not in present and d in clear]
+    if present or withdrawn:
+        lh.publication(spark).publish(spark.table(lh.t("serving_buffer")), present + withdrawn)
+    return {d: sinks.WriteResult("WRITTEN" if d in counts else "SKIPPED", counts.get(d, 0), lh.export_path(d)) for d in days}
+
+
+def serving(spark: SparkSession, lh: Lakehouse, process_date, clear_empty: bool = False) -> sinks.WriteResult:
+    """L4 for one day; an empty day is skipped, or with ``clear_empty`` withdrawn."""
+    d = as_date(process_date)
+    return serve_days(spark, lh, [d], [d] if clear_empty else [])[d]
+
+
+def _publish_run(spark: SparkSession, lh: Lakehouse, ledger: RunLedger, d, run_ts, days, clear, staged_rows: dict) -> dict:
+    served = serve_days(spark, lh, days, clear)
+    ledger.record(d, run_ts, [Entry(x, runs.PUBLISHED if r.status == "WRITTEN" else runs.EMPTY, staged_rows.get(x, 0))
+                              for x, r in served.items()])
+    return served
 
 
 def daily_run(spark: SparkSession, lh: Lakehouse, process_date, run_ts, tickers=None,
               lookback_days: int = 1, strict: bool = True, gate_scope: str = "touched") -> dict:
-    """L2 -> L3 -> L4 for one process date; every day that gold rebuilt is served.
+    """L2 -> L3 -> L4 for one process date; every day that gold rebuilt is served, in one swap.
 
-    ``serving`` is the process date's result, ``served`` that of every day.
+    ``serving`` is the process date's result, ``served`` that of every day,
+    ``state`` the run's outcome.  A run that the quality gate stops ends
+    there (``STOPPED``, with the gate's counts): dimension, mart and serving
+    stay as they were, and other runs are not affected.  The ledger has every
+    step; the same call again starts over and finishes what is left.
     """
-    out = {"silver": silver(spark, lh, process_date, tickers, lookback_days)}
-    out["gold"] = gold(spark, lh, process_date, run_ts, strict, gate_scope)
-    touched = set(out["gold"]["ods_dates"])
-    out["served"] = {day: serving(spark, lh, day, clear_empty=day in touched or day != as_date(process_date))
-                     for day in out["gold"]["rebuilt"]}
-    out["serving"] = out["served"][as_date(process_date)]
+    lh.ensure(spark)
+    d, ledger = as_date(process_date), lh.ledger(spark)
+    pending = ledger.pending(d)
+    out: dict = {"silver": silver(spark, lh, d, tickers, lookback_days)}
+    staged = sorted({d, *out["silver"]["days"]})
+    ledger.record(d, run_ts, [Entry(x, runs.MERGING if x in pending else runs.STAGED) for x in sorted({*staged, *pending})])
+    try:
+        out["gold"] = gold(spark, lh, d, run_ts, strict, gate_scope, ledger)
+    except GateStopped as stop:
+        out |= {"gold": {"gate": {**stop.counts, "passed": False}}, "served": {}, "state": runs.STOPPED,
+                "serving": sinks.WriteResult(runs.STOPPED, 0, lh.export_path(d))}
+        return out
+    # a process date without a batch leaves what is served alone, as an empty export does
+    clear = [x for x in out["gold"]["rebuilt"] if x != d or d in out["gold"]["ods_dates"]]
+    out["served"] = _publish_run(spark, lh, ledger, d, run_ts, out["gold"]["rebuilt"], clear, out["gold"]["staged_rows"])
+    out["serving"], out["state"] = out["served"][d], runs.PUBLISHED
+    return out
+
+
+def resume(spark: SparkSession, lh: Lakehouse, **params) -> dict:
+    """Finish every unfinished run of the ledger, oldest first: ``{process date: result}``.
+
+    A run whose mart is built is only served.  Any other starts over with its
+    own run time: an interrupted one finds what it had done, a stopped one
+    looks at the data that are there now.
+    """
+    lh.ensure(spark)
+    ledger, out = lh.ledger(spark), {}
+    for d in ledger.unfinished():
+        entries, run_ts = ledger.entries(d), ledger.run_ts(d)
+        if all(e.state in (runs.BUILT, runs.PUBLISHED, runs.EMPTY) for e in entries):
+            rows = {e.trade_date: e.staged_rows for e in entries}
+            clear = [x for x, n in rows.items() if x != d or n]
+            served = _publish_run(spark, lh, ledger, d, run_ts, list(rows), clear, rows)
+            out[d] = {"served": served, "serving": served.get(d), "state": runs.PUBLISHED}
+        else:
+            out[d] = daily_run(spark, lh, d, run_ts, **params)
     return out
 
 

@@ -80,20 +80,64 @@ def scd2_ctes(run_ts: str = RUN_TS) -> str:
     return f"dim1 AS ({v1_dimension()}), dim2 AS ({merged_dimension(run_ts)})"
 
 
-def mart(dim: str = "dim2") -> str:
-    """Mart rows from user bars and a dimension CTE; return on integer cents."""
+def mart(dim: str = "dim2", source: str | None = None, more: str = "", same: str = "") -> str:
+    """Mart rows from user bars (or ``source``) and a dimension CTE; return on integer cents."""
     return f"""
 SELECT b.ticker, d.company_name, d.sector, d.dividend_policy_active AS is_dividend_payer,
        b.open_price, b.close_price, b.high_price, b.low_price, b.volume,
        CASE WHEN b.o_c > 0 THEN CAST(sign(b.c_c - b.o_c) * ((2 * abs(b.c_c - b.o_c) * 10000 + b.o_c) // (2 * b.o_c)) AS DOUBLE) / 100.0
        END AS daily_return_pct,
-       b.trade_date
+       b.trade_date{more}
 FROM (SELECT *, CAST(round(open_price * 100) AS BIGINT) AS o_c, CAST(round(close_price * 100) AS BIGINT) AS c_c
-      FROM ({bars('user')}) x) b
-JOIN {dim} d ON b.ticker = d.ticker AND b.trade_date >= CAST(d.valid_from AS DATE)
+      FROM ({source or bars('user')}) x) b
+JOIN {dim} d ON {same}b.ticker = d.ticker AND b.trade_date >= CAST(d.valid_from AS DATE)
             AND b.trade_date < CAST(d.valid_to AS DATE)"""
 
 
+RULES = {
+    "high_below_low": "high_price < low_price",
+    "negative_volume": "volume < 0",
+    "non_positive_open": "open_price <= 0",
+    "non_positive_close": "close_price <= 0",
+}
+
+
+def three_runs() -> str:
+    """CTEs of the runs of D-1 (1), D (2) and D+1 (3): what each stages, which the gate stops, the dimension each leaves.
+
+    A run is stopped if a bar in the operational table, as the run leaves it,
+    breaks a rule on a day that the run touched (its own day included).
+    """
+    day = ("DATE '2024-01-13'", D_PREV, D, "DATE '2024-01-16'")
+    v2_first = (f"SELECT ticker, company_name, sector, dividend_policy_active, {START} AS valid_from, "
+                f"{OPEN_END} AS valid_to, TRUE AS is_current FROM ({issuers(2)}) v2")
+    own_day = "CASE run WHEN 1 THEN {} WHEN 2 THEN {} ELSE {} END".format(*day[1:])
+    return f"""
+{scd2_ctes()}, late2 AS ({merged_dimension("TIMESTAMP '2024-01-17 00:00:00'")}), dim2b AS ({merged_dimension("TIMESTAMP '2024-01-16 00:00:00'")}),
+b AS ({bars('user')}),
+has AS (SELECT ticker, CAST(ticker AS BIGINT) % 5 = 0 AS late, bool_or(trade_date = {day[0]}) AS d13,
+        bool_or(trade_date = {day[1]}) AS d14, bool_or(trade_date = {day[2]}) AS d15, bool_or(trade_date = {day[3]}) AS d16
+        FROM b GROUP BY ticker),
+staged AS (SELECT 1 AS run, ticker, CASE WHEN d14 AND NOT late THEN {day[1]} WHEN d13 THEN {day[0]} END AS day FROM has
+           UNION ALL SELECT 2, ticker, CASE WHEN d15 THEN {day[2]} WHEN d14 THEN {day[1]} END FROM has
+           UNION ALL SELECT 3, ticker, CASE WHEN d16 THEN {day[3]} WHEN d15 THEN {day[2]} END FROM has),
+ods AS (SELECT b.*, s.run FROM b JOIN (SELECT ticker, day, min(run) AS run FROM staged GROUP BY ticker, day) s
+        ON s.ticker = b.ticker AND s.day = b.trade_date),
+runs AS (SELECT unnest([1, 2, 3]) AS run),
+touched AS (SELECT run, day, count(*) AS staged_rows FROM staged WHERE day IS NOT NULL GROUP BY run, day
+            UNION ALL SELECT run, {own_day}, 0 FROM runs
+            WHERE NOT EXISTS (SELECT 1 FROM staged s WHERE s.run = runs.run AND s.day = {own_day.replace('run', 'runs.run', 1)})),
+gate AS (SELECT t.run, t.day, t.staged_rows, {", ".join(f"count(*) FILTER (WHERE {p}) AS {n}" for n, p in RULES.items())}
+         FROM touched t LEFT JOIN ods ON ods.trade_date = t.day AND ods.run <= t.run GROUP BY t.run, t.day, t.staged_rows),
+ok AS (SELECT run, max({" + ".join(RULES)}) = 0 AS ok FROM gate GROUP BY run),
+flags AS (SELECT bool_or(ok AND run = 1) AS ok1, bool_or(ok AND run = 2) AS ok2 FROM ok),
+dims AS (SELECT 1 AS run, d.* FROM dim1 d
+         UNION ALL SELECT 2, d.* FROM dim2b d, flags WHERE ok1 UNION ALL SELECT 2, d.* FROM ({v2_first}) d, flags WHERE NOT ok1
+         UNION ALL SELECT 3, d.* FROM dim2b d, flags WHERE ok1 AND ok2 UNION ALL SELECT 3, d.* FROM late2 d, flags WHERE ok1 AND NOT ok2
+         UNION ALL SELECT 3, d.* FROM ({v2_first}) d, flags WHERE NOT ok1),
+last_run AS (SELECT t.day, max(t.run) AS run FROM touched t JOIN ok ON ok.run = t.run AND ok.ok GROUP BY t.day)"""
+
+
 LINEITEM_ORDER = ("l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, "
                   "l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC")
 LINEITEM_VALUES = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -111,14 +155,6 @@ SELECT ticker, trade_date,
 FROM ({bars('user')}) b"""
 
 
-RULES = {
-    "high_below_low": "high_price < low_price",
-    "negative_volume": "volume < 0",
-    "non_positive_open": "open_price <= 0",
-    "non_positive_close": "close_price <= 0",
-}
-
-
 def _pick(cols, src="s", tgt="t", flag="s.o_orderkey"):
     return ", ".join(f"CASE WHEN {flag} IS NOT NULL THEN {src}.{c} ELSE {tgt}.{c} END AS {c}" for c in cols)
 
@@ -136,7 +172,6 @@ def oracle_sql() -> dict[str, str]:
     mart_cols = ("ticker, company_name, sector, is_dividend_payer, CAST(open_price AS DOUBLE) AS open_price, "
                  "CAST(close_price AS DOUBLE) AS close_price, CAST(high_price AS DOUBLE) AS high_price, "
                  "CAST(low_price AS DOUBLE) AS low_price, volume, daily_return_pct, trade_date")
-    next_day_ts = "TIMESTAMP '2024-01-16 00:00:00'"
     return {
         "candles_typed": c_type,
         "day_filter": f"SELECT * FROM ({c_type}) c WHERE trade_date = {D}",
@@ -228,12 +263,20 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {D} AS process_date, CASE WHEN count(*) = 0 THEN 'SKIPPED' ELSE 'WRITTEN' END AS status, "
             f"count(*) AS row_count FROM events WHERE CAST(ts AS DATE) = {D}"),
         "daily_run_end_to_end": (
-            f"WITH {scd2_ctes(next_day_ts)}, own AS (SELECT ticker, CAST(ticker AS BIGINT) % 5 = 0 AS late, "
-            f"bool_or(trade_date = {D_PREV}) AS prev, bool_or(trade_date = {D}) AS day "
-            f"FROM ({bars('user')}) b GROUP BY ticker), "
-            f"m1 AS ({mart('dim1')}), m2 AS ({mart('dim2')}) "
-            f"SELECT {mart_cols.replace('ticker,', 'm1.ticker,', 1)} FROM m1 JOIN own ON own.ticker = m1.ticker "
-            f"WHERE trade_date = DATE '2024-01-13' AND (late OR NOT prev) UNION ALL "
-            f"SELECT {mart_cols.replace('ticker,', 'm2.ticker,', 1)} FROM m2 JOIN own ON own.ticker = m2.ticker "
-            f"WHERE trade_date = {D_PREV} AND NOT (late AND day) OR trade_date IN ({D}, DATE '2024-01-16')"),
+            f"WITH {three_runs()}, served AS (SELECT o.*, l.run AS by_run FROM ods o JOIN last_run l "
+            f"ON l.day = o.trade_date AND o.run <= l.run) "
+            f"SELECT {mart_cols} FROM ({mart('dims', 'SELECT * FROM served', same='d.run = b.by_run AND ')}) m"),
+        "run_ledger": (
+            f"WITH {three_runs()} SELECT CASE g.run WHEN 1 THEN {D_PREV} WHEN 2 THEN {D} ELSE DATE '2024-01-16' END AS process_date, "
+            f"g.day AS trade_date, CASE g.run WHEN 1 THEN {D} WHEN 2 THEN DATE '2024-01-16' ELSE DATE '2024-01-17' END "
+            f"+ INTERVAL 0 DAY AS run_ts, CASE WHEN NOT ok.ok THEN 'STOPPED' WHEN EXISTS (SELECT 1 FROM ods o JOIN dims d "
+            f"ON d.run = g.run AND d.ticker = o.ticker AND o.trade_date >= CAST(d.valid_from AS DATE) "
+            f"AND o.trade_date < CAST(d.valid_to AS DATE) WHERE o.trade_date = g.day AND o.run <= g.run) "
+            f"THEN 'PUBLISHED' ELSE 'EMPTY' END AS state, CAST(g.staged_rows AS BIGINT) AS staged_rows, "
+            f"CAST({' + '.join(RULES)} AS BIGINT) AS violations, "
+            f"concat_ws(',', {', '.join(f"CASE WHEN {n} > 0 THEN '{n}' END" for n in RULES)}) AS failed_rules "
+            f"FROM gate g JOIN ok ON ok.run = g.run"),
+        "publish_many_days": (
+            f"WITH {scd2_ctes()} SELECT {mart_cols} FROM ({mart('dim1')}) m WHERE trade_date < {D} "
+            f"UNION ALL SELECT {mart_cols} FROM ({mart('dim2')}) m WHERE trade_date >= {D}"),
     }

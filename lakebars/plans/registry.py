@@ -28,6 +28,7 @@ from lakebars.operators.ranking import candle_rank
 from lakebars.operators.scd2 import scd2_frames, scd2_merge
 from lakebars.plans import bindings as B
 from lakebars.plans import jobs, sinks, tables
+from lakebars.plans.publication import Publication
 from lakebars.schemas import ISSUER_ATTRIBUTES, MART, PRICE
 from lakebars.session import apply_conf, new_run_dir, scratch_database
 from lakebars.sources.files import latest_available, read_parquet, read_raw_candles, read_snapshot
@@ -222,7 +223,7 @@ def q_scd2_rerun_older_date(spark, sf_dir):
 
 
 def q_scd2_asof_join(spark, sf_dir):
-    joined = asof_join(_bars_by_user(spark, sf_dir), B.dimension_v2(spark, sf_dir))
+    joined = asof_join(_bars_by_user(spark, sf_dir), B.dimension_v2(spark, sf_dir), between=B.span(spark, sf_dir))
     return joined.select("ticker", "trade_date", *ISSUER_ATTRIBUTES, "valid_from", "valid_to")
 
 
@@ -339,13 +340,14 @@ def q_skip_if_empty(spark, sf_dir):
     return spark.createDataFrame(rows, "process_date date, status string, row_count bigint")
 
 
-def q_daily_run_end_to_end(spark, sf_dir):
-    """L1 landing of every candle, then L2-L4 for D-1, D and D+1; returns the whole serving table.
+def _three_runs(spark, sf_dir) -> jobs.Lakehouse:
+    """L1 landing of every candle, then L2-L4 for D-1, D and D+1.
 
     The D-1 candles of every fifth ticker arrive only after the run of D-1:
     that run takes their D-2 load, and the run of D promotes their D-1 bars
     (and serves that day again) if they have no load of D.  The second
-    snapshot comes with D and is valid from D+1 on.
+    snapshot comes with D and is valid from D+1 on.  A run whose bars break a
+    rule of the gate is stopped and the next one goes on.
     """
     root, db = scratch_database(spark, "lakehouse")
     lh = jobs.Lakehouse(root, db=db).ensure(spark)
@@ -361,7 +363,30 @@ def q_daily_run_end_to_end(spark, sf_dir):
     jobs.land_snapshot(lh, B.snapshot_v2(spark, sf_dir), B.PROCESS_DATE)
     for day in (B.PROCESS_DATE, following):
         jobs.daily_run(spark, lh, day, jobs.default_run_ts(day))
-    return _as_double(spark.table(lh.t("serving")))
+    return lh
+
+
+def q_daily_run_end_to_end(spark, sf_dir):
+    """The whole serving table after the three runs of :func:`_three_runs`."""
+    return _as_double(spark.table(_three_runs(spark, sf_dir).t("serving")))
+
+
+def q_run_ledger(spark, sf_dir):
+    """The ledger after the same three runs: every day that each of them touched, and its outcome."""
+    return _three_runs(spark, sf_dir).ledger(spark).frame()
+
+
+def q_publish_many_days(spark, sf_dir):
+    """Every day published with the first dimension, then all days from D on again, with the second, in one swap."""
+    root, db = scratch_database(spark, "publication")
+    served = Publication(spark, os.path.join(root, "publication"), MART, view=f"{db}.serving",
+                         versions=f"{db}.serving_versions").ensure()
+    old, new = _mart(spark, sf_dir, B.dimension_v1(spark, sf_dir)), _mart(spark, sf_dir)
+    first, last = B.span(spark, sf_dir)
+    days = [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
+    served.publish(old, days)
+    served.publish(new, [d for d in days if d >= B.PROCESS_DATE])
+    return _as_double(spark.table(f"{db}.serving"))
 
 
 QUERIES: dict[str, Query] = {
@@ -402,6 +427,8 @@ QUERIES: dict[str, Query] = {
     "bronze_daily": q_bronze_daily,
     "skip_if_empty": q_skip_if_empty,
     "daily_run_end_to_end": q_daily_run_end_to_end,
+    "run_ledger": q_run_ledger,
+    "publish_many_days": q_publish_many_days,
 }
 
 

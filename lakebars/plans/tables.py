@@ -20,12 +20,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakebars.functions.params import END_OF_TIME, as_date, as_datetime
+from lakebars.functions.params import END_OF_TIME, as_date, as_datetime, ts_lit
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
 from lakebars.operators.quality import DataQualityError
 from lakebars.operators.scd2 import DIM_COLUMNS, SOURCE_ROWS, TOUCHED, scd2_frames, strict_merge
@@ -139,14 +140,16 @@ def replace_partition_from(spark: SparkSession, target: str, buffer: str, day,
 def upsert_into(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
                 value_cols: list[str], run_ts, partition_col: str = "trade_date",
                 stamp_col: str = "load_dt", on_duplicate: str = "error",
-                latest_first: list[Column] | None = None, observe: list[Column] | None = None):
+                latest_first: list[Column] | None = None, observe: list[Column] | None = None,
+                rows_by_date: dict | None = None):
     """D2 publisher: merge ``source`` into the partitions it touches.
 
     The touched dates (one row per date) are the only data that reaches the
     driver; they become a literal partition filter, so only those
     partitions of the target are read and rewritten.  ``observe``
     aggregates are computed over the new content of those partitions while
-    it is written; with it the result is ``(dates, metrics)``.
+    it is written; with it the result is ``(dates, metrics)``.  The number
+    of source rows of each date is put in ``rows_by_date``.
     """
     work_root(spark)
     source = source.where(F.col(partition_col).isNotNull())
@@ -154,16 +157,19 @@ def upsert_into(spark: SparkSession, table: str, source: DataFrame, keys: list[s
         # One aggregate answers both questions: which dates, and is any key
         # repeated.  NULL keys never conflict, so they count as unique.
         any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
-        per_date = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        per_date = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_n", F.col("_rows"))
                     .withColumn("_n", F.when(any_null, F.lit(1)).otherwise(F.col("_n")))
-                    .groupBy(partition_col).agg(F.max("_n").alias("_max")).collect())
+                    .groupBy(partition_col).agg(F.max("_n").alias("_max"), F.sum("_rows").alias("_rows")).collect())
         repeated = [r[partition_col] for r in per_date if r["_max"] > 1]
         if repeated:
             raise DataQualityError(f"source repeats a key on {keys} (dates {repeated[:5]})")
-        dates, checked = sorted(r[partition_col] for r in per_date), True
+        checked = True
     else:
-        dates = sorted(r[0] for r in source.select(partition_col).distinct().collect())
+        per_date = source.groupBy(partition_col).agg(F.count(F.lit(1)).alias("_rows")).collect()
         checked = False
+    dates = sorted(r[partition_col] for r in per_date)
+    if rows_by_date is not None:
+        rows_by_date.update({r[partition_col]: r["_rows"] for r in per_date})
     if not dates:
         return ([], {}) if observe else []
     target = spark.table(table).where(F.col(partition_col).isin(dates))
@@ -206,7 +212,8 @@ def _with_earlier_versions(spark: SparkSession, history: DataFrame, snapshot: Da
 
 
 def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
-                 strict: bool = True, end_col: str = "version_end") -> dict:
+                 strict: bool = True, end_col: str = "version_end",
+                 before_swap: Callable[[dict, DataFrame], None] | None = None) -> dict:
     """D3 publisher for a dimension partitioned by the date its versions end.
 
     Current versions live in the 9999-12-31 partition; a version that ends
@@ -220,6 +227,11 @@ def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
     in between, a rerun finds the ended versions already there (an
     identical version is kept once) and completes the rest.  A plain rerun
     changes nothing.
+
+    ``before_swap(stats, changes)`` is called when the merge is written to
+    its side table and the dimension is still as it was: with what this
+    function returns, and the change feed ``(ticker, from_date, to_date)`` of
+    the attributes that change, which is there until this function ends.
     """
     work_root(spark)
     run_day = as_datetime(run_ts).date()
@@ -250,11 +262,39 @@ def scd2_publish(spark: SparkSession, table: str, snapshot: DataFrame, run_ts,
         raise DataQualityError(f"issuer snapshot: duplicate or NULL tickers ({seen}); nothing published")
     rows = side.drop(SOURCE_ROWS, TOUCHED)
     ends = sorted(set(seen["ends"] or []), key=lambda d: (d != run_day, d))
+    late = [e for e in ends if e not in (run_day, OPEN_END_DATE)]
+    stats = {"current": seen["current"], "closed_on_run_day": seen["closed_on_run_day"],
+             "changed_until": max(late) if late else None}
+    if before_swap is not None:
+        before_swap(stats, change_feed(side, run_ts))
     for end in ends:
         replace_day(spark, table, end, rows, partition_col=end_col)
     for frame in (side, earlier):
         if frame is not None:
             discard(frame)
-    late = [e for e in ends if e not in (run_day, OPEN_END_DATE)]
-    return {"current": seen["current"], "closed_on_run_day": seen["closed_on_run_day"],
-            "changed_until": max(late) if late else None}
+    return stats
+
+
+def change_feed(merged: DataFrame, run_ts) -> DataFrame:
+    """``(ticker, from_date, to_date)``: from when on, and until when, a merge gave a ticker other attributes.
+
+    Versions that the merge made or replaced, from the run's day on (a
+    version that it only ended says of its own days what it said before).
+    """
+    run = ts_lit(run_ts)
+    made = merged.where(F.col(TOUCHED) & (F.col("valid_to") > run))
+    return made.select("ticker", F.to_date(F.greatest("valid_from", run)).alias("from_date"),
+                       F.to_date("valid_to").alias("to_date"))
+
+
+def merge_into_days(spark: SparkSession, table: str, pairs: DataFrame, rows: DataFrame, days,
+                    keys: tuple[str, ...] = ("ticker", "trade_date"), partition_col: str = "trade_date") -> list[dt.date]:
+    """The rows of ``table`` with a key in ``pairs`` become ``rows``; all others of ``days`` are copied as they are.
+
+    ``rows`` may lack a key of ``pairs`` (the row goes) but holds no other.
+    Gives the days that still have rows.
+    """
+    days = sorted({as_date(d) for d in days})
+    held = spark.table(table).where(F.col(partition_col).isin(days))
+    left = held.join(pairs.select(*keys).distinct(), list(keys), "left_anti").select(*held.columns)
+    return replace_days(spark, table, left.unionByName(rows.select(*held.columns)), days, partition_col)

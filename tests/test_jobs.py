@@ -38,7 +38,8 @@ def test_replace_day_empty_and_others_untouched(spark, lakehouse):
 
 
 def test_partition_swap_from_buffer(spark, lakehouse):
-    serving, buffer = lakehouse.t("serving"), lakehouse.t("serving_buffer")
+    serving, buffer = lakehouse.t("swapped"), lakehouse.t("serving_buffer")
+    tables.create_table(spark, serving, MART, None, ("trade_date",))
     tables.overwrite_partitions(spark, serving, mart_rows(spark, [row("A", D1), row("A", D2)]))
     sinks.insert_by_position(mart_rows(spark, [row("X", D2), row("Y", D1)]), buffer)
     tables.replace_partition_from(spark, serving, buffer, D2)
