@@ -11,7 +11,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,15 +102,43 @@ def dimension_v2(spark: SparkSession, sf_dir: str, run_ts=RUN_TS) -> DataFrame:
 
 
 EMPTY_PAGE = '{"candles":{"metadata":{},"data":[]}}'
-
-
-def page_requests(pages: DataFrame) -> DataFrame:
-    """One request for each (ticker, day) of encoded pages, carrying the pages that its server will answer with."""
-    own = F.map_from_entries(F.collect_list(F.struct(F.col("start").cast("string"), F.col("page"))))
-    return pages.groupBy("ticker", F.col("trade_date").alias("load_date")).agg(
-        F.to_json(F.struct(own.alias("pages"))).alias("params"))
-
-
-def serve_page(params: dict) -> str:
-    """Stands in for the HTTP API: the request's page at its offset, an empty one after the last."""
-    return params["pages"].get(str(params.get("start") or 0), EMPTY_PAGE)
+BLOCK_PAGES = 32     # pages of a chain in one folder of the store
+
+
+def page_key(ticker: str, day) -> str:
+    """Folder of a (ticker, day): any name of a ticker becomes a plain folder name."""
+    return hashlib.md5(f"{ticker}|{day}".encode()).hexdigest()
+
+
+def write_page_store(pages: DataFrame, root: str, page_size: int = PAGE_SIZE, block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """Pages keyed by (ticker, day, start), as a server holds them; returns the requests for all of their chains.
+
+    A folder holds ``block_pages`` pages of a chain at most, so answering a
+    request opens one small file however long the chain is.
+    """
+    key = F.md5(F.concat_ws("|", "ticker", F.col("trade_date").cast("string")))
+    (pages.select(key.alias("key"), F.floor(F.col("start") / (page_size * block_pages)).alias("block"), "start", "page")
+     .repartition("key", "block").sortWithinPartitions("key", "block", "start")
+     .write.mode("error").partitionBy("key", "block").parquet(root))
+    return pages.groupBy("ticker", F.col("trade_date").alias("load_date")).agg(F.count(F.lit(1)).alias("pages")).drop("pages")
+
+
+def page_server(root_uri: str, page_size: int = PAGE_SIZE, block_pages: int = BLOCK_PAGES):
+    """Stands in for the HTTP API: the page of the store at the request's offset, an empty one after the last."""
+    def fetch(params: dict) -> str:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        start = int(params.get("start") or 0)
+        store, root = fs.FileSystem.from_uri(root_uri)
+        folder = f"{root}/key={page_key(params['ticker'], params['date'])}/block={start // (page_size * block_pages)}"
+        files = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+        for f in files:
+            if f.path.endswith(".parquet"):
+                found = pq.read_table(f.path, filesystem=store, columns=["page"], filters=[("start", "=", start)])
+                if found.num_rows:
+                    return found.column("page")[0].as_py()
+        return EMPTY_PAGE
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])     # workers need no copy of the package
+    return fetch

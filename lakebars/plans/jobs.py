@@ -2,7 +2,8 @@
 
 Everything lives under one root folder (on a cluster: a shared store):
 
-    bronze/candles/load_date=           raw JSONL           (L1 writes, L2 reads)
+    bronze/candles/load_date=/bucket=   raw JSONL           (L1 writes, L2 reads)
+    bronze/candle_loads/load_date=      manifest of the loads (L1 writes, L2 chooses by it)
     bronze/issuers/load_date=           issuer snapshots    (L1 writes, L2 reads)
     tables/<db>/...                     staging, ODS, dimension, mart, buffer
     export/mart/trade_date=             one Parquet folder per published day
@@ -23,7 +24,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from lakebars.functions.params import as_date, as_datetime, parse_ticker_list, previous_dates
 from lakebars.operators.asof import mart_frame
-from lakebars.operators.bars import daily_ohlcv_latest_load, distinct_candles
+from lakebars.operators.bars import daily_ohlcv, daily_ohlcv_latest_load, distinct_candles
 from lakebars.operators.candles import typed_candles
 from lakebars.operators.pages import page_records
 from lakebars.operators.quality import (BAR_RULES, LOST_PRICES, GateStopped, combine_counts, dq_summary, gate_metrics,
@@ -33,8 +34,9 @@ from lakebars.plans import sinks, tables
 from lakebars.plans.ledger import Entry, RunLedger
 from lakebars.plans.publication import Publication
 from lakebars.schemas import DIMENSION, ISSUER, MART, ODS_BAR, PRICE, STAGED_BAR
-from lakebars.session import discard, materialize
-from lakebars.sources.files import read_parquet, read_raw_candles, read_snapshot
+from lakebars.session import delete_folder, discard, materialize, new_run_dir
+from lakebars.sources.files import (latest_loads, read_loads, read_parquet, read_raw_candles, read_snapshot,
+                                    write_candle_loads)
 from lakebars.sources.paged import read_pages
 from lakebars.sources.seed import universe_frame
 
@@ -54,6 +56,10 @@ class Lakehouse:
     def bronze_candles(self) -> str:
         return os.path.join(self.root, "bronze", "candles")
 
+    @property
+    def bronze_loads(self) -> str:
+        return os.path.join(self.root, "bronze", "candle_loads")
+
     @property
     def bronze_issuers(self) -> str:
         return os.path.join(self.root, "bronze", "issuers")
@@ -115,25 +121,24 @@ def tagged_record(ticker="ticker", record="record"):
 
 
 def land_candle_records(lh: Lakehouse, records: DataFrame) -> sinks.WriteResult:
-    """(ticker, load_date, record JSON text) -> JSONL, one folder per load date.
+    """(ticker, load_date, record JSON text) -> JSONL and the manifest of its loads.
 
-    Only the load dates present in ``records`` are replaced (dynamic
-    overwrite through the writer option of a path write), so no records
-    replace nothing and the records are computed once.
+    The load dates present in ``records`` are replaced whole, so no records
+    replace nothing; the records are computed once.
     """
-    out = records.select(tagged_record().alias("line"), F.col("load_date").cast("string").alias("load_date"))
-    counted, obs = sinks.observed(out)
-    (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("load_date").text(lh.bronze_candles))
-    rows = int(obs.get["rows"])
+    out = records.select("ticker", F.col("load_date").cast("date").alias("load_date"), tagged_record().alias("line"))
+    rows = write_candle_loads(out, lh.bronze_candles, lh.bronze_loads)
     return sinks.WriteResult("WRITTEN" if rows else "SKIPPED", rows, lh.bronze_candles)
 
 
 def ingest_requests(spark: SparkSession, requests: DataFrame, lh: Lakehouse, fetch, advance=None,
                     **options) -> sinks.WriteResult:
-    """Every request's page chain -> JSONL, in one job that fetches each page once."""
-    pages = read_pages(requests, fetch, advance, **options)
-    return land_candle_records(lh, page_records(pages, keep=("ticker", "load_date")))
+    """Every request's page chain -> JSONL; each page is fetched once."""
+    folder = new_run_dir(spark, "requests")
+    pages = read_pages(requests, fetch, advance, path=folder, **options)
+    result = land_candle_records(lh, page_records(pages, keep=("ticker", "load_date")))
+    delete_folder(spark, folder)
+    return result
 
 
 def bronze_ingest(spark: SparkSession, lh: Lakehouse, load_date, tickers, fetch, advance=None,
@@ -162,14 +167,23 @@ def silver_bars(spark: SparkSession, lh: Lakehouse, process_date, tickers=None,
                 lookback_days: int = 1) -> DataFrame:
     """S1 + S2 + P1/P2 + A5 + F1 + A4: the staged bars of one run.
 
-    All tickers in one scan of the window's folders; repeated candles of a
-    load count once.
+    The manifest names each ticker's newest load of the window; all tickers
+    are read in one scan of the folders that hold those.  Repeated candles of
+    a load count once.
     """
+    names = parse_ticker_list(tickers)
+    universe = universe_frame(spark, names) if names else None
+    loads = latest_loads(spark, lh.bronze_candles, lh.bronze_loads, process_date, lookback_days)
+    if loads is not None:
+        if universe is not None:
+            loads = loads.join(universe, "ticker", "left_semi")
+        chosen = typed_candles(read_loads(spark, lh.bronze_candles, loads), keep=("ticker", "load_date"))
+        return daily_ohlcv(distinct_candles(chosen.where(F.col("trade_date") == F.col("load_date"))))
+    # loads without a manifest: the newest is found among the candles themselves
     window = previous_dates(process_date, lookback_days)
     raw = read_raw_candles(spark, lh.bronze_candles, window)
-    names = parse_ticker_list(tickers)
-    if names:
-        raw = raw.join(universe_frame(spark, names), "ticker", "left_semi")
+    if universe is not None:
+        raw = raw.join(universe, "ticker", "left_semi")
     raw = raw.where(F.col("load_date").isin(window))
     return daily_ohlcv_latest_load(distinct_candles(typed_candles(raw, keep=("ticker", "load_date"))))
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakebars.functions.params import as_date, as_datetime
 from lakebars.plans import smallfiles
+from lakebars.session import child_names
 
 STAGED, UPSERTED, MERGING, BUILT, PUBLISHED, EMPTY, STOPPED = (
     "STAGED", "UPSERTED", "MERGING", "BUILT", "PUBLISHED", "EMPTY", "STOPPED")
@@ -74,12 +75,12 @@ class RunLedger:
 
     def unfinished(self) -> list[dt.date]:
         """Process dates, oldest first, of runs with a day that is neither published nor found empty."""
-        dates = [as_date(n.split("=", 1)[1]) for n in smallfiles.children(self.spark, self.root) if n.startswith("process_date=")]
+        dates = [as_date(n.split("=", 1)[1]) for n in child_names(self.spark, self.root) if n.startswith("process_date=")]
         return [d for d in sorted(dates) if any(e.state not in FINAL for e in self.entries(d))]
 
     def frame(self) -> DataFrame:
         """All runs and days as a table; without runs an empty one."""
-        if not smallfiles.children(self.spark, self.root):
+        if not child_names(self.spark, self.root):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
         return (self.spark.read.schema(LEDGER_SCHEMA).option("basePath", self.root).json(self.root)
                 .select("process_date", "trade_date", "run_ts", "state", "staged_rows", "violations", "failed_rules"))

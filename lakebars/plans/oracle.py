@@ -172,6 +172,10 @@ def oracle_sql() -> dict[str, str]:
     mart_cols = ("ticker, company_name, sector, is_dividend_payer, CAST(open_price AS DOUBLE) AS open_price, "
                  "CAST(close_price AS DOUBLE) AS close_price, CAST(high_price AS DOUBLE) AS high_price, "
                  "CAST(low_price AS DOUBLE) AS low_price, volume, daily_return_pct, trade_date")
+    latest_load = (
+        f"WITH c AS (SELECT *, trade_date AS load_date FROM ({c_user}) x "
+        f"WHERE trade_date IN ({D_PREV}, {D})), m AS (SELECT ticker, max(load_date) AS load_date "
+        f"FROM c GROUP BY ticker) SELECT c.* FROM c JOIN m ON c.ticker = m.ticker AND c.load_date = m.load_date")
     return {
         "candles_typed": c_type,
         "day_filter": f"SELECT * FROM ({c_type}) c WHERE trade_date = {D}",
@@ -189,10 +193,8 @@ def oracle_sql() -> dict[str, str]:
             f"CAST(sum(volume) AS BIGINT) AS volume, ticker FROM ({c_type}) c GROUP BY ticker, trade_date"),
         "dedupe_latest": (f"SELECT * FROM lineitem QUALIFY row_number() OVER "
                           f"(PARTITION BY {li_keys} ORDER BY {LINEITEM_ORDER}) = 1"),
-        "latest_available_load": (
-            f"WITH c AS (SELECT *, trade_date AS load_date FROM ({c_user}) x "
-            f"WHERE trade_date IN ({D_PREV}, {D})), m AS (SELECT ticker, max(load_date) AS load_date "
-            f"FROM c GROUP BY ticker) SELECT c.* FROM c JOIN m ON c.ticker = m.ticker AND c.load_date = m.load_date"),
+        "latest_available_load": latest_load,
+        "latest_load_by_manifest": latest_load,
         "page_decode": c_type,
         "next_page_offset": (
             f"WITH r AS (SELECT ticker, trade_date, (row_number() OVER (PARTITION BY ticker, trade_date "

@@ -24,7 +24,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lakebars.functions.params import as_date
 from lakebars.plans import smallfiles, tables
-from lakebars.session import delete_folder
+from lakebars.session import child_names, delete_folder
 
 POINTER = "CURRENT"
 
@@ -44,7 +44,7 @@ class Publication:
         if self.view:
             known = self.spark.catalog.tableExists(self.versions)
             tables.create_table(self.spark, self.versions, self.stored, self.data, ("version", self.day_col))
-            if not known and smallfiles.children(self.spark, self.data):
+            if not known and child_names(self.spark, self.data):
                 self.spark.catalog.recoverPartitions(self.versions)
             self._show(self.manifest())
         return self
@@ -65,7 +65,7 @@ class Publication:
 
     def history(self) -> list[str]:
         """Names of the manifests kept, oldest first."""
-        return [n.removesuffix(".json") for n in smallfiles.children(self.spark, os.path.join(self.root, "manifests"))
+        return [n.removesuffix(".json") for n in child_names(self.spark, os.path.join(self.root, "manifests"))
                 if n.endswith(".json") and not n.startswith("_")]
 
     def swap(self, name: str) -> None:
@@ -143,11 +143,11 @@ class Publication:
         kept = {*names[-keep:], self.current()} if keep > 0 else {self.current()}
         used = {(v, d) for n in kept if n for d, v in self.manifest(n).items()}
         gone = []
-        for folder in smallfiles.children(self.spark, self.data):
+        for folder in child_names(self.spark, self.data):
             version = folder.removeprefix("version=")
             if version == folder:
                 continue
-            for day in smallfiles.children(self.spark, os.path.join(self.data, folder)):
+            for day in child_names(self.spark, os.path.join(self.data, folder)):
                 if (version, day.split("=", 1)[-1]) not in used:
                     delete_folder(self.spark, os.path.join(self.data, folder, day))
                     gone.append((version, day.split("=", 1)[-1]))

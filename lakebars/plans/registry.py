@@ -31,8 +31,9 @@ from lakebars.plans import jobs, sinks, tables
 from lakebars.plans.publication import Publication
 from lakebars.schemas import ISSUER_ATTRIBUTES, MART, PRICE
 from lakebars.session import apply_conf, new_run_dir, scratch_database
-from lakebars.sources.files import latest_available, read_parquet, read_raw_candles, read_snapshot
-from lakebars.sources.paged import read_pages
+from lakebars.sources.files import (latest_available, latest_loads, read_loads, read_parquet, read_raw_candles,
+                                    read_snapshot)
+from lakebars.sources.paged import read_pages, uri
 from lakebars.sources.seed import universe_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +105,17 @@ def q_latest_available_load(spark, sf_dir):
     return latest_available(c, B.PROCESS_DATE, lookback_days=1).select(*CANDLE_OUT, "load_date")
 
 
+def q_latest_load_by_manifest(spark, sf_dir):
+    """The same from landed files: loads are chosen in the manifest, then only their folders are read."""
+    root = new_run_dir(spark, "loads")
+    lh = jobs.Lakehouse(root)
+    raw = B.raw_candles(B.table(spark, sf_dir, "events"), by="user")
+    jobs.land_candle_records(lh, raw.select("ticker", F.to_date(F.col("begin").try_cast("timestamp_ntz")).alias("load_date"), F.to_json(
+        F.struct("begin", "open", "close", "high", "low", "volume")).alias("record")))
+    loads = latest_loads(spark, lh.bronze_candles, lh.bronze_loads, B.PROCESS_DATE)
+    return typed_candles(read_loads(spark, lh.bronze_candles, loads), keep=("ticker", "load_date")).select(*CANDLE_OUT, "load_date")
+
+
 def _pages(spark, sf_dir) -> DataFrame:
     return encode_pages(B.candles(spark, sf_dir), B.PAGE_SIZE)
 
@@ -313,10 +325,18 @@ def q_parquet_round_trip(spark, sf_dir):
     return snapshot
 
 
+def _page_api(spark, sf_dir, root):
+    """A page store of all events under ``root``: its requests, and the fetch that answers them page by page."""
+    folder = os.path.join(root, "store")
+    requests = B.write_page_store(_pages(spark, sf_dir), folder)
+    return requests, B.page_server(uri(spark, folder))
+
+
 def q_paged_source(spark, sf_dir):
     """Every page chain of the events fetched page by page, then decoded."""
-    requests = B.page_requests(_pages(spark, sf_dir))
-    rows = decode_pages(read_pages(requests, B.serve_page), keep=("ticker",))
+    root = new_run_dir(spark, "pages")
+    requests, fetch = _page_api(spark, sf_dir, root)
+    rows = decode_pages(read_pages(requests, fetch, path=os.path.join(root, "requests")), keep=("ticker",))
     return typed_candles(rows).select(*CANDLE_OUT)
 
 
@@ -324,7 +344,8 @@ def q_bronze_daily(spark, sf_dir):
     """L1 over all events: every page chain landed as JSONL and read back."""
     root, db = scratch_database(spark, "bronze")
     lh = jobs.Lakehouse(root, db=db)
-    jobs.ingest_requests(spark, B.page_requests(_pages(spark, sf_dir)), lh, B.serve_page)
+    requests, fetch = _page_api(spark, sf_dir, root)
+    jobs.ingest_requests(spark, requests, lh, fetch)
     landed = typed_candles(read_raw_candles(spark, lh.bronze_candles), keep=("ticker", "load_date"))
     return landed.select(*CANDLE_OUT, "load_date")
 
@@ -399,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "recombined_ohlcv": q_recombined_ohlcv,
     "dedupe_latest": q_dedupe_latest,
     "latest_available_load": q_latest_available_load,
+    "latest_load_by_manifest": q_latest_load_by_manifest,
     "page_decode": q_page_decode,
     "next_page_offset": q_next_page_offset,
     "universe_filter": q_universe_filter,

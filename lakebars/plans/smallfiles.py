@@ -57,11 +57,3 @@ def write_json(spark: SparkSession, path: str, value) -> None:
 def read_json(spark: SparkSession, path: str):
     text = read_text(spark, path)
     return None if text is None else json.loads(text)
-
-
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names of what a folder holds, sorted; none if it does not exist."""
-    files, target = _context(spark, path)
-    if not files.util().exists(target):
-        return []
-    return sorted(s.getPath().getName() for s in files.util().listStatus(target))

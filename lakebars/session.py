@@ -173,6 +173,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, sorted; none if it does not exist."""
+    fs, p = hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def scratch_database(spark: SparkSession, name: str) -> tuple[str, str]:
     """A database in a run folder of its own: ``(folder, database)``; see :func:`drop_scratch`."""
     root = new_run_dir(spark, name)

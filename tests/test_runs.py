@@ -12,7 +12,7 @@ from lakebars.plans import jobs, smallfiles, tables
 from lakebars.plans.jobs import Lakehouse
 from lakebars.plans.publication import Publication
 from lakebars.schemas import MART
-from lakebars.session import new_run_dir
+from lakebars.session import child_names, new_run_dir
 from tests.test_jobs import D1, D2, land, mart_rows, row, snapshot
 
 D3 = D2 + dt.timedelta(days=1)
@@ -256,11 +256,11 @@ def test_publication_versions(spark, lakehouse, monkeypatch, catalog):
 def test_small_files(spark):
     root = new_run_dir(spark, "small")
     path = os.path.join(root, "a", "b", "x.json")
-    assert smallfiles.read_json(spark, path) is None and smallfiles.children(spark, root) == []
+    assert smallfiles.read_json(spark, path) is None and child_names(spark, root) == []
     for value in ({"é": [1, 2]}, {}, {"k": "x" * 100_000}):
         smallfiles.write_json(spark, path, value)
         assert smallfiles.read_json(spark, path) == value
-    assert smallfiles.children(spark, os.path.dirname(path)) == ["x.json"]
+    assert child_names(spark, os.path.dirname(path)) == ["x.json"]
 
 
 # ------------------------------------------------------------ joins by bins
@@ -310,3 +310,112 @@ def test_join_by_bins_meets_few_versions(spark):
     # two days of a daily run: nothing but the versions of those days
     assert versions_by_bin(dim, (start, start + dt.timedelta(days=1))).count() == 2
     assert asof.bin_width(start, start) == 1
+
+
+# ------------------------------------------------------------ loads and their manifest
+
+def loaded(spark, lh, process_date=D2, lookback=1):
+    from lakebars.sources.files import latest_loads, read_loads
+
+    loads = latest_loads(spark, lh.bronze_candles, lh.bronze_loads, process_date, lookback)
+    return loads, read_loads(spark, lh.bronze_candles, loads)
+
+
+def test_manifest_chooses_loads_before_the_scan(spark, lakehouse, monkeypatch):
+    """Of the older date only the bucket of the ticker that falls back is read, of a date without any none."""
+    from lakebars.sources import files
+
+    monkeypatch.setattr(files.write_candle_loads, "__defaults__", (2,))        # two rows a bucket
+    lh, names = lakehouse, [f"T{k}" for k in range(12)]
+    land(spark, lh, [candle(t, d) for d in (D1, D2) for t in names if not (t == "T3" and d == D2)])
+    loads, raw = loaded(spark, lh)
+    assert {(r["ticker"], r["load_date"]) for r in loads.collect()} == {(t, D1 if t == "T3" else D2) for t in names}
+    of = {r["ticker"]: r["bucket"] for r in files.read_manifest(spark, lh.bronze_loads, [D1]).collect()}
+    read = [f for f in raw.inputFiles() if "/candles/" in f]
+    assert len({f.rsplit("/", 2)[-2] for f in read if f"load_date={D2}" in f}) > 2
+    assert {f.rsplit("/", 2)[-2] for f in read if f"load_date={D1}" in f} == {f"bucket={of['T3']}"}
+    assert sorted((r["ticker"], r["load_date"]) for r in raw.collect()) == sorted((t, D1 if t == "T3" else D2) for t in names)
+    land(spark, lh, [candle(t, D2) for t in names])             # complete now: the older date is not touched
+    assert not any("/candles/" in f and f"load_date={D1}" in f for f in loaded(spark, lh)[1].inputFiles())
+    # landed again with two tickers: nothing of the earlier load is left, in the manifest or in the folders
+    land(spark, lh, [candle(t, D2, "20") for t in names[:2]])
+    assert len(child_names(spark, f"{lh.bronze_candles}/load_date={D2}")) <= 2
+    raw = loaded(spark, lh)[1]
+    assert {r["open"] for r in raw.where(F.col("load_date") == F.lit(D2)).collect()} == {"20"} and raw.count() == 12
+    assert loaded(spark, lh, D3, 0)[1].count() == 0             # no load in the window
+
+
+def test_silver_with_and_without_a_manifest(spark, lakehouse):
+    from lakebars.session import delete_folder
+
+    lh = lakehouse
+    land(spark, lh, [candle("A", D2), candle("A", D2), candle("A", D1, "9"), candle("B", D1, "20"),
+                     ("B", D1, f"{D2} 00:00:00", "99", "9"), ("C", D2, f"{D1} 10:00:00", "7", "1"), candle("C", D1, "6")])
+    bars = lambda tickers=None: sorted(map(tuple, jobs.silver_bars(spark, lh, D2, tickers).collect()))
+    want, some = bars(), bars("A,C")
+    assert [(r[0], r[-1], r[5]) for r in want] == [(D1, "B", 5), (D2, "A", 5)]     # C's newest load has no candle of its day
+    assert [r[-1] for r in some] == ["A"]
+    delete_folder(spark, lh.bronze_loads)
+    assert (bars(), bars("A,C")) == (want, some)
+
+
+def test_landing_nothing_replaces_nothing(spark, lakehouse):
+    land(spark, lakehouse, [candle("A", D1)])
+    empty = spark.createDataFrame([], "ticker string, load_date date, record string")
+    assert jobs.land_candle_records(lakehouse, empty).status == "SKIPPED"
+    assert loaded(spark, lakehouse)[1].count() == 1
+
+
+# ------------------------------------------------------------ the page source
+
+def test_page_source_of_a_long_chain(spark):
+    """A chain of 700 pages beside short ones: every page is one row, no answer opens more than a block."""
+    from lakebars.plans import bindings as B
+    from lakebars.sources.paged import read_pages, uri
+
+    rows = [("HOT", D1, 2 * k, '{"candles":{"data":[[1],[2]]}}') for k in range(700)]
+    rows += [(f"T/{k} é", D1, 0, '{"candles":{"data":[[1],[2]]}}') for k in range(5)]
+    root = new_run_dir(spark, "store")
+    pages = spark.createDataFrame(rows, "ticker string, trade_date date, start long, page string")
+    requests = B.write_page_store(pages, root, page_size=2)
+    fetch = B.page_server(uri(spark, root), page_size=2)
+    got = read_pages(requests, fetch, parallelism=3)
+    assert got.count() == 705 and got.where("ticker = 'HOT'").select("request_start").distinct().count() == 700
+    folder = os.path.join(root, f"key={B.page_key('HOT', D1)}")
+    assert len([n for n in child_names(spark, folder) if n.startswith("block=")]) == -(-700 // B.BLOCK_PAGES)
+    assert fetch({"ticker": "HOT", "date": str(D1), "start": 1398}) == rows[699][3] and fetch({"ticker": "HOT", "date": str(D1), "start": 1400}) == B.EMPTY_PAGE
+    assert fetch({"ticker": "NONE", "date": str(D1)}) == B.EMPTY_PAGE
+    assert read_pages(requests.where("false"), fetch).count() == 0
+
+
+def test_page_source_by_options_and_pushed_filters(spark):
+    """Requests as an option; with the session's leave, filters leave out requests before they are made."""
+    import json
+
+    from lakebars.sources.paged import register_page_source
+
+    requests = json.dumps([{"ticker": t, "load_date": str(d), "params": {"n": 1}} for t in "ABC" for d in (D1, D2)])
+
+    def source():
+        log = new_run_dir(spark, "log")
+        os.makedirs(log)
+
+        def fetch(params):
+            open(os.path.join(log, f"{params['ticker']}-{params['date']}-{params.get('n')}"), "a").close()
+            return {"candles": {"data": [] if params.get("start") else [[1]]}}
+
+        name = register_page_source(spark, "test_pages", fetch)
+        return spark.read.format(name).option("requests", requests).option("partitions", 2).load(), log
+
+    pages, log = source()
+    assert pages.rdd.getNumPartitions() == 2 and pages.count() == 6 and len(os.listdir(log)) == 6
+    key = "spark.sql.python.filterPushdown.enabled"
+    spark.conf.set(key, "true")
+    try:
+        pages, log = source()
+        found = pages.where(F.col("ticker").isin("A", "B") & (F.col("load_date") == F.lit(D2)))
+        assert sorted(r["ticker"] for r in found.collect()) == ["A", "B"]
+        assert sorted(os.listdir(log)) == [f"A-{D2}-1", f"B-{D2}-1"]
+        assert pages.where("page IS NULL AND ticker = 'C'").count() == 0
+    finally:
+        spark.conf.unset(key)
