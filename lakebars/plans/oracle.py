@@ -185,6 +185,12 @@ def oracle_sql() -> dict[str, str]:
                         f"row_number() OVER (PARTITION BY ticker, trade_date ORDER BY begin_ts) AS rn_open, "
                         f"row_number() OVER (PARTITION BY ticker, trade_date ORDER BY begin_ts DESC) AS rn_close "
                         f"FROM ({c_type}) c"),
+        "rank_by_text": (
+            "WITH r AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'HOT' ELSE o_orderstatus END AS held, o_orderpriority, "
+            "CAST(o_orderkey AS VARCHAR) AS order_text FROM orders) SELECT *, "
+            "row_number() OVER (PARTITION BY held ORDER BY o_orderpriority DESC, order_text) AS rn, "
+            "count(*) OVER (PARTITION BY held) AS group_rows, "
+            "row_number() OVER (PARTITION BY held ORDER BY o_orderpriority, order_text DESC) AS rn_last FROM r"),
         "daily_ohlcv": bars("type"),
         "daily_ohlcv_by_user": bars("user"),
         "recombined_ohlcv": (
@@ -204,6 +210,7 @@ def oracle_sql() -> dict[str, str]:
         "universe_filter": f"SELECT * FROM ({c_type}) c WHERE ticker IN ('click', 'purchase', 'view')",
         "union_frames": f"SELECT * FROM ({c_type}) a UNION ALL SELECT * FROM ({c_user}) b",
         "silver_deduped": bars("user"),
+        "bars_from_late_loads": bars("user"),
         "dq_violations": (f"SELECT * FROM (SELECT *, concat_ws(',', {rules_case}) AS failed_rules "
                           f"FROM ({anomalies()}) a) v WHERE failed_rules <> ''"),
         "dq_gate": (f"SELECT trade_date, count(*) AS rows_checked, {rule_counts}, "

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from lakebars.functions.hashing import row_hash
 from lakebars.functions.params import date_lit, ts_lit
 from lakebars.operators.asof import asof_join, mart_frame
+from lakebars.operators.bar_state import BAR_STATE, bar_states, bars_from_states
 from lakebars.operators.bars import (daily_hlv, daily_ohlcv, daily_ohlcv_latest_load, dedupe_latest,
                                      distinct_candles, recombined_ohlcv, union_frames)
 from lakebars.operators.candles import on_day, typed_candles
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
 from lakebars.operators.pages import decode_pages, encode_pages, next_page_start
 from lakebars.operators.quality import dq_summary, dq_violations, key_duplicates
-from lakebars.operators.ranking import candle_rank
+from lakebars.operators.ranking import candle_rank, rank_within
 from lakebars.operators.scd2 import scd2_frames, scd2_merge
 from lakebars.plans import bindings as B
 from lakebars.plans import jobs, sinks, tables
@@ -83,6 +84,14 @@ def q_candle_rank(spark, sf_dir):
     return candle_rank(B.candles(spark, sf_dir))
 
 
+def q_rank_by_text(spark, sf_dir):
+    """Positions by two text columns, the first downwards; one group holds a third of all orders."""
+    o = B.table(spark, sf_dir, "orders")
+    held = F.when(F.col("o_orderkey") % 3 == 0, F.lit("HOT")).otherwise(F.col("o_orderstatus"))
+    rows = o.select(held.alias("held"), "o_orderpriority", F.col("o_orderkey").cast("string").alias("order_text"))
+    return rank_within(rows, ["held"], ["o_orderpriority desc", "order_text"], descending_col="rn_last")
+
+
 def q_daily_ohlcv(spark, sf_dir):
     return daily_ohlcv(B.candles(spark, sf_dir))
 
@@ -149,6 +158,23 @@ def q_silver_deduped(spark, sf_dir):
     return bars.withColumn("ticker", F.substring_index("ticker", "|", 1))
 
 
+def q_bars_from_late_loads(spark, sf_dir):
+    """The candles of every day in four loads; three are stored, the last one comes late, one is stored twice.
+
+    Each load touches the stored states of its days only; the bars equal those of a full rebuild.
+    """
+    root, db = scratch_database(spark, "states")
+    t = f"{db}.bar_states"
+    tables.create_table(spark, t, BAR_STATE, None, ("trade_date",))
+    c = B.candles(spark, sf_dir, "user", keep=("event_id",)).withColumn("load_id", F.col("event_id") % 4)
+    tables.store_states(spark, t, bar_states(c.where("load_id < 3")))
+    # a load that was cut short is stored again, then the late one
+    tables.store_states(spark, t, bar_states(c.where("load_id = 2 AND event_id % 8 = 2")))
+    tables.store_states(spark, t, bar_states(c.where("load_id = 2")))
+    tables.store_states(spark, t, bar_states(c.where("load_id = 3")))
+    return bars_from_states(spark.table(t))
+
+
 # ------------------------------------------------------------ quality
 
 def _bars_with_anomalies(spark, sf_dir) -> DataFrame:
@@ -415,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "day_filter": q_day_filter,
     "daily_hlv": q_daily_hlv,
     "candle_rank": q_candle_rank,
+    "rank_by_text": q_rank_by_text,
     "daily_ohlcv": q_daily_ohlcv,
     "daily_ohlcv_by_user": q_daily_ohlcv_by_user,
     "recombined_ohlcv": q_recombined_ohlcv,
@@ -426,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "universe_filter": q_universe_filter,
     "union_frames": q_union_frames,
     "silver_deduped": q_silver_deduped,
+    "bars_from_late_loads": q_bars_from_late_loads,
     "dq_violations": q_dq_violations,
     "dq_gate": q_dq_gate,
     "key_duplicates": q_key_duplicates,

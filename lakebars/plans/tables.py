@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakebars.functions.params import END_OF_TIME, as_date, as_datetime, ts_lit
+from lakebars.operators.bar_state import BAR_STATE, merge_states
 from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
 from lakebars.operators.quality import DataQualityError
 from lakebars.operators.scd2 import DIM_COLUMNS, SOURCE_ROWS, TOUCHED, scd2_frames, strict_merge
@@ -182,6 +183,22 @@ def upsert_into(spark: SparkSession, table: str, source: DataFrame, keys: list[s
     return (dates, dict(metrics)) if observe else dates
 
 
+def store_states(spark: SparkSession, table: str, new: DataFrame) -> list[dt.date]:
+    """A4 publisher by state: loads join a table of :data:`BAR_STATE` partitioned by day; gives the days touched.
+
+    Reads and rewrites the states of the days that ``new`` brings (a row for
+    each ticker and load), never their candles.  A load stored again, after a
+    crash or corrected, replaces what it said.
+    """
+    fresh, seen = materialize(new.select(*BAR_STATE.fieldNames()), "states", observe=[F.collect_set("trade_date").alias("days")])
+    days = sorted(seen["days"] or [])
+    if days:
+        held = spark.table(table).where(F.col("trade_date").isin(days))
+        overwrite_partitions(spark, table, merge_states(held, fresh))
+    discard(fresh)
+    return days
+
+
 def insert_if_absent_into(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
                           first_by: list[Column] | None = None) -> None:
     """D7 publisher: append the source rows whose key the table lacks."""
