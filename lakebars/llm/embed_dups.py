@@ -8,6 +8,10 @@ only pairs that can reach the threshold are looked at.  Close vectors share
 a filter with high probability; vectors are joined on filters and every pair
 inside is verified by its exact cosine in double precision.
 
+The more vectors there are, the smaller are the caps and the more filters
+there are (:func:`scaled`), so that a filter holds as many unrelated vectors
+at any size: the vectors compared with one of them stay about the same.
+
 A pair is counted in the smallest filter that both vectors have, so counts
 need no list of pairs; components need one edge per vector and filter.
 Equal vectors are one node with a size.  A filter with more than
@@ -28,8 +32,11 @@ from lakebars.llm.graph import connected_components
 
 COSINE = 0.9
 ROTATIONS = 5
+BASE_ROWS = 10_000       # vectors up to which the next two hold; see ``scaled``
 CODEWORDS = 128          # of each half
 CAP = 3.2                # threshold in standard deviations of a random inner product (1 / sqrt(dimension))
+SHORT_NUMBERS = 10_000_000   # vectors whose filters can be numbered by 32 bits
+DECODED = 1 << 21        # scores of codewords held at a time
 BUCKET_NODES = 2048      # vectors of a filter in one group
 BLOCK = 512              # rows of a group compared at a time
 SEED = 5
@@ -47,31 +54,70 @@ def product_code(dim: int, rotation: int, seed: int, codewords: int) -> tuple:
     return turn, cut, halves
 
 
+def cap_share(dim: int, least: float) -> float:
+    """Share of the unit sphere whose inner product with a given direction exceeds ``least``."""
+    def below(angle):
+        at = np.linspace(0, angle, 4001)
+        return np.trapezoid(np.sin(at) ** (dim - 2), at)
+
+    return float(below(np.arccos(min(1.0, max(-1.0, least)))) / below(np.pi))
+
+
+def scaled(rows: int, dim: int, codewords: int = CODEWORDS, cap: float = CAP, cosine: float = COSINE) -> tuple[int, float]:
+    """Codewords of a half and threshold for so many vectors.
+
+    Up to ``BASE_ROWS`` they are the given ones.  Beyond, with ``both`` the
+    share of a cap's vectors whose close partner is in the cap too, the cap's
+    share of the sphere is made proportional to ``both / rows`` and the
+    number of filters to ``rows / both^2``.  So a close pair shares as many
+    filters as before, and a vector meets as many unrelated ones as before.
+    """
+    least = min(cap / np.sqrt(dim), 0.6)
+    if rows <= BASE_ROWS or dim < 3:
+        return codewords, least
+    apart = np.sqrt((1 - cosine) / (1 + cosine))
+
+    def both(s: float) -> float:
+        return max(1e-3, cap_share(dim - 1, apart * s / np.sqrt(1 - s * s))) if dim > 3 else 1.0
+
+    share, low, high = cap_share(dim, least) * BASE_ROWS / rows / both(least), least, 1.0
+    for _ in range(50):
+        middle = (low + high) / 2
+        low, high = (middle, high) if cap_share(dim, middle) > share * both(middle) else (low, middle)
+    return int(np.ceil(codewords * np.sqrt(rows / BASE_ROWS) * both(least) / both(low))), low
+
+
 def decode(unit: np.ndarray, rotations: int = ROTATIONS, codewords: int = CODEWORDS, cap: float = CAP,
-           seed: int = SEED, codes: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+           seed: int = SEED, codes: dict | None = None, rows: int = 0, cosine: float = COSINE) -> tuple[np.ndarray, np.ndarray]:
     """Rows and filter numbers: all filters that each unit vector exceeds the threshold of.
 
     One-dimensional vectors have one filter for each sign.  ``codes`` keeps
-    the product codes between calls.
+    the product codes between calls; ``rows`` is the number of vectors in all.
     """
     dim = unit.shape[1]
     if dim < 2:
         return np.arange(len(unit)), (unit[:, 0] > 0).astype(np.int64)
-    rows, filters, codes = [], [], {} if codes is None else codes
-    least = min(cap / np.sqrt(dim), 0.6) * np.sqrt(2)
+    found_rows, filters, codes = [], [], {} if codes is None else codes
+    if ("scaled", dim) not in codes:
+        codes["scaled", dim] = scaled(rows, dim, codewords, cap, cosine)
+    codewords, least = codes["scaled", dim]
+    least = least * np.sqrt(2)
     for r in range(rotations):
         if (dim, r) not in codes:
             codes[dim, r] = product_code(dim, r, seed, codewords)
         turn, cut, (left, right) = codes[dim, r]
-        turned = unit @ turn
-        a, b = turned[:, :cut] @ left.T, turned[:, cut:] @ right.T
-        row, i = np.nonzero(a + b.max(axis=1, keepdims=True) >= least)
-        for lo in range(0, len(row), 1 << 15):
-            part = slice(lo, lo + (1 << 15))
-            k, j = np.nonzero(a[row[part], i[part]][:, None] + b[row[part]] >= least)
-            rows.append(row[part][k])
-            filters.append((r * codewords + i[part][k]) * codewords + j)
-    row, number = np.concatenate(rows), np.concatenate(filters)
+        step = max(1, DECODED // codewords)
+        for at in range(0, len(unit), step):
+            turned = unit[at:at + step] @ turn
+            a, b = turned[:, :cut] @ left.T, turned[:, cut:] @ right.T
+            row, i = np.nonzero(a + b.max(axis=1, keepdims=True) >= least)
+            width = max(1, DECODED // codewords)
+            for lo in range(0, len(row), width):
+                part = slice(lo, lo + width)
+                k, j = np.nonzero(a[row[part], i[part]][:, None] + b[row[part]] >= least)
+                found_rows.append(row[part][k] + at)
+                filters.append((r * codewords + i[part][k]) * codewords + j)
+    row, number = np.concatenate([*found_rows, np.zeros(0, np.int64)]), np.concatenate([*filters, np.zeros(0, np.int64)])
     order = np.lexsort((number, row))
     return row[order], number[order]
 
@@ -258,8 +304,10 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     # -0.0 and 0.0 are one value, as in a comparison
     zero = F.lit(0.0).cast(kept.elementType)
     rows = rows.withColumn("embedding", F.when(whole, F.transform("embedding", lambda x: F.when(x == 0, zero).otherwise(x))))
-    nodes = materialize(rows.where(F.col("embedding").isNotNull()).groupBy("embedding").agg(
-        F.min("id").alias("node"), F.count(F.lit(1)).alias("size")), "vectors")
+    nodes, seen = materialize(rows.where(F.col("embedding").isNotNull()).groupBy("embedding").agg(
+        F.min("id").alias("node"), F.count(F.lit(1)).alias("size")), "vectors", [F.count(F.lit(1)).alias("n")])
+    params = {"rows": seen["n"], "cosine": cosine, **params}
+    number = "int" if seen["n"] <= SHORT_NUMBERS else "long"
     members = materialize(
         rows.where(F.col("embedding").isNotNull()).join(nodes, "embedding").select("id", "node", "size"), "members")
 
@@ -278,7 +326,7 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     keys = ["dim", "filter", "i", "j"]
     groups = places.join(nodes, "node").select("dim", "node", "size", "embedding", "own", F.explode("places").alias("p"))
     groups = groups.select("dim", "p.filter", "p.i", "p.j", "p.side", "node", "size", "embedding",
-                           F.transform("own", lambda x: x.cast("int")).alias("own"))
+                           F.transform("own", lambda x: x.cast(number)).alias("own"))
     dealt = groups.repartition(shuffle_width(spark), *keys).sortWithinPartitions(*keys, "node")
     found = materialize(dealt.mapInArrow(_compare_groups(cosine), "a long, b long, n long"), "links")
 

@@ -191,6 +191,48 @@ def test_embedding_recall_of_production_parameters():
     assert recall(0.9) >= 0.93 and recall(0.96) >= 0.98 and recall(0.99) >= 0.99
 
 
+def close_pairs(n, dim, cosine, seed=1):
+    rng = np.random.default_rng(seed)
+    a = embed_dups.unit_rows(rng.standard_normal((n, dim)))
+    b = rng.standard_normal(a.shape)
+    b = embed_dups.unit_rows(b - (a * b).sum(axis=1, keepdims=True) * a)
+    return a, cosine * a + math.sqrt(1 - cosine ** 2) * b
+
+
+def shared_filters(x, y, **params):
+    """Filters shared by the rows of two lists: row by row, and in all pairs of rows."""
+    sides = [list(zip(*embed_dups.decode(v, **params))) for v in (x, y)]
+    own = [{}, {}]
+    for found, side in zip(own, sides):
+        for row, number in side:
+            found.setdefault(int(row), set()).add(int(number))
+    counts = [np.unique([number for _, number in side], return_counts=True) for side in sides]
+    both, i, j = np.intersect1d(counts[0][0], counts[1][0], return_indices=True)
+    return [own[0].get(k, set()) & own[1].get(k, set()) for k in range(len(x))], int((counts[0][1][i] * counts[1][1][j]).sum())
+
+
+@pytest.mark.parametrize("rows", [10_000, 50_000, 200_000, 2_000_000])
+def test_embedding_work_for_each_vector_stays_the_same(rows):
+    """At every size: recall 0.9 or more at the threshold, and unrelated vectors met by one vector within 30 %."""
+    a, b = close_pairs(1200, 64, 0.9)
+    shared, _ = shared_filters(a, b, rows=rows)
+    assert np.mean([bool(s) for s in shared]) >= 0.9
+    x, y = close_pairs(2500, 64, 0.0, seed=3)
+    met = lambda n: shared_filters(x, y, rows=n)[1] / len(x) ** 2 * n
+    assert 0.5 * met(10_000) < met(rows) < 1.3 * met(10_000)
+
+
+def test_embedding_caps():
+    for dim in (3, 4, 16, 64):
+        v = embed_dups.unit_rows(np.random.default_rng(2).standard_normal((200_000, dim)))[:, 0]
+        for least in (0.0, 0.2, 0.5):
+            assert abs(embed_dups.cap_share(dim, least) - (v > least).mean()) < 0.01
+    assert embed_dups.scaled(10, 64) == (128, 0.4) and embed_dups.scaled(10**6, 2)[0] == 128
+    for dim in (3, 4, 16, 64, 1024):
+        few, many = embed_dups.scaled(20_000, dim), embed_dups.scaled(10**9, dim)
+        assert 128 <= few[0] < many[0] and few[1] <= many[1] < 1
+
+
 # ---------------------------------------------------------------- 3 lines
 
 @pytest.mark.parametrize("batches", [1, 5])
