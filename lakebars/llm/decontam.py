@@ -7,13 +7,20 @@ verbatim match can cross it).  Each test suffix is then binary-searched in
 the shard's suffix array; its range gives all places where its window
 occurs, and the matches are extended to their full length.
 
-The test set is taken in blocks of bounded size, broadcast one at a time;
-every block makes one pass over the documents and adds to what the passes
-before it found.  Documents are never shuffled.
+The test set is dealt to blocks of bounded size by a hash of its items.  Tasks
+make the windows of a block and write them to the shared work folder, from
+which each worker of a pass reads the one block that the pass is about; the
+driver sees sizes only.  One block, the usual case, is one pass over the
+documents, which are not shuffled.  With more, every block's pass writes what
+it found (few, short rows) before the next one starts, and the documents meet
+the sum in one join.
 """
 
 from __future__ import annotations
 
+import math
+import os
+import pickle
 from itertools import repeat
 
 import numpy as np
@@ -22,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakebars.llm.common import WORD_TABLE, fresh, prepare
+from lakebars.llm.common import WORD_TABLE, fresh, materialize, new_run_dir, prepare, text_key, worker_state
+from lakebars.sources.paged import uri
 
 WINDOW = 13
 SHARE = 20               # contaminated: SHARE * hit words >= words
-BLOCK_BYTES = 16 << 20   # UTF-8 bytes of test items broadcast at a time
+BLOCK_BYTES = 16 << 20   # UTF-8 bytes of test items of a block, in expectation
+PART_BYTES = 4 << 20     # bytes of a row of a written block
 SHARD_WORDS = 1 << 20    # words of a shard; a longer document is a shard of its own
 QUERIES = 1 << 15        # test suffixes searched at a time
 PAIRS = 1 << 20          # pairs of a place in a document and one in an item extended at a time
@@ -215,20 +224,41 @@ def _best(*found):
     return [x[best] for x in (doc, item, n, offset, at)]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int):
-    """Test items with words, in blocks of ``limit`` bytes; one item may exceed it alone."""
-    rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).where(
-        F.col(text_col).isNotNull())
-    held, size = [], 0
-    for item_id, text in rows.toLocalIterator():
-        n = len(text.encode("utf-8", "surrogatepass"))
-        if held and size + n > limit:
-            yield held
-            held, size = [], 0
-        held.append((item_id, text))
-        size += n
-    if held:
-        yield held
+def write_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int, window: int) -> tuple[str, int]:
+    """Blocks of test items, made by tasks and written to the shared folder: ``(folder, number of blocks)``.
+
+    Items with the same id and text are one.  An item larger than a block is
+    not cut.
+    """
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).where(
+        "text IS NOT NULL").distinct()
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, math.ceil(size / block_bytes))
+
+    def build(key, table):
+        rows = sorted(zip(table.column("id").to_pylist(), table.column("text").to_pylist()), key=lambda r: (r[0] or "", r[1]))
+        data = pickle.dumps(test_block(rows, window), protocol=5)
+        parts = [data[lo:lo + PART_BYTES] for lo in range(0, len(data), PART_BYTES)]
+        return pa.table({"part": pa.array(range(len(parts)), pa.int32()), "data": pa.array(parts, pa.binary()),
+                         "block": pa.array([key[0].as_py()] * len(parts), pa.int32())})
+
+    root = os.path.join(new_run_dir(spark, "test-items"), "blocks")
+    (items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int")).groupBy("block")
+     .applyInArrow(build, "part int, data binary, block int").write.mode("error").partitionBy("block").parquet(root))
+    return uri(spark, root), n
+
+
+def read_block(root: str, number: int, window: int) -> dict:
+    """A written block; an empty one if no item was dealt to it."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, folder = fs.FileSystem.from_uri(f"{root}/block={number}")
+    files = [f.path for f in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if f.path.endswith(".parquet")]
+    rows = [r for f in files for r in pq.read_table(f, filesystem=store, partitioning=None).to_pylist()]
+    data = b"".join(r["data"] for r in sorted(rows, key=lambda r: r["part"]))
+    return pickle.loads(data) if data else test_block([], window)
 
 
 def _pass(frame: DataFrame, text_col: str, block, window: int, found: dict[str, str], keep: list[str]) -> DataFrame:
@@ -239,7 +269,7 @@ def _pass(frame: DataFrame, text_col: str, block, window: int, found: dict[str,
     carried = {k: names.index(v) for k, v in found.items()}
 
     def run(batches):
-        test = block.value
+        test = worker_state((block, "contamination-block"), lambda: read_block(*block, window))
         number = test["vocabulary"].get
 
         def flush(held):
@@ -315,24 +345,38 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     found = {k: fresh(f"found_{k}", docs.columns) for k in FOUND}
     needed = [c for c in docs.columns if c in keep or c == text_col]
     frame = docs.select(*needed, *[F.lit(None).cast(FOUND[k]).alias(found[k]) for k in found])
-    blocks = list(_blocks_to_broadcast(spark, benchmark, item_col, item_text_col, block_bytes, window))
-    for i, block in enumerate(blocks):
-        columns = needed if i + 1 < len(blocks) else [c for c in needed if c in keep]
-        frame = _pass(frame, text_col, block, window, found, [*columns, *found.values()])
+    root, blocks = write_blocks(benchmark, item_col, item_text_col, block_bytes, window)
+    columns, number = [c for c in needed if c in keep], 0
+    if blocks > 1:
+        frame, number = _joined_passes(docs.select(*needed), text_col, root, blocks, window, found), blocks
+    frame = _pass(frame, text_col, (root, number), window, found, [*columns, *found.values()])
     n_hit = F.aggregate(found["hits"], F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     out = frame.select(*keep, *[F.col(found[k]).alias(names[k]) for k in found], n_hit.alias(names["n_hit"]))
     rule = (F.col(names["n_hit"]) > 0) & (SHARE * F.col(names["n_hit"]) >= F.col(names["n_words"]))
     return out.withColumn(names["contaminated"], rule)
 
 
-def _blocks_to_broadcast(spark, benchmark, item_col, text_col, block_bytes, window):
-    """Broadcast blocks; one empty block when there is no item, so that words are still counted."""
-    some = False
-    for items in _blocks(benchmark, item_col, text_col, block_bytes):
-        some = True
-        yield spark.sparkContext.broadcast(test_block(items, window))
-    if not some:
-        yield spark.sparkContext.broadcast(test_block([], window))
+def _joined_passes(docs: DataFrame, text_col: str, root: str, blocks: int, window: int, found: dict[str, str]) -> DataFrame:
+    """The documents with what all blocks found, to be finished by a pass over a block without items.
+
+    A pass keeps the rows of texts with hits, by a 128-bit key of the text.
+    """
+    a, b = (fresh(n, [*docs.columns, *found.values()]) for n in ("key_a", "key_b"))
+    key = text_key(F.col(text_col).cast("string"))
+    keyed = docs.withColumns({a: key["a"], b: key["b"]})
+    empty = {v: F.lit(None).cast(FOUND[k]) for k, v in found.items()}
+    parts = []
+    for number in range(blocks):
+        own = _pass(keyed.select(a, b, text_col).withColumns(empty), text_col, (root, number), window, found,
+                    [a, b, *found.values()])
+        parts.append(materialize(own.where(F.size(found["hits"]) > 0).dropDuplicates([a, b]), "contamination"))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    sums = union.groupBy(a, b).agg(*[F.array_sort(F.flatten(F.collect_list(found[k]))).alias(found[k])
+                                     for k in ("hits", "items", "matches")])
+    joined = keyed.join(sums, [a, b], "left").withColumn(found["n_words"], empty[found["n_words"]])
+    return joined.select(*docs.columns, *found.values())
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:

@@ -523,6 +523,29 @@ def test_contamination_repeated_windows(spark, monkeypatch, pairs):
     assert ("1", 53, 2, 213) in {tuple(m) for r in got for m in r["matches"]}
 
 
+def test_contamination_blocks_stay_out_of_the_driver(spark, monkeypatch):
+    """Many blocks of repeated templates: nothing is broadcast or collected but a size, and one block gives the same."""
+    from pyspark import SparkContext
+
+    words = vocabulary(80, 4)
+    rng = random.Random(6)
+    items = [(f"i{k}", "the same template " + " ".join(rng.choice(words) for _ in range(30))) for k in range(200)]
+    items += items[:60] * 3                                     # repeated rows
+    docs = frame(spark, [(k, f"x {items[k * 7 % 200][1]} y {items[k][1]}") for k in range(40)] + [(99, "clean")])
+    bench = spark.createDataFrame(items, "item_id string, text string")
+
+    def shown(**params):
+        out = decontam.contamination(docs, bench, keep=["doc_id"], names={"n_words": "w"}, **params)
+        return sorted((r["doc_id"], r["w"], r["n_hit"], r["items"], sorted(map(str, r["matches"])), r["contaminated"])
+                      for r in out.collect())
+
+    want = shown()
+    monkeypatch.setattr(SparkContext, "broadcast", lambda *a: pytest.fail("broadcast"))
+    assert shown(block_bytes=1500) == want and sum(r[2] > 0 for r in want) == 40
+    _, blocks = decontam.write_blocks(bench, "item_id", "text", 1500, 13)
+    assert blocks > 10
+
+
 def test_contamination_without_items(spark):
     docs = frame(spark, hostile())
     bench = spark.createDataFrame([], "item_id long, text string")
