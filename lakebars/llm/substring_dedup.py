@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from lakebars.llm.common import materialize, prepare
 
+SALTS = 32               # parts of a word sequence that many documents have
 MIN_WORDS = 50
 FINAL = ["id", "n_words", "n_removed", "kept_sha256", "longest_repeat"]
 FINAL_SCHEMA = "id long, n_words long, n_removed long, kept_sha256 string, longest_repeat long"
@@ -249,11 +250,16 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = rows.where(F.col("id").isNotNull())
     seen = materialize(_scan(named, min_words).where(F.col("n") >= min_words), "substring-scan")
 
-    # one document stands for all with its word sequence: the one with the smallest id
-    firsts = seen.groupBy("s1", "s2").agg(F.min("id").alias("first"))
-    status = seen.join(firsts, ["s1", "s2"]).select(
-        "id", "s1", (F.col("id") > F.col("first")).alias("copy"), "halves")
-    status = materialize(status.withColumn("halves", F.when(~F.col("copy"), F.col("halves"))), "substring-status")
+    # one document stands for all with its word sequence: the one with the smallest id.  Only sequences that
+    # several ids have are joined, on a salted key without the hashes: a sequence may have a third of all rows.
+    firsts = (seen.groupBy("s1", "s2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+              .select("s1", "s2", "first", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("salt")))
+    copies = (seen.select("id", "s1", "s2", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+              .join(firsts, ["s1", "s2", "salt"]).where("id > first").select("id", "s1", "s2").distinct()
+              .withColumn("copy", F.lit(True)))
+    status = seen.join(copies, ["id", "s1", "s2"], "left").select(
+        "id", "s1", F.coalesce("copy", F.lit(False)).alias("copy"), F.when(F.col("copy").isNull(), F.col("halves")).alias("halves"))
+    status = materialize(status, "substring-status")
     halves = status.select("id", F.explode("halves").alias("h"))
     shared = halves.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
     marks = (halves.join(shared, "h").select("id", "h", F.lit(None).cast("long").alias("s1"))
