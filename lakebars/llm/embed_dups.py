@@ -38,6 +38,7 @@ CAP = 3.2                # threshold in standard deviations of a random inner pr
 SHORT_NUMBERS = 10_000_000   # vectors whose filters can be numbered by 32 bits
 DECODED = 1 << 21        # scores of codewords held at a time
 BUCKET_NODES = 2048      # vectors of a filter in one group
+FIRST_FILTERS = (4, 12)  # filters of a pair compared before all of them are
 BLOCK = 512              # rows of a group compared at a time
 SEED = 5
 
@@ -157,17 +158,27 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 
 def first_shared(own: list[np.ndarray], i: np.ndarray, j: np.ndarray, number: int) -> np.ndarray:
-    """Whether ``number`` is the smallest filter that the vectors of each pair share."""
+    """Whether ``number`` is the smallest filter that the vectors of each pair share.
+
+    ``own`` are ascending lists.  Close vectors mostly share one of their
+    first few filters, so these are looked at first and whole lists only
+    where they settle nothing.
+    """
     own = [x[x < number] for x in own]
     width = max(1, max(map(len, own)))
     lower = np.full((len(own), width), -1, np.int64)
     for k, x in enumerate(own):
         lower[k, :len(x)] = x
-    out = np.ones(len(i), bool)
-    step = max(1, 4_000_000 // (width * width))
-    for lo in range(0, len(i), step):
-        a, b = lower[i[lo:lo + step]], lower[j[lo:lo + step]]
-        out[lo:lo + step] = ~((a[:, :, None] == b[:, None, :]) & (a[:, :, None] >= 0)).any(axis=(1, 2))
+    out, left = np.ones(len(i), bool), np.arange(len(i))
+    for part in sorted({min(w, width) for w in (*FIRST_FILTERS, width)}):
+        step, still = max(1, 4_000_000 // (part * part)), []
+        for lo in range(0, len(left), step):
+            at = left[lo:lo + step]
+            a, b = lower[i[at], :part], lower[j[at], :part]
+            shared = ((a[:, :, None] == b[:, None, :]) & (a[:, :, None] >= 0)).any(axis=(1, 2))
+            out[at[shared]] = False
+            still.append(at[~shared])
+        left = np.concatenate([*still, left[:0]])
     return out
 
 

@@ -645,3 +645,13 @@ def test_least_of():
     for width in (1, 2, 3, 26, 90):
         want = [h[k:k + width].min() for k in range(91 - width)]
         assert substring_dedup.least_of(h, width).tolist() == want
+
+
+def test_first_shared():
+    rng = np.random.default_rng(8)
+    own = [np.sort(rng.choice(60, rng.integers(0, 40), replace=False)) for _ in range(50)]
+    i, j = np.nonzero(np.triu(np.ones((50, 50)), 1))
+    for number in (0, 7, 30, 60):
+        want = [not (set(own[a]) & set(own[b]) & set(range(number))) for a, b in zip(i, j)]
+        assert embed_dups.first_shared(own, i, j, number).tolist() == want
+    assert embed_dups.first_shared([np.zeros(0, int)] * 2, np.array([0]), np.array([1]), 5).tolist() == [True]
