@@ -54,6 +54,7 @@ def main(argv=None) -> None:
     p.add_argument("--fetch", help="module:callable of the API client (bronze)")
     p.add_argument("--params", default="{}", help="request parameters as a JSON object (bronze)")
     p.add_argument("--issuers", help="Parquet path of the issuer snapshot (bronze)")
+    p.add_argument("--ods-buckets", type=int, help="make a new operational table in so many buckets of the ticker")
     p.add_argument("--keep", type=int, default=2, help="newest manifests that stay readable (vacuum)")
     a = p.parse_args(argv)
     if a.step not in ("resume", "ledger", "vacuum") and not a.process_date:
@@ -61,7 +62,7 @@ def main(argv=None) -> None:
     if a.step == "bronze" and not a.fetch:
         p.error("bronze needs --fetch module:callable")
     spark = build_session(app_name=f"lakebars-{a.step}", profile=a.profile)
-    lh = jobs.Lakehouse(a.root, db=a.db)
+    lh = jobs.Lakehouse(a.root, db=a.db, ods_buckets=a.ods_buckets)
     run_ts = as_datetime(a.run_ts) if a.run_ts else a.process_date and jobs.default_run_ts(a.process_date)
     if a.step == "bronze":
         module, _, name = a.fetch.partition(":")

@@ -47,9 +47,15 @@ DIM_TABLE = StructType(DIMENSION.fields + [StructField("version_end", DateType()
 
 @dataclass
 class Lakehouse:
-    """Paths and table names of one deployment (``db`` namespaces the tables)."""
+    """Paths and table names of one deployment (``db`` namespaces the tables).
+
+    With ``ods_buckets`` the operational table is made in that many buckets
+    of the ticker; its upserts then move the batch only (for days too large
+    to shuffle; a day has a file for each bucket).
+    """
     root: str
     db: str = "lakebars"
+    ods_buckets: int | None = None
     created: bool = field(default=False, repr=False)
 
     @property
@@ -97,7 +103,8 @@ class Lakehouse:
             ("serving_buffer", MART, ("trade_date",)),
         ]
         for name, schema, parts in specs:
-            tables.create_table(spark, self.t(name), schema, None, parts)
+            buckets = ("ticker", self.ods_buckets) if self.ods_buckets and name == "ods_bars" else None
+            tables.create_table(spark, self.t(name), schema, None, parts, buckets)
         self.publication(spark).ensure()
         self.created = True
         return self

@@ -235,6 +235,11 @@ def oracle_sql() -> dict[str, str]:
             f"{_pick(LINEITEM_VALUES, flag='s.l_orderkey')}, "
             f"CASE WHEN s.l_orderkey IS NOT NULL THEN {RUN_TS} ELSE t.load_dt END AS load_dt "
             f"FROM t FULL OUTER JOIN s ON t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber"),
+        "upsert_in_buckets": (
+            f"SELECT ticker, open_price, close_price, high_price, low_price, "
+            f"CASE WHEN CAST(ticker AS BIGINT) % 3 > 0 THEN volume + 1 ELSE volume END AS volume, "
+            f"CASE WHEN CAST(ticker AS BIGINT) % 3 > 0 THEN {RUN_TS} ELSE {BASE_TS} END AS load_dt, trade_date "
+            f"FROM ({bars('user')}) b"),
         "insert_if_absent": "SELECT * FROM customer",
         "row_hash": (f"SELECT ticker, {HASH} AS row_hash FROM (SELECT CAST(c_custkey AS VARCHAR) AS ticker, "
                      f"c_name AS company_name, c_mktsegment AS sector, c_acctbal > 0 AS dividend_policy_active "

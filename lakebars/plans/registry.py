@@ -30,7 +30,7 @@ from lakebars.operators.scd2 import scd2_frames, scd2_merge
 from lakebars.plans import bindings as B
 from lakebars.plans import jobs, sinks, tables
 from lakebars.plans.publication import Publication
-from lakebars.schemas import ISSUER_ATTRIBUTES, MART, PRICE
+from lakebars.schemas import ISSUER_ATTRIBUTES, MART, ODS_BAR, PRICE
 from lakebars.session import apply_conf, new_run_dir, scratch_database
 from lakebars.sources.files import (latest_available, latest_loads, read_loads, read_parquet, read_raw_candles,
                                     read_snapshot)
@@ -223,6 +223,19 @@ def q_upsert_keeps_latest(spark, sf_dir):
                         on_duplicate="latest", latest_first=_latest_first())
 
 
+def q_upsert_in_buckets(spark, sf_dir):
+    """Bars of every day upserted into an operational table in buckets of the ticker: only the batch moves."""
+    root, db = scratch_database(spark, "buckets")
+    t, names = f"{db}.ods_bars", [f.name for f in ODS_BAR.fields]
+    tables.create_table(spark, t, ODS_BAR, None, ("trade_date",), ("ticker", 8))
+    bars = _ods_bars(spark, sf_dir).withColumn("load_dt", F.lit(None).cast("timestamp_ntz")).select(*names)
+    key, values = ["ticker", "trade_date"], [n for n in names if n.endswith("_price") or n == "volume"]
+    of = F.col("ticker").cast("bigint") % 3
+    tables.upsert_into(spark, t, bars.where(of < 2), key, values, B.BASE_LOAD_TS)
+    tables.upsert_into(spark, t, bars.where(of > 0).withColumn("volume", F.col("volume") + 1), key, values, B.RUN_TS)
+    return _as_double(spark.table(t))
+
+
 def q_insert_if_absent(spark, sf_dir):
     """The whole table, every row twice, into a target that holds a part of it."""
     cust = B.table(spark, sf_dir, "customer")
@@ -459,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "key_duplicates": q_key_duplicates,
     "upsert_orders": q_upsert_orders,
     "upsert_keeps_latest": q_upsert_keeps_latest,
+    "upsert_in_buckets": q_upsert_in_buckets,
     "insert_if_absent": q_insert_if_absent,
     "row_hash": q_row_hash,
     "scd2_changed": q_scd2_changed,

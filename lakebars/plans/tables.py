@@ -19,10 +19,11 @@ Which overwrite when:
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,14 +33,14 @@ from lakebars.operators.merge import insert_if_absent_frame, upsert_frame
 from lakebars.operators.quality import DataQualityError
 from lakebars.operators.scd2 import DIM_COLUMNS, SOURCE_ROWS, TOUCHED, scd2_frames, strict_merge
 from lakebars.schemas import ddl
-from lakebars.session import discard, dynamic_session, materialize, work_root
+from lakebars.session import bucket_session, delete_folder, discard, dynamic_session, materialize, work_root
 
 OPEN_END_DATE = END_OF_TIME.date()
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, location: str | None = None,
-                 partition_by: tuple[str, ...] = ()) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` a Parquet table.
+                 partition_by: tuple[str, ...] = (), bucket_by: tuple[str, int] | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` a Parquet table, with ``bucket_by=(column, n)`` in buckets.
 
     Without ``location`` the table is managed and lives in its database's
     folder.  Partition columns must be the last fields of ``schema``
@@ -47,7 +48,37 @@ def create_table(spark: SparkSession, name: str, schema: StructType, location: s
     """
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet{parts}{loc}")
+    buckets = f" CLUSTERED BY ({bucket_by[0]}) SORTED BY ({bucket_by[0]}) INTO {bucket_by[1]} BUCKETS" if bucket_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet{parts}{buckets}{loc}")
+
+
+def bucket_spec(spark: SparkSession, name: str) -> tuple[str, int] | None:
+    """``(column, n)`` of a table in buckets of one column, from the catalog."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    columns = told.get("Bucket Columns", "").strip("[]").replace("`", "").split(",")
+    return (columns[0].strip(), int(told["Num Buckets"])) if "Num Buckets" in told and len(columns) == 1 else None
+
+
+def upsert_plan(spark: SparkSession, table: str, source: DataFrame, keys: list[str], value_cols: list[str], run_ts, dates,
+                buckets: tuple[str, int] | None, partition_col: str = "trade_date", **options) -> DataFrame:
+    """The new content of the touched partitions.
+
+    A target in buckets of a key column is read bucket by bucket and joined
+    where it lies: only the source moves, to the tasks of its buckets.
+    """
+    reader = bucket_session(spark) if buckets and buckets[0] in keys else spark
+    target = reader.table(table).where(F.col(partition_col).isin(dates))
+    return upsert_frame(target, source, keys, value_cols, run_ts, **options)
+
+
+def _bucketed_side(spark: SparkSession, table: str, frame: DataFrame, buckets: tuple[str, int], observe: list[Column]):
+    """A side table in the buckets of ``table``: one file a bucket, which the overwrite copies task by task."""
+    name = f"{table.rsplit('.', 1)[0]}.side_{uuid.uuid4().hex[:12]}" if "." in table else f"side_{uuid.uuid4().hex[:12]}"
+    path = os.path.join(work_root(spark), "_side", name.replace(".", "-"))
+    seen = Observation(f"upsert-{uuid.uuid4().hex[:8]}")
+    (frame.observe(seen, *observe).write.format("parquet").bucketBy(buckets[1], buckets[0]).sortBy(buckets[0])
+     .option("path", path).saveAsTable(name))
+    return name, path, seen.get
 
 
 def table_columns(spark: SparkSession, name: str) -> list[str]:
@@ -173,13 +204,21 @@ def upsert_into(spark: SparkSession, table: str, source: DataFrame, keys: list[s
         rows_by_date.update({r[partition_col]: r["_rows"] for r in per_date})
     if not dates:
         return ([], {}) if observe else []
-    target = spark.table(table).where(F.col(partition_col).isin(dates))
-    merged = upsert_frame(target, source, keys, value_cols, run_ts, stamp_col=stamp_col,
-                          on_duplicate="checked" if checked else on_duplicate,
-                          latest_first=latest_first)
-    side, metrics = materialize(merged, "upsert", observe=observe or [F.count(F.lit(1)).alias("rows")])
-    _overwrite_from(spark, table, side)
-    discard(side)
+    buckets = bucket_spec(spark, table)
+    merged = upsert_plan(spark, table, source, keys, value_cols, run_ts, dates, buckets, partition_col, stamp_col=stamp_col,
+                         on_duplicate="checked" if checked else on_duplicate, latest_first=latest_first)
+    observe_ = observe or [F.count(F.lit(1)).alias("rows")]
+    if buckets and buckets[0] in keys:
+        name, path, metrics = _bucketed_side(spark, table, merged, buckets, observe_)
+        writer = bucket_session(spark, dynamic=True)
+        writer.table(name).select(*table_columns(spark, table)).write.insertInto(table, overwrite=True)
+        spark.catalog.refreshTable(table)
+        spark.sql(f"DROP TABLE {name}")
+        delete_folder(spark, path)
+    else:
+        side, metrics = materialize(merged, "upsert", observe=observe_)
+        _overwrite_from(spark, table, side)
+        discard(side)
     return (dates, dict(metrics)) if observe else dates
 
 

@@ -210,3 +210,14 @@ def dynamic_session(spark: SparkSession) -> SparkSession:
     apply_conf(other)
     other.conf.set("spark.sql.sources.partitionOverwriteMode", "DYNAMIC")
     return other
+
+
+def bucket_session(spark: SparkSession, dynamic: bool = False) -> SparkSession:
+    """A session in which a table in buckets is read a bucket a task, and joined on more columns than its bucket
+    column without being moved; with ``dynamic`` also :func:`dynamic_session`."""
+    other = dynamic_session(spark) if dynamic else spark.newSession()
+    if not dynamic:
+        apply_conf(other)
+    other.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    other.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return other

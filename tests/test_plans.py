@@ -74,17 +74,24 @@ def test_silver_reads_window_only(spark, lakehouse):
     from pyspark.sql import functions as F
 
     from lakebars.plans import jobs
+    from lakebars.session import delete_folder
 
     days = [dt.date(2024, 1, d) for d in range(1, 8)]
     df = spark.createDataFrame([("A", d, f"{d} 10:00:00") for d in days], "ticker string, load_date date, begin string")
     rec = F.to_json(F.struct(F.col("begin"), F.lit("1").alias("open"), F.lit("1").alias("close"),
                              F.lit("1").alias("high"), F.lit("1").alias("low"), F.lit("1").alias("volume")))
     jobs.land_candle_records(lakehouse, df.select("ticker", "load_date", rec.alias("record")))
+    bars = jobs.silver_bars(spark, lakehouse, dt.date(2024, 1, 5))
+    p = plan(bars)
+    assert "partial_min_by" in p and "WindowGroupLimit" in p   # repeated candles go before the shuffle
+    read = [f for f in bars.inputFiles() if "/candles/" in f]  # the chosen load alone, its predecessor is not listed
+    assert read and all("load_date=2024-01-05" in f for f in read)
+    loads = [f for f in bars.inputFiles() if "/candle_loads/" in f]
+    assert loads and all("load_date=2024-01-05" in f or "load_date=2024-01-04" in f for f in loads)
+    delete_folder(spark, lakehouse.bronze_loads)               # without a manifest: the window's folders
     p = plan(jobs.silver_bars(spark, lakehouse, dt.date(2024, 1, 5)))
-    assert "InMemoryFileIndex(2 paths)" in p             # only the window's folders are listed
-    assert "PartitionFilters: [load_date" in p
-    assert p.count("Exchange hashpartitioning") <= 3 and "partial_min_by" in p
-    assert "WindowGroupLimit" in p                       # repeated candles go before the shuffle
+    assert "InMemoryFileIndex(2 paths)" in p and "PartitionFilters: [load_date" in p
+    assert p.count("Exchange hashpartitioning") <= 3 and "partial_min_by" in p and "WindowGroupLimit" in p
     from lakebars.sources.files import read_raw_candles
     files = read_raw_candles(spark, lakehouse.bronze_candles, [dt.date(2024, 1, 5), dt.date(2024, 1, 4)]).inputFiles()
     assert files and all("load_date=2024-01-05" in f or "load_date=2024-01-04" in f for f in files)
@@ -95,3 +102,45 @@ def test_gold_reads_only_versions_that_can_cover(spark, lakehouse):
 
     dim = spark.table(lakehouse.t("dim_issuers")).where(F.col("version_end") > F.lit("2024-01-02").cast("date"))
     assert "PartitionFilters: [isnotnull(version_end" in plan(dim)
+
+
+def test_upsert_in_buckets_moves_the_source_only(spark, lakehouse):
+    """The target's side has no exchange: a bucketed scan feeds the join; the side table and the result keep the buckets."""
+    import datetime as dt
+    import re
+
+    from lakebars.plans import tables
+    from lakebars.schemas import ODS_BAR
+
+    t = f"{lakehouse.db}.ods_in_buckets"
+    tables.create_table(spark, t, ODS_BAR, None, ("trade_date",), ("ticker", 4))
+    assert tables.bucket_spec(spark, t) == ("ticker", 4) and tables.bucket_spec(spark, lakehouse.t("ods_bars")) is None
+    days = [dt.date(2024, 1, d) for d in (2, 3, 4)]
+    rows = spark.range(300).selectExpr(
+        "IF(id % 50 = 0, NULL, concat('T', id % 60)) AS ticker", *[f"CAST(id AS DECIMAL(18,6)) AS {c}_price" for c in ("open", "close", "high", "low")],
+        "id AS volume", "CAST(NULL AS TIMESTAMP_NTZ) AS load_dt", "date_add(DATE'2024-01-02', CAST(id % 3 AS INT)) AS trade_date").dropDuplicates(
+        ["ticker", "trade_date"])
+    rows = rows.where("ticker IS NOT NULL")
+    values = ["open_price", "close_price", "high_price", "low_price", "volume"]
+    options = (["ticker", "trade_date"], values)
+    tables.upsert_into(spark, t, rows, *options, dt.datetime(2024, 1, 5))
+    source = rows.where("volume % 2 = 0 AND trade_date < DATE'2024-01-04'").withColumn("volume", rows["volume"] + 1000)
+    merged = tables.upsert_plan(spark, t, source, *options, dt.datetime(2024, 1, 6), days[:2], ("ticker", 4), on_duplicate="checked")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    p = plan(merged)
+    assert "SelectedBucketsCount: 4 out of 4" in p
+    join = p.index("SortMergeJoin")
+    target, moved = p[join:].split("FileScan parquet")[0], p[join:]
+    assert "Exchange" not in target and moved.count("Exchange hashpartitioning") >= 1
+    assert not re.search(r"Exchange[^\n]*\n[^\n]*(Project|Filter|ColumnarToRow)[^\n]*\n[^\n]*FileScan parquet[^\n]*ods_in_buckets", p)
+    plain = lakehouse.t("ods_bars")
+    for run, part in ((dt.datetime(2024, 1, 5), rows), (dt.datetime(2024, 1, 6), source), (dt.datetime(2024, 1, 6), source)):
+        tables.upsert_into(spark, plain, part, *options, run)
+        if part is source:
+            tables.upsert_into(spark, t, part, *options, run)
+    assert sorted(map(str, spark.table(t).collect())) == sorted(map(str, spark.table(plain).collect()))
+    files = {}
+    for f in spark.table(t).inputFiles():
+        files.setdefault(re.search(r"trade_date=([^/]+)", f)[1], []).append(re.search(r"_(\d{5})\.", f)[1])
+    assert all(len(own) == len(set(own)) <= 4 for own in files.values()) and len(files) == 3
+    assert not [r for r in spark.sql(f"SHOW TABLES IN {lakehouse.db}").collect() if r["tableName"].startswith("side_")]
