@@ -21,6 +21,8 @@ BUCKETS = 1 << 13
 ORDERS = (2, 3, 4)
 DIM = 16
 SAMPLE = 1500            # labelled rows of each language at most
+ALL_SAMPLES = 24_000     # texts fitted on at most, all languages together
+LANGUAGES = 1_000        # languages at most; more is an error
 EPOCHS = 12
 RATE = 4.0
 BATCH = 32
@@ -104,6 +106,9 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE,
         id_col: str | None = None) -> dict:
     """A model from at most ``sample`` rows of each language, chosen by a hash of the id and the text.
 
+    Of many languages fewer rows each are taken, ``ALL_SAMPLES`` in all; more
+    than ``LANGUAGES`` raise.
+
     Rows that have both in common count once (without ``id_col``, copies of a text do).
 
     Features are made by the tasks; the driver gets the chosen rows'
@@ -112,10 +117,12 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE,
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
         *([F.col(id_col).alias("id")] if id_col else []))
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().limit(LANGUAGES + 1).collect())
+    if len(langs) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn")
     if not langs:
         return {"langs": [], "matrix": np.zeros((BUCKETS, 0)), "temperature": 1.0, "least": 0.0}
-    chosen = draw(rows, "lang", rows.columns[1:], sample, seed)
+    chosen = draw(rows, "lang", rows.columns[1:], max(1, min(sample, ALL_SAMPLES // len(langs))), seed)
 
     def run(batches):
         for batch in batches:
