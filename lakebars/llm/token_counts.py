@@ -42,21 +42,41 @@ def slices(data: bytes):
 
 
 class Lengths(dict):
-    """Tokens by piece: the frequent table, then what the library said before, then the library."""
+    """Tokens by piece: the frequent table, then what the library said before, then the library.
+
+    Pieces over ``PIECE_BYTES`` are not remembered, so the bound on pieces is one on bytes too.
+    """
 
     def __init__(self, frequent: dict, tokenizer, bound: int):
         super().__init__(frequent)
         self.frequent, self.tokenizer, self.bound = frequent, tokenizer, bound + len(frequent)
 
     def __missing__(self, piece: bytes) -> int:
-        if len(self) >= self.bound:
-            self.clear()
-            self.update(self.frequent)
-        n = self[piece] = len(self.tokenizer.encode(piece.decode("utf-8", "surrogatepass"),
-                                                    add_special_tokens=False).ids)
+        n = count(self.tokenizer, piece)
+        if len(piece) <= PIECE_BYTES:
+            if len(self) >= self.bound:
+                self.clear()
+                self.update(self.frequent)
+            self[piece] = n
         return n
 
 
+def count(tokenizer, data: bytes) -> int:
+    return len(tokenizer.encode(data.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids)
+
+
+def refuse_unsuitable(tokenizer, table: dict) -> None:
+    """Raises unless texts of the corpus's frequent pieces have the sum of their pieces' tokens, whatever lies between."""
+    pieces = [*table, b"a", b"B1,", "é".encode(), b"don't", b"x" * 80]
+    own = {p: table.get(p) if p in table else count(tokenizer, p) for p in pieces}
+    for k, gap in enumerate((b" ", b"  ", b"\n", b"\t", b" \n ", b"\r\n", b"\x0b", b"\x0c")):
+        some = pieces[k::8][:500]
+        text = gap + gap.join(some) + gap
+        if count(tokenizer, text) != sum(own[p] for p in some):
+            raise ValueError("this tokenizer does not treat the pieces between white space alone: "
+                             f"their tokens do not add up to those of a text with {gap!r} between them")
+
+
 def load(definition: str):
     """A tokenizer from the text of its JSON file, without truncation and padding."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -96,8 +116,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     ``tokenizer_path`` is a tokenizer JSON file on the driver; its text is
     sent to the workers.  The tokenizer must drop white space and treat the
-    pieces between it independently, as word-level BPE does.  Special strings
-    inside texts are handled as the library does by default.  A NULL text
+    pieces between it independently, as word-level BPE does; one that is found
+    not to raises.  Special strings inside texts are handled as the library does by default.  A NULL text
     counts as empty: no bytes and no tokens.  No rows give no rows.
     """
     spark = docs.sparkSession
@@ -106,8 +126,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         definition = f.read()
     tokenizer = load(definition)
     pieces = frequent_pieces(docs, text_col, frequent)
-    table = {p: len(tokenizer.encode(p.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids)
-             for p in pieces}
+    table = {p: count(tokenizer, p) for p in pieces}
+    refuse_unsuitable(tokenizer, table)
     shared, run_id = spark.sparkContext.broadcast((definition, table)), uuid.uuid4().hex
 
     def run(batches):

@@ -277,6 +277,42 @@ def test_token_counts(spark, corpus, tokenizer_path):
          [(i, len((t or "").encode()), k, k > 2048) for (i, t), k in zip(rows, n)])
 
 
+def test_unsuitable_tokenizers_are_refused(spark, tmp_path):
+    """One that keeps white space as tokens, one that joins words: counts of pieces would be wrong."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    for name, split in (("whole", None), ("spaces", pre_tokenizers.Split(" ", "isolated"))):
+        tokenizer = Tokenizer(models.WordLevel({"[u]": 0, " ": 1, "a": 2}, unk_token="[u]"))
+        if split is not None:
+            tokenizer.pre_tokenizer = split
+        path = str(tmp_path / f"{name}.json")
+        tokenizer.save(path)
+        with pytest.raises(ValueError, match="white space"):
+            token_counts.token_counts(frame(spark, hostile()[:12]), path)
+
+
+def test_long_pieces_are_not_remembered(tokenizer_path):
+    with open(tokenizer_path, encoding="utf-8") as f:
+        tokenizer = token_counts.load(f.read())
+    lengths = token_counts.Lengths({}, tokenizer, 10)
+    long = b"abc" * 5000
+    assert lengths[long] == token_counts.count(tokenizer, long) and not lengths
+    for k in range(30):
+        assert lengths[f"w{k}".encode()] == token_counts.count(tokenizer, f"w{k}".encode())
+    assert len(lengths) <= 10
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    rows = [(k, f"word{k % 30} text", f"l{k % 30}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(lang_id, "ALL_SAMPLES", 60)
+    model = lang_id.fit(docs, "text", "lang", id_col="doc_id")
+    assert len(model["langs"]) == 30
+    monkeypatch.setattr(lang_id, "LANGUAGES", 29)
+    with pytest.raises(ValueError, match="29 languages"):
+        lang_id.fit(docs, "text", "lang")
+
+
 def test_token_slices(monkeypatch):
     data_ = prose(random.Random(1), 400).encode()
     whole = data_.split()
