@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebars.llm import decontam, line_dedup, mixing, quality, simhash
-from lakebars.llm.common import fresh, materialize, prepare, table
+from lakebars.llm.common import finished, fresh, prepare, table
+from lakebars.session import discard
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +63,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``; of all that they write, the last result alone stays in the shared folder."""
     prepare(spark)
-    docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+    docs, held = spark.read.parquet(os.path.join(sf_dir, "documents.parquet")), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        out = finished(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if held is not None:
+            discard(held)
+        docs = held = out
     return docs

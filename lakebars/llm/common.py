@@ -7,7 +7,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakebars.session import materialize, new_run_dir  # noqa: F401  (re-exported)
+from lakebars import session
+from lakebars.session import delete_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -35,6 +36,35 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+_MADE: list[list[str]] = []     # folders made since each open ``finished``
+
+
+def materialize(df: DataFrame, name: str = "side", observe: list | None = None):
+    """:func:`lakebars.session.materialize`, remembered by an open :func:`finished`."""
+    out = session.materialize(df, name, observe)
+    if _MADE:
+        _MADE[-1].append((out[0] if observe else out).side_path)
+    return out
+
+
+def new_run_dir(spark: SparkSession, name: str) -> str:
+    """:func:`lakebars.session.new_run_dir`, remembered by an open :func:`finished`."""
+    path = session.new_run_dir(spark, name)
+    if _MADE:
+        _MADE[-1].append(path)
+    return path
+
+
+def finished(spark: SparkSession, make, name: str) -> DataFrame:
+    """What ``make()`` returns, written once; the side tables made on the way are deleted, also after an error."""
+    _MADE.append([])
+    try:
+        return session.materialize(make(), name)
+    finally:
+        for path in _MADE.pop():
+            delete_folder(spark, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

@@ -94,4 +94,23 @@ def test_empty_tables(spark):
 def test_entry_lists_queries_without_a_session():
     code = "import __spark_entry__ as e; print(len([n for n in e.queries() if n.startswith('op')]), 'pipeline' in e.queries())"
     out = subprocess.run([sys.executable, "-c", code], cwd=REPO, capture_output=True, text=True, timeout=120)
-    assert out.stdout.split() == ["10", "True"], out.stderr[-800:]
+    assert out.stdout.split() == ["13", "True"], out.stderr[-800:]
+
+
+def test_run_leaves_its_result_only(spark, monkeypatch):
+    """Side tables of the operators and of earlier stages are gone, after an error all of them."""
+    from lakebars.session import work_root
+
+    docs, labels = judged(120)
+    root = write_tables(spark, docs, labels, [(1, prose(random.Random(1), 40))])
+    top = work_root(spark)
+    folders = lambda: {d for d in os.listdir(top) if d != "_side"} | {f"_side/{d}" for d in os.listdir(f"{top}/_side")}
+    before = folders()
+    out = P.run(spark, root)
+    (left,) = folders() - before
+    assert left.startswith("_side/pipeline-mixing") and out.count() > 0
+    monkeypatch.setattr(P, "STAGES", [*P.STAGES[:2], ("broken", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))])
+    before = folders()
+    with pytest.raises(RuntimeError, match="lost"):
+        P.run(spark, root)
+    assert {d.split("-")[1] for d in folders() - before} <= {"line_dedup"}
