@@ -160,25 +160,22 @@ def general(term: str) -> str:
     return term[:2] + "*"
 
 
-class Bitmap:
-    """A set of words with false positives, of fixed size."""
+def bitmap(words: DataFrame, word_col: str) -> bytes:
+    """The hashes of words as ``BITS`` bits, made by Spark: 64 bits a row, at most BITS / 64 rows reach the driver."""
+    bit = F.pmod(F.xxhash64(word_col), F.lit(BITS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    rows = (words.select(F.floor(bit / 64).cast("int").alias("at"), one.alias("b")).groupBy("at")
+            .agg(F.bit_or("b").alias("b")).collect())
+    bits = np.zeros(BITS // 64, np.int64)
+    for r in rows:
+        bits[r["at"]] = r["b"]
+    return bits.tobytes()
 
-    def __init__(self, words: DataFrame, word_col: str):
-        # 64 bits a row: at most BITS / 64 rows reach the driver
-        bit = F.pmod(F.xxhash64(word_col), F.lit(BITS))
-        one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
-        rows = (words.select(F.floor(bit / 64).cast("int").alias("at"), one.alias("b")).groupBy("at").agg(F.bit_or("b").alias("b")).collect())
-        bits = np.zeros(BITS // 64, np.int64)
-        for r in rows:
-            bits[r["at"]] = r["b"]
-        self.bytes = bits.tobytes()
 
-    def __bool__(self) -> bool:
-        return any(self.bytes)
-
-    def __contains__(self, word: str) -> bool:
-        bit = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) % BITS
-        return self.bytes[bit >> 3] >> (bit & 7) & 1 == 1
+def maybe_in(bits: bytes, word: str) -> bool:
+    """Whether a word may be one of the bitmap's: always for those, seldom for others."""
+    bit = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) % BITS
+    return bits[bit >> 3] >> (bit & 7) & 1 == 1
 
 
 _BASE = "base array<struct<start:int,kind:int,end:int>>"
@@ -218,12 +215,12 @@ def _found(rows: DataFrame, kind: str, window: int) -> DataFrame:
         run, f"id {kind}, a long, b long, {_BASE}, entity string, context long, terms array<struct<term:string,times:int>>")
 
 
-def _frequencies(texts: DataFrame, wanted: Bitmap) -> DataFrame:
+def _frequencies(texts: DataFrame, wanted: bytes) -> DataFrame:
     """Second pass: how often the wanted words, and the wanted generalisations, occur; the total has a NULL word."""
     shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        counts, bitmap = Counter(), shared.value      # of pieces: their words are looked at once for each report
+        counts, bits = Counter(), shared.value        # of pieces: their words are looked at once for each report
 
         def rows():
             words: Counter = Counter()
@@ -233,7 +230,7 @@ def _frequencies(texts: DataFrame, wanted: Bitmap) -> DataFrame:
             total, broad = words.total(), Counter()
             for word, n in words.items():
                 broad[general(word)] += n
-            own = {name: n for names in (words, broad) for name, n in names.items() if name in bitmap}
+            own = {name: n for names in (words, broad) for name, n in names.items() if maybe_in(bits, name)}
             counts.clear()
             return pa.RecordBatch.from_arrays([pa.array([*own, None], pa.string()),
                                                pa.array([*own.values(), total], pa.int64())], ["term", "n"])
@@ -261,7 +258,7 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT,
     often = spread.where(F.col("contexts") >= support)
     terms = often.where(~F.col("term").endswith("*")).select("term").distinct()
     wanted = terms.unionByName(terms.select(F.concat(F.substring("term", 1, 2), F.lit("*")).alias("term"))).distinct()
-    counts = materialize(_frequencies(texts, Bitmap(wanted, "term")), "frequencies")
+    counts = materialize(_frequencies(texts, bitmap(wanted, "term")), "frequencies")
     total = counts.where(F.col("term").isNull()).select("n").first()
     total = total[0] if total else 0
     information = F.log2(F.lit(float(max(total, 1))) / F.col("near"))
@@ -282,16 +279,16 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT,
 
 def _places(texts: DataFrame, terms: DataFrame) -> DataFrame | None:
     """Third pass: the places of disclosing terms by text, as ``(a, b, added)``; ``None`` if there are no such terms."""
-    wanted = Bitmap(terms, "term")
-    if not wanted:
+    wanted = bitmap(terms, "term")
+    if not any(wanted):
         return None
     shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        bitmap = shared.value
+        bits = shared.value
 
         def has(piece):
-            return any(word.lower() in bitmap for word in WORD.findall(piece))
+            return any(maybe_in(bits, word.lower()) for word in WORD.findall(piece))
 
         for batch in batches:
             texts = batch.column(2).to_pylist()
@@ -309,7 +306,7 @@ def _places(texts: DataFrame, terms: DataFrame) -> DataFrame | None:
                 a, b = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 for m in WORD.finditer(blanked(text, base_spans(text))):
                     word = m.group().lower()
-                    if word in bitmap:
+                    if maybe_in(bits, word):
                         held.append((a, b, m.start(), m.end(), word))
                         if len(held) == 8192:
                             yield rows_of(held)
