@@ -88,7 +88,7 @@ def test_rows_that_fall_back_to_a_stopped_day(spark, lakehouse):
     assert out["state"] == "PUBLISHED" and set(out["served"]) == {D1, D2}
 
 
-@pytest.mark.parametrize("step", ["replace_day", "replace_days", "serve_days", "swap"])
+@pytest.mark.parametrize("step", ["replace_day", "replace_days", "swap"])
 def test_an_interrupted_run_is_finished(spark, lakehouse, monkeypatch, step):
     """The driver is lost while the dimension, the mart or the served days change; late changes are not forgotten."""
     lh = lakehouse
@@ -97,7 +97,7 @@ def test_an_interrupted_run_is_finished(spark, lakehouse, monkeypatch, step):
         jobs.daily_run(spark, lh, d, jobs.default_run_ts(d))
     # a corrected snapshot of D1 changes A from D2 to the version of the run of D2
     jobs.land_snapshot(lh, snapshot(spark, [("A", "a", "fixed", True), ("B", "b", "one", True)]), D1)
-    place = Publication if step == "swap" else jobs if step == "serve_days" else tables
+    place = Publication if step == "swap" else tables
     real, calls = getattr(place, step), []
 
     def lost(*args, **kwargs):
